@@ -6,8 +6,9 @@ from forgestat.functions.time import (
 )
 from forgestat.functions.users import is_bot_login
 from forgestat.functions.sizing import broadcast_if_bounded
+from forgestat.functions.numeric import round_scaled
 
 __all__ = [
     "surrogate_key", "row_id", "hour_boundaries", "day_boundaries", "trunc_ntz",
-    "day_of_week_sun0", "to_date_key", "is_bot_login", "broadcast_if_bounded",
+    "day_of_week_sun0", "to_date_key", "is_bot_login", "broadcast_if_bounded", "round_scaled",
 ]

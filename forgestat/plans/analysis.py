@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from forgestat.functions.numeric import round_scaled
 from forgestat.operators import metrics
 from forgestat.plans.warehouse import Warehouse
 
@@ -34,10 +35,10 @@ def q02_pr_cycle_time_by_repo(wh: Warehouse) -> DataFrame:
     h = F.col("time_to_merge_hours")
     return (_with_repo(f, wh).groupBy("repository_name").agg(
         F.count(F.lit(1)).alias("total_merged_prs"),
-        F.round(F.avg(h), 2).alias("avg_hours_to_merge"),
-        F.round(F.median(h), 2).alias("median_hours_to_merge"),
-        F.round(F.avg(h) / 24, 2).alias("avg_days_to_merge"),
-        F.round(F.median(h) / 24, 2).alias("median_days_to_merge"))
+        round_scaled(F.avg(h), 2).alias("avg_hours_to_merge"),
+        round_scaled(F.median(h), 2).alias("median_hours_to_merge"),
+        round_scaled(F.avg(h) / 24, 2).alias("avg_days_to_merge"),
+        round_scaled(F.median(h) / 24, 2).alias("median_days_to_merge"))
         .orderBy(F.col("median_hours_to_merge").asc_nulls_last()))
 
 
@@ -46,7 +47,7 @@ def q03_pr_merge_rate(wh: Warehouse) -> DataFrame:
     return (_with_repo(wh.fct_pull_requests, wh).groupBy("repository_name").agg(
         F.count(F.lit(1)).alias("total_prs"),
         merged.alias("merged_prs"),
-        F.round(merged.cast("double") * 100.0 / F.count(F.lit(1)), 2).alias("merge_rate_pct"))
+        round_scaled(merged.cast("double") * 100.0 / F.count(F.lit(1)), 2).alias("merge_rate_pct"))
         .orderBy(F.col("merge_rate_pct").desc_nulls_last()))
 
 
@@ -57,7 +58,7 @@ def q04_slowest_prs(wh: Warehouse, k: int = 20) -> DataFrame:
     return (x.orderBy(F.col("time_to_merge_hours").desc_nulls_last(), F.col("pull_request_id").asc())
              .limit(k)
              .select("repository_name", "pr_number", "pr_title", "author", "created_at", "merged_at",
-                     F.round(F.col("time_to_merge_hours") / 24, 2).alias("days_to_merge")))
+                     round_scaled(F.col("time_to_merge_hours") / 24, 2).alias("days_to_merge")))
 
 
 def q05_issue_resolution(wh: Warehouse) -> DataFrame:
@@ -65,10 +66,10 @@ def q05_issue_resolution(wh: Warehouse) -> DataFrame:
     h = F.col("time_to_close_hours")
     return (_with_repo(f, wh).groupBy("repository_name").agg(
         F.count(F.lit(1)).alias("total_closed_issues"),
-        F.round(F.avg(h), 2).alias("avg_hours_to_close"),
-        F.round(F.median(h), 2).alias("median_hours_to_close"),
-        F.round(F.avg(h) / 24, 2).alias("avg_days_to_close"),
-        F.round(F.median(h) / 24, 2).alias("median_days_to_close"))
+        round_scaled(F.avg(h), 2).alias("avg_hours_to_close"),
+        round_scaled(F.median(h), 2).alias("median_hours_to_close"),
+        round_scaled(F.avg(h) / 24, 2).alias("avg_days_to_close"),
+        round_scaled(F.median(h) / 24, 2).alias("median_days_to_close"))
         .orderBy(F.col("median_hours_to_close").asc_nulls_last()))
 
 
@@ -78,8 +79,8 @@ def q06_bug_vs_enhancement(wh: Warehouse) -> DataFrame:
     n = F.count(F.lit(1))
     return _with_repo(wh.fct_issues, wh).groupBy("repository_name").agg(
         n.alias("total_issues"), bug.alias("bug_issues"), enh.alias("enhancement_issues"),
-        F.round(bug.cast("double") * 100.0 / n, 2).alias("bug_pct"),
-        F.round(enh.cast("double") * 100.0 / n, 2).alias("enhancement_pct"))
+        round_scaled(bug.cast("double") * 100.0 / n, 2).alias("bug_pct"),
+        round_scaled(enh.cast("double") * 100.0 / n, 2).alias("enhancement_pct"))
 
 
 def _non_bot_users(wh: Warehouse) -> DataFrame:
@@ -132,7 +133,7 @@ def q10_monthly_pr_activity(wh: Warehouse) -> DataFrame:
     return (x.groupBy("year", "month", "repository_name").agg(
         F.count(F.lit(1)).alias("prs_created"),
         F.sum(F.when(F.col("is_merged"), 1).otherwise(0)).cast("bigint").alias("prs_merged"),
-        F.round(F.avg("time_to_merge_hours") / 24, 2).alias("avg_days_to_merge"))
+        round_scaled(F.avg("time_to_merge_hours") / 24, 2).alias("avg_days_to_merge"))
         .orderBy(*[F.col(c).asc_nulls_last() for c in ("year", "month", "repository_name")]))
 
 
@@ -147,8 +148,8 @@ def q11_cycle_time_trend(wh: Warehouse) -> DataFrame:
 def q12_engagement_trend(wh: Warehouse) -> DataFrame:
     e = wh.contributor_engagement
     return (e.select("repository_full_name", "year", "month", "unique_contributors", "new_contributors",
-                     "returning_contributors", F.round("returning_contributor_pct", 2).alias("returning_pct"),
-                     "total_activities", F.round("activities_per_contributor", 2).alias("activities_per_contributor"))
+                     "returning_contributors", round_scaled("returning_contributor_pct", 2).alias("returning_pct"),
+                     "total_activities", round_scaled("activities_per_contributor", 2).alias("activities_per_contributor"))
              .orderBy(*[F.col(c).asc_nulls_last() for c in ("repository_full_name", "year", "month")]))
 
 
@@ -157,8 +158,8 @@ def q13_release_velocity(wh: Warehouse) -> DataFrame:
     return (r.filter(F.col("period_type") == "monthly")
              .select("repository_name", "period_type", "year", "period_number", "release_count",
                      "stable_release_count",
-                     F.round("avg_days_between_releases", 1).alias("avg_days_between_releases"),
-                     F.round("median_days_between_releases", 1).alias("median_days_between_releases"))
+                     round_scaled("avg_days_between_releases", 1).alias("avg_days_between_releases"),
+                     round_scaled("median_days_between_releases", 1).alias("median_days_between_releases"))
              .orderBy(*[F.col(c).asc_nulls_last() for c in ("repository_name", "year", "period_number")]))
 
 
@@ -177,9 +178,9 @@ def q15_first_comment_responsiveness(wh: Warehouse) -> DataFrame:
     return (_with_repo(f, wh).groupBy("repository_name").agg(
         F.count(F.lit(1)).alias("total_prs"),
         F.count(F.when(h.isNotNull(), 1)).alias("prs_with_comments"),
-        F.round(F.avg(h), 2).alias("avg_hours_to_first_comment"),
-        F.round(F.median(h), 2).alias("median_hours_to_first_comment"),
-        F.round(F.avg(h) / 24, 2).alias("avg_days_to_first_comment"))
+        round_scaled(F.avg(h), 2).alias("avg_hours_to_first_comment"),
+        round_scaled(F.median(h), 2).alias("median_hours_to_first_comment"),
+        round_scaled(F.avg(h) / 24, 2).alias("avg_days_to_first_comment"))
         .orderBy(F.col("median_hours_to_first_comment").asc_nulls_last()))
 
 

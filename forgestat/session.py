@@ -25,6 +25,7 @@ def build_session(master: str = "local[8]", app: str = "forgestat",
     session and call :func:`configure` on it."""
     builder = (SparkSession.builder.master(master).appName(app)
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "8g"))
     for k, v in {**REQUIRED_CONF, **(extra or {})}.items():
