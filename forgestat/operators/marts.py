@@ -41,15 +41,33 @@ def dim_users(stg_users: DataFrame) -> DataFrame:
 class FactContext:
     """Dimensions and join options shared by the fact builders."""
 
-    def __init__(self, dim_repos: DataFrame, dim_users_df: DataFrame, dim_dates_df: DataFrame,
+    def __init__(self, dim_repos, dim_users_df, dim_dates_df,
                  spine: tuple[dt.date, dt.date], date_join: bool = False, users_join: bool = False):
-        self.dim_repos = dim_repos
-        self.dim_users = dim_users_df
-        self.dim_dates = dim_dates_df
+        # dimensions are passed as DataFrames or zero-argument builders, so a
+        # dimension no join needs is never planned
+        self._dims = {"repos": dim_repos, "users": dim_users_df, "dates": dim_dates_df}
         self.spine = spine
         self.date_join = date_join
         self.users_join = users_join
 
+    def _dim(self, name: str) -> DataFrame:
+        d = self._dims[name]
+        if callable(d):
+            d = self._dims[name] = d()
+        return d
+
+    @property
+    def dim_repos(self) -> DataFrame:
+        return self._dim("repos")
+
+    @property
+    def dim_users(self) -> DataFrame:
+        return self._dim("users")
+
+    @property
+    def dim_dates(self) -> DataFrame:
+        return self._dim("dates")
+
     def with_repo_key(self, df: DataFrame, full_name_col: str = "repository_full_name") -> DataFrame:
         r = self.dim_repos.select(F.col("repository_full_name").alias("_r_full"), "repo_key")
         return df.join(r, df[full_name_col] == r._r_full, "left").drop("_r_full")

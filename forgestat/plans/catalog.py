@@ -298,9 +298,22 @@ register("src18_load_summary", lambda wh: ingest.load_summary(wh.bronze),
                              "stargazers", "contributors")])
 
 
+_WAREHOUSES: dict[tuple[int, str], Warehouse] = {}
+
+
+def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """One warehouse (lazy, analysed model plans) per session and data folder,
+    shared by every query on them; nothing is cached as data."""
+    key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+    wh = _WAREHOUSES.get(key)
+    if wh is None or wh.spark is not spark:
+        wh = _WAREHOUSES[key] = driver_warehouse(spark, sf_dir)
+    return wh
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def make(fn):
-        return lambda spark, sf_dir: fn(driver_warehouse(spark, sf_dir))
+        return lambda spark, sf_dir: fn(warehouse_for(spark, sf_dir))
     return {name: make(fn) for name, (fn, _) in ENTRIES.items()}
 
 

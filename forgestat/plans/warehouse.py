@@ -8,6 +8,7 @@ re-reads them, which cuts the lineage before the metric views.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -21,7 +22,7 @@ TABLE_MODELS = ("dim_dates", "dim_repositories", "dim_users", "fct_pull_requests
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, bronze: dict[str, DataFrame], params: WarehouseParams,
+    def __init__(self, spark: SparkSession, bronze: Mapping[str, DataFrame], params: WarehouseParams,
                  date_join: bool = False, users_join: bool = False):
         self.spark = spark
         self.bronze = bronze
@@ -54,8 +55,7 @@ class Warehouse:
         return staging.stg_repository_topics(child_table(self.bronze["repositories"], "topics"))
     @cached_property
     def stg_pr_reviews(self):
-        rv = self.bronze.get("pr_reviews")
-        return staging.stg_pr_reviews(rv) if rv is not None else None
+        return staging.stg_pr_reviews(self.bronze["pr_reviews"]) if "pr_reviews" in self.bronze else None
     @cached_property
     def stg_users(self):
         return staging.stg_users(self.stg_issues, self.stg_pull_requests, self.stg_issue_comments,
@@ -79,7 +79,10 @@ class Warehouse:
 
     # ---- marts ------------------------------------------------------------------------
     def _t(self, name: str, build) -> DataFrame:
-        return self._tables[name] if name in self._tables else build()
+        """Materialised table if written, else the (memoised) lazy plan."""
+        if name not in self._tables:
+            self._tables[name] = build()
+        return self._tables[name]
 
     @property
     def dim_dates(self):
@@ -92,7 +95,7 @@ class Warehouse:
 
     @property
     def fact_context(self) -> marts.FactContext:
-        return marts.FactContext(self.dim_repositories, self.dim_users, self.dim_dates,
+        return marts.FactContext(lambda: self.dim_repositories, lambda: self.dim_users, lambda: self.dim_dates,
                                  (self.params.date_spine_start, self.params.date_spine_end),
                                  date_join=self.date_join, users_join=self.users_join)
 
@@ -145,8 +148,6 @@ def driver_warehouse(spark: SparkSession, sf_dir: str, params: WarehouseParams |
     from forgestat.sources.adapters import DriverBronze
     p = params or DRIVER_PARAMS
     b = DriverBronze(spark, sf_dir, p)
-    bronze = b.entities()
-    bronze["pr_reviews"] = None
-    wh = Warehouse(spark, bronze, p, **kw)
+    wh = Warehouse(spark, b.entities(), p, **kw)
     wh.adapters = b  # type: ignore[attr-defined]
     return wh

@@ -19,12 +19,12 @@ mapping:
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from forgestat.functions.keys import row_id
-from forgestat.functions.sizing import broadcast_if_bounded
 from forgestat.params import WarehouseParams
 
 # Fixed adapter values (shared with the oracle SQL in plans/oracle_sql.py).
@@ -90,9 +90,12 @@ class DriverBronze:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.params = params
+        self._reads: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._reads:
+            self._reads[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._reads[name]
 
     def _load_id(self) -> Column:
         return F.lit(self.params.load_id)
@@ -100,14 +103,14 @@ class DriverBronze:
     # ---- shared building blocks -------------------------------------------------
     @cached_property
     def repo_map(self) -> DataFrame:
-        """nation x region -> (nationkey, owner, repo). Tiny; broadcast when its
-        row count (metadata-sized scan of a 25-row table) is within bound."""
+        """nation x region -> (nationkey, owner, repo). The planner broadcasts
+        it from the scans' file-size statistics (a metadata bound, checked
+        against ``spark.sql.autoBroadcastJoinThreshold``); no hint needed."""
         n = self.table("nation")
         r = self.table("region")
-        m = n.join(r, n.n_regionkey == r.r_regionkey).select(
+        return n.join(r, n.n_regionkey == r.r_regionkey).select(
             n.n_nationkey.alias("nationkey"), r.r_regionkey.alias("regionkey"),
             r.r_name.alias("_owner"), n.n_name.alias("_repo"))
-        return broadcast_if_bounded(m, n.count())
 
     @cached_property
     def people(self) -> DataFrame:
@@ -376,7 +379,28 @@ class DriverBronze:
             self._load_id().alias("_load_id"),
             row_id("pr_reviews", rid).alias("_row_id"))
 
-    def entities(self) -> dict[str, DataFrame]:
-        return {name: getattr(self, name) for name in (
-            "repositories", "issues", "pull_requests", "issue_comments", "commits",
-            "releases", "stargazers", "contributors")}
+    ENTITIES = ("repositories", "issues", "pull_requests", "issue_comments", "commits",
+                "releases", "stargazers", "contributors")
+
+    def entities(self, with_reviews: bool = False) -> "LazyTables":
+        names = self.ENTITIES + (("pr_reviews",) if with_reviews else ())
+        return LazyTables({n: (lambda n=n: getattr(self, n)) for n in names})
+
+
+class LazyTables(Mapping):
+    """Name -> DataFrame mapping that builds each plan on first access."""
+
+    def __init__(self, builders: dict):
+        self._builders = dict(builders)
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
