@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from forgestat.functions.keys import row_id
 
-S, L, I, B, TS = T.StringType(), T.LongType(), T.IntegerType(), T.BooleanType(), T.TimestampNTZType()
+# ISO text with a zone suffix is parsed as an instant (zoned type) and turned into
+# UTC wall clock (timestamp_ntz) by to_bronze.
+S, L, I, B, TS = T.StringType(), T.LongType(), T.IntegerType(), T.BooleanType(), T.TimestampType()
 
 
 def _st(*fields: tuple) -> T.StructType:
@@ -109,7 +111,6 @@ def read_landed(spark: SparkSession, root: str, entity: str) -> DataFrame:
     schema = schema.add("_owner", S).add("_repo", S).add("_corrupt_record", S)
     return (spark.read.schema(schema)
             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
-            .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]")
             .json(f"{root.rstrip('/')}/{entity}"))
 
 
@@ -128,5 +129,9 @@ def to_bronze(landed: DataFrame, entity: str, load_id: str) -> DataFrame:
                        "state", "body", "commit_id", "submitted_at")
     else:
         df = flatten(df.drop("_corrupt_record"))
+    # instant -> wall clock of the session zone, pinned to UTC by session.configure
+    df = df.select(*[F.col(f"`{f.name}`").cast("timestamp_ntz").alias(f.name)
+                     if isinstance(f.dataType, T.TimestampType) else F.col(f"`{f.name}`")
+                     for f in df.schema.fields])
     pk = PRIMARY_KEYS[entity]
     return df.withColumn("_row_id", row_id(entity, *pk)).withColumn("_load_id", F.lit(load_id))
