@@ -192,7 +192,7 @@ def _mart_tests_sql() -> tuple[str, list[str]]:
 
 
 _mt_sql, _mt_deps = _mart_tests_sql()
-register("t01_t05_mart_tests", lambda wh: quality.run_mart_tests(_mart_models(wh)), _mt_sql, _mt_deps)
+register("t01_t05_mart_tests", lambda wh: quality.run_mart_tests(_mart_models(wh.snapshot())), _mt_sql, _mt_deps)
 register("t01_unique_failures_fct_stargazers",
          lambda wh: quality.unique_failures(wh.fct_stargazers, "stargazer_key"),
          "SELECT stargazer_key, count(*) AS n_records FROM fct_stargazers WHERE stargazer_key IS NOT NULL "

@@ -125,6 +125,18 @@ class Warehouse:
     def commits_per_release(self): return metrics.commits_per_release(self.stg_commits)
 
     # ---- materialisation ------------------------------------------------------------
+    def snapshot(self, models=TABLE_MODELS) -> "Warehouse":
+        """A copy whose table models are written once as parquet below the
+        shared ``spark.checkpoint.dir`` (lineage cut, survives executor loss)
+        and read back, so later models and checks scan the written rows
+        instead of re-running the chain for every use."""
+        import uuid
+        from forgestat.session import checkpoint_dir
+        root = f"{checkpoint_dir(self.spark).rstrip('/')}/snapshots/{uuid.uuid4().hex}"
+        w = Warehouse(self.spark, self.bronze, self.params, self.date_join, self.users_join)
+        w.materialize(root, models, with_audit=False)
+        return w
+
     def materialize(self, root: str, models=TABLE_MODELS, with_audit: bool = True) -> dict[str, str]:
         """Write the table models (full refresh) under ``root`` - a folder every
         executor can reach, e.g. below ``spark.checkpoint.dir`` - and serve
@@ -151,3 +163,29 @@ def driver_warehouse(spark: SparkSession, sf_dir: str, params: WarehouseParams |
     wh = Warehouse(spark, b.entities(), p, **kw)
     wh.adapters = b  # type: ignore[attr-defined]
     return wh
+
+
+METRIC_MODELS = ("pr_cycle_time", "contributor_engagement", "release_velocity")
+
+
+def run_pipeline(wh: Warehouse, root: str) -> dict:
+    """The daily full refresh: write dims and facts (tables), write the metric
+    views' results, run every declared mart test over the written tables and
+    store failing rows. Returns per-step row counts and test failures."""
+    from forgestat.operators import quality
+    wh.materialize(root)
+    out = {"tables": {}, "metrics": {}, "tests": {}}
+    for name in TABLE_MODELS:
+        out["tables"][name] = wh._tables[name].count()
+    for name in METRIC_MODELS:
+        path = f"{root.rstrip('/')}/{name}"
+        getattr(wh, name).write.mode("overwrite").parquet(path)
+        out["metrics"][name] = wh.spark.read.parquet(path).count()
+    models = {n: wh._tables[n] for n in TABLE_MODELS}
+    models.update({n: wh.spark.read.parquet(f"{root.rstrip('/')}/{n}") for n in METRIC_MODELS})
+    summary = quality.run_mart_tests(models)
+    for r in summary.collect():
+        out["tests"][f"{r['model']}.{r['test']}.{r['column_name']}"] = r["failures"]
+    quality.store_failures(quality.negative_cycle_time(models["fct_pull_requests"]), root, "assert_positive_cycle_time")
+    quality.store_failures(quality.orphan_prs(models["fct_pull_requests"]), root, "assert_no_orphan_prs")
+    return out

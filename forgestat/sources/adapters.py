@@ -255,32 +255,49 @@ class DriverBronze:
             "_owner", "_repo", self._load_id().alias("_load_id"))
 
     @cached_property
-    def issue_comments_landed(self) -> DataFrame:
-        """Every landed comment row; primary keys repeat (newer versions)."""
+    def _comment_versions(self) -> DataFrame:
+        """Landed comment versions, narrow: key, cursor, tie-break and the raw
+        fields every other column is a function of."""
         li = self.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
-        x = li.join(self.order_repo, li.l_orderkey == F.col("o_orderkey")).join(
-            self.suppliers, li.l_suppkey == F.col("supp_id"), "left")
         cid = F.col("l_orderkey") * 100 + F.col("l_linenumber")
         created = _minutes(F.col("l_shipdate"), F.col("l_partkey") % 1440)
-        return x.select(
+        return li.select(
             cid.alias("id"),
+            _seconds(created, F.col("l_suppkey") % 3600).alias("updated_at"),
+            F.concat(F.lit("part "), F.col("l_partkey").cast("string"), F.lit(" from supplier "),
+                     F.col("l_suppkey").cast("string")).alias("body"),
+            created.alias("created_at"), "l_orderkey", "l_suppkey")
+
+    def _comment_rows(self, versions: DataFrame) -> DataFrame:
+        x = versions.join(self.order_repo, versions.l_orderkey == F.col("o_orderkey")).join(
+            self.suppliers, versions.l_suppkey == F.col("supp_id"), "left")
+        cid = F.col("id")
+        return x.select(
+            cid,
             F.concat(F.lit("IC_"), cid.cast("string")).alias("node_id"),
             row_id("issue_comments", cid).alias("_row_id"),
             F.concat(F.lit(API_ROOT), F.col("_owner"), F.lit("/"), F.col("_repo"), F.lit("/issues/"),
                      F.col("l_orderkey").cast("string")).alias("issue_url"),
-            F.concat(F.lit("part "), F.col("l_partkey").cast("string"), F.lit(" from supplier "),
-                     F.col("l_suppkey").cast("string")).alias("body"),
+            "body",
             F.col("supp_login").alias("user__login"),
             F.col("l_suppkey").alias("user__id"),
-            created.alias("created_at"),
-            _seconds(created, F.col("l_suppkey") % 3600).alias("updated_at"),
+            "created_at", "updated_at",
             "_owner", "_repo", self._load_id().alias("_load_id"))
 
+    @cached_property
+    def issue_comments_landed(self) -> DataFrame:
+        """Every landed comment row; primary keys repeat (newer versions)."""
+        return self._comment_rows(self._comment_versions)
+
     @cached_property
     def issue_comments(self) -> DataFrame:
-        """Bronze after the merge write mode: newest version per primary key."""
+        """Bronze after the merge write mode: newest version per primary key.
+        The merge runs on the narrow landed versions; the wide derived columns
+        (URLs, hashes, the author's login) are added to the survivors only.
+        Equal to ``upsert(issue_comments_landed, ...)`` because every derived
+        column is a function of the kept version."""
         from forgestat.sources.ingest import upsert
-        return upsert(self.issue_comments_landed, ["id"], ["updated_at", "body"])
+        return self._comment_rows(upsert(self._comment_versions, ["id"], ["updated_at", "body"]))
 
     @cached_property
     def commits(self) -> DataFrame:
