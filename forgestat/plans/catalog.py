@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from forgestat.operators import metrics, quality, staging
+from forgestat.operators import intermediate, metrics, quality, staging
 from forgestat.plans import analysis
 from forgestat.plans.oracle_sql import compose
 from forgestat.plans.warehouse import Warehouse, driver_warehouse
@@ -49,9 +49,14 @@ for _name, _attr in [
 ]:
     register(_name, _model(_attr), f"SELECT * FROM {_attr}", [_attr])
 
-# M-11: the disabled reviews model, fed by the adapters' landed reviews.
-register("m11_stg_pr_reviews", lambda wh: staging.stg_pr_reviews(wh.adapters.pr_reviews),
-         "SELECT * FROM stg_pr_reviews", ["stg_pr_reviews"])
+# The reference's disabled reviews path (M-11 -> A-05 -> J-04), run on a
+# warehouse whose bronze includes the adapters' landed reviews.
+WITH_REVIEWS = {"m11_stg_pr_reviews", "m15r_int_pr_with_reviews_enabled", "a05_review_stats"}
+register("m11_stg_pr_reviews", _model("stg_pr_reviews"), "SELECT * FROM stg_pr_reviews", ["stg_pr_reviews"])
+register("a05_review_stats", lambda wh: intermediate.review_stats(wh.stg_pr_reviews),
+         "SELECT * FROM review_stats", ["review_stats"])
+register("m15r_int_pr_with_reviews_enabled", _model("int_pr_with_reviews"),
+         "SELECT * FROM int_pr_with_reviews_on", ["int_pr_with_reviews_on"])
 
 # ---- analytical queries Q-01 ... Q-15 ---------------------------------------------
 Q_SQL = {
@@ -298,23 +303,24 @@ register("src18_load_summary", lambda wh: ingest.load_summary(wh.bronze),
                              "stargazers", "contributors")])
 
 
-_WAREHOUSES: dict[tuple[int, str], Warehouse] = {}
+_WAREHOUSES: dict[tuple, Warehouse] = {}
 
 
-def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:
+def warehouse_for(spark: SparkSession, sf_dir: str, with_reviews: bool = False) -> Warehouse:
     """One warehouse (lazy, analysed model plans) per session and data folder,
     shared by every query on them; nothing is cached as data."""
-    key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+    key = (id(spark._jsparkSession), sf_dir.rstrip("/"), with_reviews)
     wh = _WAREHOUSES.get(key)
     if wh is None or wh.spark is not spark:
-        wh = _WAREHOUSES[key] = driver_warehouse(spark, sf_dir)
+        wh = _WAREHOUSES[key] = driver_warehouse(spark, sf_dir, with_reviews=with_reviews)
     return wh
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    def make(fn):
-        return lambda spark, sf_dir: fn(warehouse_for(spark, sf_dir))
-    return {name: make(fn) for name, (fn, _) in ENTRIES.items()}
+    def make(name, fn):
+        reviews = name in WITH_REVIEWS
+        return lambda spark, sf_dir: fn(warehouse_for(spark, sf_dir, reviews))
+    return {name: make(name, fn) for name, (fn, _) in ENTRIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -152,19 +152,36 @@ class Warehouse:
             paths[name] = path
         return paths
 
+    def publish(self, database: str, models=TABLE_MODELS + ("int_contributor_activity", "pr_cycle_time",
+                                                             "contributor_engagement", "release_velocity"),
+                with_audit: bool = True) -> list[str]:
+        """Save models as catalog tables of ``database`` (created if missing),
+        so existing SQL (``SELECT ... FROM marts.fct_pull_requests``) runs
+        through ``spark.sql`` unchanged. Publish the dimension / fact / metric
+        models into ``marts`` and the activity stream into ``intermediate`` to
+        keep the reference's qualified names."""
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        names = []
+        for name in models:
+            df = getattr(self, name)
+            if with_audit:
+                df = df.withColumn("_loaded_at", F.current_timestamp())
+            df.write.mode("overwrite").format("parquet").saveAsTable(f"`{database}`.`{name}`")
+            names.append(f"{database}.{name}")
+        return names
+
 
 def driver_warehouse(spark: SparkSession, sf_dir: str, params: WarehouseParams | None = None,
-                     **kw) -> Warehouse:
+                     with_reviews: bool = False, **kw) -> Warehouse:
     """Warehouse over the driver's tables through the adapters."""
     from forgestat.params import DRIVER_PARAMS
     from forgestat.sources.adapters import DriverBronze
     p = params or DRIVER_PARAMS
     b = DriverBronze(spark, sf_dir, p)
-    wh = Warehouse(spark, b.entities(), p, **kw)
+    wh = Warehouse(spark, b.entities(with_reviews=with_reviews), p, **kw)
     wh.adapters = b  # type: ignore[attr-defined]
     return wh
 
-
 METRIC_MODELS = ("pr_cycle_time", "contributor_engagement", "release_velocity")
 
 

@@ -375,7 +375,9 @@ class DriverBronze:
                          "_owner", "_repo", self._load_id().alias("_load_id")))
 
     @cached_property
-    def pr_reviews(self) -> DataFrame:
+    def pr_reviews_landed(self) -> DataFrame:
+        """Landed review rows (the reference extracts none; SURVEY D14): the
+        first two line items of odd orders; review ids repeat like comments."""
         li = (self.table("lineitem")
               .filter((F.col("l_orderkey") % 2 == 1) & (F.col("l_linenumber") <= 2))
               .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_shipdate"))
@@ -390,12 +392,19 @@ class DriverBronze:
             F.col("l_orderkey").alias("_pr_number"),
             F.when(F.col("l_suppkey") % 10 == 0, F.lit(None).cast("bigint")).otherwise(F.col("l_suppkey")).alias("user__id"),
             state.alias("state"),
-            F.concat(F.lit("review of part "), F.col("l_partkey").cast("string")).alias("body"),
+            F.concat(F.lit("review of part "), F.col("l_partkey").cast("string"), F.lit(" flag "),
+                     F.col("l_returnflag")).alias("body"),
             F.md5(F.concat(F.lit("review|"), rid.cast("string"))).alias("commit_id"),
             _minutes(F.col("l_shipdate"), F.col("l_partkey") % 1440).alias("submitted_at"),
             self._load_id().alias("_load_id"),
             row_id("pr_reviews", rid).alias("_row_id"))
 
+    @cached_property
+    def pr_reviews(self) -> DataFrame:
+        """Reviews after de-duplication on the key (latest submission wins)."""
+        from forgestat.sources.ingest import upsert
+        return upsert(self.pr_reviews_landed, ["id"], ["submitted_at", "body", "user__id"])
+
     ENTITIES = ("repositories", "issues", "pull_requests", "issue_comments", "commits",
                 "releases", "stargazers", "contributors")
 

@@ -14,7 +14,8 @@ def spark():
     from forgestat.session import build_session, checkpoint_dir
     scratch = tempfile.mkdtemp(prefix="forgestat-tests-")
     os.environ.setdefault("FORGESTAT_SCRATCH", scratch)
-    s = build_session("local[4]", app="forgestat-tests", shuffle_partitions=8)
+    s = build_session("local[4]", app="forgestat-tests", shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": os.path.join(scratch, "warehouse")})
     checkpoint_dir(s)
     yield s
     s.stop()
