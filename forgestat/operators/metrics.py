@@ -29,7 +29,15 @@ ACTIVITY_TYPES = {"commit": "commit_created", "pr": "pr_created", "issue": "issu
 
 
 def pr_cycle_time(fct_prs: DataFrame, dim_repos: DataFrame,
-                  grains: tuple[str, ...] = ("weekly", "monthly")) -> DataFrame:
+                  grains: tuple[str, ...] = ("weekly", "monthly"),
+                  monday_week_start: bool = False, iso_year: bool = False) -> DataFrame:
+    """Merge-time statistics per repository and week / month.
+
+    Defaults follow the reference SQL: the weekly key is (calendar year, ISO
+    week) and the period start is the first PR date in the group (SURVEY D8,
+    D9). ``iso_year`` keys weeks by their ISO year (so 2026-12-31 falls in
+    week 53 of 2026 and 2027-01-01 ... too); ``monday_week_start`` reports the
+    Monday of the week as the weekly period start."""
     ttm = F.col("time_to_merge_hours")
     f = fct_prs.filter((F.col("is_merged") == True) & ttm.isNotNull() & (ttm >= 0)  # noqa: E712
                        & F.col("created_date_key").isNotNull())
@@ -40,8 +48,12 @@ def pr_cycle_time(fct_prs: DataFrame, dim_repos: DataFrame,
         "weekly": F.struct(F.lit("weekly").alias("period_type"), F.weekofyear(d).alias("period_number")),
         "monthly": F.struct(F.lit("monthly").alias("period_type"), F.month(d).alias("period_number"))}
     periods = F.array(*[by_grain[g] for g in grains])
-    x = x.select("repository_name", "repository_full_name", F.year(d).alias("year"), d.alias("date"),
-                 ttm.alias("h"), F.explode(periods).alias("p"))
+    dd = F.col("date")
+    week_year = F.year(F.date_add(F.date_trunc("week", dd).cast("date"), 3)) if iso_year else F.year(dd)
+    x = x.select("repository_name", "repository_full_name", d.alias("date"), ttm.alias("h"),
+                 F.explode(periods).alias("p"))
+    x = x.withColumn("year", F.when(F.col("p.period_type") == "weekly", week_year.cast("int"))
+                     .otherwise(F.year("date")))
     g = x.groupBy(F.col("p.period_type").alias("period_type"), "repository_name", "repository_full_name",
                   "year", F.col("p.period_number").alias("period_number")).agg(
         F.min("date").alias("period_start_date"),
@@ -51,6 +63,10 @@ def pr_cycle_time(fct_prs: DataFrame, dim_repos: DataFrame,
         F.min("h").alias("min_hours_to_merge"),
         F.max("h").alias("max_hours_to_merge"),
         F.percentile_approx("h", list(CYCLE_QUANTILES), PERCENTILE_ACCURACY).alias("q"))
+    if monday_week_start:
+        g = g.withColumn("period_start_date", F.when(
+            F.col("period_type") == "weekly", F.date_trunc("week", "period_start_date").cast("date"))
+            .otherwise(F.col("period_start_date")))
     return g.select(
         "period_type", "repository_name", "repository_full_name", "year", "period_number",
         "period_start_date", "merged_pr_count", "avg_hours_to_merge", "median_hours_to_merge",

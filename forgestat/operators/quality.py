@@ -134,6 +134,39 @@ MART_TESTS = [
 ]
 
 
+# The reference's declared source (bronze) and staging tests (fixed list).
+# Bronze column names are this package's (`_parent_row_id` for child tables).
+SOURCE_TESTS = [
+    ModelTests("b_repositories", unique=["id"], not_null=["id"]),
+    ModelTests("b_issues", unique=["id"], not_null=["id"]),
+    ModelTests("b_pull_requests", unique=["id"], not_null=["id"]),
+    ModelTests("b_issue_comments", unique=["id"], not_null=["id"]),
+    ModelTests("b_commits", not_null=["sha"]),
+    ModelTests("b_releases", unique=["id"], not_null=["id"]),
+    ModelTests("b_stargazers", not_null=["user_id"]),
+    ModelTests("b_contributors", not_null=["user_id"]),
+    ModelTests("c_issue_labels", not_null=["_parent_row_id"]),
+    ModelTests("c_pr_labels", not_null=["_parent_row_id"]),
+    ModelTests("c_repository_topics", not_null=["_parent_row_id"]),
+]
+STAGING_TESTS = [
+    ModelTests("stg_repositories", unique=["repository_id"], not_null=["repository_id", "repository_name", "owner_login"]),
+    ModelTests("stg_issues", unique=["issue_id"], not_null=["issue_id", "issue_number", "repository_full_name"]),
+    ModelTests("stg_pull_requests", unique=["pull_request_id"], not_null=["pull_request_id", "pr_number", "is_merged"]),
+    ModelTests("stg_issue_comments", unique=["comment_id"], not_null=["comment_id", "issue_number"]),
+    ModelTests("stg_commits", not_null=["commit_sha", "commit_date"]),
+    ModelTests("stg_releases", unique=["release_id"], not_null=["release_id", "tag_name"]),
+    ModelTests("stg_stargazers", not_null=["user_id", "starred_at"]),
+    ModelTests("stg_users", unique=["user_id"], not_null=["user_id", "user_login"]),
+    ModelTests("stg_issue_labels", not_null=["issue_dlt_id", "label_name"]),
+    ModelTests("stg_pr_labels", not_null=["pr_dlt_id", "label_name"]),
+    ModelTests("stg_repository_topics", not_null=["repository_dlt_id", "topic_name"]),
+]
+# Only with landed reviews (the model is disabled in the reference).
+REVIEW_TESTS = [ModelTests("stg_pr_reviews", unique=["review_id"],
+                           not_null=["review_id", "pull_request_number", "reviewer_user_id"])]
+
+
 def run_mart_tests(models: dict[str, DataFrame], specs: list[ModelTests] = MART_TESTS) -> DataFrame:
     """Summary of every declared mart test: one profile pass per model plus
     one left-anti join per relationship."""

@@ -51,7 +51,8 @@ for _name, _attr in [
 
 # The reference's disabled reviews path (M-11 -> A-05 -> J-04), run on a
 # warehouse whose bronze includes the adapters' landed reviews.
-WITH_REVIEWS = {"m11_stg_pr_reviews", "m15r_int_pr_with_reviews_enabled", "a05_review_stats"}
+WITH_REVIEWS = {"m11_stg_pr_reviews", "m15r_int_pr_with_reviews_enabled", "a05_review_stats",
+                "t01_t02_review_tests"}
 register("m11_stg_pr_reviews", _model("stg_pr_reviews"), "SELECT * FROM stg_pr_reviews", ["stg_pr_reviews"])
 register("a05_review_stats", lambda wh: intermediate.review_stats(wh.stg_pr_reviews),
          "SELECT * FROM review_stats", ["review_stats"])
@@ -172,9 +173,9 @@ def _mart_models(wh: Warehouse) -> dict[str, DataFrame]:
         "dim_dates": wh.dim_dates, "dim_users": wh.dim_users, "dim_repositories": wh.dim_repositories}
 
 
-def _mart_tests_sql() -> tuple[str, list[str]]:
+def _mart_tests_sql(specs=None) -> tuple[str, list[str]]:
     parts, deps = [], set()
-    for s in quality.MART_TESTS:
+    for s in (quality.MART_TESTS if specs is None else specs):
         deps.add(s.model)
         m = s.model
         for c in s.unique:
@@ -197,6 +198,29 @@ def _mart_tests_sql() -> tuple[str, list[str]]:
 
 
 _mt_sql, _mt_deps = _mart_tests_sql()
+
+
+def _layer_models(wh: Warehouse) -> dict[str, DataFrame]:
+    from forgestat.sources.landing import child_table
+    b = wh.bronze
+    out = {f"b_{e}": b[e] for e in ("repositories", "issues", "pull_requests", "issue_comments", "commits",
+                                     "releases", "stargazers", "contributors")}
+    out["c_issue_labels"] = child_table(b["issues"], "labels")
+    out["c_pr_labels"] = child_table(b["pull_requests"], "labels")
+    out["c_repository_topics"] = child_table(b["repositories"], "topics")
+    for s in quality.STAGING_TESTS:
+        out[s.model] = getattr(wh, s.model)
+    return out
+
+
+_st_sql, _st_deps = _mart_tests_sql(quality.SOURCE_TESTS + quality.STAGING_TESTS)
+register("t01_t02_source_staging_tests",
+         lambda wh: quality.run_mart_tests(_layer_models(wh), quality.SOURCE_TESTS + quality.STAGING_TESTS),
+         _st_sql, _st_deps)
+_rt_sql, _rt_deps = _mart_tests_sql(quality.REVIEW_TESTS)
+WITH_REVIEWS_TESTS = "t01_t02_review_tests"
+register(WITH_REVIEWS_TESTS, lambda wh: quality.run_mart_tests({"stg_pr_reviews": wh.stg_pr_reviews},
+                                                              quality.REVIEW_TESTS), _rt_sql, _rt_deps)
 register("t01_t05_mart_tests", lambda wh: quality.run_mart_tests(_mart_models(wh.snapshot())), _mt_sql, _mt_deps)
 register("t01_unique_failures_fct_stargazers",
          lambda wh: quality.unique_failures(wh.fct_stargazers, "stargazer_key"),

@@ -138,3 +138,17 @@ def test_engagement_first_touch_and_invariants(spark):
         assert r["new_contributors"] + r["returning_contributors"] == r["unique_contributors"]
         assert r["commit_count"] + r["pr_count"] + r["issue_count"] + r["comment_count"] == r["total_activities"]
     assert e[("o/a", 3)]["year"] == D("2026-01-01 00:00:00")
+
+
+def test_cycle_time_week_options(spark):
+    # 2026-12-31 (Thursday, ISO week 53 of 2026) and 2027-01-01 (Friday, ISO week 53 of 2026)
+    fct = [("p1", "k1", True, 5, dt.datetime(2026, 12, 31, 9), 20261231),
+           ("p2", "k1", True, 7, dt.datetime(2027, 1, 1, 9), 20270101)]
+    f = spark.createDataFrame(fct, "pr_key string, repo_key string, is_merged boolean, time_to_merge_hours bigint, "
+                                   "created_at timestamp_ntz, created_date_key int")
+    dim = spark.createDataFrame([("k1", "o/a", "a")], REPO_SCHEMA)
+    ref = rows(metrics.pr_cycle_time(f, dim, grains=("weekly",)), ["year"])
+    assert [(r["year"], r["period_number"], r["merged_pr_count"]) for r in ref] == [(2026, 53, 1), (2027, 53, 1)]
+    iso = rows(metrics.pr_cycle_time(f, dim, grains=("weekly",), iso_year=True, monday_week_start=True))
+    assert [(r["year"], r["period_number"], r["merged_pr_count"], r["period_start_date"]) for r in iso] == \
+        [(2026, 53, 2, dt.date(2026, 12, 28))]
