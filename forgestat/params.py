@@ -22,11 +22,15 @@ class WarehouseParams:
         return max((self.date_spine_end - self.date_spine_start).days, 0)
 
 
-# Bounds used with the driver's tables: orders span 1995-2001,
-# events January 2024; the spine stops half way through January 2024 so that
-# NULL date keys occur.
+# Defaults used with the driver's tables. The spine bounds are
+# replaced by data-derived ones in plans.warehouse.driver_warehouse: from the
+# first order day to two weeks before the last event day (exclusive), so the
+# spine stops half way through the events' month and NULL date keys occur
+# (D12). At every driver scale that is 1995-01-01 ... 2024-01-16.
 DRIVER_PARAMS = WarehouseParams(
     date_spine_start=dt.date(1995, 1, 1),
     date_spine_end=dt.date(2024, 1, 16),
     load_id="driver",
 )
+# days between the spine's exclusive end and the last event day
+DRIVER_SPINE_END_LAG_DAYS = 14

@@ -10,13 +10,11 @@ BIGINT, DECIMAL ratios -> DOUBLE); ``approx_quantile`` is stated as
 
 from __future__ import annotations
 
-from forgestat.params import DRIVER_PARAMS
+from forgestat.params import DRIVER_PARAMS, DRIVER_SPINE_END_LAG_DAYS
 from forgestat.sources.adapters import (API_ROOT, BOT_EVERY, LABELS, LANGUAGES, PRIORITY_LABELS,
                                         REVIEW_STATES, URL_ROOT)
 
 LOAD_ID = DRIVER_PARAMS.load_id
-SPINE_START = DRIVER_PARAMS.date_spine_start.isoformat()
-SPINE_END = DRIVER_PARAMS.date_spine_end.isoformat()
 
 
 def _q(s: str) -> str:
@@ -99,10 +97,12 @@ cte("b_repositories", f"""SELECT CAST(m.nationkey AS BIGINT) AS id, 'R_' || m.na
   {_lang('m.regionkey')} AS language, 'main' AS default_branch,
   CASE WHEN m.nationkey % 3 = 0 THEN 'MIT' WHEN m.nationkey % 3 = 1 THEN 'Apache-2.0' END AS license__name,
   true AS has_issues, m.nationkey % 2 = 0 AS has_projects, true AS has_wiki, false AS has_pages,
-  true AS has_downloads, [lower(m._owner), 'nation-' || m.nationkey] AS topics, m._owner, m._repo,
+  true AS has_downloads,
+  list_concat([lower(m._owner), 'nation-' || m.nationkey], coalesce(c.segs, [])) AS topics, m._owner, m._repo,
   '{LOAD_ID}' AS _load_id
   FROM repo_map m
-  LEFT JOIN (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY c_nationkey) c ON m.nationkey = c.c_nationkey
+  LEFT JOIN (SELECT c_nationkey, count(*) AS n, list_sort(list_distinct(list(lower(c_mktsegment)))) AS segs
+             FROM customer GROUP BY c_nationkey) c ON m.nationkey = c.c_nationkey
   LEFT JOIN (SELECT s_nationkey, count(*) AS n FROM supplier GROUP BY s_nationkey) s ON m.nationkey = s.s_nationkey""",
     ["repo_map"])
 cte("b_issues", f"""SELECT {_ISSUE_LIKE.format(p='I_', e='issues')},
@@ -372,7 +372,10 @@ cte("dim_dates", f"""SELECT CAST(d AS DATE) AS date, CAST(strftime(d, '%Y%m%d')
   CASE WHEN extract(month FROM d) IN (3, 4, 5) THEN true ELSE false END AS is_spring,
   CASE WHEN extract(month FROM d) IN (6, 7, 8) THEN true ELSE false END AS is_summer,
   CASE WHEN extract(month FROM d) IN (9, 10, 11) THEN true ELSE false END AS is_fall
-  FROM (SELECT CAST(range AS DATE) AS d FROM range(DATE '{SPINE_START}', DATE '{SPINE_END}', INTERVAL 1 DAY)) s""", [])
+  FROM (SELECT CAST(range AS DATE) AS d FROM range(
+          (SELECT CAST(min(CAST(o_orderdate AS DATE)) AS TIMESTAMP) FROM orders),
+          (SELECT CAST(max(CAST(ts AS DATE)) - {DRIVER_SPINE_END_LAG_DAYS} AS TIMESTAMP) FROM events),
+          INTERVAL 1 DAY)) s""", [])
 cte("dim_repositories", f"""SELECT {_skey('repository_id')} AS repo_key, repository_id, repository_full_name,
   repository_name, owner_login, owner_id, repository_description, repository_url, primary_language,
   default_branch, license_name, stargazers_count, watchers_count, forks_count, open_issues_count,

@@ -137,19 +137,35 @@ class Warehouse:
         w.materialize(root, models, with_audit=False)
         return w
 
-    def materialize(self, root: str, models=TABLE_MODELS, with_audit: bool = True) -> dict[str, str]:
+    def materialize(self, root: str, models=TABLE_MODELS, with_audit: bool = True,
+                    parallel: int = 4) -> dict[str, str]:
         """Write the table models (full refresh) under ``root`` - a folder every
         executor can reach, e.g. below ``spark.checkpoint.dir`` - and serve
-        later reads from the written files."""
-        paths = {}
-        for name in models:
+        later reads from the written files. Independent tables are written by
+        concurrent jobs (``parallel`` driver threads sharing the executors),
+        so small stages of one table do not leave the cluster idle."""
+        from concurrent.futures import ThreadPoolExecutor
+
+        plans = {}
+        for name in models:                      # build plans on the calling thread
             df = getattr(self, name)
             if with_audit:
                 df = df.withColumn("_loaded_at", F.current_timestamp())
-            path = f"{root.rstrip('/')}/{name}"
-            df.write.mode("overwrite").parquet(path)
-            self._tables[name] = self.spark.read.parquet(path).drop("_loaded_at")
-            paths[name] = path
+            plans[name] = df
+        paths = {name: f"{root.rstrip('/')}/{name}" for name in models}
+
+        def write(name: str) -> str:
+            plans[name].write.mode("overwrite").parquet(paths[name])
+            return name
+
+        if parallel > 1 and len(models) > 1:
+            with ThreadPoolExecutor(max_workers=min(parallel, len(models))) as pool:
+                list(pool.map(write, models))
+        else:
+            for name in models:
+                write(name)
+        for name in models:
+            self._tables[name] = self.spark.read.parquet(paths[name]).drop("_loaded_at")
         return paths
 
     def publish(self, database: str, models=TABLE_MODELS + ("int_contributor_activity", "pr_cycle_time",
@@ -171,12 +187,28 @@ class Warehouse:
         return names
 
 
+def driver_params(spark: SparkSession, sf_dir: str) -> WarehouseParams:
+    """Date-spine bounds from the data: first order day to
+    ``DRIVER_SPINE_END_LAG_DAYS`` before the last event day (exclusive end).
+    Two scalar aggregates; only the two dates reach the driver."""
+    import dataclasses
+    import datetime as dt
+    from forgestat.params import DRIVER_PARAMS, DRIVER_SPINE_END_LAG_DAYS
+    d = sf_dir.rstrip("/")
+    first = spark.read.parquet(f"{d}/orders.parquet").agg(F.min(F.col("o_orderdate").cast("date"))).first()[0]
+    last = spark.read.parquet(f"{d}/events.parquet").agg(F.max(F.col("ts").cast("date"))).first()[0]
+    if first is None or last is None:
+        return DRIVER_PARAMS
+    return dataclasses.replace(DRIVER_PARAMS, date_spine_start=first,
+                               date_spine_end=last - dt.timedelta(days=DRIVER_SPINE_END_LAG_DAYS))
+
+
 def driver_warehouse(spark: SparkSession, sf_dir: str, params: WarehouseParams | None = None,
                      with_reviews: bool = False, **kw) -> Warehouse:
     """Warehouse over the driver's tables through the adapters."""
     from forgestat.params import DRIVER_PARAMS
     from forgestat.sources.adapters import DriverBronze
-    p = params or DRIVER_PARAMS
+    p = params or driver_params(spark, sf_dir)
     b = DriverBronze(spark, sf_dir, p)
     wh = Warehouse(spark, b.entities(with_reviews=with_reviews), p, **kw)
     wh.adapters = b  # type: ignore[attr-defined]

@@ -179,8 +179,11 @@ class DriverBronze:
     @cached_property
     def repositories(self) -> DataFrame:
         m = self.repo_map
+        # topics beyond region and nation: the market segments of the nation's
+        # customers (a set over a fixed domain, so bounded per group)
         stars = self.table("customer").groupBy(F.col("c_nationkey").alias("nationkey")).agg(
-            F.count(F.lit(1)).cast("int").alias("n_customers"))
+            F.count(F.lit(1)).cast("int").alias("n_customers"),
+            F.array_sort(F.collect_set(F.lower(F.col("c_mktsegment")))).alias("segments"))
         forks = self.table("supplier").groupBy(F.col("s_nationkey").alias("nationkey")).agg(
             F.count(F.lit(1)).cast("int").alias("n_suppliers"))
         x = m.join(stars, "nationkey", "left").join(forks, "nationkey", "left")
@@ -219,7 +222,8 @@ class DriverBronze:
             F.lit(True).alias("has_wiki"),
             F.lit(False).alias("has_pages"),
             F.lit(True).alias("has_downloads"),
-            F.array(F.lower(F.col("_owner")), F.concat(F.lit("nation-"), k.cast("string"))).alias("topics"),
+            F.concat(F.array(F.lower(F.col("_owner")), F.concat(F.lit("nation-"), k.cast("string"))),
+                     F.coalesce(F.col("segments"), F.array().cast("array<string>"))).alias("topics"),
             "_owner", "_repo",
             self._load_id().alias("_load_id"),
         )
