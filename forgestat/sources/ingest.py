@@ -28,10 +28,13 @@ def upsert(rows: DataFrame, pk: Sequence[str], order_by: Sequence[str]) -> DataF
     (descending, NULL oldest; later columns break ties; the remaining columns
     of the row break any tie left). Implemented as ``max(struct)`` per key, a
     hash aggregate with partial aggregation before the shuffle."""
-    rest = [c for c in rows.columns if c not in pk and c not in order_by]
-    packed = F.struct(*[F.col(c) for c in order_by], *[F.col(c) for c in rest]).alias("_v")
+    order = [c for c in order_by if c not in pk]          # key columns are equal within a group
+    rest = [c for c in rows.columns if c not in pk and c not in order]
+    if not order and not rest:
+        return rows.dropDuplicates(list(pk))
+    packed = F.struct(*[F.col(c) for c in order + rest]).alias("_v")
     out = rows.groupBy(*pk).agg(F.max(packed).alias("_v"))
-    return out.select(*[F.col(c) for c in pk], *[F.col("_v." + c).alias(c) for c in order_by + rest]).select(*rows.columns)
+    return out.select(*[F.col(c) for c in pk], *[F.col("_v." + c).alias(c) for c in order + rest]).select(*rows.columns)
 
 
 def merge_into(existing: DataFrame | None, incoming: DataFrame, pk: Sequence[str],

@@ -105,10 +105,15 @@ def child_table(parent: DataFrame, array_col: str, parent_id: str = "_row_id") -
     return exploded.select("_parent_row_id", "_list_idx", F.col("_elem").alias("value"))
 
 
+def landed_schema(entity: str) -> T.StructType:
+    """A fresh copy of the entity's declared schema plus the partition columns
+    (``StructType.add`` mutates, so the shared declaration is never extended)."""
+    return T.StructType(list(SCHEMAS[entity].fields)).add("_owner", S).add("_repo", S)
+
+
 def read_landed(spark: SparkSession, root: str, entity: str) -> DataFrame:
     """One read over every repository partition of an entity."""
-    schema = SCHEMAS[entity]
-    schema = schema.add("_owner", S).add("_repo", S).add("_corrupt_record", S)
+    schema = landed_schema(entity).add("_corrupt_record", S)
     return (spark.read.schema(schema)
             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
             .json(f"{root.rstrip('/')}/{entity}"))

@@ -1,0 +1,39 @@
+"""Bronze / state tables replaced atomically by version folders."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+class VersionedTable:
+    """A parquet table replaced atomically by writing version folders
+    ``<path>/v=<n>`` and reading the highest complete one (marked by
+    ``_SUCCESS``). Old versions stay readable until cleaned."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+
+    def _versions(self) -> list[int]:
+        jvm = self.spark._jvm
+        conf = self.spark._jsc.hadoopConfiguration()
+        p = jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = p.getFileSystem(conf)
+        if not fs.exists(p):
+            return []
+        out = []
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                out.append(int(name[2:]))
+        return sorted(out)
+
+    def read(self) -> DataFrame | None:
+        v = self._versions()
+        return self.spark.read.parquet(f"{self.path}/v={v[-1]}") if v else None
+
+    def write(self, df: DataFrame) -> int:
+        v = self._versions()
+        nxt = (v[-1] + 1) if v else 0
+        df.write.mode("overwrite").parquet(f"{self.path}/v={nxt}")
+        return nxt
