@@ -226,10 +226,16 @@ def run_pipeline(wh: Warehouse, root: str) -> dict:
     out = {"tables": {}, "metrics": {}, "tests": {}}
     for name in TABLE_MODELS:
         out["tables"][name] = wh._tables[name].count()
+    from concurrent.futures import ThreadPoolExecutor
+    metric_plans = {name: getattr(wh, name) for name in METRIC_MODELS}
+
+    def write_metric(name: str) -> None:
+        metric_plans[name].write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
+
+    with ThreadPoolExecutor(max_workers=len(METRIC_MODELS)) as pool:   # independent jobs
+        list(pool.map(write_metric, METRIC_MODELS))
     for name in METRIC_MODELS:
-        path = f"{root.rstrip('/')}/{name}"
-        getattr(wh, name).write.mode("overwrite").parquet(path)
-        out["metrics"][name] = wh.spark.read.parquet(path).count()
+        out["metrics"][name] = wh.spark.read.parquet(f"{root.rstrip('/')}/{name}").count()
     models = {n: wh._tables[n] for n in TABLE_MODELS}
     models.update({n: wh.spark.read.parquet(f"{root.rstrip('/')}/{n}") for n in METRIC_MODELS})
     summary = quality.run_mart_tests(models)
