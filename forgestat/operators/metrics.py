@@ -160,7 +160,32 @@ def release_gaps(stg_releases: DataFrame, dim_repos: DataFrame) -> DataFrame:
     x = inst.join(days.drop("_last"), (inst.repository_full_name == days._df) & (inst.day == days._dd))
     prev = F.coalesce(F.col("prev_in_day"), F.col("prev_day_last"))
     return x.select("repository_full_name", "repository_name", "published_at", "n", "n_stable", "n_pre",
-                    day_boundaries(prev, F.col("published_at")).alias("gap_first"))
+                    prev.alias("prev_at"), day_boundaries(prev, F.col("published_at")).alias("gap_first"))
+
+
+def release_intervals(stg_releases: DataFrame, dim_repos: DataFrame) -> DataFrame:
+    """Row-level releases with the previous release instant of the
+    repository and the day gap (W-01, W-02). Built from the distinct-instant
+    gaps: of k releases at one instant the one with the lowest id gets the
+    previous distinct instant, the others the instant itself (gap 0) - the
+    result of ``lag`` ordered by (published_at, release_id). The instant's
+    lowest id and count are a hash aggregation joined back on (repo, instant),
+    so no window ever holds a whole repository or instant."""
+    rel = stg_releases.filter((F.col("is_draft") == False) & F.col("published_at").isNotNull())  # noqa: E712
+    r = dim_repos.select(F.col("repository_full_name").alias("_rf"), F.col("repository_name").alias("_rn"))
+    rel = rel.join(r, rel.repository_full_name == r._rf).drop("_rf")
+    g = release_gaps(stg_releases, dim_repos).select(
+        F.col("repository_full_name").alias("_gf"), F.col("published_at").alias("_gt"), "gap_first", "prev_at")
+    first_id = rel.groupBy(F.col("repository_full_name").alias("_ff"), F.col("published_at").alias("_ft")).agg(
+        F.min("release_id").alias("_first_id"))
+    x = (rel.join(g, (rel.repository_full_name == g._gf) & (rel.published_at == g._gt))
+            .join(first_id, (rel.repository_full_name == first_id._ff) & (rel.published_at == first_id._ft)))
+    first = F.col("release_id") == F.col("_first_id")
+    return x.select(
+        "repository_full_name", F.col("_rn").alias("repository_name"), "release_id", "tag_name", "release_name",
+        "is_prerelease", "is_draft", "published_at", "created_at",
+        F.when(first, F.col("prev_at")).otherwise(F.col("published_at")).alias("previous_release_at"),
+        F.when(first, F.col("gap_first")).otherwise(F.lit(0).cast("bigint")).alias("days_since_last_release"))
 
 
 def release_velocity(stg_releases: DataFrame, dim_repos: DataFrame,

@@ -49,6 +49,10 @@ for _name, _attr in [
 ]:
     register(_name, _model(_attr), f"SELECT * FROM {_attr}", [_attr])
 
+# W-01 / W-02: the row-level release intervals (ties ordered by release id)
+register("w01_release_intervals", _model("release_intervals"), "SELECT * FROM release_intervals_rows",
+         ["release_intervals_rows"])
+
 # The reference's disabled reviews path (M-11 -> A-05 -> J-04), run on a
 # warehouse whose bronze includes the adapters' landed reviews.
 WITH_REVIEWS = {"m11_stg_pr_reviews", "m15r_int_pr_with_reviews_enabled", "a05_review_stats",

@@ -517,6 +517,15 @@ cte("release_velocity", """SELECT 'monthly' AS period_type, repository_name, rep
         FROM release_intervals
         GROUP BY repository_name, repository_full_name, extract(year FROM published_at),
                  extract(quarter FROM published_at)) qm""", ["release_intervals"])
+cte("release_intervals_rows", """SELECT r.repository_full_name, r.repository_name, rel.release_id, rel.tag_name,
+  rel.release_name, rel.is_prerelease, rel.is_draft, rel.published_at, rel.created_at,
+  lag(rel.published_at) OVER (PARTITION BY r.repository_full_name ORDER BY rel.published_at, rel.release_id)
+    AS previous_release_at,
+  datediff('day', lag(rel.published_at) OVER (PARTITION BY r.repository_full_name
+                                              ORDER BY rel.published_at, rel.release_id), rel.published_at)
+    AS days_since_last_release
+  FROM stg_releases rel JOIN dim_repositories r ON rel.repository_full_name = r.repository_full_name
+  WHERE rel.is_draft = false AND rel.published_at IS NOT NULL""", ["stg_releases", "dim_repositories"])
 cte("commits_per_release", """SELECT repository_full_name, date_trunc('month', commit_date) AS commit_month,
   count(*) AS commit_count FROM stg_commits GROUP BY repository_full_name, date_trunc('month', commit_date)""",
     ["stg_commits"])

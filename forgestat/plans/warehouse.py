@@ -123,6 +123,8 @@ class Warehouse:
     def release_velocity(self): return metrics.release_velocity(self.stg_releases, self.dim_repositories)
     @property
     def commits_per_release(self): return metrics.commits_per_release(self.stg_commits)
+    @property
+    def release_intervals(self): return metrics.release_intervals(self.stg_releases, self.dim_repositories)
 
     # ---- materialisation ------------------------------------------------------------
     def snapshot(self, models=TABLE_MODELS) -> "Warehouse":

@@ -152,3 +152,23 @@ def test_cycle_time_week_options(spark):
     iso = rows(metrics.pr_cycle_time(f, dim, grains=("weekly",), iso_year=True, monday_week_start=True))
     assert [(r["year"], r["period_number"], r["merged_pr_count"], r["period_start_date"]) for r in iso] == \
         [(2026, 53, 2, dt.date(2026, 12, 28))]
+
+
+def test_release_intervals_rows_match_lag_with_id_tiebreak(spark):
+    rnd = random.Random(11)
+    base = dt.datetime(2025, 1, 1)
+    data = [(i, rnd.choice(["o/a", "o/b"]), rnd.random() < 0.1, rnd.random() < 0.3,
+             base + dt.timedelta(hours=rnd.choice(range(0, 24 * 60, 7)))) for i in range(300)]
+    rel = spark.createDataFrame(data, REL_SCHEMA).withColumn("tag_name", F.concat(F.lit("v"), F.col("release_id").cast("string"))) \
+        .withColumn("release_name", F.col("tag_name")).withColumn("created_at", F.col("published_at"))
+    dim = spark.createDataFrame([("k1", "o/a", "a"), ("k2", "o/b", "b")], REPO_SCHEMA)
+    got = {r["release_id"]: (r["previous_release_at"], r["days_since_last_release"])
+           for r in metrics.release_intervals(rel, dim).collect()}
+    con = duckdb.connect()
+    con.register("rel", pd.DataFrame(data, columns=["release_id", "repository_full_name", "is_draft",
+                                                    "is_prerelease", "published_at"]))
+    exp = {r[0]: (r[1], r[2]) for r in con.execute("""
+        SELECT release_id, lag(published_at) OVER w, datediff('day', lag(published_at) OVER w, published_at)
+        FROM rel WHERE is_draft = false WINDOW w AS (PARTITION BY repository_full_name ORDER BY published_at, release_id)
+    """).fetchall()}
+    assert got == exp
