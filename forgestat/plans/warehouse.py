@@ -114,13 +114,16 @@ class Warehouse:
 
     # ---- metrics ------------------------------------------------------------------------
     @property
-    def pr_cycle_time(self): return metrics.pr_cycle_time(self.fct_pull_requests, self.dim_repositories)
+    def pr_cycle_time(self):
+        return self._t("pr_cycle_time", lambda: metrics.pr_cycle_time(self.fct_pull_requests, self.dim_repositories))
     @property
-    def contributor_engagement(self): return metrics.contributor_engagement(self.int_contributor_activity)
+    def contributor_engagement(self):
+        return self._t("contributor_engagement", lambda: metrics.contributor_engagement(self.int_contributor_activity))
     @property
     def top_contributors(self): return metrics.top_contributors(self.int_contributor_activity)
     @property
-    def release_velocity(self): return metrics.release_velocity(self.stg_releases, self.dim_repositories)
+    def release_velocity(self):
+        return self._t("release_velocity", lambda: metrics.release_velocity(self.stg_releases, self.dim_repositories))
     @property
     def commits_per_release(self): return metrics.commits_per_release(self.stg_commits)
     @property
@@ -224,22 +227,14 @@ def run_pipeline(wh: Warehouse, root: str) -> dict:
     views' results, run every declared mart test over the written tables and
     store failing rows. Returns per-step row counts and test failures."""
     from forgestat.operators import quality
-    wh.materialize(root)
+    wh.materialize(root)                                 # dims and facts, concurrent jobs
+    wh.materialize(root, METRIC_MODELS, parallel=len(METRIC_MODELS))   # metrics over the written facts
     out = {"tables": {}, "metrics": {}, "tests": {}}
     for name in TABLE_MODELS:
         out["tables"][name] = wh._tables[name].count()
-    from concurrent.futures import ThreadPoolExecutor
-    metric_plans = {name: getattr(wh, name) for name in METRIC_MODELS}
-
-    def write_metric(name: str) -> None:
-        metric_plans[name].write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
-
-    with ThreadPoolExecutor(max_workers=len(METRIC_MODELS)) as pool:   # independent jobs
-        list(pool.map(write_metric, METRIC_MODELS))
     for name in METRIC_MODELS:
-        out["metrics"][name] = wh.spark.read.parquet(f"{root.rstrip('/')}/{name}").count()
-    models = {n: wh._tables[n] for n in TABLE_MODELS}
-    models.update({n: wh.spark.read.parquet(f"{root.rstrip('/')}/{n}") for n in METRIC_MODELS})
+        out["metrics"][name] = wh._tables[name].count()
+    models = {n: wh._tables[n] for n in TABLE_MODELS + METRIC_MODELS}
     summary = quality.run_mart_tests(models)
     for r in summary.collect():
         out["tests"][f"{r['model']}.{r['test']}.{r['column_name']}"] = r["failures"]
