@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from forgestat.operators import intermediate, metrics, quality, staging
+from forgestat.operators import intermediate, quality
 from forgestat.plans import analysis
 from forgestat.plans.oracle_sql import compose
 from forgestat.plans.warehouse import Warehouse, driver_warehouse
