@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from forgestat.functions.numeric import round_scaled
+from forgestat.functions.sizing import broadcast_if_bounded
 from forgestat.operators import metrics
 from forgestat.plans.warehouse import Warehouse
 
@@ -52,11 +53,20 @@ def q03_pr_merge_rate(wh: Warehouse) -> DataFrame:
 
 
 def q04_slowest_prs(wh: Warehouse, k: int = 20) -> DataFrame:
-    f = wh.fct_pull_requests.filter(F.col("is_merged") == True)  # noqa: E712
+    """Top-k first, then enrich: a fact's non-NULL repo / author key always
+    has its dimension row (the keys come from those dimensions), so the inner
+    joins drop exactly the NULL-key rows; filtering those first makes the
+    top k exact before any join. The k rows (a proven bound) are the
+    broadcast build side, and the dimensions - the user dimension may be
+    large - are streamed past them instead of being shuffled with the facts."""
+    f = wh.fct_pull_requests.filter((F.col("is_merged") == True)  # noqa: E712
+                                    & F.col("repo_key").isNotNull() & F.col("author_key").isNotNull())
+    order = [F.col("time_to_merge_hours").desc_nulls_last(), F.col("pull_request_id").asc()]
+    top = broadcast_if_bounded(f.orderBy(*order).limit(k), k)
+    r = wh.dim_repositories.select(F.col("repo_key").alias("_rk"), "repository_name")
     u = wh.dim_users.select(F.col("user_key").alias("_uk"), F.col("user_login").alias("author"))
-    x = _with_repo(f, wh).join(u, F.col("author_key") == u._uk)
-    return (x.orderBy(F.col("time_to_merge_hours").desc_nulls_last(), F.col("pull_request_id").asc())
-             .limit(k)
+    x = r.join(top, top.repo_key == r._rk).join(u, F.col("author_key") == u._uk)
+    return (x.orderBy(*order)
              .select("repository_name", "pr_number", "pr_title", "author", "created_at", "merged_at",
                      round_scaled(F.col("time_to_merge_hours") / 24, 2).alias("days_to_merge")))
 
