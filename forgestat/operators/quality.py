@@ -13,6 +13,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from forgestat.functions.numeric import round_scaled
+
 
 def unique_failures(df: DataFrame, col: str) -> DataFrame:
     """Values present more than once (NULL ignored)."""
@@ -64,8 +66,8 @@ def freshness(df: DataFrame, source: str, loaded_at: str, as_of: dt.datetime,
     An empty table is an error."""
     asof = F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
     m = df.agg(F.max(F.col(loaded_at).cast("timestamp_ntz")).alias("max_loaded_at"))
-    age = F.round((F.unix_micros(asof.cast("timestamp")) - F.unix_micros(F.col("max_loaded_at").cast("timestamp")))
-                  / F.lit(3_600_000_000.0), 3)
+    age = round_scaled((F.unix_micros(asof.cast("timestamp")) - F.unix_micros(F.col("max_loaded_at").cast("timestamp")))
+                       / F.lit(3_600_000_000.0), 3)
     status = (F.when(F.col("max_loaded_at").isNull(), "error")
                .when(F.col("age_hours") > error_after_hours, "error")
                .when(F.col("age_hours") > warn_after_hours, "warn").otherwise("pass"))
