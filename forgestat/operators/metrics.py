@@ -130,7 +130,7 @@ def top_contributors(activity: DataFrame, k: int = 10) -> DataFrame:
         F.countDistinct("activity_type").alias("activity_type_count"))
     w = Window.partitionBy("repository_full_name", "activity_year", "activity_month").orderBy(
         F.col("activity_count").desc(), F.col("user_id").asc(), F.col("user_login").asc_nulls_last())
-    return (g.withColumn("contributor_rank", F.row_number().over(w))
+    return (g.withColumn("contributor_rank", F.row_number().over(w).cast("bigint"))
              .filter(F.col("contributor_rank") <= k)
              .select("repository_full_name", F.col("activity_year").alias("year"),
                      F.month("activity_month").alias("month"), "user_login", "user_id",
