@@ -172,3 +172,12 @@ def test_release_intervals_rows_match_lag_with_id_tiebreak(spark):
         FROM rel WHERE is_draft = false WINDOW w AS (PARTITION BY repository_full_name ORDER BY published_at, release_id)
     """).fetchall()}
     assert got == exp
+
+
+def test_release_velocity_hot_repository_and_instant(spark):
+    # one repository holds most rows, one instant holds a third of all rows
+    hot = dt.datetime(2025, 6, 1, 12)
+    data = [(i, "o/a", False, i % 3 == 0, hot) for i in range(600)]
+    data += [(600 + i, "o/a", False, False, hot + dt.timedelta(days=i % 40, hours=i % 5)) for i in range(900)]
+    data += [(2000 + i, "o/b", False, True, hot - dt.timedelta(days=i)) for i in range(300)]
+    _velocity_both(spark, data)
