@@ -51,3 +51,30 @@ def test_dedup_and_live_counts(spark, tmp_path):
     # the watermark (max event - 1 h) has passed the end of 2026-01-01 only
     got = rows(spark.table("live_counts"))
     assert [(r["day_start"].day, r["activities"]) for r in got] == [(1, 2)]
+
+
+def test_stream_upsert_replay_after_failure(spark, tmp_path):
+    land = tmp_path / "landing"
+    part = land / "issues" / "_owner=o" / "_repo=r"
+    _write(part, "b1.json", [_issue(1, "2026-01-02T00:00:00Z", "a"), _issue(1, "2026-01-03T00:00:00Z", "b")])
+    table_path, ck = str(tmp_path / "bronze" / "issues"), str(tmp_path / "ck")
+    table = st.VersionedTable(spark, table_path)
+    merge = st.upsert_sink(table, ["id"], ["updated_at"])
+    calls = {"n": 0}
+
+    def crash_after_write(batch, batch_id):
+        merge(batch, batch_id)
+        calls["n"] += 1
+        raise RuntimeError("executor lost after the write, before the commit")
+
+    q = (st.landing_stream(spark, str(land), "issues").writeStream.foreachBatch(crash_after_write)
+         .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    try:
+        q.awaitTermination(120)
+    except Exception:
+        pass
+    assert calls["n"] == 1
+    q = st.start_upsert(spark, str(land), "issues", table_path, ck)    # replays the uncommitted batch
+    q.awaitTermination(120)
+    got = [(r["id"], r["title"]) for r in rows(table.read())]
+    assert got == [(1, "b")]
