@@ -173,7 +173,7 @@ cte("b_pr_reviews_landed", f"""SELECT l.l_orderkey * 100 + l.l_linenumber AS id,
   l.l_shipdate + to_minutes(CAST(l.l_partkey % 1440 AS BIGINT)) AS submitted_at, '{LOAD_ID}' AS _load_id,
   md5('pr_reviews|' || (l.l_orderkey * 100 + l.l_linenumber)) AS _row_id
   FROM lineitem l JOIN order_repo r ON l.l_orderkey = r.o_orderkey
-  WHERE l.l_orderkey % 2 = 1 AND l.l_linenumber <= 2""", ["order_repo"])
+  WHERE l.l_orderkey % 2 = 1""", ["order_repo"])
 cte("b_pr_reviews", """SELECT * FROM b_pr_reviews_landed
   QUALIFY row_number() OVER (PARTITION BY id ORDER BY submitted_at DESC NULLS LAST, body DESC NULLS LAST,
                                                   user__id DESC NULLS LAST) = 1""", ["b_pr_reviews_landed"])

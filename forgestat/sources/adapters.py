@@ -14,7 +14,7 @@ mapping:
 * releases       orders of priority ``1-URGENT``
 * stargazers     (customer, supplier nation) first ship date
 * contributors   (customer, repo) order counts
-* pr_reviews     first two line items of odd orders (disabled entity)
+* pr_reviews     line items of pull-request orders (disabled entity)
 """
 
 from __future__ import annotations
@@ -380,10 +380,10 @@ class DriverBronze:
 
     @cached_property
     def pr_reviews_landed(self) -> DataFrame:
-        """Landed review rows (the reference extracts none; SURVEY D14): the
-        first two line items of odd orders; review ids repeat like comments."""
+        """Landed review rows (the reference extracts none; SURVEY D14): every
+        line item of a pull-request order; review ids repeat like comments."""
         li = (self.table("lineitem")
-              .filter((F.col("l_orderkey") % 2 == 1) & (F.col("l_linenumber") <= 2))
+              .filter(F.col("l_orderkey") % 2 == 1)
               .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_shipdate"))
         x = li.join(self.order_repo, li.l_orderkey == F.col("o_orderkey"))
         rid = F.col("l_orderkey") * 100 + F.col("l_linenumber")
