@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -45,14 +46,15 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and materialised tables.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster). Only when it is
-    unset (local tests) a scratch folder is created and registered.
+    Read from ``spark.checkpoint.dir``, which the cluster names. Where it is
+    unset, a local session (tests, bench) gets a scratch folder of its own; on
+    a cluster a machine-local folder would be wrong, so that raises.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    local = tempfile.mkdtemp(prefix="forgestat-ckpt-", dir=os.environ.get("FORGESTAT_SCRATCH", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    if not configured:
+        master = spark.conf.get("spark.master", "")
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError("spark.checkpoint.dir is unset: name a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="forgestat-ckpt-", dir=os.environ.get("FORGESTAT_SCRATCH", "/tmp"))
+        spark.conf.set("spark.checkpoint.dir", configured)
+    return configured
