@@ -80,17 +80,23 @@ class Piece:
     first: np.ndarray        # index of each document's first word, and the number of words
 
     def word_hash(self) -> np.ndarray:
+        return self.span_hash(self.start, self.end)
+
+    def span_hash(self, *spans: np.ndarray) -> np.ndarray | list[np.ndarray]:
+        """Hash of the bytes from each start to each end (pairs of arrays); equal
+        bytes have equal hashes wherever they stand."""
         n = len(self.buf)
         power, inverse = _power_tables(n)
         sums = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum((self.buf.astype(np.uint64) + np.uint64(1)) * power[:n], out=sums[1:])
-        return mix((sums[self.end] - sums[self.start]) * inverse[self.start])
+        out = [mix((sums[e] - sums[s]) * inverse[s]) for s, e in zip(spans[::2], spans[1::2], strict=True)]
+        return out[0] if len(out) == 1 else out
 
     def doc_of_word(self) -> np.ndarray:
         return np.repeat(np.arange(self.hi - self.lo), np.diff(self.first))
 
 
-def pieces(column: pa.Array, separators: np.ndarray, most: int = PIECE) -> Iterator[Piece]:
+def pieces(column: pa.Array, separators: np.ndarray, most: int = PIECE, lower: bool = True) -> Iterator[Piece]:
     """Cut a string column into pieces of at most ``most`` bytes (or one text)."""
     raw, offsets = string_buffers(column)
     n, lo = len(offsets) - 1, 0
@@ -98,7 +104,7 @@ def pieces(column: pa.Array, separators: np.ndarray, most: int = PIECE) -> Itera
         hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + most, side="right")) - 1)
         hi = min(hi, n)
         given = raw[offsets[lo]:offsets[hi]]
-        buf = LOWER[given]
+        buf = LOWER[given] if lower else given
         at = offsets[lo:hi + 1] - offsets[lo]
         word = ~separators[buf]
         begins, ends = word.copy(), np.zeros(len(buf) + 1, dtype=bool)
