@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forgestat.llm.common import saved
+from forgestat.llm.common import saved, ship_package
 from forgestat.llm.components import components
 
 CAP_ROWS = 24        # vectors expected in a cap
@@ -194,6 +194,7 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     only with equal vectors and has a null component unless one of them has an
     id. An empty table gives no rows.
     """
+    ship_package(df.sparkSession)
     v = F.col(vector_col).cast("array<double>")
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     usable = v.isNotNull() & ~bad & F.exists(v, lambda x: x != 0.0)

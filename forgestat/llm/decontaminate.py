@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forgestat.llm import textnp
-from forgestat.llm.common import documents_of
+from forgestat.llm.common import documents_of, ship_package
 
 RADIUS = 23              # bits; at similarity 0.75 the expected distance is 11, deviation 3
 BLOCK_RADIUS = 2         # floor(RADIUS / 8)
@@ -200,6 +200,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.75, t
                    item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, in which no item is found (rows with
     null or empty text stay)."""
+    ship_package(docs.sparkSession)
     for index in _indexes(benchmark, item_id, item_text):
         def keep(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:

@@ -20,12 +20,14 @@ The classes come from counts over all documents, folded into a bit map of
 fixed size; they (and hash collisions in the map) decide which kind of key is
 used, never whether a pair is found.
 
-Equal sets are made one node first. Each key then proposes only the pairs
-(member, leader), the leader being the member with the fewest tokens before
-the key; what is verified joins components. Only keys whose members still lie
-in different components propose the remaining pairs, between components and
-within the length and position bounds. Pairs inside a component are never
-listed, and no link between components is lost.
+Equal sets are made one node first, so copies are indexed once. The rows of a
+key stand in order of the number of tokens before it. Each row proposes two
+pairs only: with the key's first row (the leader, the one with the fewest
+unshared tokens) and with the row before it, in an order that differs from key
+to key. What is verified joins components. Only rows that are not in their
+leader's component then propose the remaining pairs of their keys, between
+components and within the length and position bounds. Pairs inside a component
+are never listed, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -45,10 +47,11 @@ from forgestat.llm.components import components
 CLASS_BITS = 1 << 23      # size of the bit map of frequent tokens (1 MiB)
 FREQUENT = 8              # counted repeats from which a token is frequent
 COUNTED = 1 << 21         # tokens a task counts at a time
-BROADCAST_IDS = 500_000   # ids that may be broadcast (8 bytes each)
+BROADCAST_IDS = 2_000_000  # ids that may be broadcast (8 or 16 bytes each)
 
 _SETS = "doc_id long, n long, fa long, fb long, token long, c long"
-_INDEX = "key long, node long, n int, pos int"
+_INDEX = "key long, node long, n int, pos int, tie int"
+_LED = "key long, node long, n int, pos int, l_node long, l_n int, l_pos int, p_node long, p_n int, p_pos int"
 
 
 def _arrow(schema: str) -> pa.Schema:
@@ -144,51 +147,64 @@ def index_keys(tokens: np.ndarray, frequent: np.ndarray, t: float) -> tuple[np.n
 def _indexer(bits: bytes, t: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little")
-        schema, met = _arrow(_INDEX), set()
+        schema = _arrow(_INDEX)
         for ids, sets in _token_sets(batches):
             keys, nodes, ns, poss = [], [], [], []
             for node, tokens in zip(ids.to_pylist(), sets, strict=True):
                 if not len(tokens) or node is None:
                     continue
-                p = _fingerprint(tokens)
-                if p in met:
-                    continue                     # the task has indexed this set
-                if len(met) >= 1 << 17:
-                    met.clear()
-                met.add(p)
                 k, pos = index_keys(tokens, frequent, t)
                 keys.append(k)
                 poss.append(pos)
                 nodes.append(np.full(len(k), node, np.int64))
                 ns.append(np.full(len(k), len(tokens), np.int32))
             if keys:
+                key, node = np.concatenate(keys), np.concatenate(nodes)
+                tie = (textnp.mix(key ^ textnp.mix(node.view(np.uint64))) >> np.uint64(56)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(_signed(np.concatenate(keys))), pa.array(np.concatenate(nodes)),
-                     pa.array(np.concatenate(ns)), pa.array(np.concatenate(poss))], schema=schema)
+                    [pa.array(_signed(key)), pa.array(node), pa.array(np.concatenate(ns)),
+                     pa.array(np.concatenate(poss)), pa.array(tie)], schema=schema)
     return run
 
 
-def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key: drop the keys that a single row has. Only the last
-    row of a batch is carried on, whatever the size of a key's group."""
-    last, open_ = None, False        # the last row so far, and whether it is already given on
+def _led(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by key -> the rows of keys that two rows or more have, each
+    with its key's first row and with the row before it (null for the first).
+
+    Held are the key's first row and the last row, whatever the size of a group.
+    """
+    schema = _arrow(_LED)
+    head = last = None               # first row of the open key and last row, as (key, node, n, pos)
+    given = False                    # whether the last row has been given out
     for batch in batches:
         if not batch.num_rows:
             continue
+        cols = [batch.column(c).to_numpy() for c in ("key", "node", "n", "pos")]
         if last is not None:
-            batch = pa.Table.from_batches([last, batch]).combine_chunks().to_batches()[0]
-        keys = batch.column("key").to_numpy()
-        same = keys[1:] == keys[:-1]
-        keep = np.zeros(len(keys), dtype=bool)
-        keep[1:] |= same
-        keep[:-1] |= same
-        if last is not None and open_:
-            keep[0] = False          # given on with the batch before
-        open_ = bool(keep[-1]) or (last is not None and open_ and len(keys) == 1)
-        last = batch.slice(batch.num_rows - 1)
-        out = batch.filter(pa.array(keep))
-        if out.num_rows:
-            yield out
+            cols = [np.concatenate([[x], c]).astype(c.dtype) for x, c in zip(last, cols, strict=True)]
+        key = cols[0]
+        n = len(key)
+        first = np.concatenate([[True], key[1:] != key[:-1]])
+        start = np.maximum.accumulate(np.where(first, np.arange(n), 0))
+        lead = [c[start] for c in cols[1:]]
+        if last is not None:         # the first group goes on from before
+            own = start == 0
+            lead = [np.where(own, x, c).astype(c.dtype) for x, c in zip(head[1:], lead, strict=True)]
+        before = [np.concatenate([c[:1], c[:-1]]) for c in cols[1:]]
+        keep = np.zeros(n, dtype=bool)
+        keep[1:] |= ~first[1:]
+        keep[:-1] |= ~first[1:]
+        if last is not None and given:
+            keep[0] = False
+        out = np.flatnonzero(keep)
+        if len(out):
+            lone = first[out]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c[out]) for c in cols] + [pa.array(c[out]) for c in lead]
+                + [pa.array(c[out], mask=lone) for c in before], schema=schema)
+        given = bool(keep[-1]) or (n == 1 and given)
+        head = tuple([key[-1]] + [c[-1] for c in lead])
+        last = tuple(c[-1] for c in cols)
 
 
 def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,13 +215,18 @@ def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _bounds(a: str, b: str, num: int, den: int):
-    """Length and position bounds of a pair, in whole numbers (t = num / den)."""
-    na, nb, pa_, pb = (F.col(f"{x}.{c}").cast("long") for c in ("n", "pos") for x in (a, b))
+    """Length and position bounds of a pair, in whole numbers (t = num / den);
+    the columns of either end start with ``a`` and ``b``."""
+    na, nb, pa_, pb = (F.col(f"{x}{c}").cast("long") for c in ("n", "pos") for x in (a, b))
     most = F.least(na - pa_, nb - pb)
     return ((na * num <= nb * den) & (nb * num <= na * den)
             & (most * (num + den) >= (na + nb) * num))
 
 
+def _pair(a: str, b: str) -> list:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs whose exact Jaccard similarity of the token sets reaches num / den."""
     a = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
@@ -239,55 +260,49 @@ def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "members")
 
     frequent = np.packbits(_class_map(described), bitorder="little").tobytes()
-    # the number of tasks follows the key count, so that a task's sort stays in memory
-    keys_sorted = (texts.mapInArrow(_indexer(frequent, t), _INDEX)
-                   .repartition("key").sortWithinPartitions("key"))
-    shared = saved(keys_sorted.mapInArrow(_shared_keys, _INDEX), "shared")
-    # two tasks may have indexed the same set under different ids
-    to_class = members.filter("n_shingles > 0").select(F.col("doc_id").alias("node"), "class_id").distinct()
-    index = saved(shared.join(saved(to_class, "toclass"), "node")
-                  .groupBy("key", F.col("class_id").alias("node")).agg(F.min("n").alias("n"), F.min("pos").alias("pos")),
-                  "index")
-
-    leaders = saved(index.groupBy("key").agg(F.min(F.struct("pos", "node", "n")).alias("l"), F.count("*").alias("m"))
-                    .filter("m > 1").select("key", F.col("l.node").alias("node"), F.col("l.n").alias("n"),
-                                            F.col("l.pos").alias("pos")), "leaders")
-    proposed = saved(index.alias("x").join(leaders.alias("y"), "key")
-                     .filter((F.col("x.node") != F.col("y.node")) & _bounds("x", "y", num, den))
-                     .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "proposed")
-    sets = _node_sets(texts, proposed)
-    links = saved(_verified(proposed, sets, num, den), "links")
-
-    # keys whose members are still apart: the pairs between components
+    # copies are not indexed: ids without a row that names its class
+    copies = saved(members.filter("n_shingles > 0 and doc_id is not null").groupBy("doc_id")
+                   .agg(F.max((F.col("class_id") == F.col("doc_id")).cast("int")).alias("own"))
+                   .filter("own = 0").select("doc_id"), "copies")
+    named = texts.join(_maybe_broadcast(copies), "doc_id", "left_anti")
+    led = saved(named.mapInArrow(_indexer(frequent, t), _INDEX)
+                .repartition("key").sortWithinPartitions("key", "pos", "tie", "node")
+                .select("key", "node", "n", "pos").mapInArrow(_led, _LED), "led")
+
+    pairs = [led.filter((F.col("node") != F.col(f"{x}node")) & _bounds("", x, num, den)).select(*_pair("node", f"{x}node"))
+             for x in ("l_", "p_")]
+    proposed = saved(pairs[0].unionByName(pairs[1]).distinct(), "proposed")
+    links = saved(_verified(proposed, _node_sets(texts, proposed), num, den), "links")
+
+    # rows that are not in their leader's component: their pairs between components
     parts = components(links)
-    labelled = saved(index.join(parts, "node", "left")
-                     .withColumn("part", F.coalesce("component", "node")).drop("component"), "labelled")
-    apart = saved(labelled.groupBy("key").agg(
-        F.min_by("part", F.struct("pos", "node")).alias("lead"), F.min("part").alias("p0"),
-        F.max("part").alias("p1"), F.min("n").alias("least"))
-        .filter("p0 <> p1").select("key", "lead", "least"), "apart")
-    # a pair between components has at least one end outside the leader's component;
-    # an end that the bounds keep from every member is left out
-    rest = saved(labelled.join(apart, "key"), "rest")
-    ends = rest.filter((F.col("part") != F.col("lead"))
-                       & ((F.col("n") - F.col("pos")).cast("long") * (num + den)
-                          >= (F.col("n") + F.col("least")).cast("long") * num))
-    x, y = saved(ends, "ends").alias("x"), rest.alias("y")
-    more = saved(x.join(y, "key").filter((F.col("x.part") != F.col("y.part")) & _bounds("x", "y", num, den))
-                 .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
-                 .distinct(), "more")
-    tried = proposed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = saved(more.join(tried, ["a", "b"], "left_anti"), "untried")
+    own = parts.select(F.col("node").alias("own_node"), F.col("component").alias("own_part"))
+    lead = parts.select(F.col("node").alias("lead_node"), F.col("component").alias("lead_part"))
+    labelled = (led.join(_maybe_broadcast(own), F.col("node") == F.col("own_node"), "left")
+                .join(_maybe_broadcast(lead), F.col("l_node") == F.col("lead_node"), "left")
+                .select("key", "node", "n", "pos", F.coalesce("own_part", "node").alias("part"),
+                        F.coalesce("lead_part", "l_node").alias("lead")))
+    labelled = saved(labelled, "labelled")
+    ends = saved(labelled.filter("part <> lead")
+                 .select("key", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "pos", "part")]), "ends")
+    # a pair between components has at least one end outside the leader's component
+    more = saved(labelled.join(ends, "key")
+                 .filter((F.col("part") != F.col("x_part")) & _bounds("", "x_", num, den))
+                 .select(*_pair("node", "x_node")).distinct().join(proposed, ["a", "b"], "left_anti"), "more")
     if not more.isEmpty():
         links = links.unionByName(_verified(more, _node_sets(texts, more), num, den))
     return members, links
 
 
+def _maybe_broadcast(ids: DataFrame) -> DataFrame:
+    """Broadcast a written table of ids while it is small, else leave it to a sort-merge join."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def _node_sets(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """Token sets of the pairs' documents, read anew from their texts."""
     ids = saved(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "ids")
-    few = ids.count() <= BROADCAST_IDS
-    wanted = texts.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+    wanted = texts.join(_maybe_broadcast(ids), "doc_id", "left_semi")
     sets = wanted.mapInArrow(_sets_of, "node long, tokens array<bigint>")
     return saved(sets, "nodesets")
 
@@ -299,10 +314,9 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Null, empty and wordless texts have the empty set: 0 shingles, linked with
     nothing, own component. Texts of one to four words are one shingle. Equal
     sets always link. Repeated rows give repeated result rows; rows with one id
-    but different texts are classes of their own (two classes whose smallest id
-    is the same count as one). A row with a null id links only by an equal set,
-    and has a null component if no row with an id has that set. An empty table
-    gives no rows.
+    but different texts are one node with the links of all of them. A row with a
+    null id links only by an equal set, and has a null component if no row with
+    an id has that set. An empty table gives no rows.
     """
     members, links = ngram_links(docs, id_col, text_col, num, den)
     parts = saved(components(links).withColumnRenamed("node", "class_id"), "parts")
