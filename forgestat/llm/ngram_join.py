@@ -20,14 +20,15 @@ The classes come from counts over all documents, folded into a bit map of
 fixed size; they (and hash collisions in the map) decide which kind of key is
 used, never whether a pair is found.
 
-Equal sets are made one node first, so copies are indexed once. The rows of a
-key stand in order of the number of tokens before it. Each row proposes two
-pairs only: with the key's first row (the leader, the one with the fewest
-unshared tokens) and with the row before it, in an order that differs from key
-to key. What is verified joins components. Only rows that are not in their
-leader's component then propose the remaining pairs of their keys, between
-components and within the length and position bounds. Pairs inside a component
-are never listed, and no link between components is lost.
+Equal sets are made one node first, so copies are indexed once. Of each key the
+row with the fewest tokens before it leads, and every other row first proposes
+one pair only, with its leader. What is verified joins components. Only rows
+that are not in their leader's component then propose the remaining pairs of
+their keys, between components. Pairs inside a component are never listed, and
+no link between components is lost. A pair is proposed at all only within the
+bounds that the two sizes set: on the lengths, on the places of a single key
+(it may be the first common token), and on the ranks of a combination (it may
+be the first common one, see above, with u and v for this pair).
 """
 
 from __future__ import annotations
@@ -50,8 +51,8 @@ COUNTED = 1 << 21         # tokens a task counts at a time
 BROADCAST_IDS = 2_000_000  # ids that may be broadcast (8 or 16 bytes each)
 
 _SETS = "doc_id long, n long, fa long, fb long, token long, c long"
-_INDEX = "key long, node long, n int, pos int, tie int"
-_LED = "key long, node long, n int, pos int, l_node long, l_n int, l_pos int, p_node long, p_n int, p_pos int"
+_INDEX = "key long, node long, n int, pos int, rank int"
+_LED = _INDEX + ", l_node long, l_n int, l_pos int, l_rank int"
 
 
 def _arrow(schema: str) -> pa.Schema:
@@ -129,9 +130,10 @@ def _class_map(described: DataFrame) -> np.ndarray:
     return np.unpackbits(words.view(np.uint8), bitorder="little")
 
 
-def index_keys(tokens: np.ndarray, frequent: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of one document (sorted distinct tokens) and how many of its tokens
-    cannot be shared with a partner that is found by the key."""
+def index_keys(tokens: np.ndarray, frequent: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of one document (sorted distinct tokens), how many of its tokens
+    cannot be shared with a partner that is found first by the key, and the rank
+    of a combination among the document's (-1 for single tokens)."""
     n = len(tokens)
     often = frequent[_slot(tokens)].astype(bool)
     rare, often = tokens[~often], tokens[often]
@@ -141,7 +143,8 @@ def index_keys(tokens: np.ndarray, frequent: np.ndarray, t: float) -> tuple[np.n
     pairs = min(max(pairs, 0), max(len(often) - 1, 0))
     pair = textnp.mix(textnp.mix(often[:pairs]) * np.uint64(0xD6E8FEB86659FD93) + often[1:pairs + 1])
     return (np.concatenate([single, pair]),
-            np.concatenate([np.arange(len(single)), np.full(pairs, len(rare))]).astype(np.int32))
+            np.concatenate([np.arange(len(single)), np.full(pairs, len(rare))]).astype(np.int32),
+            np.concatenate([np.full(len(single), -1), np.arange(pairs)]).astype(np.int32))
 
 
 def _indexer(bits: bytes, t: float):
@@ -149,37 +152,37 @@ def _indexer(bits: bytes, t: float):
         frequent = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little")
         schema = _arrow(_INDEX)
         for ids, sets in _token_sets(batches):
-            keys, nodes, ns, poss = [], [], [], []
+            keys, nodes, ns, poss, ranks = [], [], [], [], []
             for node, tokens in zip(ids.to_pylist(), sets, strict=True):
                 if not len(tokens) or node is None:
                     continue
-                k, pos = index_keys(tokens, frequent, t)
+                k, pos, rank = index_keys(tokens, frequent, t)
                 keys.append(k)
                 poss.append(pos)
+                ranks.append(rank)
                 nodes.append(np.full(len(k), node, np.int64))
                 ns.append(np.full(len(k), len(tokens), np.int32))
             if keys:
-                key, node = np.concatenate(keys), np.concatenate(nodes)
-                tie = (textnp.mix(key ^ textnp.mix(node.view(np.uint64))) >> np.uint64(56)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(_signed(key)), pa.array(node), pa.array(np.concatenate(ns)),
-                     pa.array(np.concatenate(poss)), pa.array(tie)], schema=schema)
+                    [pa.array(_signed(np.concatenate(keys))), pa.array(np.concatenate(nodes)),
+                     pa.array(np.concatenate(ns)), pa.array(np.concatenate(poss)),
+                     pa.array(np.concatenate(ranks))], schema=schema)
     return run
 
 
 def _led(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by key -> the rows of keys that two rows or more have, each
-    with its key's first row and with the row before it (null for the first).
+    with its key's first row, the leader.
 
     Held are the key's first row and the last row, whatever the size of a group.
     """
     schema = _arrow(_LED)
-    head = last = None               # first row of the open key and last row, as (key, node, n, pos)
+    head = last = None               # first row of the open key and last row, as (key, node, n, pos, rank)
     given = False                    # whether the last row has been given out
     for batch in batches:
         if not batch.num_rows:
             continue
-        cols = [batch.column(c).to_numpy() for c in ("key", "node", "n", "pos")]
+        cols = [batch.column(c).to_numpy() for c in ("key", "node", "n", "pos", "rank")]
         if last is not None:
             cols = [np.concatenate([[x], c]).astype(c.dtype) for x, c in zip(last, cols, strict=True)]
         key = cols[0]
@@ -190,7 +193,6 @@ def _led(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if last is not None:         # the first group goes on from before
             own = start == 0
             lead = [np.where(own, x, c).astype(c.dtype) for x, c in zip(head[1:], lead, strict=True)]
-        before = [np.concatenate([c[:1], c[:-1]]) for c in cols[1:]]
         keep = np.zeros(n, dtype=bool)
         keep[1:] |= ~first[1:]
         keep[:-1] |= ~first[1:]
@@ -198,10 +200,7 @@ def _led(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keep[0] = False
         out = np.flatnonzero(keep)
         if len(out):
-            lone = first[out]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c[out]) for c in cols] + [pa.array(c[out]) for c in lead]
-                + [pa.array(c[out], mask=lone) for c in before], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(c[out]) for c in [*cols, *lead]], schema=schema)
         given = bool(keep[-1]) or (n == 1 and given)
         head = tuple([key[-1]] + [c[-1] for c in lead])
         last = tuple(c[-1] for c in cols)
@@ -215,12 +214,16 @@ def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _bounds(a: str, b: str, num: int, den: int):
-    """Length and position bounds of a pair, in whole numbers (t = num / den);
-    the columns of either end start with ``a`` and ``b``."""
-    na, nb, pa_, pb = (F.col(f"{x}{c}").cast("long") for c in ("n", "pos") for x in (a, b))
-    most = F.least(na - pa_, nb - pb)
-    return ((na * num <= nb * den) & (nb * num <= na * den)
-            & (most * (num + den) >= (na + nb) * num))
+    """Bounds of a pair, in whole numbers (t = num / den); the columns of either
+    end start with ``a`` and ``b``."""
+    na, nb, pa_, pb, ra, rb = (F.col(f"{x}{c}").cast("long") for c in ("n", "pos", "rank") for x in (a, b))
+    fa, fb, both = na - pa_, nb - pb, num + den
+    need = F.ceil((na + nb) * num / both - 1e-9)               # least overlap
+    # u = fa - overlap and v = fb - overlap tokens are not shared
+    ranks = ((ra <= 2 * fa + fb - 3 * need) & (rb <= 2 * fb + fa - 3 * need)
+             & (ra + rb <= 3 * (fa + fb - 2 * need)))
+    return ((na * num <= nb * den) & (nb * num <= na * den) & (F.least(fa, fb) >= need)
+            & ((ra < 0) | (rb < 0) | ranks))
 
 
 def _pair(a: str, b: str) -> list:
@@ -266,12 +269,11 @@ def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    .filter("own = 0").select("doc_id"), "copies")
     named = texts.join(_maybe_broadcast(copies), "doc_id", "left_anti")
     led = saved(named.mapInArrow(_indexer(frequent, t), _INDEX)
-                .repartition("key").sortWithinPartitions("key", "pos", "tie", "node")
-                .select("key", "node", "n", "pos").mapInArrow(_led, _LED), "led")
+                .repartition("key").sortWithinPartitions("key", "pos", "node")
+                .mapInArrow(_led, _LED), "led")
 
-    pairs = [led.filter((F.col("node") != F.col(f"{x}node")) & _bounds("", x, num, den)).select(*_pair("node", f"{x}node"))
-             for x in ("l_", "p_")]
-    proposed = saved(pairs[0].unionByName(pairs[1]).distinct(), "proposed")
+    proposed = saved(led.filter((F.col("node") != F.col("l_node")) & _bounds("", "l_", num, den))
+                     .select(*_pair("node", "l_node")).distinct(), "proposed")
     links = saved(_verified(proposed, _node_sets(texts, proposed), num, den), "links")
 
     # rows that are not in their leader's component: their pairs between components
@@ -280,11 +282,11 @@ def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lead = parts.select(F.col("node").alias("lead_node"), F.col("component").alias("lead_part"))
     labelled = (led.join(_maybe_broadcast(own), F.col("node") == F.col("own_node"), "left")
                 .join(_maybe_broadcast(lead), F.col("l_node") == F.col("lead_node"), "left")
-                .select("key", "node", "n", "pos", F.coalesce("own_part", "node").alias("part"),
+                .select("key", "node", "n", "pos", "rank", F.coalesce("own_part", "node").alias("part"),
                         F.coalesce("lead_part", "l_node").alias("lead")))
     labelled = saved(labelled, "labelled")
     ends = saved(labelled.filter("part <> lead")
-                 .select("key", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "pos", "part")]), "ends")
+                 .select("key", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "pos", "rank", "part")]), "ends")
     # a pair between components has at least one end outside the leader's component
     more = saved(labelled.join(ends, "key")
                  .filter((F.col("part") != F.col("x_part")) & _bounds("", "x_", num, den))
