@@ -207,10 +207,10 @@ def _led(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for ids, sets in _token_sets(batches):
-        yield pa.RecordBatch.from_arrays(
-            [ids, pa.array([_signed(s) for s in sets], pa.list_(pa.int64()))],
-            names=["node", "tokens"])
+    for batch in batches:
+        for ids, sets in _token_sets(iter([batch])):
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.array([_signed(s) for s in sets], pa.list_(pa.int64()))], names=["doc_id", "tokens"])
 
 
 def _bounds(a: str, b: str, num: int, den: int):
@@ -230,13 +230,22 @@ def _pair(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs whose exact Jaccard similarity of the token sets reaches num / den."""
-    a = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
-    b = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
+def _verified(texts: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs ``(a, b)`` whose exact Jaccard similarity of the token sets
+    reaches num / den. Sets are made anew from the texts; that of ``a`` travels
+    once for each of its pairs, that of ``b`` once."""
+    partners = pairs.groupBy("a").agg(F.collect_list("b").alias("partners")).withColumnRenamed("a", "doc_id")
+    ends = pairs.select(F.col("b").alias("doc_id")).distinct()
+
+    def sets(ids: DataFrame) -> DataFrame:
+        return (texts.join(_maybe_broadcast(ids), "doc_id", "left_semi")
+                .mapInArrow(_sets_of, "doc_id long, tokens array<bigint>"))
+    partners = saved(partners, "partners")
+    a = (sets(partners.select("doc_id")).join(_maybe_broadcast(partners), "doc_id")
+         .select(F.col("doc_id").alias("a"), F.col("tokens").alias("ta"), F.explode("partners").alias("b")))
+    b = sets(saved(ends, "ends")).select(F.col("doc_id").alias("b"), F.col("tokens").alias("tb"))
     both = F.size(F.array_intersect("ta", "tb")).cast("long")
-    return (pairs.join(b, "b").join(a, "a")
-            .withColumn("_both", both)
+    return (a.join(b, "b").withColumn("_both", both)
             .filter(F.col("_both") * den >= (F.size("ta").cast("long") + F.size("tb") - F.col("_both")) * num)
             .select("a", "b"))
 
@@ -273,8 +282,8 @@ def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 .mapInArrow(_led, _LED), "led")
 
     proposed = saved(led.filter((F.col("node") != F.col("l_node")) & _bounds("", "l_", num, den))
-                     .select(*_pair("node", "l_node")).distinct(), "proposed")
-    links = saved(_verified(proposed, _node_sets(texts, proposed), num, den), "links")
+                     .select(F.col("node").alias("a"), F.col("l_node").alias("b")).distinct(), "proposed")
+    links = saved(_verified(texts, proposed, num, den), "links")
 
     # rows that are not in their leader's component: their pairs between components
     parts = components(links)
@@ -290,9 +299,9 @@ def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # a pair between components has at least one end outside the leader's component
     more = saved(labelled.join(ends, "key")
                  .filter((F.col("part") != F.col("x_part")) & _bounds("", "x_", num, den))
-                 .select(*_pair("node", "x_node")).distinct().join(proposed, ["a", "b"], "left_anti"), "more")
+                 .select(*_pair("node", "x_node")).distinct().join(proposed.select(*_pair("a", "b")).distinct(), ["a", "b"], "left_anti"), "more")
     if not more.isEmpty():
-        links = links.unionByName(_verified(more, _node_sets(texts, more), num, den))
+        links = links.unionByName(saved(_verified(texts, more, num, den), "links"))
     return members, links
 
 
@@ -301,14 +310,6 @@ def _maybe_broadcast(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
-def _node_sets(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Token sets of the pairs' documents, read anew from their texts."""
-    ids = saved(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "ids")
-    wanted = texts.join(_maybe_broadcast(ids), "doc_id", "left_semi")
-    sets = wanted.mapInArrow(_sets_of, "node long, tokens array<bigint>")
-    return saved(sets, "nodesets")
-
-
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      num: int = 75, den: int = 100) -> DataFrame:
     """``(doc_id, n_shingles, component_id, class_id)``, one row per input row.
