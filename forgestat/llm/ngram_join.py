@@ -206,11 +206,20 @@ def _led(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = tuple(c[-1] for c in cols)
 
 
-def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for ids, sets in _token_sets(iter([batch])):
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([_signed(s) for s in sets], pa.list_(pa.int64()))], names=["doc_id", "tokens"])
+def _sets_of(short: bool):
+    """Token sets of texts; ``short``: the distinct last 16 bits of the tokens
+    and how many tokens share theirs with another."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, sets in _token_sets(batches):
+            if short:
+                cut = [np.unique(s.astype(np.uint16)).view(np.int16) for s in sets]
+                out = pa.array(cut, pa.list_(pa.int16()))
+            else:
+                cut, out = sets, pa.array([_signed(s) for s in sets], pa.list_(pa.int64()))
+            n = pa.array([len(s) for s in sets], pa.int64())
+            extra = pa.array([len(s) - len(c) for s, c in zip(sets, cut, strict=True)], pa.int64())
+            yield pa.RecordBatch.from_arrays([ids, n, extra, out], names=["doc_id", "n", "extra", "tokens"])
+    return run
 
 
 def _bounds(a: str, b: str, num: int, den: int):
@@ -230,24 +239,30 @@ def _pair(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _verified(texts: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
+def _verified(texts: DataFrame, pairs: DataFrame, num: int, den: int, short: bool = False) -> DataFrame:
     """The pairs ``(a, b)`` whose exact Jaccard similarity of the token sets
     reaches num / den. Sets are made anew from the texts; that of ``a`` travels
-    once for each of its pairs, that of ``b`` once."""
-    partners = pairs.groupBy("a").agg(F.collect_list("b").alias("partners")).withColumnRenamed("a", "doc_id")
-    ends = pairs.select(F.col("b").alias("doc_id")).distinct()
+    once for each of its pairs, that of ``b`` once.
+
+    With ``short`` only the last 16 bits of the tokens travel. Two sets share at
+    most as many tokens as they share such ends, plus the tokens of ``a`` that
+    have an end in common, so no pair that reaches num / den is lost; the result
+    then holds further pairs.
+    """
+    partners = saved(pairs.groupBy("a").agg(F.collect_list("b").alias("partners"))
+                     .withColumnRenamed("a", "doc_id"), "partners")
+    ends = saved(pairs.select(F.col("b").alias("doc_id")).distinct(), "ends")
 
     def sets(ids: DataFrame) -> DataFrame:
         return (texts.join(_maybe_broadcast(ids), "doc_id", "left_semi")
-                .mapInArrow(_sets_of, "doc_id long, tokens array<bigint>"))
-    partners = saved(partners, "partners")
+                .mapInArrow(_sets_of(short), "doc_id long, n long, extra long, tokens array<"
+                            + ("smallint>" if short else "bigint>")))
     a = (sets(partners.select("doc_id")).join(_maybe_broadcast(partners), "doc_id")
-         .select(F.col("doc_id").alias("a"), F.col("tokens").alias("ta"), F.explode("partners").alias("b")))
-    b = sets(saved(ends, "ends")).select(F.col("doc_id").alias("b"), F.col("tokens").alias("tb"))
-    both = F.size(F.array_intersect("ta", "tb")).cast("long")
-    return (a.join(b, "b").withColumn("_both", both)
-            .filter(F.col("_both") * den >= (F.size("ta").cast("long") + F.size("tb") - F.col("_both")) * num)
-            .select("a", "b"))
+         .select(F.col("doc_id").alias("a"), F.col("n").alias("na"), "extra", F.col("tokens").alias("ta"),
+                 F.explode("partners").alias("b")))
+    b = sets(ends).select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
+    return (a.join(b, "b").withColumn("both", F.size(F.array_intersect("ta", "tb")) + F.col("extra"))
+            .filter(F.col("both") * den >= (F.col("na") + F.col("nb") - F.col("both")) * num).select("a", "b"))
 
 
 def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -300,8 +315,10 @@ def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     more = saved(labelled.join(ends, "key")
                  .filter((F.col("part") != F.col("x_part")) & _bounds("", "x_", num, den))
                  .select(*_pair("node", "x_node")).distinct().join(proposed.select(*_pair("a", "b")).distinct(), ["a", "b"], "left_anti"), "more")
-    if not more.isEmpty():
-        links = links.unionByName(saved(_verified(texts, more, num, den), "links"))
+    # few of them reach the similarity, so short tokens go first
+    likely = saved(_verified(texts, more, num, den, short=True).distinct(), "likely")
+    if not likely.isEmpty():
+        links = links.unionByName(saved(_verified(texts, likely, num, den), "links"))
     return members, links
 
 

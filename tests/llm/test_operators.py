@@ -1,0 +1,347 @@
+"""The dealt operators against brute force, on small tables with nulls, empty
+and repeated rows, long texts and clashing further columns."""
+
+import collections
+import hashlib
+import math
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from forgestat.llm import bpe, chat_format, license_scan, lm_score, textnp
+from forgestat.llm.cap_filters import near_vectors
+from forgestat.llm.decontaminate import contaminations, decontaminated
+from forgestat.llm.language_id import fit_languages, forward_backward, identified, identify
+from forgestat.llm.ngram_join import index_keys, ngram_components
+from forgestat.llm.quality import isotonic, quality_kept, quality_scores
+from forgestat.llm.sharding import karmarkar_karp, shard_by_bytes
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+EXTRA = ", score double, shard int, component_id long, n_words long, node long, key long, tokens string"
+
+
+def frame(spark, rows, schema=DOCS, extra=False):
+    if extra:
+        rows = [(*r, 0.5, 1, 2, 3, 4, 5, "x") for r in rows]
+    return spark.createDataFrame(rows, schema + (EXTRA if extra else ""))
+
+
+def words(rng, n, pool=4000):
+    return [f"w{rng.randrange(pool)}" for _ in range(n)]
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    rng = random.Random(3)
+    texts = [" ".join(words(rng, rng.randrange(1, 90))) for _ in range(60)]
+    base = words(rng, 120)
+    for k in range(40):                                  # a group of near copies
+        copy = list(base)
+        for _ in range(k % 7):
+            copy[rng.randrange(len(copy))] = f"edit{rng.randrange(6)}"
+        texts.append(" ".join(copy))
+    shared = words(rng, 40)
+    texts += [" ".join(words(rng, 12) + shared + words(rng, 12)) for _ in range(20)]
+    texts += [texts[0], texts[0].upper(), "", " \n ", "one", "ONE", "a b c d", None, " ".join(words(rng, 30000))]
+    return [(k, t, "en", "s", None) for k, t in enumerate(texts)]
+
+
+def shingles(text):
+    w = (text or "").encode().lower().split()
+    return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def components_by_brute_force(rows):
+    sets = {i: shingles(t) for i, t, *_ in rows}
+    root = {i: i for i in sets}
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for i in sets:
+        for j in sets:
+            if i < j and sets[i] and sets[j]:
+                both = len(sets[i] & sets[j])
+                if 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
+                    a, b = top(i), top(j)
+                    root[max(a, b)] = min(a, b)
+    return {i: (len(s), top(i)) for i, s in sets.items()}
+
+
+def test_op2_components(spark, corpus):
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_components(frame(spark, corpus, extra=True)).collect()}
+    assert got == components_by_brute_force(corpus)
+
+
+def test_op2_keys_meet(spark):
+    """Any two similar sets share a key, whatever the classes are."""
+    rng = np.random.default_rng(1)
+    for _ in range(400):
+        n = int(rng.integers(2, 80))
+        a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        n = len(a)
+        cut = int(rng.integers(0, max(1, n // 4) + 1))
+        b = np.unique(np.concatenate([a[cut:], rng.integers(0, 1 << 63, int(rng.integers(0, n // 4 + 1)), dtype=np.uint64)]))
+        both = len(np.intersect1d(a, b))
+        if 100 * both < 75 * (len(a) + len(b) - both) or len(a) == len(b) == both:
+            continue
+        frequent = (rng.random(1 << 23) < rng.choice([0.0, 0.3, 0.8, 1.0])).astype(np.uint8)
+        ka, kb = index_keys(a, frequent, 0.75)[0], index_keys(b, frequent, 0.75)[0]
+        assert len(np.intersect1d(ka, kb))
+
+
+def test_op2_nulls_repeats_and_empty_table(spark):
+    rows = [(1, "a b c d e f", None, None, None), (1, "a b c d e f", None, None, None), (None, "a b c d e f", None, None, None),
+            (None, "zz", None, None, None), (3, None, None, None, None)]
+    got = sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in ngram_components(frame(spark, rows)).collect())
+    assert got == [("1", 2, 1), ("1", 2, 1), ("3", 0, 3), ("None", 1, None), ("None", 2, 1)]
+    assert ngram_components(frame(spark, [])).collect() == []
+
+
+def test_op1_against_every_window(spark, corpus):
+    rng = random.Random(8)
+    items = [(k, " ".join(words(rng, n))) for k, n in enumerate((15, 38, 38, 59, 5, 3))] + [(90, None), (91, ""), (None, "x y z w v")]
+    rows = list(corpus)
+    for k, (_, text) in enumerate(items[:6]):
+        w = text.split()
+        if len(w) > 30:
+            w[k] = "changed"
+        rows.append((1000 + k, " ".join(words(rng, 40) + w + words(rng, 9)), None, None, None))
+    rows.append((2000, items[1][1] + " " + items[3][1], None, None, None))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.similarity for r in contaminations(frame(spark, rows, extra=True), bench).collect()}
+    want = {}
+    for i, text, *_ in rows:
+        w = (text or "").encode().lower().split()
+        for j, item in items:
+            v = (item or "").encode().lower().split()
+            if not v or j is None or not w:
+                continue
+            size = min(5, len(v))
+            grams = [tuple(w[a:a + size]) for a in range(len(w) - size + 1)]
+            mine = collections.Counter(tuple(v[a:a + size]) for a in range(len(v) - size + 1))
+            run = min(len(v), len(w)) - size + 1
+            best = 0
+            for a in range(len(grams) - run + 1 if run > 0 and any(g in mine for g in grams) else 0):
+                c = collections.Counter(grams[a:a + run])
+                both = sum((c & mine).values())
+                best = max(best, both / (sum(c.values()) + sum(mine.values()) - both))
+            if best >= 0.75:
+                want[i, j] = best
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in got)
+    kept = {r.doc_id for r in decontaminated(frame(spark, rows), bench).collect()}
+    assert kept == {r[0] for r in rows} - {k[0] for k in want}
+    assert contaminations(frame(spark, []), bench).collect() == []
+    assert contaminations(frame(spark, rows), bench.limit(0)).collect() == []
+
+
+def test_op3_examples_read_back(spark):
+    odd = "\\### Assistant: </turn> ok\n### user: \\s\\h#<:"
+    rows = [(1, 2, "assistant", odd), (1, 1, "user", None), (1, 3, "user", "tail"), (1, 4, "assistant", ""),
+            (2, 0, "us:er#", "é" + odd), (None, None, None, None), (None, None, None, None)]
+    conv = spark.createDataFrame([(*r, "x", 1) for r in rows], "conv_id long, turn long, role string, text string, loss string, target int")
+    examples = chat_format.chat_examples(conv)
+    first = [r for r in examples.collect() if r.conv_id == 1]
+    assert [(r.n_turns, r.target) for r in sorted(first, key=lambda r: r.example)] == [(2, 2), (4, 4)]
+    got = {r.conv_id: r for r in chat_format.digests(examples).collect()}
+    for conv_id in (1, 2, None):
+        mine = sorted(((t if t is not None else -1, r or "", x or "") for c, t, r, x in rows if c == conv_id))
+        whole = "".join(f"{r}\n{x}\n" for _, r, x in mine)
+        loss = "".join(x for _, r, x in mine if r == "assistant")
+        assert got[conv_id].n_turns == len(mine) and got[conv_id].loss_chars == len(loss)
+        assert got[conv_id].turns_sha256 == hashlib.sha256(whole.encode()).hexdigest()
+        assert got[conv_id].loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+    assert chat_format.chat_examples(conv.limit(0)).collect() == []
+
+
+def test_op4_scores_are_the_network_s(spark, corpus):
+    rows = corpus[:70] + corpus[-8:]
+    docs = frame(spark, rows, extra=True)
+    net, frequent, place = lm_score.fit_network(docs.select("text"))
+    again = lm_score.fit_network(docs.select("text"))[0]
+    assert np.allclose(net.flat, again.flat)
+    table = net.table().reshape(lm_score.VOCABULARY, lm_score.VOCABULARY, lm_score.VOCABULARY)
+    assert np.allclose(np.exp(table.astype(float)).sum(axis=2), 1, atol=1e-4)
+    one = {h: c for h, c in zip(frequent.tolist(), place.tolist(), strict=True)}
+    got = {r.doc_id: r for r in lm_score.lm_scores(docs).collect()}
+    for i, text, *_ in rows:
+        piece = next(textnp.pieces(pa.array([text], pa.string()), textnp.SPACE))
+        ids = [one.get(h, lm_score.END + 1 + h % (lm_score.VOCABULARY - lm_score.END - 1)) for h in piece.word_hash().tolist()]
+        ends = [lm_score.END, *ids, lm_score.END]
+        want = sum(float(table[a, c, b]) for a, b, c in zip(ends, ends[1:], ends[2:]))
+        assert got[i].n_tokens == len(ids) and math.isclose(got[i].log_likelihood, want, rel_tol=1e-5, abs_tol=1e-6)
+        assert (got[i].mean_log_likelihood is None) == (not ids)
+    assert lm_score.lm_scores(frame(spark, [])).collect() == []
+
+
+def test_op4_gradient():
+    rng = np.random.default_rng(2)
+    left, right = rng.integers(0, 256, 6), rng.integers(0, 256, 6)
+    counts = rng.integers(0, 3, (6, 256)).astype(float)
+    net = lm_score.Network()
+    grad, loss = net.gradient(left, right, counts)
+    for k in rng.choice(len(grad), 40, replace=False):
+        moved = net.flat.copy()
+        moved[k] += 1e-5
+        assert abs((lm_score.Network(moved).gradient(left, right, counts)[1] - loss) / 1e-5 - grad[k]) < 1e-2
+
+
+def test_op5_places(spark):
+    rows = [(1, "The MIT License. Apache-License, mit\nlicense"), (2, None), (3, ""), (4, "gnu general public license gnu general public"),
+            (4, "CC  BY cc by-sa ccby"), (5, "GNU Lesser General Public License; BSD license"), (None, "é mit license")]
+    docs = spark.createDataFrame([(*r, "x", 9) for r in rows], "doc_id long, text string, words string, places int")
+    got = sorted((r.doc_id or 0, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels)
+                 for r in license_scan.license_scan(docs).collect())
+    assert got == [(0, 3, 1, 1, 1, "mit", "mit"), (1, 7, 3, 1, 5, "apache,mit", "apache,mit"),
+                   (2, 0, 0, None, None, "", ""), (3, 0, 0, None, None, "", ""), (4, 6, 2, 0, 2, "cc-by", "cc-by"),
+                   (4, 7, 1, 0, 0, "gpl", "gpl"), (5, 7, 0, None, None, "", "bsd,lgpl")]
+    assert license_scan.license_scan(docs.limit(0)).collect() == []
+
+
+def test_op6_marginals_by_enumeration():
+    rng = np.random.default_rng(4)
+    emission, move, begin = rng.normal(size=(5, 3)), rng.normal(size=(3, 3)), rng.normal(size=3)
+    first = np.array([0, 4, 4, 5])
+    got, moves, start = forward_backward(emission, first, move, begin, edges=True)
+    weight = {}
+    for path in np.ndindex(3, 3, 3, 3):
+        weight[path] = math.exp(begin[path[0]] + sum(emission[k, p] for k, p in enumerate(path))
+                                + sum(move[a, b] for a, b in zip(path, path[1:])))
+    total = sum(weight.values())
+    for k in range(4):
+        for lab in range(3):
+            assert math.isclose(got[k, lab], sum(w for p, w in weight.items() if p[k] == lab) / total, rel_tol=1e-9)
+    assert math.isclose(moves.sum(), 3) and math.isclose(start.sum(), 2)
+
+
+def test_op6_predictions(spark):
+    rng = random.Random(1)
+    parts = {"aa": ["kra", "ble", "ost"], "bb": ["ñue", "ião", "que"]}
+    rows = [(k, " ".join("".join(rng.choice(parts[lang]) for _ in range(2)) for _ in range(rng.randrange(1, 40))), lang, None, None)
+            for k in range(200) for lang in [rng.choice(["aa", "bb"])]]
+    odd = [(900, None, "aa", None, None), (901, "", None, None, None), (902, "123 !! — …", None, None, None), (None, "krable ostkra", None, None, None)]
+    docs = frame(spark, rows + odd, extra=True)
+    model = fit_languages(docs)
+    got = {r.doc_id: r for r in identify(docs, model).collect()}
+    held = [r for r in rows if got[r[0]].held_out]
+    assert held and sum(got[r[0]].lang_pred == r[2] for r in held) >= 0.95 * len(held)
+    assert [got[k].lang_pred for k in (900, 901, 902, None)] == ["und", "und", "und", "aa"]
+    assert all(0 <= r.score <= 1 for r in got.values())
+    assert {r.doc_id for r in identified(docs, model).collect()} == set(got) - {900, 901, 902}
+    assert identify(frame(spark, []), None).collect() == []
+    assert fit_languages(frame(spark, [(1, "a", None, None, None)])) is None
+
+
+def test_op7_shards(spark, corpus):
+    rows = corpus + [(500 + k, corpus[3][1], None, None, None) for k in range(30)] + [(None, "x", None, None, None)] * 2
+    got = shard_by_bytes(frame(spark, rows, extra=True), 5).collect()
+    assert len(got) == len(rows) and {r.shard for r in got} <= set(range(5))
+    by = collections.defaultdict(list)
+    for r in got:
+        by[r.shard].append(r)
+    assert all(sorted(r.slot for r in v) == list(range(len(v))) for v in by.values())
+    where = {}
+    for r in got:
+        assert where.setdefault(r.text_crc32, r.shard) == r.shard
+    large = max(len((t or "").encode()) + 16 for _, t, *_ in rows)
+    rest = sorted(sum(r.size for r in v) for v in by.values())
+    assert rest[-1] <= max(large, rest[0] + 200)
+    assert shard_by_bytes(frame(spark, []), 5).collect() == []
+
+
+def test_op7_differencing_is_tight():
+    rng = random.Random(6)
+    sizes = [rng.randrange(1, 10_000) for _ in range(2000)]
+    sums = [0] * 40
+    for s, k in zip(sizes, karmarkar_karp(sizes, 40), strict=True):
+        sums[k] += s
+    assert max(sums) - min(sums) <= 20
+    assert karmarkar_karp([5], 1) == [0] and karmarkar_karp([], 3) == []
+
+
+def test_op8_links(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(600, 16))
+    x[300:420] = x[0] + 0.2 * rng.normal(size=(120, 16))          # a dense group
+    x[420:450] = x[1]
+    rows = [(int(k), v.astype(np.float32).tolist()) for k, v in enumerate(x)]
+    odd = [(700, None), (701, []), (702, [0.0] * 16), (703, [float("nan")] * 16), (704, [None] * 16), (705, [1.0, 2.0]),
+           (706, [1.0, 2.0]), (None, rows[5][1])]
+    df = spark.createDataFrame([(*r, 1, 2) for r in rows + odd], "vec_id long, embedding array<float>, n_links int, id int")
+    got = {r.vec_id: r for r in near_vectors(df).collect()}
+    u = np.array([r[1] for r in rows], dtype=np.float64)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    linked = (u @ u.T >= 0.9) & ~np.eye(len(u), dtype=bool)
+    want = linked.sum(axis=1)
+    have = np.array([got[k].n_links - (k == 5) for k in range(len(u))])
+    assert (have <= want).all() and have.sum() >= 0.98 * want.sum()
+    assert all(got[k].component_id == min(got[j].component_id for j in [k, *np.flatnonzero(linked[k])])
+               for k in range(len(u)) if have[k] == want[k])
+    assert [(got[k].n_links, got[k].component_id, got[k].kept) for k in (700, 701, 702, 703, 704)] == [(0, k, True) for k in range(700, 705)]
+    assert (got[705].n_links, got[706].component_id, got[706].kept) == (1, 705, False)
+    assert got[None].n_links == 1 + want[5] and got[None].component_id == got[5].component_id
+    assert near_vectors(df.limit(0)).collect() == []
+
+
+ODD_TEXTS = ["", "  ", "\n\n a", "<|endoftext|> b<|startoftext|>", "İstanbul ΑΣ ΑΣΑ", "á ́b    x", "don't'll  it's 's",
+             "日本 語 ١٢3", "é e ́\ń", "a\x00b \x85 c​", "x" * 5000, None, "tab\tsep\r\nq", "﻿   ok"]
+
+
+@pytest.mark.parametrize("chunk_words", [1, 3])
+def test_op9_is_the_tokenizer(spark, corpus, chunk_words):
+    rows = [(k, t, None, None, None) for k, t in enumerate(ODD_TEXTS)] + [(100 + i, t, *r) for i, t, *r in corpus] + [(None, "a b", None, None, None)]
+    tokenizer = bpe.ChunkCoder(bpe.public_tokenizer()).tokenizer
+    got = {r.doc_id: r for r in bpe.bpe_encode(frame(spark, rows, extra=True), chunk_words=chunk_words).collect()}
+    for i, text, *_ in rows:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids
+        assert got[i].n_tokens == len(ids) and bytes(got[i].ids) == np.asarray(ids, "<u4").tobytes()
+        assert got[i].decoded == tokenizer.decode(ids, skip_special_tokens=False)
+    assert bpe.bpe_encode(frame(spark, [])).collect() == []
+
+
+def test_op9_takes_back_a_cut_that_does_not_agree():
+    """A tokenizer that looks across white space: the chunks grow until they agree."""
+    from tokenizers import Tokenizer, decoders, models, pre_tokenizers
+    coder = bpe.ChunkCoder(bpe.public_tokenizer())
+    vocabulary = {c: k for k, c in enumerate(["a", "b", " ", "a b", "a "])}
+    coder.tokenizer = Tokenizer(models.BPE(vocab=vocabulary, merges=[("a", " "), ("a ", "b")]))
+    coder.tokenizer.pre_tokenizer, coder.tokenizer.decoder = pre_tokenizers.Split("zzz", "isolated"), decoders.Fuse()
+    text = "a b a a b b"
+    piece = next(textnp.pieces(pa.array([text]), coder.cut_at, lower=False))
+    got = coder.encode(piece).to_pylist()[0]
+    assert got["ids"] == np.asarray(coder.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_op10_scores(spark):
+    rng = random.Random(2)
+    rows, marks = [], []
+    for k in range(400):
+        good = rng.random() < 0.7
+        w = words(rng, rng.randrange(5, 60))
+        rows.append((k, " ".join(w) + "." if good else " ".join(x.upper() + "$$$" for x in w), None, None, None))
+        marks.append((k, int(good), 0))
+    odd = [(900, None, None, None, None), (901, "", None, None, None), (None, "abc", None, None, None)]
+    docs = frame(spark, rows + odd, extra=True)
+    labels = spark.createDataFrame(marks + [(1, None, 1), (2, 7, 1), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in quality_scores(docs, labels).collect()}
+    held = [m for m in marks if got[m[0]].held_out]
+    assert held and sum(got[k].predicted == y for k, y, _ in held) >= 0.97 * len(held)
+    assert got[900].score == got[901].score and all(0 <= r.score <= 1 for r in got.values()) and len(got) == 403
+    kept = {r.doc_id for r in quality_kept(docs, labels).collect()}
+    assert kept == {k for k, r in got.items() if r.predicted}
+    assert {r.score for r in quality_scores(docs, labels.limit(0)).collect()} == {0.5}
+    assert quality_scores(frame(spark, []), labels).collect() == []
+
+
+def test_op10_isotonic():
+    x, y = isotonic(np.arange(5.0), np.array([0.1, 0.5, 0.3, 0.2, 0.9]), np.ones(5))
+    assert np.allclose(y, [0.1, 1 / 3, 0.9]) and np.allclose(x, [0, 2, 4])
+
+
+def test_words_hash_alike_anywhere():
+    piece = next(textnp.pieces(pa.array(["ab  CD ab", None, "", "cd", "ab" * 9]), textnp.SPACE))
+    h = piece.word_hash().tolist()
+    assert piece.first.tolist() == [0, 3, 3, 3, 4, 5] and h[0] == h[2] and h[1] == h[3] and len(set(h)) == 3

@@ -1,0 +1,33 @@
+"""The pipeline over sf0.001, stage by stage against the operators' own results."""
+
+import corpus_pipeline
+from forgestat.llm import registry
+from forgestat.llm.common import table
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_pipeline_and_stages(spark):
+    docs = table(spark, SF, "documents")
+    ids = {r.doc_id for r in docs.select("doc_id").collect()}
+    assert [f.__name__ for _, f in corpus_pipeline.STAGES] == [
+        "language_stage", "quality_stage", "ngram_stage", "decontamination_stage", "bpe_stage"]
+
+    def kept(stage):
+        out = stage(spark, docs, SF)
+        assert out.dtypes == docs.dtypes
+        return {r.doc_id for r in out.select("doc_id").collect()}
+    good = {r.doc_id for r in registry.op10_quality(spark, SF).collect() if r.predicted == 1}
+    assert kept(corpus_pipeline.quality_stage) == good
+    first = {r.component_id for r in registry.op2_ngram_jaccard(spark, SF).collect()}
+    assert kept(corpus_pipeline.ngram_stage) == first
+    leaked = {r.doc_id for r in registry.op1_decontamination(spark, SF).collect()}
+    assert kept(corpus_pipeline.decontamination_stage) == ids - leaked
+    lang = {r.doc_id for r in registry.op6_language_id(spark, SF).collect() if r.lang_pred != "und" and r.score >= 0.5}
+    assert kept(corpus_pipeline.language_stage) == lang
+    out = corpus_pipeline.run(spark, SF)
+    coded = {r.doc_id: r for r in registry.op9_bpe(spark, SF).collect()}
+    rows = out.collect()
+    assert 0 < len(rows) == len({r.doc_id for r in rows}) < len(ids)
+    assert all((r.n_tokens, r.ids_sha256, r.decoded_sha256) ==
+               (coded[r.doc_id].n_tokens, coded[r.doc_id].ids_sha256, coded[r.doc_id].decoded_sha256) for r in rows)
