@@ -14,12 +14,20 @@ from pyspark.sql import functions as F
 from forgestat.session import checkpoint_dir
 
 
+#: Whole texts travel in these batches, so they are kept small: long texts
+#: count by their bytes.
+ARROW_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+               "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
+
 _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
     """Give the package's code to the executors, as ``--py-files`` would, once
-    per application: tasks import it wherever their working folder is."""
+    per application: tasks import it wherever their working folder is. Also
+    sets the size of Arrow batches."""
+    for name, value in ARROW_BATCH.items():
+        spark.conf.set(name, value)
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return

@@ -36,7 +36,7 @@ RUNS = 4                 # such runs in a sequence
 SWITCH = 0.3             # share of runs that change the language
 ROUNDS = 30
 RATE = 0.25
-PIECE = 1 << 21
+PIECE = 1 << 20
 
 _HAS_LETTER = np.zeros(256, dtype=bool)
 _HAS_LETTER[ord("a"):ord("z") + 1] = True

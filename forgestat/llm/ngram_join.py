@@ -47,7 +47,7 @@ from forgestat.llm.components import components
 
 CLASS_BITS = 1 << 23      # size of the bit map of frequent tokens (1 MiB)
 FREQUENT = 8              # counted repeats from which a token is frequent
-COUNTED = 1 << 21         # tokens a task counts at a time
+COUNTED = 1 << 20         # tokens a task counts at a time
 BROADCAST_IDS = 2_000_000  # ids that may be broadcast (8 or 16 bytes each)
 
 _SETS = "doc_id long, n long, fa long, fb long, token long, c long"
