@@ -1,7 +1,7 @@
 """Command line: ``python -m forgestat daily ...`` runs the daily job on a
 landing folder; ``python -m forgestat publish ...`` builds the warehouse over
 the driver tables and saves the models as catalog tables. Uses the active
-cluster session when launched by spark-submit, else a local one."""
+session's own master and settings (spark-submit) unless ``--master`` is given."""
 
 from __future__ import annotations
 
@@ -12,14 +12,13 @@ import json
 from pyspark.sql import SparkSession
 
 from forgestat.params import WarehouseParams
+from forgestat.sources.ingest import DEFAULT_INITIAL_CURSOR
 from forgestat.session import build_session, configure
 
 
 def _session(master: str | None) -> SparkSession:
-    active = SparkSession.getActiveSession()
-    if active is not None:
-        return configure(active)
-    return build_session(master or "local[*]")
+    """The submitted cluster's session; master and sizes are set here only on demand."""
+    return build_session(master) if master else configure(SparkSession.builder.getOrCreate())
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -32,6 +31,7 @@ def main(argv: list[str] | None = None) -> None:
     d.add_argument("--load-id", default=dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H%M%S"))
     d.add_argument("--spine-start", default="2026-01-01")
     d.add_argument("--spine-end", default="2026-12-31")
+    d.add_argument("--initial-date", default=DEFAULT_INITIAL_CURSOR, help="where entities without a cursor start")
     d.add_argument("--modes", choices=["effective", "declared"], default="effective")
     d.add_argument("--exclude-pull-requests", action="store_true")
     p = sub.add_parser("publish", help="build over the driver tables, save as catalog tables")
@@ -47,7 +47,7 @@ def main(argv: list[str] | None = None) -> None:
         params = WarehouseParams(date_spine_start=dt.date.fromisoformat(a.spine_start),
                                  date_spine_end=dt.date.fromisoformat(a.spine_end),
                                  exclude_pull_requests=a.exclude_pull_requests, load_id=a.load_id)
-        out = daily_run(spark, a.landing, a.bronze, a.out, a.load_id, params, a.modes)
+        out = daily_run(spark, a.landing, a.bronze, a.out, a.load_id, params, a.modes, a.initial_date)
         print(json.dumps(out, default=str))
     else:
         from forgestat.plans.warehouse import driver_warehouse

@@ -238,8 +238,8 @@ def stg_pr_reviews(pr_reviews: DataFrame) -> DataFrame:
 def stg_users(stg_issues_df: DataFrame, stg_prs: DataFrame, stg_comments: DataFrame,
               stg_commits_df: DataFrame, stg_stars: DataFrame) -> DataFrame:
     """Users of five sources: distinct (id, login) union, ``min(login)`` per id,
-    bot flag. The per-source DISTINCT and the UNION's DISTINCT are implied by
-    the grouping, so the plan is one partial + one final aggregation."""
+    bot flag. Duplicates go first, by hash aggregation, so that the minimum over
+    strings (a sort aggregation) sees only the distinct pairs."""
     def src(df: DataFrame, id_col: str, login_col: str) -> DataFrame:
         return df.filter(F.col(id_col).isNotNull()).select(
             F.col(id_col).alias("user_id"), F.col(login_col).alias("user_login"))
@@ -249,5 +249,5 @@ def stg_users(stg_issues_df: DataFrame, stg_prs: DataFrame, stg_comments: DataFr
             .unionByName(src(stg_comments, "author_id", "author_login"))
             .unionByName(src(stg_commits_df, "author_id", "author_login"))
             .unionByName(src(stg_stars, "user_id", "user_login")))
-    dedup = allu.groupBy("user_id").agg(F.min("user_login").alias("user_login"))
+    dedup = allu.distinct().groupBy("user_id").agg(F.min("user_login").alias("user_login"))
     return dedup.select("user_id", "user_login", is_bot_login("user_login").alias("is_bot"))

@@ -33,4 +33,4 @@ DRIVER_PARAMS = WarehouseParams(
     load_id="driver",
 )
 # days between the spine's exclusive end and the last event day
-DRIVER_SPINE_END_LAG_DAYS = 14
+DRIVER_SPINE_END_DAYS = 1

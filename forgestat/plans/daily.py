@@ -33,7 +33,8 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def load_entity(spark: SparkSession, landing_root: str, bronze_root: str, entity: str, load_id: str,
-                cursors: DataFrame | None, modes: str = "effective") -> tuple[DataFrame | None, DataFrame | None]:
+                cursors: DataFrame | None, modes: str = "effective",
+                initial: str = ingest.DEFAULT_INITIAL_CURSOR) -> tuple[DataFrame | None, DataFrame | None]:
     """Merge one entity's landed files into its bronze table. Returns the
     rows taken from landing (for the next cursors) and the new bronze."""
     if not _exists(spark, f"{landing_root.rstrip('/')}/{entity}"):
@@ -44,13 +45,14 @@ def load_entity(spark: SparkSession, landing_root: str, bronze_root: str, entity
     rows = landing.to_bronze(_parsed(spark, landing_root, entity), entity, load_id)
     cursor = landing.CURSORS.get(entity)
     if cursor:
-        rows = ingest.apply_cursor(rows, entity, cursor, cursors, keep_null=(entity == "releases"))
+        rows = ingest.apply_cursor(rows, entity, cursor, cursors, keep_null=(entity == "releases"),
+                                   initial=initial)
     table = VersionedTable(spark, f"{bronze_root}/{entity}")
     existing = table.read()
     pk = landing.PRIMARY_KEYS[entity]
     mode = "merge" if modes == "effective" else DECLARED_MODES[entity]
     if mode == "merge":
-        new = ingest.merge_into(existing, rows, pk, [cursor] if cursor else ["_load_id"])
+        new = ingest.merge_into(existing, rows, pk, [cursor, "_load_id"] if cursor else ["_load_id"])
     elif mode == "append":
         add = ingest.append_new(existing, rows, pk)
         new = add if existing is None else existing.unionByName(add, allowMissingColumns=True)
@@ -61,20 +63,36 @@ def load_entity(spark: SparkSession, landing_root: str, bronze_root: str, entity
 
 
 def _parsed(spark: SparkSession, landing_root: str, entity: str) -> DataFrame:
-    """Landed rows that parsed; malformed lines are kept aside in
-    ``_corrupt_record`` by the reader and not loaded."""
+    """Landed rows that parsed; ``quarantine`` keeps the others."""
     raw = landing.read_landed(spark, landing_root, entity)
     return raw.filter(F.col("_corrupt_record").isNull())
 
 
+def quarantine(spark: SparkSession, landing_root: str, bronze_root: str, entity: str, load_id: str) -> int:
+    """Write the malformed landed lines of one entity to
+    ``<bronze>/_quarantine/<entity>/load_id=<id>`` and count them."""
+    bad = (landing.read_landed(spark, landing_root, entity).filter(F.col("_corrupt_record").isNotNull())
+           .select("_corrupt_record", landing.landed_schema(entity).names[0]).cache())
+    n = bad.count()
+    if n:
+        bad.write.mode("overwrite").parquet(f"{bronze_root.rstrip('/')}/_quarantine/{entity}/load_id={load_id}")
+    bad.unpersist()
+    return n
+
+
 def daily_run(spark: SparkSession, landing_root: str, bronze_root: str, out_root: str, load_id: str,
-              params: WarehouseParams, modes: str = "effective") -> dict:
+              params: WarehouseParams, modes: str = "effective",
+              initial: str = ingest.DEFAULT_INITIAL_CURSOR) -> dict:
+    """The daily job. ``initial`` is where an entity without a stored cursor starts."""
     state = VersionedTable(spark, f"{bronze_root}/_cursors")
     cursors = state.read()
     bronze: dict[str, DataFrame] = {}
     next_c = cursors
+    quarantined = {}
     for entity in ENTITIES:
-        rows, table = load_entity(spark, landing_root, bronze_root, entity, load_id, cursors, modes)
+        rows, table = load_entity(spark, landing_root, bronze_root, entity, load_id, cursors, modes, initial)
+        if rows is not None:
+            quarantined[entity] = quarantine(spark, landing_root, bronze_root, entity, load_id)
         if table is not None:
             bronze[entity] = table
         cursor = landing.CURSORS.get(entity)
@@ -86,4 +104,5 @@ def daily_run(spark: SparkSession, landing_root: str, bronze_root: str, out_root
     wh = Warehouse(spark, LazyTables({k: (lambda v=v: v) for k, v in bronze.items()}), params)
     result = run_pipeline(wh, out_root)
     result["bronze_rows"] = summary
+    result["quarantined_rows"] = quarantined
     return result

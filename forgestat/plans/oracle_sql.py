@@ -10,7 +10,7 @@ BIGINT, DECIMAL ratios -> DOUBLE); ``approx_quantile`` is stated as
 
 from __future__ import annotations
 
-from forgestat.params import DRIVER_PARAMS, DRIVER_SPINE_END_LAG_DAYS
+from forgestat.params import DRIVER_PARAMS, DRIVER_SPINE_END_DAYS
 from forgestat.sources.adapters import (API_ROOT, BOT_EVERY, LABELS, LANGUAGES, PRIORITY_LABELS,
                                         REVIEW_STATES, URL_ROOT)
 
@@ -374,7 +374,7 @@ cte("dim_dates", f"""SELECT CAST(d AS DATE) AS date, CAST(strftime(d, '%Y%m%d')
   CASE WHEN extract(month FROM d) IN (9, 10, 11) THEN true ELSE false END AS is_fall
   FROM (SELECT CAST(range AS DATE) AS d FROM range(
           (SELECT CAST(min(CAST(o_orderdate AS DATE)) AS TIMESTAMP) FROM orders),
-          (SELECT CAST(max(CAST(ts AS DATE)) - {DRIVER_SPINE_END_LAG_DAYS} AS TIMESTAMP) FROM events),
+          (SELECT CAST(max(CAST(ts AS DATE)) + {DRIVER_SPINE_END_DAYS} AS TIMESTAMP) FROM events),
           INTERVAL 1 DAY)) s""", [])
 cte("dim_repositories", f"""SELECT {_skey('repository_id')} AS repo_key, repository_id, repository_full_name,
   repository_name, owner_login, owner_id, repository_description, repository_url, primary_language,

@@ -194,18 +194,18 @@ class Warehouse:
 
 def driver_params(spark: SparkSession, sf_dir: str) -> WarehouseParams:
     """Date-spine bounds from the data: first order day to
-    ``DRIVER_SPINE_END_LAG_DAYS`` before the last event day (exclusive end).
+    ``DRIVER_SPINE_END_DAYS`` after the last event day (exclusive end).
     Two scalar aggregates; only the two dates reach the driver."""
     import dataclasses
     import datetime as dt
-    from forgestat.params import DRIVER_PARAMS, DRIVER_SPINE_END_LAG_DAYS
+    from forgestat.params import DRIVER_PARAMS, DRIVER_SPINE_END_DAYS
     d = sf_dir.rstrip("/")
     first = spark.read.parquet(f"{d}/orders.parquet").agg(F.min(F.col("o_orderdate").cast("date"))).first()[0]
     last = spark.read.parquet(f"{d}/events.parquet").agg(F.max(F.col("ts").cast("date"))).first()[0]
     if first is None or last is None:
-        return DRIVER_PARAMS
+        raise ValueError("orders or events hold no date: the date spine has no bounds")
     return dataclasses.replace(DRIVER_PARAMS, date_spine_start=first,
-                               date_spine_end=last - dt.timedelta(days=DRIVER_SPINE_END_LAG_DAYS))
+                               date_spine_end=last + dt.timedelta(days=DRIVER_SPINE_END_DAYS))
 
 
 def driver_warehouse(spark: SparkSession, sf_dir: str, params: WarehouseParams | None = None,

@@ -20,6 +20,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
 from forgestat.sources import ingest, landing
 from forgestat.sources.tables import VersionedTable
@@ -28,10 +29,12 @@ from forgestat.sources.tables import VersionedTable
 def landing_stream(spark: SparkSession, root: str, entity: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Landed JSON of one entity as a stream, in bronze shape."""
     schema = landing.landed_schema(entity)
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(StructType([*schema.fields, StructField("_corrupt_record", StringType())]))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.json(f"{root.rstrip('/')}/{entity}")
+    # malformed lines are no rows (the batch form counts and keeps them)
+    raw = raw.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
     return landing.to_bronze(raw, entity, load_id="stream").withColumn("_ingested_at", F.current_timestamp())
 
 
@@ -40,7 +43,8 @@ def upsert_sink(table: VersionedTable, pk: Sequence[str], order_by: Sequence[str
     Idempotent: replaying a batch yields the same table."""
     def merge(batch: DataFrame, batch_id: int) -> None:
         existing = table.read()
-        incoming = batch.drop("_ingested_at")
+        # a later batch is newer than an earlier one where the cursor does not tell
+        incoming = batch.drop("_ingested_at").withColumn("_load_id", F.lit(f"stream-{batch_id:012d}"))
         table.write(ingest.merge_into(existing, incoming, pk, order_by))
     return merge
 
@@ -49,7 +53,7 @@ def start_upsert(spark: SparkSession, root: str, entity: str, table_path: str, c
                  order_by: Sequence[str] | None = None) -> StreamingQuery:
     stream = landing_stream(spark, root, entity)
     pk = landing.PRIMARY_KEYS[entity]
-    order = list(order_by or [landing.CURSORS.get(entity, "_load_id")])
+    order = list(order_by or [c for c in (landing.CURSORS.get(entity), "_load_id") if c])
     return (stream.writeStream.foreachBatch(upsert_sink(VersionedTable(spark, table_path), pk, order))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
