@@ -8,6 +8,7 @@ text larger than a piece is handled whole.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -67,6 +68,15 @@ def string_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets
 
 
+def release() -> None:
+    """Give memory that is no longer used back to the system: Python workers are
+    kept from task to task beside an executor of fixed size."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
+    if trim is not None:
+        trim(0)
+
+
 @dataclass
 class Piece:
     """Some consecutive documents of a batch and their words."""
@@ -117,6 +127,7 @@ def pieces(column: pa.Array, separators: np.ndarray, most: int = PIECE, lower: b
         start, end = np.flatnonzero(begins), np.flatnonzero(ends)
         yield Piece(lo, hi, given, buf, at, start, end, np.searchsorted(start, at).astype(np.int64))
         lo = hi
+    release()
 
 
 def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
