@@ -117,7 +117,7 @@ cte("b_pull_requests", f"""SELECT {_ISSUE_LIKE.format(p='PR_', e='pull_requests'
   CASE WHEN merged_at IS NOT NULL THEN md5('merge|' || o_orderkey) END AS merge_commit_sha,
   created_at, updated_at, closed_at, merged_at, {_labels_sql('o_orderpriority')} AS labels,
   _owner, _repo, '{LOAD_ID}' AS _load_id
-  FROM orders_y WHERE o_orderkey % 2 = 1""", ["orders_y"])
+  FROM orders_y""", ["orders_y"])
 cte("b_comments_landed", f"""SELECT l.l_orderkey * 100 + l.l_linenumber AS id,
   'IC_' || (l.l_orderkey * 100 + l.l_linenumber) AS node_id,
   md5('issue_comments|' || (l.l_orderkey * 100 + l.l_linenumber)) AS _row_id,
@@ -151,7 +151,7 @@ cte("b_releases", f"""SELECT o.o_orderkey AS id, 'RE_' || o.o_orderkey AS node_i
   o.o_orderstatus = 'P' AS prerelease, 'Notes for ' || o.o_orderkey AS body, o.o_orderdate AS created_at,
   CASE WHEN o.o_orderkey % 25 = 0 THEN NULL ELSE o.o_orderdate END AS published_at,
   pr._owner, pr._repo, '{LOAD_ID}' AS _load_id
-  FROM orders o JOIN people_repo pr ON o.o_custkey = pr.user_id WHERE o.o_orderpriority = '1-URGENT'""",
+  FROM orders o JOIN people_repo pr ON o.o_custkey = pr.user_id""",
     ["people_repo"])
 cte("b_stargazers", f"""SELECT f.starred_at, p.user_id, p.login AS user_login, p.user_type, m._owner, m._repo,
   '{LOAD_ID}' AS _load_id
@@ -172,8 +172,7 @@ cte("b_pr_reviews_landed", f"""SELECT l.l_orderkey * 100 + l.l_linenumber AS id,
   'review of part ' || l.l_partkey || ' flag ' || l.l_returnflag AS body, md5('review|' || (l.l_orderkey * 100 + l.l_linenumber)) AS commit_id,
   l.l_shipdate + to_minutes(CAST(l.l_partkey % 1440 AS BIGINT)) AS submitted_at, '{LOAD_ID}' AS _load_id,
   md5('pr_reviews|' || (l.l_orderkey * 100 + l.l_linenumber)) AS _row_id
-  FROM lineitem l JOIN order_repo r ON l.l_orderkey = r.o_orderkey
-  WHERE l.l_orderkey % 2 = 1""", ["order_repo"])
+  FROM lineitem l JOIN order_repo r ON l.l_orderkey = r.o_orderkey""", ["order_repo"])
 cte("b_pr_reviews", """SELECT * FROM b_pr_reviews_landed
   QUALIFY row_number() OVER (PARTITION BY id ORDER BY submitted_at DESC NULLS LAST, body DESC NULLS LAST,
                                                   user__id DESC NULLS LAST) = 1""", ["b_pr_reviews_landed"])
