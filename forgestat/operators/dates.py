@@ -44,6 +44,15 @@ def dim_dates(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
     return date_spine(spark, start, end).select(*date_attributes(F.col("date_day")))
 
 
+def dim_dates_between(bounds: DataFrame) -> DataFrame:
+    """The date dimension of the days from ``first`` up to ``past`` (exclusive)
+    of a one-row table of bounds, which stay inside the plan. Without bounds,
+    or where they enclose no day, there are no rows."""
+    days = bounds.filter("first < past").select(
+        F.explode(F.sequence("first", F.date_sub("past", 1))).alias("date_day"))
+    return days.select(*date_attributes(F.col("date_day")))
+
+
 def date_key_in_spine(ts: str | Column, start: dt.date, end: dt.date) -> Column:
     """``date_key`` of the day of ``ts`` when that day is in the spine, else
     NULL: the result of a left join to :func:`dim_dates` on the date, computed

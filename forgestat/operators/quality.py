@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -88,12 +89,14 @@ class ModelTests:
 
 
 def profile(df: DataFrame, spec: ModelTests) -> DataFrame:
-    """unique / not_null / expression / accepted-values checks of one model
-    in ONE aggregation pass. ``unique`` failures count surplus rows
-    (non-NULL rows minus distinct values)."""
+    """not_null / expression / accepted-values checks of one model in ONE
+    aggregation pass, and one grouping per ``unique`` column. A ``unique``
+    failure is a value that occurs more than once, as the failing rows of
+    :func:`unique_failures` are; surplus copies do not count again."""
+    parts = [unique_failures(df, c).agg(F.count(F.lit(1)).alias("failures")).select(
+        F.lit(spec.model).alias("model"), F.lit("unique").alias("test"), F.lit(c).alias("column_name"), "failures")
+        for c in spec.unique]
     checks: list[tuple[str, str, Column]] = []
-    for c in spec.unique:
-        checks.append(("unique", c, F.count(F.col(c)) - F.countDistinct(F.col(c))))
     for c in spec.not_null:
         checks.append(("not_null", c, F.count_if(F.col(c).isNull())))
     for c, e, w in spec.expressions:
@@ -101,12 +104,14 @@ def profile(df: DataFrame, spec: ModelTests) -> DataFrame:
         checks.append(("expression_is_true", c, F.count_if(F.coalesce(cond, F.lit(False)))))
     for c, vals in spec.accepted:
         checks.append(("accepted_values", c, F.count_if(F.coalesce(~F.col(c).isin(*vals), F.lit(False)))))
+    if not checks:
+        return reduce(DataFrame.unionByName, parts)
     row = df.agg(*[agg.alias(f"_c{i}") for i, (_, _, agg) in enumerate(checks)])
     stack = F.explode(F.array(*[
         F.struct(F.lit(spec.model).alias("model"), F.lit(t).alias("test"), F.lit(c).alias("column_name"),
                  F.col(f"_c{i}").cast("bigint").alias("failures"))
         for i, (t, c, _) in enumerate(checks)]))
-    return row.select(stack.alias("r")).select("r.*")
+    return reduce(DataFrame.unionByName, parts, row.select(stack.alias("r")).select("r.*"))
 
 
 # The reference's declared mart tests (fixed list).

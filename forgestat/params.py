@@ -24,9 +24,7 @@ class WarehouseParams:
 
 # Defaults used with the driver's tables. The spine bounds are
 # replaced by data-derived ones in plans.warehouse.driver_warehouse: from the
-# first order day to two weeks before the last event day (exclusive), so the
-# spine stops half way through the events' month and NULL date keys occur
-# (D12). At every driver scale that is 1995-01-01 ... 2024-01-16.
+# first order day to the last event day.
 DRIVER_PARAMS = WarehouseParams(
     date_spine_start=dt.date(1995, 1, 1),
     date_spine_end=dt.date(2024, 1, 16),

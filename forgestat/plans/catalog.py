@@ -16,7 +16,7 @@ from forgestat.operators import intermediate, quality
 from forgestat.plans import analysis
 from forgestat.plans.oracle_sql import compose
 from forgestat.plans.warehouse import Warehouse, driver_warehouse
-from forgestat.sources import ingest
+from forgestat.sources import ingest, landing
 
 Entry = tuple[Callable[[Warehouse], DataFrame], str | None]
 ENTRIES: dict[str, Entry] = {}
@@ -56,7 +56,7 @@ register("w01_release_intervals", _model("release_intervals"), "SELECT * FROM re
 # The reference's disabled reviews path (M-11 -> A-05 -> J-04), run on a
 # warehouse whose bronze includes the adapters' landed reviews.
 WITH_REVIEWS = {"m11_stg_pr_reviews", "m15r_int_pr_with_reviews_enabled", "a05_review_stats",
-                "t01_t02_review_tests"}
+                "t01_t02_review_tests", "src04_pr_reviews_json"}
 register("m11_stg_pr_reviews", _model("stg_pr_reviews"), "SELECT * FROM stg_pr_reviews", ["stg_pr_reviews"])
 register("a05_review_stats", lambda wh: intermediate.review_stats(wh.stg_pr_reviews),
          "SELECT * FROM review_stats", ["review_stats"])
@@ -186,7 +186,8 @@ def _mart_tests_sql(specs=None) -> tuple[str, list[str]]:
         m = s.model
         for c in s.unique:
             parts.append(f"SELECT '{m}' AS model, 'unique' AS test, '{c}' AS column_name, "
-                         f"CAST(count({c}) - count(DISTINCT {c}) AS BIGINT) AS failures FROM {m}")
+                         f"CAST(count(*) AS BIGINT) AS failures FROM (SELECT {c} FROM {m} WHERE {c} IS NOT NULL "
+                         f"GROUP BY {c} HAVING count(*) > 1) repeated")
         for c in s.not_null:
             parts.append(f"SELECT '{m}', 'not_null', '{c}', CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) FROM {m}")
         for c, e, w in s.expressions:
@@ -204,6 +205,10 @@ def _mart_tests_sql(specs=None) -> tuple[str, list[str]]:
 
 
 _mt_sql, _mt_deps = _mart_tests_sql()
+DECISIONS = ["APPROVED", "CHANGES_REQUESTED"]
+# Reviews as they land: ids repeat, some have no author, some decide nothing.
+LANDED_REVIEW_TESTS = [quality.ModelTests("b_pr_reviews_landed", unique=["id"], not_null=["id", "user__id"],
+                                          accepted=[("state", DECISIONS)])]
 
 
 def _layer_models(wh: Warehouse) -> dict[str, DataFrame]:
@@ -255,6 +260,25 @@ register("t07_negative_cycle_time", lambda wh: quality.negative_cycle_time(wh.fc
          "SELECT pr_key, pull_request_id, time_to_merge_hours FROM fct_pull_requests WHERE is_merged = true "
          "AND time_to_merge_hours IS NOT NULL AND time_to_merge_hours < 0", ["fct_pull_requests"])
 
+# The same checks on relations of these tables that do fail.
+register("t01_unique_failures_landed_comments",
+         lambda wh: quality.unique_failures(wh.adapters.issue_comments_landed, "id"),
+         "SELECT id, count(*) AS n_records FROM b_comments_landed GROUP BY id HAVING count(*) > 1", ["b_comments_landed"])
+register("t01_t02_landed_review_tests",
+         lambda wh: quality.run_mart_tests({"b_pr_reviews_landed": wh.adapters.pr_reviews_landed}, LANDED_REVIEW_TESTS),
+         *_mart_tests_sql(LANDED_REVIEW_TESTS))
+register("t02_not_null_failures_review_authors",
+         lambda wh: quality.not_null_failures(wh.adapters.pr_reviews, "user__id").select("id", "user__id"),
+         "SELECT id, user__id FROM b_pr_reviews WHERE user__id IS NULL", ["b_pr_reviews"])
+register("t03_relationship_failures_prs_in_reviews",
+         lambda wh: quality.relationship_failures(wh.stg_pull_requests, "pr_number", wh.adapters.pr_reviews, "_pr_number")
+         .select("pull_request_id", "pr_number"),
+         "SELECT pull_request_id, pr_number FROM stg_pull_requests WHERE pr_number NOT IN "
+         "(SELECT _pr_number FROM b_pr_reviews)", ["stg_pull_requests", "b_pr_reviews"])
+register("t04_accepted_values_failures_review_states",
+         lambda wh: quality.accepted_values_failures(wh.adapters.pr_reviews, "state", DECISIONS).select("id", "state"),
+         "SELECT id, state FROM b_pr_reviews WHERE state <> 'APPROVED' AND state <> 'CHANGES_REQUESTED'", ["b_pr_reviews"])
+
 # Freshness of each source with a cursor field, at a fixed as-of instant.
 FRESHNESS_AS_OF = dt.datetime(2001, 9, 1, 0, 0, 0)
 FRESHNESS_SOURCES = [("issues", "stg_issues", "updated_at"), ("pull_requests", "stg_pull_requests", "updated_at"),
@@ -262,22 +286,31 @@ FRESHNESS_SOURCES = [("issues", "stg_issues", "updated_at"), ("pull_requests", "
                      ("releases", "stg_releases", "published_at"), ("stargazers", "stg_stargazers", "starred_at")]
 
 
-def _freshness(wh: Warehouse) -> DataFrame:
+def _freshness(wh: Warehouse, as_of: dt.datetime = FRESHNESS_AS_OF) -> DataFrame:
     out = None
     for src, model, col in FRESHNESS_SOURCES:
-        f = quality.freshness(getattr(wh, model), src, col, FRESHNESS_AS_OF)
+        f = quality.freshness(getattr(wh, model), src, col, as_of)
         out = f if out is None else out.unionByName(f)
     return out
 
 
-_fr_parts = []
-for _src, _model_name, _col in FRESHNESS_SOURCES:
-    _age = (f"round((epoch_us(TIMESTAMP '{FRESHNESS_AS_OF:%Y-%m-%d %H:%M:%S}') - epoch_us(max({_col}))) "
-            f"/ 3600000000.0, 3)")
-    _fr_parts.append(f"""SELECT '{_src}' AS source, max({_col}) AS max_loaded_at, CAST({_age} AS DOUBLE) AS age_hours,
-  CASE WHEN max({_col}) IS NULL THEN 'error' WHEN {_age} > {quality.ERROR_AFTER_HOURS} THEN 'error'
-       WHEN {_age} > {quality.WARN_AFTER_HOURS} THEN 'warn' ELSE 'pass' END AS status FROM {_model_name}""")
-register("t08_source_freshness", _freshness, "\nUNION ALL\n".join(_fr_parts), [m for _, m, _ in FRESHNESS_SOURCES])
+def _freshness_sql(as_of: dt.datetime) -> str:
+    parts = []
+    for src, model, col in FRESHNESS_SOURCES:
+        age = f"round((epoch_us(TIMESTAMP '{as_of:%Y-%m-%d %H:%M:%S}') - epoch_us(max({col}))) / 3600000000.0, 3)"
+        parts.append(f"""SELECT '{src}' AS source, max({col}) AS max_loaded_at, CAST({age} AS DOUBLE) AS age_hours,
+  CASE WHEN max({col}) IS NULL THEN 'error' WHEN {age} > {quality.ERROR_AFTER_HOURS} THEN 'error'
+       WHEN {age} > {quality.WARN_AFTER_HOURS} THEN 'warn' ELSE 'pass' END AS status FROM {model}""")
+    return "\nUNION ALL\n".join(parts)
+
+
+_FRESHNESS_DEPS = [m for _, m, _ in FRESHNESS_SOURCES]
+register("t08_source_freshness", _freshness, _freshness_sql(FRESHNESS_AS_OF), _FRESHNESS_DEPS)
+# Two instants after the newest row of every source: a day later, two days later.
+FRESHNESS_AFTER = [dt.datetime(2024, 1, 31, 12, 0, 0), dt.datetime(2024, 2, 1, 12, 0, 0)]
+register("t08_source_freshness_after_data",
+         lambda wh: _freshness(wh, FRESHNESS_AFTER[0]).unionByName(_freshness(wh, FRESHNESS_AFTER[1])),
+         "\nUNION ALL\n".join(map(_freshness_sql, FRESHNESS_AFTER)), _FRESHNESS_DEPS)
 
 
 # ---- ingest: cursors and write modes (SRC-10 ... SRC-13, SRC-18) -----------------------
@@ -308,6 +341,18 @@ register("src10_next_cursors",
          ["b_issues", "b_issue_comments"])
 register("src11_merge_upsert", lambda wh: wh.bronze["issue_comments"], "SELECT * FROM b_issue_comments",
          ["b_issue_comments"])
+# An existing table meets a batch with older, equal and newer versions of its keys.
+MERGE_OLD, MERGE_NEW = "1998-07-01 00:00:00", "1997-01-01 00:00:00"
+
+
+def _src11b(wh: Warehouse) -> DataFrame:
+    landed, order = wh.adapters.issue_comments_landed, ["updated_at", "body"]
+    existing = ingest.upsert(landed.filter(F.col("updated_at") < F.lit(MERGE_OLD).cast("timestamp_ntz")), ["id"], order)
+    batch = landed.filter(F.col("updated_at") >= F.lit(MERGE_NEW).cast("timestamp_ntz"))
+    return ingest.merge_into(existing, batch, ["id"], order)
+
+
+register("src11b_merge_into_existing", _src11b, "SELECT * FROM b_issue_comments", ["b_issue_comments"])
 STAR_SPLIT = "1998-01-01 00:00:00"
 register("src12_append_new",
          lambda wh: ingest.append_new(
@@ -333,23 +378,62 @@ register("src18_load_summary", lambda wh: ingest.load_summary(wh.bronze),
                              "stargazers", "contributors")])
 
 
+# ---- landed JSON of every entity (SRC-01 ... SRC-09, SRC-14 ... SRC-17) --------------
+def _from_json(wh: Warehouse, entity: str) -> DataFrame:
+    """The entity's rows as landed JSON text, parsed by the declared schema,
+    flattened and stamped: what the daily run does with files."""
+    lines = landing.as_landed(wh.bronze[entity], entity)
+    parsed = landing.parse_landed(lines, entity).filter(F.col("_corrupt_record").isNull())
+    return landing.to_bronze(parsed, entity, wh.params.load_id)
+
+
+def _json_rows(entity: str, arrays: tuple[str, ...]):
+    return lambda wh: _from_json(wh, entity).select(*[c for c in wh.bronze[entity].columns if c not in arrays])
+
+
+for _name, _entity, _arrays in [
+    ("src01_repositories_json", "repositories", ("topics",)), ("src02_issues_json", "issues", ("labels",)),
+    ("src03_pull_requests_json", "pull_requests", ("labels",)), ("src04_pr_reviews_json", "pr_reviews", ()),
+    ("src05_issue_comments_json", "issue_comments", ()), ("src06_commits_json", "commits", ()),
+    ("src07_releases_json", "releases", ()), ("src08_stargazers_json", "stargazers", ()),
+    ("src09_contributors_json", "contributors", ()),
+]:
+    _but = f" EXCLUDE ({', '.join(_arrays)})" if _arrays else ""
+    register(_name, _json_rows(_entity, _arrays), f"SELECT *{_but} FROM b_{_entity}", [f"b_{_entity}"])
+_LABEL_SQL = ", ".join(f'_elem."{c}" AS "{c}"' for c in ("id", "name", "color", "description", "default"))
+for _name, _entity, _array, _cte, _spread in [
+    ("src16_issue_labels_json", "issues", "labels", "c_issue_labels", _LABEL_SQL),
+    ("src16_pr_labels_json", "pull_requests", "labels", "c_pr_labels", _LABEL_SQL),
+    ("src16_repository_topics_json", "repositories", "topics", "c_repository_topics", "_elem AS value"),
+]:
+    register(_name, lambda wh, e=_entity, a=_array: landing.child_table(_from_json(wh, e), a),
+             f"SELECT _parent_row_id, _list_idx, {_spread} FROM {_cte}", [_cte])
+
+# ---- facts whose user and date keys come from planned joins (J-08, J-09, J-11) --------
+JOINED = {"m19j_fct_pull_requests_joined": "fct_pull_requests", "m20j_fct_issues_joined": "fct_issues",
+          "m21j_fct_commits_joined": "fct_commits", "m22j_fct_stargazers_joined": "fct_stargazers"}
+for _name, _attr in JOINED.items():
+    register(_name, _model(_attr), f"SELECT * FROM {_attr}", [_attr])
+
+
 _WAREHOUSES: dict[tuple, Warehouse] = {}
 
 
-def warehouse_for(spark: SparkSession, sf_dir: str, with_reviews: bool = False) -> Warehouse:
+def warehouse_for(spark: SparkSession, sf_dir: str, with_reviews: bool = False, joined: bool = False) -> Warehouse:
     """One warehouse (lazy, analysed model plans) per session and data folder,
     shared by every query on them; nothing is cached as data."""
-    key = (id(spark._jsparkSession), sf_dir.rstrip("/"), with_reviews)
+    key = (id(spark._jsparkSession), sf_dir.rstrip("/"), with_reviews, joined)
     wh = _WAREHOUSES.get(key)
     if wh is None or wh.spark is not spark:
-        wh = _WAREHOUSES[key] = driver_warehouse(spark, sf_dir, with_reviews=with_reviews)
+        wh = _WAREHOUSES[key] = driver_warehouse(spark, sf_dir, with_reviews=with_reviews, date_join=joined,
+                                                  users_join=joined)
     return wh
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def make(name, fn):
         reviews = name in WITH_REVIEWS
-        return lambda spark, sf_dir: fn(warehouse_for(spark, sf_dir, reviews))
+        return lambda spark, sf_dir: fn(warehouse_for(spark, sf_dir, reviews, name in JOINED))
     return {name: make(name, fn) for name, (fn, _) in ENTRIES.items()}
 
 

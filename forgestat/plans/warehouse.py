@@ -23,8 +23,9 @@ TABLE_MODELS = ("dim_dates", "dim_repositories", "dim_users", "fct_pull_requests
 
 class Warehouse:
     def __init__(self, spark: SparkSession, bronze: Mapping[str, DataFrame], params: WarehouseParams,
-                 date_join: bool = False, users_join: bool = False):
+                 date_join: bool = False, users_join: bool = False, spine_bounds: DataFrame | None = None):
         self.spark = spark
+        self.spine_bounds = spine_bounds          # one row (first, past): the date spine from the data
         self.bronze = bronze
         self.params = params
         self.date_join = date_join
@@ -86,6 +87,8 @@ class Warehouse:
 
     @property
     def dim_dates(self):
+        if self.spine_bounds is not None:
+            return self._t("dim_dates", lambda: dates.dim_dates_between(self.spine_bounds))
         return self._t("dim_dates", lambda: dates.dim_dates(self.spark, self.params.date_spine_start,
                                                              self.params.date_spine_end))
     @property
@@ -208,6 +211,17 @@ def driver_params(spark: SparkSession, sf_dir: str) -> WarehouseParams:
                                date_spine_end=last + dt.timedelta(days=DRIVER_SPINE_END_DAYS))
 
 
+def driver_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bounds of :func:`driver_params` as a one-row table."""
+    from forgestat.params import DRIVER_SPINE_END_DAYS
+    d = sf_dir.rstrip("/")
+    first = spark.read.parquet(f"{d}/orders.parquet").select(F.col("o_orderdate").cast("date").alias("first"),
+                                                             F.lit(None).cast("date").alias("past"))
+    last = spark.read.parquet(f"{d}/events.parquet").select(
+        F.lit(None).cast("date").alias("first"), F.date_add(F.col("ts").cast("date"), DRIVER_SPINE_END_DAYS).alias("past"))
+    return first.unionByName(last).agg(F.min("first").alias("first"), F.max("past").alias("past"))
+
+
 def driver_warehouse(spark: SparkSession, sf_dir: str, params: WarehouseParams | None = None,
                      with_reviews: bool = False, **kw) -> Warehouse:
     """Warehouse over the driver's tables through the adapters."""
@@ -215,6 +229,8 @@ def driver_warehouse(spark: SparkSession, sf_dir: str, params: WarehouseParams |
     from forgestat.sources.adapters import DriverBronze
     p = params or driver_params(spark, sf_dir)
     b = DriverBronze(spark, sf_dir, p)
+    if params is None:
+        kw.setdefault("spine_bounds", driver_spine(spark, sf_dir))
     wh = Warehouse(spark, b.entities(with_reviews=with_reviews), p, **kw)
     wh.adapters = b  # type: ignore[attr-defined]
     return wh

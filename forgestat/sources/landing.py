@@ -119,6 +119,38 @@ def read_landed(spark: SparkSession, root: str, entity: str) -> DataFrame:
             .json(f"{root.rstrip('/')}/{entity}"))
 
 
+# Landed name -> bronze name where the loader's projection renames a field.
+_RENAMED = {"stargazers": {"user__id": "user_id", "user__login": "user_login", "user__type": "user_type"},
+            "contributors": {"id": "user_id", "login": "user_login", "type": "user_type"}}
+
+
+def as_landed(bronze: DataFrame, entity: str) -> DataFrame:
+    """Bronze rows as landed JSON text (``value``, ``_owner``, ``_repo``): the
+    fields of the declared schema, nested again, instants in ISO form. Fields
+    that bronze does not hold, and nulls, are left out of the text."""
+    renamed = _RENAMED.get(entity, {})
+    held = {f.name: f.dataType for f in bronze.schema.fields}
+
+    def value(path: str, dtype: T.DataType) -> Column:
+        if isinstance(dtype, T.StructType):
+            return F.struct(*[value(f"{path}__{f.name}" if path else f.name, f.dataType).alias(f.name)
+                              for f in dtype.fields])
+        name = renamed.get(path, path)
+        return F.col(name).cast(dtype) if name in held else F.lit(None).cast(dtype)
+
+    text = F.to_json(value("", SCHEMAS[entity]), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
+    return bronze.select(text.alias("value"), "_owner", "_repo")
+
+
+def parse_landed(lines: DataFrame, entity: str) -> DataFrame:
+    """Landed JSON text (``value``) -> the declared schema, provenance columns
+    and ``_corrupt_record`` (the text of a malformed line, else null), as
+    :func:`read_landed` gives for files."""
+    schema = T.StructType(list(SCHEMAS[entity].fields)).add("_corrupt_record", S)
+    record = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    return lines.select(record.alias("r"), "_owner", "_repo").select("r.*", "_owner", "_repo")
+
+
 def to_bronze(landed: DataFrame, entity: str, load_id: str) -> DataFrame:
     """Flatten, project stars / contributors to their bronze columns, stamp the
     loader metadata (SRC-14)."""

@@ -8,6 +8,8 @@ def test_checks_return_failing_rows(spark):
     df = spark.createDataFrame([(1, "a", 5), (1, "b", -1), (None, "c", None), (3, None, 2)],
                                "k bigint, v string, h bigint")
     assert [r["k"] for r in rows(quality.unique_failures(df, "k"))] == [1]
+    thrice = spark.createDataFrame([(1,), (1,), (1,), (2,), (None,), (None,)], "k bigint")
+    assert [r["failures"] for r in rows(quality.profile(thrice, quality.ModelTests("m", unique=["k"])))] == [1]
     assert len(rows(quality.not_null_failures(df, "v"))) == 1
     parent = spark.createDataFrame([(1,), (2,)], "k bigint")
     assert [r["k"] for r in rows(quality.relationship_failures(df, "k", parent, "k"))] == [3]
