@@ -76,7 +76,7 @@ def _named(inner: str, columns: str) -> str:
 
 
 _BY_NAME = "SELECT d.repository_name, t.* FROM {0} AS t INNER JOIN dim_repositories AS d USING (repo_key)"
-_HUMAN = """SELECT p.user_login, act.* FROM int_contributor_activity AS act
+_HUMAN = """SELECT p.user_login, act.repository_full_name, act.activity_type, act.activity_at FROM int_contributor_activity AS act
       INNER JOIN (SELECT user_id, user_login FROM dim_users WHERE NOT is_bot) AS p USING (user_id)"""
 
 

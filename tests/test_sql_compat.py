@@ -2,6 +2,7 @@
 agree with the DataFrame implementations."""
 
 import math
+import re
 
 import pytest
 
@@ -27,13 +28,15 @@ def _norm(rows):
     return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
+SCHEMAS = dict.fromkeys(("fct_pull_requests", "fct_issues", "fct_stargazers", "dim_repositories", "dim_users", "dim_dates",
+                         "pr_cycle_time", "contributor_engagement", "release_velocity"), "marts")
+SCHEMAS["int_contributor_activity"] = "intermediate"
+
+
 def _qualify(sql: str) -> str:
-    for t in ("int_contributor_activity",):
-        sql = sql.replace(f" {t} ", f" intermediate.{t} ").replace(f" {t}\n", f" intermediate.{t}\n")
-    for t in ("fct_pull_requests", "fct_issues", "fct_stargazers", "dim_repositories", "dim_users", "dim_dates",
-              "pr_cycle_time", "contributor_engagement", "release_velocity"):
-        sql = sql.replace(f" {t} ", f" marts.{t} ").replace(f" {t}\n", f" marts.{t}\n")
-    return sql
+    """Schema names before the published tables, wherever the statement breaks or ends."""
+    return re.sub(r"(?i)\b(from|join)(\s+)(" + "|".join(SCHEMAS) + r")\b",
+                  lambda m: f"{m[1]}{m[2]}{SCHEMAS[m[3]]}.{m[3]}", sql)
 
 
 @pytest.mark.parametrize("name", sorted(analysis.QUERIES))
