@@ -8,8 +8,15 @@ h = tanh(A[left] + B[right] + c), p = softmax(h O + b).
 What it learns from are the counts of (left, word, right) over all documents,
 summed per task before they are shuffled; they also make an exact epoch cheap,
 as equal contexts are one row. Each round every task returns the gradient over
-its contexts (of fixed size), and the driver takes one Adam step. A document's
-score is the sum of log p(word | left, right) over all its words.
+its contexts (of fixed size), and the driver takes one Adam step.
+
+A word's probability is p(class | left, right) p(word | class): the network
+gives the first factor, the counts of all words of the corpus the second one,
+n(word) / n(class). So the vocabulary is every word there is, and its table
+grows with the corpus. Tasks hold the shares of at most HELD words, the most
+frequent ones; all other words get theirs by a join with the whole table. A
+document's score is the sum of log p(word | left, right) over all its words.
+The contexts are still pairs of classes, one word on either side.
 """
 
 from __future__ import annotations
@@ -31,6 +38,8 @@ HIDDEN = 32
 ROUNDS = 25
 RATE = 0.05
 SEED = 7
+HELD = 1 << 16           # words at most whose shares every task holds
+UNIT = 1 << 26           # logarithms of shares are summed as whole numbers of 1 / UNIT, exactly in any order
 COUNTED = 1 << 21        # words a task counts at a time
 CONTEXTS = 32            # partitions of the contexts (at most VOCABULARY ** 2 rows)
 _BLOCK = 4096            # contexts handled at a time
@@ -144,13 +153,14 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from rows(held_w, held_n)
 
 
-def fit_network(texts: DataFrame) -> tuple[Network, np.ndarray, np.ndarray]:
-    """``texts(text)`` -> the network and the frequent words (sorted hashes, classes).
+def fit_network(texts: DataFrame, words: DataFrame | None = None) -> tuple[Network, np.ndarray, np.ndarray]:
+    """``texts(text)`` -> the network and the frequent words (sorted hashes, classes);
+    ``words``: the counts of all words, if they are there.
 
     Ties among the most frequent words go to the smaller hash. A corpus without
     words gives the untrained network.
     """
-    top = word_counts(texts).orderBy(F.desc("n"), "word").limit(FREQUENT).toArrow()
+    top = (word_counts(texts) if words is None else words).orderBy(F.desc("n"), "word").limit(FREQUENT).toArrow()
     frequent = top["word"].to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(frequent)
     frequent, place = frequent[order], order.astype(np.int32)
@@ -202,14 +212,19 @@ def fit_network(texts: DataFrame) -> tuple[Network, np.ndarray, np.ndarray]:
     return net, frequent, place
 
 
-def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, n_tokens, log_likelihood, mean_log_likelihood)``, one row per
-    input row, by a network trained on the same documents.
+def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Of each text's words; each text is summed by itself: equal texts, equal sums."""
+    n = np.diff(first)
+    out = np.zeros(len(n), dtype=values.dtype)
+    if len(values):
+        out[n > 0] = np.add.reduceat(values, first[:-1][n > 0])
+    return out
 
-    Words are split at ASCII white space, A-Z in lower case. Null, empty and
-    wordless texts have 0 tokens, log-likelihood 0 and a null mean. Equal texts
-    score alike, repeated rows repeat, null ids are given back, an empty table
-    gives no rows.
+
+def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, n_tokens, log_likelihood, mean_log_likelihood)`` of the words'
+    classes alone, log p(class | left, right): the network's part of
+    ``word_scores``, which has the same rows.
     """
     texts = documents_of(docs, id_col, text_col)
     net, frequent, place = fit_network(texts.select("text"))
@@ -220,13 +235,77 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         for batch in batches:
             table = Network(flat).table() if table is None else table
             for piece in textnp.pieces(batch.column("text"), textnp.SPACE):
-                chance = table[_windows(piece, frequent, place)].astype(np.float64)
                 n = np.diff(piece.first)
-                score = np.zeros(len(n))
-                if len(chance):                  # each text is summed by itself: equal texts, equal scores
-                    score[n > 0] = np.add.reduceat(chance, piece.first[:-1][n > 0])
+                score = _sums(table[_windows(piece, frequent, place)].astype(np.float64), piece.first)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(piece.lo, piece.hi - piece.lo), pa.array(n), pa.array(score),
                      pa.array(score / np.maximum(n, 1), mask=n == 0)],
                     names=["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"])
     return texts.mapInArrow(run, "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double")
+
+
+def word_shares(words: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """``(word, level, share)`` of every word that shares its class: share is
+    log p(word | class) in 1 / UNIT, level rises with the word's count."""
+    own = [int(w) for w in frequent.view(np.int64)]
+    # 2 ** 64 is a multiple of the number of hashed classes, so the sign does not matter
+    rest = words.filter(~F.col("word").isin(own)).withColumn("class", F.pmod("word", F.lit(VOCABULARY - END - 1)))
+    total = rest.groupBy("class").agg(F.sum("n").alias("total"))        # one row per hashed class
+    return rest.join(F.broadcast(total), "class").select(
+        "word", F.floor(F.log2("n") * 4).cast("int").alias("level"),
+        F.round(F.log(F.col("n") / F.col("total")) * UNIT).cast("long").alias("share"))
+
+
+def word_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, n_tokens, log_likelihood, mean_log_likelihood)``, one row per
+    input row, by a network and word counts of the same documents;
+    log_likelihood is the sum of log p(word | left, right).
+
+    Words are split at ASCII white space, A-Z in lower case. Null, empty and
+    wordless texts have 0 tokens, log-likelihood 0 and a null mean. Equal texts
+    score alike, repeated rows repeat, null ids are given back, an empty table
+    gives no rows.
+    """
+    texts = documents_of(docs, id_col, text_col)
+    words = saved(word_counts(texts.select("text")), "words")
+    net, frequent, place = fit_network(texts.select("text"), words)
+    flat = net.flat.copy()
+    shares = saved(word_shares(words, frequent), "shares")
+    least, many = 1 << 30, 0                     # words of at least this level fit in HELD
+    for r in sorted(shares.groupBy("level").count().collect(), reverse=True):
+        many += r["count"]
+        if many > HELD:
+            break
+        least = r["level"]
+    held = shares.filter(F.col("level") >= least).select("word", "share").toArrow()
+    known, share = held["word"].to_numpy().astype(np.int64).view(np.uint64), held["share"].to_numpy().astype(np.int64)
+    order = np.argsort(known)
+    known, share = known[order], share[order]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = None
+        for batch in batches:
+            table = Network(flat).table() if table is None else table
+            for piece in textnp.pieces(batch.column("text"), textnp.SPACE):
+                window, word = _windows(piece, frequent, place), piece.word_hash()
+                part, far = np.zeros(len(word), np.int64), window % VOCABULARY > END
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, word), len(known) - 1)
+                    here = known[at] == word
+                    part[here] = share[at[here]]
+                    far &= ~here
+                upto = np.concatenate([[0], np.cumsum(far)])[piece.first]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(piece.lo, piece.hi - piece.lo), pa.array(np.diff(piece.first)),
+                     pa.array(_sums(table[window].astype(np.float64), piece.first)), pa.array(_sums(part, piece.first)),
+                     pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(word[far].view(np.int64)))],
+                    names=["doc_id", "n_tokens", "score", "part", "far"])
+    # written once, so that the row numbers stay what they are
+    rows = saved(texts.mapInArrow(run, "doc_id long, n_tokens long, score double, part long, far array<long>")
+                 .withColumn("row", F.monotonically_increasing_id()), "scored")
+    more = (rows.select("row", F.explode("far").alias("word")).join(shares.filter(F.col("level") < least), "word")
+            .groupBy("row").agg(F.sum("share").alias("more")))
+    score = F.col("score") + (F.col("part") + F.coalesce("more", F.lit(0))) / F.lit(float(UNIT))
+    return (rows.drop("far").join(more, "row", "left")
+            .select("doc_id", "n_tokens", score.alias("log_likelihood"),
+                    F.when(F.col("n_tokens") > 0, score / F.col("n_tokens")).alias("mean_log_likelihood")))

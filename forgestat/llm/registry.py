@@ -12,7 +12,7 @@ from forgestat.llm.cap_filters import near_vectors
 from forgestat.llm.common import table
 from forgestat.llm.decontaminate import contaminations
 from forgestat.llm.language_id import fit_languages, identify
-from forgestat.llm.lm_score import lm_scores
+from forgestat.llm.lm_score import word_scores
 from forgestat.llm.quality import quality_scores
 from forgestat.llm.sharding import shard_by_bytes
 
@@ -34,7 +34,7 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scores(table(spark, sf_dir, "documents"))
+    return word_scores(table(spark, sf_dir, "documents"))
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -177,6 +177,34 @@ def test_op4_scores_are_the_network_s(spark, corpus):
     assert lm_score.lm_scores(frame(spark, [])).collect() == []
 
 
+@pytest.mark.parametrize("held", [1 << 16, 20])
+def test_op4_words_have_probabilities(spark, corpus, monkeypatch, held):
+    """p(class | left, right) p(word | class), with words held in the tasks or joined."""
+    monkeypatch.setattr(lm_score, "HELD", held)
+    rows = corpus[:70] + corpus[-8:] + [(900, "zzzgarbage", "en", "s", None), (None, "w1 w1 zzzgarbage", "en", "s", None)]
+    docs = frame(spark, rows, extra=True)
+    net, frequent, place = lm_score.fit_network(docs.select("text"))
+    table = net.table().reshape((lm_score.VOCABULARY,) * 3)
+    own = dict(zip(frequent.tolist(), place.tolist(), strict=True))
+    hashes = {i: next(textnp.pieces(pa.array([t], pa.string()), textnp.SPACE)).word_hash().tolist() for i, t, *_ in rows}
+    label = lambda h: own.get(h, lm_score.END + 1 + h % (lm_score.VOCABULARY - lm_score.END - 1))
+    n = collections.Counter(h for ws in hashes.values() for h in ws)
+    total = collections.Counter()
+    for h, k in n.items():
+        total[label(h)] += k
+    assert len(n) > lm_score.VOCABULARY and math.isclose(          # the words' probabilities add up to those of their classes
+        sum(k / total[label(h)] for h, k in n.items()), len(total), rel_tol=1e-9)
+    got = {r.doc_id: r for r in lm_score.word_scores(docs).collect()}
+    assert len(got) == len(rows)
+    for i, ws in hashes.items():
+        ends = [lm_score.END, *map(label, ws), lm_score.END]
+        want = sum(float(table[a, c, b]) for a, b, c in zip(ends, ends[1:], ends[2:]))
+        want += sum(math.log(n[h] / total[label(h)]) for h in ws)
+        assert got[i].n_tokens == len(ws) and math.isclose(got[i].log_likelihood, want, rel_tol=1e-5, abs_tol=1e-6)
+        assert (got[i].mean_log_likelihood is None) == (not ws)
+    assert lm_score.word_scores(frame(spark, [])).collect() == []
+
+
 def test_op4_gradient():
     rng = np.random.default_rng(2)
     left, right = rng.integers(0, 256, 6), rng.integers(0, 256, 6)
