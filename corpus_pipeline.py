@@ -9,8 +9,9 @@ table that the next one reads.
 5. BPE: token ids and digests of what is left.
 
 Stages 1, 2 and 4 judge rows where they stand and shuffle no text. Rows with a
-null id stay in stage 3 (they cannot be named by another row's group); of
-several rows with one id and equal sets one stays.
+null id stay in stage 3 (they cannot be named by another row's group). It judges
+rows, not ids: rows of one id with different texts are in groups of their own; of
+several rows with one id and equal sets one stays, that of the smallest hash.
 """
 
 from __future__ import annotations
@@ -36,16 +37,25 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def ngram_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = saved(ngram_components(docs), "groups")
-    # what goes: every row that is not the first of its group
-    gone = saved(groups.filter("doc_id is not null and component_id <> doc_id").select("doc_id").distinct(), "gone")
+    again = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
+    if again.isEmpty():
+        rows, node = docs, "doc_id"
+        # what goes: every row that is not the first of its group
+        gone = ngram_components(docs).filter("doc_id is not null and component_id <> doc_id").select("doc_id")
+    else:
+        node = "_row"        # ids do not tell the rows apart; numbers written once do
+        rows = saved(docs.withColumn(node, F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())), "rows")
+        groups = saved(ngram_components(rows, id_col=node).filter("doc_id is not null").select(
+            F.col("doc_id").alias(node), (F.col("n_shingles") == 0).alias("empty"), F.col("component_id").alias("part")), "groups")
+        names = rows.filter(F.col(node).isNotNull()).select(node, "doc_id", F.xxhash64(*docs.columns).alias("hash"))
+        # texts without words are in no group: those of one id are one
+        own = saved(groups.join(names, node).withColumn("part", F.when(F.col("empty"), F.col("doc_id").cast("long")).otherwise(F.col("part"))),
+                    "own")
+        first = own.groupBy("empty", "part").agg(F.min(F.struct("doc_id", "hash", node)).alias("x")).select(f"x.{node}")
+        gone = own.select(node).join(first, node, "left_anti")
+    gone = saved(gone, "gone")
     few = gone.count() <= BROADCAST_IDS
-    kept = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
-    twice = groups.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1")
-    if not twice.isEmpty():
-        named = kept.filter("doc_id is not null").dropDuplicates(["doc_id"])
-        kept = named.unionByName(kept.filter("doc_id is null"))
-    return kept
+    return rows.join(F.broadcast(gone) if few else gone, node, "left_anti").select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,3 +31,15 @@ def test_pipeline_and_stages(spark):
     assert 0 < len(rows) == len({r.doc_id for r in rows}) < len(ids)
     assert all((r.n_tokens, r.ids_sha256, r.decoded_sha256) ==
                (coded[r.doc_id].n_tokens, coded[r.doc_id].ids_sha256, coded[r.doc_id].decoded_sha256) for r in rows)
+
+
+def test_ngram_stage_judges_rows(spark):
+    text = lambda tag: " ".join(f"{tag}{k}" for k in range(60))
+    rows = [(3, text("a")), (5, text("a") + " more"), (5, text("b")), (7, text("c")), (7, text("d")),
+            (8, text("e")), (8, text("e").upper()), (9, ""), (9, " "), (None, text("a")), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = [(r.doc_id, (r.text or "").lower().strip()) for r in corpus_pipeline.ngram_stage(spark, docs, SF).collect()]
+    want = [(3, text("a")), (5, text("b")), (7, text("c")), (7, text("d")), (8, text("e")), (9, ""), (None, text("a")), (None, "")]
+    assert sorted(out, key=str) == sorted(want, key=str)
+    assert sorted(map(str, corpus_pipeline.ngram_stage(spark, docs.repartition(3), SF).collect())) == \
+        sorted(map(str, corpus_pipeline.ngram_stage(spark, docs, SF).collect()))
