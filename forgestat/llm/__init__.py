@@ -1,4 +1,4 @@
-"""Training-data operators: the ten dealt operators and their queries.
+"""Training-data operators: the thirteen dealt operators and their queries.
 
 Nothing else in the library imports this package. Operators take DataFrames
 and column names, select only the columns they need (so further columns of any

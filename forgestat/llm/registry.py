@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgestat.llm import bpe, chat_format, license_scan, ngram_join
+from forgestat.llm import bit_sliced, bpe, chat_format, divergence, license_scan, manifest, ngram_join
 from forgestat.llm.cap_filters import near_vectors
 from forgestat.llm.common import table
 from forgestat.llm.decontaminate import contaminations
@@ -62,8 +62,24 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
 
 
+def op11_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bit_sliced.top_inner_products(table(spark, sf_dir, "embeddings"), k=5, every=50)
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"), least=10, best=10)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.merkle_manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_decontamination, op2_ngram_jaccard, op3_chat_format, op4_lm_score, op5_license_scan,
-                            op6_language_id, op7_sharding, op8_cap_filters, op9_bpe, op10_quality)}
+                            op6_language_id, op7_sharding, op8_cap_filters, op9_bpe, op10_quality,
+                            op11_bit_sliced_top_k, op12_source_divergence, op13_merkle_manifest)}
 
-ORACLE_SQL: dict[str, str] = {"op3_chat_format": chat_format.oracle_sql(), "op5_license_scan": license_scan.oracle_sql()}
+ORACLE_SQL: dict[str, str] = {
+    "op3_chat_format": chat_format.oracle_sql(), "op5_license_scan": license_scan.oracle_sql(),
+    "op11_bit_sliced_top_k": bit_sliced.oracle_sql(), "op12_source_divergence": divergence.oracle_sql(),
+    "op13_merkle_manifest": manifest.oracle_sql()}
