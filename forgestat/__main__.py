@@ -8,6 +8,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import json
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -34,6 +35,7 @@ def main(argv: list[str] | None = None) -> None:
     d.add_argument("--initial-date", default=DEFAULT_INITIAL_CURSOR, help="where entities without a cursor start")
     d.add_argument("--modes", choices=["effective", "declared"], default="effective")
     d.add_argument("--exclude-pull-requests", action="store_true")
+    d.add_argument("--repositories", help="JSON list of {owner, repo, initial_date, enabled}")
     p = sub.add_parser("publish", help="build over the driver tables, save as catalog tables")
     p.add_argument("--sf-dir", required=True)
     p.add_argument("--marts-db", default="marts")
@@ -43,11 +45,13 @@ def main(argv: list[str] | None = None) -> None:
     a = ap.parse_args(argv)
     spark = _session(a.master)
     if a.cmd == "daily":
-        from forgestat.plans.daily import daily_run
+        from forgestat.plans.daily import Repository, daily_run
+        listed = json.loads(Path(a.repositories).read_text()) if a.repositories else []
         params = WarehouseParams(date_spine_start=dt.date.fromisoformat(a.spine_start),
                                  date_spine_end=dt.date.fromisoformat(a.spine_end),
                                  exclude_pull_requests=a.exclude_pull_requests, load_id=a.load_id)
-        out = daily_run(spark, a.landing, a.bronze, a.out, a.load_id, params, a.modes, a.initial_date)
+        out = daily_run(spark, a.landing, a.bronze, a.out, a.load_id, params, a.modes, a.initial_date,
+                        tuple(Repository(**r) for r in listed))
         print(json.dumps(out, default=str))
     else:
         from forgestat.plans.warehouse import driver_warehouse

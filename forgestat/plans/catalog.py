@@ -17,6 +17,7 @@ from forgestat.plans import analysis
 from forgestat.plans.oracle_sql import compose
 from forgestat.plans.warehouse import Warehouse, driver_warehouse
 from forgestat.sources import ingest, landing
+from forgestat.sources.adapters import FORBIDDEN_EVERY, MISSING_EVERY, TORN_EVERY
 
 Entry = tuple[Callable[[Warehouse], DataFrame], str | None]
 ENTRIES: dict[str, Entry] = {}
@@ -400,6 +401,53 @@ for _name, _entity, _arrays in [
 ]:
     _but = f" EXCLUDE ({', '.join(_arrays)})" if _arrays else ""
     register(_name, _json_rows(_entity, _arrays), f"SELECT *{_but} FROM b_{_entity}", [f"b_{_entity}"])
+
+
+# ---- reviews with access status (SRC-04), malformed lines (ST-01's quarantine) ---------
+def _opened(wh: Warehouse) -> DataFrame:
+    """Answers as landed JSON text, parsed by the declared schema and opened."""
+    answers = wh.adapters.review_responses
+    lines = answers.select(F.to_json(F.struct("_pr_number", "status", "reviews"),
+                                     {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}).alias("value"), "_owner", "_repo")
+    parsed = landing.parse_landed(lines, "pr_review_responses").filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    return landing.open_reviews(parsed)
+
+
+def _review_access(wh: Warehouse) -> DataFrame:
+    """Per repository: answers by status, readable reviews, and those that meet
+    their pull request by owner, repository and number."""
+    opened = _opened(wh)
+    prs = wh.bronze["pull_requests"].select("_owner", "_repo", F.col("number").alias("_pr_number"))
+    met = (landing.readable_reviews(opened).join(prs, ["_owner", "_repo", "_pr_number"])
+           .groupBy("_owner", "_repo").agg(F.count("*").alias("joined_reviews")))
+    return (landing.review_access(opened).join(met, ["_owner", "_repo"], "left")
+            .withColumn("joined_reviews", F.coalesce("joined_reviews", F.lit(0))))
+
+
+_READ = f"_pr_number % {FORBIDDEN_EVERY} <> 0 AND _pr_number % {MISSING_EVERY} <> 0"
+register("src04_review_access", _review_access, f"""SELECT _owner, _repo,
+    count(DISTINCT _pr_number) FILTER (WHERE {_READ}) AS readable_pull_requests,
+    count(DISTINCT _pr_number) FILTER (WHERE _pr_number % {FORBIDDEN_EVERY} = 0) AS forbidden_count,
+    count(DISTINCT _pr_number) FILTER (WHERE _pr_number % {FORBIDDEN_EVERY} <> 0 AND _pr_number % {MISSING_EVERY} = 0) AS not_found_count,
+    count(*) FILTER (WHERE {_READ}) AS accessible_count,
+    count(*) FILTER (WHERE {_READ} AND (_owner, _repo, _pr_number) IN (SELECT (_owner, _repo, number) FROM b_pull_requests)) AS joined_reviews
+  FROM b_pr_reviews GROUP BY ALL""", ["b_pr_reviews", "b_pull_requests"])
+
+
+def _torn(wh: Warehouse) -> DataFrame:
+    """Landed issue lines, some cut short: per repository how many parse, how
+    many go to quarantine."""
+    issues = wh.bronze["issues"]
+    lines = landing.as_landed(issues.select("id", "number", "state", "updated_at", "_owner", "_repo"), "issues")
+    torn = F.get_json_object("value", "$.id").cast("long") % TORN_EVERY == 0
+    lines = lines.withColumn("value", F.when(torn, F.expr("left(value, length(value) - 1)")).otherwise(F.col("value")))
+    bad = F.col("_corrupt_record").isNotNull()
+    return landing.parse_landed(lines, "issues").groupBy("_owner", "_repo").agg(
+        F.count_if(~bad).alias("parsed_lines"), F.count_if(bad).alias("quarantined_lines"))
+
+
+register("src_quarantine_counts", _torn, f"""SELECT _owner, _repo, count(*) FILTER (WHERE id % {TORN_EVERY} <> 0) AS parsed_lines,
+    count(*) FILTER (WHERE id % {TORN_EVERY} = 0) AS quarantined_lines FROM b_issues GROUP BY ALL""", ["b_issues"])
 _LABEL_SQL = ", ".join(f'_elem."{c}" AS "{c}"' for c in ("id", "name", "color", "description", "default"))
 for _name, _entity, _array, _cte, _spread in [
     ("src16_issue_labels_json", "issues", "labels", "c_issue_labels", _LABEL_SQL),

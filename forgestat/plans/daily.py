@@ -2,107 +2,98 @@
 tests, as one sequence of Spark jobs (the reference's extract / transform /
 test chain without its HTTP client).
 
-Landing layout: ``<landing>/<entity>/_owner=<o>/_repo=<r>/*.json``. Bronze
-tables and the cursor state are version folders (``sources.tables``), so a
-failed run leaves the previous version readable and a re-run is idempotent.
+Landing layout: ``<landing>/<entity>/_owner=<o>/_repo=<r>/*.json``. Each entity
+is one ``availableNow`` query (``streaming.ingest_stream``): its checkpoint
+below ``<bronze>/_landing_log`` names the files already read, so a run opens and
+parses each new file once. Tables are partitioned folders (``sources.bronze``).
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import hashlib
+from dataclasses import dataclass
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from forgestat.operators import quality
 from forgestat.params import WarehouseParams
 from forgestat.plans.warehouse import Warehouse, run_pipeline
 from forgestat.sources import ingest, landing
 from forgestat.sources.adapters import LazyTables
-from forgestat.sources.tables import VersionedTable
+from forgestat.sources.bronze import BronzeTable
+from forgestat.streaming.ingest_stream import Absorber, start_ingest
 
-# Declared write modes; the reference's pipeline call overrides them with
-# merge for every entity - "effective" reproduces that.
-DECLARED_MODES = {"repositories": "replace", "issues": "merge", "pull_requests": "merge",
-                  "pr_reviews": "append", "issue_comments": "merge", "commits": "append",
-                  "releases": "merge", "stargazers": "append", "contributors": "replace"}
-ENTITIES = ("repositories", "issues", "pull_requests", "issue_comments", "commits", "releases",
+ENTITIES = ("repositories", "issues", "pull_requests", "pr_reviews", "issue_comments", "commits", "releases",
             "stargazers", "contributors")
+# Landing folders beside the entity's own: answers that hold reviews.
+SOURCES = {"pr_reviews": ("pr_reviews", "pr_review_responses")}
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
+@dataclass(frozen=True)
+class Repository:
+    """One configured repository: where it starts without a cursor, and whether it is loaded."""
+    owner: str
+    repo: str
+    initial_date: str | None = None
+    enabled: bool = True
 
-def load_entity(spark: SparkSession, landing_root: str, bronze_root: str, entity: str, load_id: str,
-                cursors: DataFrame | None, modes: str = "effective",
-                initial: str = ingest.DEFAULT_INITIAL_CURSOR) -> tuple[DataFrame | None, DataFrame | None]:
-    """Merge one entity's landed files into its bronze table. Returns the
-    rows taken from landing (for the next cursors) and the new bronze."""
-    if not _exists(spark, f"{landing_root.rstrip('/')}/{entity}"):
-        existing = VersionedTable(spark, f"{bronze_root}/{entity}").read()
-        if existing is None:      # never landed: an empty table of the bronze shape
-            existing = landing.to_bronze(spark.createDataFrame([], landing.landed_schema(entity)), entity, load_id)
-        return None, existing
-    rows = landing.to_bronze(_parsed(spark, landing_root, entity), entity, load_id)
-    cursor = landing.CURSORS.get(entity)
-    if cursor:
-        rows = ingest.apply_cursor(rows, entity, cursor, cursors, keep_null=(entity == "releases"),
-                                   initial=initial)
-    table = VersionedTable(spark, f"{bronze_root}/{entity}")
-    existing = table.read()
-    pk = landing.PRIMARY_KEYS[entity]
-    mode = "merge" if modes == "effective" else DECLARED_MODES[entity]
-    if mode == "merge":
-        new = ingest.merge_into(existing, rows, pk, [cursor, "_load_id"] if cursor else ["_load_id"])
-    elif mode == "append":
-        add = ingest.append_new(existing, rows, pk)
-        new = add if existing is None else existing.unionByName(add, allowMissingColumns=True)
-    else:
-        new = ingest.replace_partitions(rows, existing)
-    table.write(new)
-    return rows, table.read()
 
+def _landed(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.text(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
-def _parsed(spark: SparkSession, landing_root: str, entity: str) -> DataFrame:
-    """Landed rows that parsed; ``quarantine`` keeps the others."""
-    raw = landing.read_landed(spark, landing_root, entity)
-    return raw.filter(F.col("_corrupt_record").isNull())
 
-
-def quarantine(spark: SparkSession, landing_root: str, bronze_root: str, entity: str, load_id: str) -> int:
-    """Write the malformed landed lines of one entity to
-    ``<bronze>/_quarantine/<entity>/load_id=<id>`` and count them."""
-    bad = (landing.read_landed(spark, landing_root, entity).filter(F.col("_corrupt_record").isNotNull())
-           .select("_corrupt_record", landing.landed_schema(entity).names[0]).cache())
-    n = bad.count()
-    if n:
-        bad.write.mode("overwrite").parquet(f"{bronze_root.rstrip('/')}/_quarantine/{entity}/load_id={load_id}")
-    bad.unpersist()
-    return n
+def load_entity(spark: SparkSession, landing_root: str, bronze_root: str, entity: str, load_id: str,
+                modes: str = "effective", initial: str = ingest.DEFAULT_INITIAL_CURSOR,
+                repositories: tuple[Repository, ...] = ()) -> tuple[dict[str, int], DataFrame]:
+    """Take one entity's new files into its bronze table; what was read, and the table."""
+    dated = [(entity, r.owner, r.repo, r.initial_date) for r in repositories if r.initial_date]
+    seeds = (spark.createDataFrame(dated, "entity string, _owner string, _repo string, last_value string")
+             .withColumn("last_value", F.col("last_value").cast("timestamp_ntz"))) if dated else None
+    skipped = [(r.owner, r.repo) for r in repositories if not r.enabled]
+    stats: dict[str, int] = {}
+    log = hashlib.md5(landing_root.rstrip("/").encode()).hexdigest()[:12]
+    for source in SOURCES.get(entity, (entity,)):
+        if _landed(spark, f"{landing_root.rstrip('/')}/{source}"):
+            absorber = Absorber(spark, bronze_root, source, load_id, modes, initial, seeds, skipped)
+            checkpoint = f"{bronze_root.rstrip('/')}/_landing_log/{log}/{source}"
+            start_ingest(spark, landing_root, bronze_root, checkpoint, absorber).awaitTermination()
+            stats = {k: stats.get(k, 0) + v for k, v in absorber.stats.items()}
+    table = BronzeTable(spark, f"{bronze_root}/{entity}").read()
+    if table is None:      # never landed: an empty table of the bronze shape
+        table = landing.to_bronze(spark.createDataFrame([], landing.landed_schema(entity)), entity, load_id)
+    return stats, table
 
 
 def daily_run(spark: SparkSession, landing_root: str, bronze_root: str, out_root: str, load_id: str,
               params: WarehouseParams, modes: str = "effective",
-              initial: str = ingest.DEFAULT_INITIAL_CURSOR) -> dict:
-    """The daily job. ``initial`` is where an entity without a stored cursor starts."""
-    state = VersionedTable(spark, f"{bronze_root}/_cursors")
-    cursors = state.read()
+              initial: str = ingest.DEFAULT_INITIAL_CURSOR, repositories: tuple[Repository, ...] = (),
+              as_of: dt.datetime | None = None) -> dict:
+    """The daily job. ``initial`` is where an entity without a stored cursor
+    starts, unless its repository has an ``initial_date``; ``as_of`` (now) is the
+    instant at which freshness is judged."""
     bronze: dict[str, DataFrame] = {}
-    next_c = cursors
-    quarantined = {}
+    landed: dict[str, dict[str, int]] = {}
     for entity in ENTITIES:
-        rows, table = load_entity(spark, landing_root, bronze_root, entity, load_id, cursors, modes, initial)
-        if rows is not None:
-            quarantined[entity] = quarantine(spark, landing_root, bronze_root, entity, load_id)
-        if table is not None:
-            bronze[entity] = table
-        cursor = landing.CURSORS.get(entity)
-        if rows is not None and cursor:
-            next_c = ingest.next_cursors(rows, entity, cursor, next_c)
-    if next_c is not None:
-        state.write(next_c)
+        stats, table = load_entity(spark, landing_root, bronze_root, entity, load_id, modes, initial, repositories)
+        bronze[entity] = table
+        if stats:
+            landed[entity] = stats
     summary = {r["table_name"]: r["row_count"] for r in ingest.load_summary(bronze).collect()}
-    wh = Warehouse(spark, LazyTables({k: (lambda v=v: v) for k, v in bronze.items()}), params)
+    reviews = summary["pr_reviews"] > 0
+    wh = Warehouse(spark, LazyTables({k: (lambda v=v: v) for k, v in bronze.items() if reviews or k != "pr_reviews"}), params)
     result = run_pipeline(wh, out_root)
     result["bronze_rows"] = summary
-    result["quarantined_rows"] = quarantined
+    result["landed"] = landed
+    result["quarantined_rows"] = {k: v["quarantined"] for k, v in landed.items()}
+    as_of = as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    result["freshness"] = {e: quality.freshness(bronze[e], e, landing.CURSORS[e], as_of).first()["status"]
+                           for e in ENTITIES if e in landing.CURSORS}
     return result

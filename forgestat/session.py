@@ -17,6 +17,8 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
+    # partition values are names: a repository called 007 stays so
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
 

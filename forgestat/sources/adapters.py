@@ -28,6 +28,8 @@ from forgestat.functions.keys import row_id
 from forgestat.params import WarehouseParams
 
 # Fixed adapter values (shared with the oracle SQL in plans/oracle_sql.py).
+FORBIDDEN_EVERY, MISSING_EVERY = 11, 13   # keys of pull requests whose reviews cannot be read
+TORN_EVERY = 17                    # keys of issues whose landed line is cut short
 BOT_EVERY = 50                     # key % 50 = 0 -> login gets "[bot]"
 URL_ROOT = "https://forge.example/"
 API_ROOT = "https://api.forge.example/repos/"
@@ -408,6 +410,19 @@ class DriverBronze:
         from forgestat.sources.ingest import upsert
         return upsert(self.pr_reviews_landed, ["id"], ["submitted_at", "body", "user__id"])
 
+    @cached_property
+    def review_responses(self) -> DataFrame:
+        """One answer per order: its reviews, or by the key's rule a forbidden or a
+        missing one without. An order has a handful of line items."""
+        r = self.pr_reviews
+        n = F.col("_pr_number")
+        status = F.when(n % FORBIDDEN_EVERY == 0, 403).when(n % MISSING_EVERY == 0, 404).otherwise(200)
+        review = F.struct("id", F.struct(F.lit(None).cast("string").alias("login"), F.col("user__id").alias("id"),
+                                         F.lit(None).cast("string").alias("type")).alias("user"),
+                          "state", "body", "commit_id", F.col("submitted_at").cast("timestamp").alias("submitted_at"))
+        return r.groupBy("_owner", "_repo", "_pr_number").agg(F.collect_list(review).alias("all")).select(
+            "_owner", "_repo", "_pr_number", status.cast("int").alias("status"), F.when(status == 200, F.col("all")).alias("reviews"))
+
     ENTITIES = ("repositories", "issues", "pull_requests", "issue_comments", "commits",
                 "releases", "stargazers", "contributors")
 

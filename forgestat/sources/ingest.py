@@ -75,7 +75,7 @@ def apply_cursor(rows: DataFrame, entity: str, cursor_col: str, cursors: DataFra
 
     Ties are kept (``>=``); the merge on the primary key removes repeats.
     ``keep_null`` keeps rows whose cursor field is NULL (releases that are not
-    published yet). ``cursor_col`` may be a nested path such as
+    published yet, issues without an update time). ``cursor_col`` may be a nested path such as
     ``commit.committer.date``.
     """
     ts = F.col(cursor_col).cast("timestamp_ntz")

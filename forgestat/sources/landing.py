@@ -24,6 +24,7 @@ def _st(*fields: tuple) -> T.StructType:
 
 USER = _st(("login", S), ("id", L), ("type", S))
 LABEL = _st(("id", L), ("name", S), ("color", S), ("description", S), ("default", B))
+REVIEW = (("id", L), ("user", USER), ("state", S), ("body", S), ("commit_id", S), ("submitted_at", TS))
 # Declared schemas of the landed API objects (only the fields the models read).
 SCHEMAS: dict[str, T.StructType] = {
     "repositories": _st(("id", L), ("node_id", S), ("owner", USER), ("name", S), ("full_name", S),
@@ -55,8 +56,9 @@ SCHEMAS: dict[str, T.StructType] = {
     # star events arrive as {"starred_at": ..., "user": {...}}
     "stargazers": _st(("starred_at", TS), ("user", USER)),
     "contributors": _st(("id", L), ("login", S), ("type", S), ("contributions", I)),
-    "pr_reviews": _st(("id", L), ("user", USER), ("state", S), ("body", S), ("commit_id", S),
-                      ("submitted_at", TS), ("_pr_number", L)),
+    "pr_reviews": _st(*REVIEW, ("_pr_number", L)),
+    # one answer per pull request: its HTTP status and, if it could be read, its reviews
+    "pr_review_responses": _st(("_pr_number", L), ("status", I), ("reviews", T.ArrayType(_st(*REVIEW)))),
 }
 
 # Primary keys and write modes per entity (merge everywhere in effect, SURVEY D4;
@@ -151,6 +153,40 @@ def parse_landed(lines: DataFrame, entity: str) -> DataFrame:
     return lines.select(record.alias("r"), "_owner", "_repo").select("r.*", "_owner", "_repo")
 
 
+# Fixed values from the reference: answers that are skipped; any other failure ends the run.
+FORBIDDEN, NOT_FOUND = 403, 404
+
+
+def open_reviews(responses: DataFrame) -> DataFrame:
+    """Answers -> one row per review with its answer's number and status, and one
+    with null review fields for an answer without reviews (outer explode), so
+    that forbidden and empty answers stay countable. A missing status is 200."""
+    carried = [c for c in responses.columns if c not in ("status", "reviews")]
+    opened = responses.select(*carried, F.coalesce("status", F.lit(200)).alias("status"), F.explode_outer("reviews").alias("r"))
+    return opened.select(*carried, "status", "r.*")
+
+
+def readable_reviews(opened: DataFrame) -> DataFrame:
+    """Review rows in the landed shape of ``pr_reviews``. Fails on an answer that
+    is neither read, forbidden nor missing, as the extraction does."""
+    ok = F.col("status").between(200, 299)
+    known = ok | F.col("status").isin(FORBIDDEN, NOT_FOUND)
+    bad = F.raise_error(F.concat(F.lit("review answer with status "), F.col("status").cast("string")))
+    return (opened.filter(F.when(known, ok).otherwise(bad.cast("boolean"))).filter(F.col("id").isNotNull()).drop("status"))
+
+
+def review_access(opened: DataFrame) -> DataFrame:
+    """Per repository: answers by status and readable reviews (SRC-04's counts).
+    One aggregation per pull request first, so an answer's rows count once."""
+    ok = F.col("status").between(200, 299)
+    answers = opened.groupBy("_owner", "_repo", "_pr_number", "status").agg(F.count("id").alias("n"))
+    return answers.groupBy("_owner", "_repo").agg(
+        F.count_if(ok).alias("readable_pull_requests"),
+        F.count_if(F.col("status") == FORBIDDEN).alias("forbidden_count"),
+        F.count_if(F.col("status") == NOT_FOUND).alias("not_found_count"),
+        F.coalesce(F.sum(F.when(ok, F.col("n"))), F.lit(0)).alias("accessible_count"))
+
+
 def to_bronze(landed: DataFrame, entity: str, load_id: str) -> DataFrame:
     """Flatten, project stars / contributors to their bronze columns, stamp the
     loader metadata (SRC-14)."""

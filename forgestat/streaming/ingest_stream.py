@@ -1,17 +1,20 @@
 """Incremental landing ingest as Structured Streaming queries.
 
-* ST-01 ``landing_stream``: file source over the landing zone with the
-  declared schema; each file is processed exactly once (the checkpoint keeps
-  the file log), ``trigger(availableNow=True)`` drains what has landed and
-  stops - the daily batch becomes an incremental run.
-* ST-02 ``upsert_sink``: ``foreachBatch`` merge of mutable entities into the
-  bronze table (newest version per primary key, written to a new version
-  folder and switched, so a failed batch never leaves a half-written table).
+* ST-01 ``landing_stream`` / ``start_ingest``: file source over the landing zone
+  with the declared schema. The checkpoint's file log names what has been read,
+  so a run opens new files only; ``trigger(availableNow=True)`` drains what has
+  landed and stops - the daily batch is this query.
+* ST-02 ``Absorber``: one ``foreachBatch`` function with two sinks. Each batch is
+  parsed once, into the shared checkpoint folder; malformed lines go to a
+  quarantine folder of (load, batch), the others through the cursors into the
+  bronze table by its write mode, and the new cursors come from those rows. A
+  replayed batch writes the same quarantine folder and changes no table.
 * ST-03 ``dedup_events``: immutable events (commits, stars) de-duplicated on
-  their key within a watermark; the bronze key anti-join stays the guarantee
-  beyond it.
+  their key within a watermark, and beyond it by an anti-join with the stored
+  keys; ``late_rows`` counts what a watermark dropped.
 * ST-04 ``live_activity_counts``: tumbling one-day windows of activity per
-  repository with a watermark; rows later than the watermark are dropped.
+  repository with a watermark; rows later than the watermark are dropped and
+  counted by ``late_rows``.
 """
 
 from __future__ import annotations
@@ -23,49 +26,130 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from forgestat.sources import ingest, landing
-from forgestat.sources.tables import VersionedTable
+from forgestat.sources.bronze import BronzeTable, read_or_none, staged
 
+# Declared write modes; the reference's pipeline call overrides them with
+# merge for every entity - "effective" reproduces that.
+DECLARED_MODES = {"repositories": "replace", "issues": "merge", "pull_requests": "merge",
+                  "pr_reviews": "append", "issue_comments": "merge", "commits": "append",
+                  "releases": "merge", "stargazers": "append", "contributors": "replace"}
+EVENT_TIMES = {"pr_reviews": "submitted_at", "commits": "commit__committer__date", "stargazers": "starred_at"}
 
-def landing_stream(spark: SparkSession, root: str, entity: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Landed JSON of one entity as a stream, in bronze shape."""
-    schema = landing.landed_schema(entity)
-    reader = spark.readStream.schema(StructType([*schema.fields, StructField("_corrupt_record", StringType())]))
+
+def raw_stream(spark: SparkSession, root: str, entity: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Landed lines of one entity: declared fields, ``_corrupt_record``, ``_file``."""
+    schema = StructType([*landing.landed_schema(entity).fields, StructField("_corrupt_record", StringType())])
+    # every landed file counts, however old it is beside the newest
+    reader = spark.readStream.schema(schema).option("maxFileAge", "36500d")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.json(f"{root.rstrip('/')}/{entity}")
-    # malformed lines are no rows (the batch form counts and keeps them)
-    raw = raw.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    return reader.json(f"{root.rstrip('/')}/{entity}").select("*", F.col("_metadata.file_path").alias("_file"))
+
+
+def landing_stream(spark: SparkSession, root: str, entity: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Well-formed landed rows of one entity as a stream, in bronze shape;
+    ``start_ingest`` also keeps the malformed ones."""
+    raw = raw_stream(spark, root, entity, max_files_per_trigger)
+    raw = raw.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record", "_file")
     return landing.to_bronze(raw, entity, load_id="stream").withColumn("_ingested_at", F.current_timestamp())
 
 
-def upsert_sink(table: VersionedTable, pk: Sequence[str], order_by: Sequence[str]):
-    """foreachBatch function merging each micro-batch into ``table``.
-    Idempotent: replaying a batch yields the same table."""
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        existing = table.read()
-        # a later batch is newer than an earlier one where the cursor does not tell
-        incoming = batch.drop("_ingested_at").withColumn("_load_id", F.lit(f"stream-{batch_id:012d}"))
-        table.write(ingest.merge_into(existing, incoming, pk, order_by))
-    return merge
+def cursor_log(spark: SparkSession, bronze_root: str) -> DataFrame | None:
+    """The cursors: the highest value ever logged by (entity, owner, repo)."""
+    log = read_or_none(spark, f"{bronze_root.rstrip('/')}/_cursors")
+    return None if log is None else log.groupBy("entity", "_owner", "_repo").agg(F.max("last_value").alias("last_value"))
+
+
+class Absorber:
+    """``foreachBatch`` function that takes one entity's landed lines into bronze."""
 
+    def __init__(self, spark: SparkSession, bronze_root: str, entity: str, load_id: str, modes: str = "effective",
+                 initial: str = ingest.DEFAULT_INITIAL_CURSOR, seeds: DataFrame | None = None,
+                 skipped: Sequence[tuple[str, str]] = ()):
+        self.spark, self.root, self.source, self.load_id = spark, bronze_root.rstrip("/"), entity, load_id
+        self.entity = "pr_reviews" if entity == "pr_review_responses" else entity
+        self.mode = "merge" if modes == "effective" else DECLARED_MODES[self.entity]
+        self.initial, self.seeds, self.skipped = initial, seeds, list(skipped)
+        self.stats = {"files": 0, "lines": 0, "quarantined": 0, "rows": 0, "null_cursors": 0}
 
-def start_upsert(spark: SparkSession, root: str, entity: str, table_path: str, checkpoint: str,
-                 order_by: Sequence[str] | None = None) -> StreamingQuery:
-    stream = landing_stream(spark, root, entity)
-    pk = landing.PRIMARY_KEYS[entity]
-    order = list(order_by or [c for c in (landing.CURSORS.get(entity), "_load_id") if c])
-    return (stream.writeStream.foreachBatch(upsert_sink(VersionedTable(spark, table_path), pk, order))
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        lines = staged(batch, "landed")
+        bad = F.col("_corrupt_record").isNotNull()
+        n, n_bad, files = lines.agg(F.count("*"), F.count_if(bad), F.count_distinct("_file")).first()
+        if n_bad:
+            # replaying the batch writes the same folder again
+            (lines.filter(bad).select("_corrupt_record", "_file", "_owner", "_repo").write.mode("overwrite")
+             .parquet(f"{self.root}/_quarantine/{self.source}/load_id={self.load_id}/batch={batch_id}"))
+        good = lines.filter(~bad).drop("_corrupt_record", "_file")
+        for owner, repo in self.skipped:
+            good = good.filter(~(F.col("_owner").eqNullSafe(owner) & F.col("_repo").eqNullSafe(repo)))
+        if self.source == "pr_review_responses":
+            opened = landing.open_reviews(good)
+            (landing.review_access(opened).withColumn("load_id", F.lit(self.load_id)).write.mode("overwrite")
+             .parquet(f"{self.root}/_review_access/load_id={self.load_id}/batch={batch_id}"))
+            good = landing.readable_reviews(opened)
+        rows = landing.to_bronze(good, self.entity, self.load_id)
+        cursor = landing.CURSORS.get(self.entity)
+        if cursor:
+            state = cursor_log(self.spark, self.root)
+            if self.seeds is not None:
+                state = self.seeds if state is None else (state.unionByName(self.seeds).groupBy("entity", "_owner", "_repo")
+                                                          .agg(F.max("last_value").alias("last_value")))
+            rows = ingest.apply_cursor(rows, self.entity, cursor, state, initial=self.initial, keep_null=True)
+        rows = staged(rows, "rows")
+        taken, n_null = rows.agg(F.count("*"), F.count_if(F.col(cursor).isNull()) if cursor else F.lit(0)).first()
+        if taken:
+            self._store(rows, cursor)
+        for key, value in zip(self.stats, (files, n, n_bad, taken, n_null), strict=True):
+            self.stats[key] += value
+
+    def _store(self, rows: DataFrame, cursor: str | None) -> None:
+        table = BronzeTable(self.spark, f"{self.root}/{self.entity}")
+        pk = landing.PRIMARY_KEYS[self.entity]
+        if self.mode == "merge":
+            table.merge(rows, pk, [cursor, "_load_id"] if cursor else ["_load_id"])
+        elif self.mode == "append":
+            table.append(rows, pk, EVENT_TIMES[self.entity], self.load_id)
+        else:
+            table.replace(rows.dropDuplicates(pk))
+        if cursor:      # a log: repeated entries change no maximum
+            ingest.next_cursors(rows, self.entity, cursor, None).filter("last_value is not null").write.mode("append").parquet(
+                f"{self.root}/_cursors")
+
+
+def start_ingest(spark: SparkSession, root: str, bronze_root: str, checkpoint: str, absorber: Absorber,
+                 max_files_per_trigger: int | None = None) -> StreamingQuery:
+    return (raw_stream(spark, root, absorber.source, max_files_per_trigger).writeStream.foreachBatch(absorber)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def dedup_events(stream: DataFrame, key: Sequence[str], event_time: str, watermark: str = "3 days") -> DataFrame:
-    """ST-03: drop repeats of an immutable event within the watermark.
-    Watermarks need the zoned type: the UTC wall clock is read as an instant
-    (session zone UTC) for the event-time column only."""
+def dedup_events(stream: DataFrame, key: Sequence[str], event_time: str, watermark: str = "3 days",
+                 stored: DataFrame | None = None) -> DataFrame:
+    """ST-03: drop repeats of an immutable event, within the watermark by state
+    and beyond it by an anti-join with the keys of the ``stored`` table. Watermarks
+    need the zoned type: the UTC wall clock is read as an instant (session zone
+    UTC) for the event-time column only."""
+    if stored is not None:
+        stream = stream.join(stored.select(*key), list(key), "left_anti")
     return (stream.withColumn("_event_ts", F.col(event_time).cast("timestamp"))
             .withWatermark("_event_ts", watermark).dropDuplicatesWithinWatermark(list(key)).drop("_event_ts"))
 
 
+def append_sink(table: BronzeTable, key: Sequence[str], event_time: str):
+    """``foreachBatch`` function that appends a stream's events. The batch is written
+    once before it is used, so state and late-row counts advance once."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        events = staged(batch, "events")
+        if not events.isEmpty():
+            table.append(events, key, event_time, f"stream-{batch_id:012d}")
+    return sink
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the query's watermark has dropped, from its progress reports."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+
+
 def live_activity_counts(activity_stream: DataFrame, watermark: str = "1 day") -> DataFrame:
     """ST-04: activities per repository and day; a window is emitted once the
     watermark passes its end (append mode)."""

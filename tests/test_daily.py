@@ -3,10 +3,14 @@ the model build and the declared tests."""
 
 import datetime as dt
 import json
+import os
+
+import pytest
 
 from forgestat.params import WarehouseParams
-from forgestat.plans.daily import daily_run
-from forgestat.sources.tables import VersionedTable
+from forgestat.plans.daily import Repository, daily_run, load_entity
+from forgestat.sources.bronze import BronzeTable
+from forgestat.streaming.ingest_stream import cursor_log
 
 
 def _land(root, entity, owner, repo, name, recs):
@@ -67,11 +71,102 @@ def test_two_daily_runs(spark, tmp_path):
     b = r2["bronze_rows"]
     assert b["issues"] == 2 and b["issue_comments"] == 2 and b["commits"] == 2 and b["releases"] == 2
     assert b["stargazers"] == 2 and b["repositories"] == 1 and b["contributors"] == 1
-    issues = {r["id"]: r["title"] for r in VersionedTable(spark, f"{bronze}/issues").read().collect()}
+    issues = {r["id"]: r["title"] for r in BronzeTable(spark, f"{bronze}/issues").read().collect()}
     assert issues[10] == "second title"
     fct = {r["issue_id"]: r for r in spark.read.parquet(out + "/2/fct_issues").collect()}
     assert fct[10]["time_to_close_hours"] == 25 and fct[10]["is_bug"] and fct[10]["comment_count"] == 1
     assert r2["tests"]["fct_pull_requests.not_null.repo_key"] == 0
     assert r2["metrics"]["pr_cycle_time"] == 2         # one weekly and one monthly row
-    cur = {r["entity"]: r["last_value"] for r in VersionedTable(spark, f"{bronze}/_cursors").read().collect()}
+    cur = {r["entity"]: r["last_value"] for r in cursor_log(spark, bronze).collect()}
     assert cur["issues"] == dt.datetime(2026, 1, 3, 10, 0)
+    assert r2["freshness"]["issues"] == "error" and r2["landed"]["issues"]["files"] == 1
+
+
+def _files(path):
+    return {p: p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+
+
+def _issue(i, updated, title="t"):
+    return {"id": i, "number": i, "title": title, "state": "open", "user": _user(i), "created_at": "2026-01-01T00:00:00Z",
+            "updated_at": updated, "labels": []}
+
+
+def test_second_run_reads_only_the_new_file(spark, tmp_path):
+    land, bronze = tmp_path / "landing", tmp_path / "bronze"
+    for repo in ("a", "b", "007"):
+        _land(land, "issues", "acme", repo, "one.json", [_issue(ord(repo[0]), "2026-01-02T00:00:00Z")])
+    stats, _ = load_entity(spark, str(land), str(bronze), "issues", "l1")
+    assert stats == {"files": 3, "lines": 3, "quarantined": 0, "rows": 3, "null_cursors": 0}
+    before = _files(bronze / "issues")
+    # a file older than those already read, with a later update, an old one and one without an update time
+    _land(land, "issues", "acme", "b", "two.json", [_issue(98, "2026-01-03T00:00:00Z", "new"), _issue(500, "2025-12-01T00:00:00Z"),
+                                                    _issue(501, None)])
+    os.utime(land / "issues" / "_owner=acme" / "_repo=b" / "two.json", (0, 0))
+    stats, table = load_entity(spark, str(land), str(bronze), "issues", "l2")
+    assert stats == {"files": 1, "lines": 3, "quarantined": 0, "rows": 2, "null_cursors": 1}
+    after = _files(bronze / "issues")
+    kept = {p for p in before if "_repo=b" not in str(p)}
+    assert kept and all(after.get(p) == before[p] for p in kept)          # untouched repositories keep their files
+    assert not any(p in after for p in before if "_repo=b" in str(p))
+    got = {(r["_repo"], r["id"]): r["title"] for r in table.collect()}
+    assert got == {("a", 97): "t", ("007", 48): "t", ("b", 98): "new", ("b", 501): "t"}
+    stats, _ = load_entity(spark, str(land), str(bronze), "issues", "l3")
+    assert not stats or stats["files"] == 0
+
+
+def test_append_leaves_old_files(spark, tmp_path):
+    land, bronze = tmp_path / "landing", tmp_path / "bronze"
+    star = lambda u, t: {"starred_at": t, "user": _user(u)}
+    _land(land, "stargazers", "o", "r", "one.json", [star(1, "2026-01-02T10:00:00Z"), star(2, "2026-01-03T10:00:00Z")])
+    load_entity(spark, str(land), str(bronze), "stargazers", "l1", modes="declared")
+    before = _files(bronze / "stargazers")
+    _land(land, "stargazers", "o", "r", "two.json", [star(2, "2026-01-03T10:00:00Z"), star(3, "2026-01-03T11:00:00Z"),
+                                                     star(3, "2026-01-03T11:00:00Z"), star(4, None)])
+    _, table = load_entity(spark, str(land), str(bronze), "stargazers", "l2", modes="declared")
+    after = _files(bronze / "stargazers")
+    assert all(after.get(p) == t for p, t in before.items()) and len(after) > len(before)
+    assert sorted(r["user_id"] for r in table.collect()) == [1, 2, 3, 4]
+    _land(land, "stargazers", "o", "r", "three.json", [star(3, "2026-01-03T11:00:00Z"), star(4, None)])
+    load_entity(spark, str(land), str(bronze), "stargazers", "l3", modes="declared")
+    again = _files(bronze / "stargazers")
+    assert [r["user_id"] for r in table.filter("starred_at is null").collect()] == [4]
+    assert all(again.get(p) == t for p, t in before.items())
+
+
+def test_replace_touches_its_repositories(spark, tmp_path):
+    land, bronze = tmp_path / "landing", tmp_path / "bronze"
+    person = lambda i, n: {"id": i, "login": f"u{i}", "type": "User", "contributions": n}
+    _land(land, "contributors", "o", "a", "1.json", [person(1, 5), person(2, 6)])
+    _land(land, "contributors", "o", "b", "1.json", [person(1, 7)])
+    load_entity(spark, str(land), str(bronze), "contributors", "l1", modes="declared")
+    before = {p: t for p, t in _files(bronze / "contributors").items() if "_repo=b" in str(p)}
+    _land(land, "contributors", "o", "a", "2.json", [person(3, 1)])
+    _, table = load_entity(spark, str(land), str(bronze), "contributors", "l2", modes="declared")
+    assert sorted((r["_repo"], r["user_id"]) for r in table.collect()) == [("a", 3), ("b", 1)]
+    after = _files(bronze / "contributors")
+    assert before and all(after.get(p) == t for p, t in before.items())
+
+
+def test_reviews_of_every_answer(spark, tmp_path):
+    land, bronze = tmp_path / "landing", tmp_path / "bronze"
+    review = lambda i: {"id": i, "user": _user(7), "state": "APPROVED", "submitted_at": "2026-01-02T00:00:00Z"}
+    _land(land, "pr_review_responses", "o", "r", "1.json", [
+        {"_pr_number": 1, "status": 200, "reviews": [review(1), review(2)]}, {"_pr_number": 2, "status": 403},
+        {"_pr_number": 3, "status": 404, "reviews": []}, {"_pr_number": 4, "status": 200, "reviews": []}])
+    _land(land, "pr_reviews", "o", "r", "1.json", [{**review(9), "_pr_number": 5}])
+    stats, table = load_entity(spark, str(land), str(bronze), "pr_reviews", "l1", modes="declared")
+    assert sorted((r["_pr_number"], r["id"]) for r in table.collect()) == [(1, 1), (1, 2), (5, 9)] and stats["rows"] == 3
+    access = spark.read.parquet(f"{bronze}/_review_access").collect()
+    assert [(r.readable_pull_requests, r.forbidden_count, r.not_found_count, r.accessible_count) for r in access] == [(2, 1, 1, 2)]
+    _land(land, "pr_review_responses", "o", "r", "2.json", [{"_pr_number": 6, "status": 500}])
+    with pytest.raises(Exception, match="status 500"):
+        load_entity(spark, str(land), str(bronze), "pr_reviews", "l2", modes="declared")
+
+
+def test_configured_repositories(spark, tmp_path):
+    land, bronze = tmp_path / "landing", tmp_path / "bronze"
+    for k, repo in enumerate(("a", "b", "c")):
+        _land(land, "issues", "o", repo, "1.json", [_issue(10 * k + 1, "2026-01-02T00:00:00Z"), _issue(10 * k + 2, "2026-02-02T00:00:00Z")])
+    listed = (Repository("o", "a", "2026-02-01 00:00:00"), Repository("o", "b", enabled=False))
+    _, table = load_entity(spark, str(land), str(bronze), "issues", "l1", repositories=listed)
+    assert sorted((r["_repo"], r["id"]) for r in table.collect()) == [("a", 2), ("c", 21), ("c", 22)]
