@@ -17,22 +17,48 @@ def comment_stats(stg_comments: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("comment_count"), F.min("created_at").alias("first_comment_at"))
 
 
-def int_contributor_activity(stg_issues: DataFrame, stg_prs: DataFrame, stg_comments: DataFrame,
-                             stg_commits: DataFrame, stg_users: DataFrame) -> DataFrame:
-    """One row per activity (issue, PR, comment, commit) with the author's bot
-    flag and day / week / month / year truncations (timestamp_ntz)."""
+# Activities above which a user's flag is broadcast instead of joined by shuffle.
+HEAVY_ROWS = 1_000_000
+
+
+def activity_rows(stg_issues: DataFrame, stg_prs: DataFrame, stg_comments: DataFrame,
+                  stg_commits: DataFrame) -> DataFrame:
+    """One row per activity (issue, PR, comment, commit) that has an author."""
     def src(df, kind, at, act_id):
         return df.filter(F.col("author_id").isNotNull()).select(
             F.col("author_id").alias("user_id"), F.col("author_login").alias("user_login"),
             "repository_full_name", F.lit(kind).alias("activity_type"),
             F.col(at).alias("activity_at"), F.col(act_id).cast("string").alias("activity_id"))
 
-    act = (src(stg_issues, "issue_created", "created_at", "issue_id")
-           .unionByName(src(stg_prs, "pr_created", "created_at", "pull_request_id"))
-           .unionByName(src(stg_comments, "comment_created", "created_at", "comment_id"))
-           .unionByName(src(stg_commits, "commit_created", "commit_date", "commit_sha")))
-    users = stg_users.select(F.col("user_id").alias("_u_id"), "is_bot")
-    a = act.join(users, act.user_id == users._u_id, "left").drop("_u_id")
+    return (src(stg_issues, "issue_created", "created_at", "issue_id")
+            .unionByName(src(stg_prs, "pr_created", "created_at", "pull_request_id"))
+            .unionByName(src(stg_comments, "comment_created", "created_at", "comment_id"))
+            .unionByName(src(stg_commits, "commit_created", "commit_date", "commit_sha")))
+
+
+def with_bot_flag(act: DataFrame, users: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """``act`` with its user's ``is_bot`` (a left join, NULL without a user).
+
+    Users with more than ``heavy_rows`` activities - by counting, at most
+    rows / heavy_rows of them, a bound that makes their flags small enough to
+    broadcast - never meet in one shuffle partition: their activities take the
+    flag from the broadcast and go through the join of all others under a key
+    of their own, spread by activity, that is not looked at again."""
+    counted = act.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > heavy_rows)
+    heavy = users.join(counted, "user_id").select(F.col("user_id").alias("_h_id"), F.col("is_bot").alias("_h_bot"))
+    spread = F.xxhash64("activity_type", "activity_id")
+    x = act.join(F.broadcast(heavy), act.user_id == heavy._h_id, "left").withColumn(
+        "_key", F.when(F.col("_h_id").isNull(), F.col("user_id")).otherwise(spread))
+    u = users.select(F.col("user_id").alias("_u_id"), F.col("is_bot").alias("_u_bot"))
+    x = x.join(u, x._key == u._u_id, "left")
+    return x.withColumn("is_bot", F.when(F.col("_h_id").isNotNull(), F.col("_h_bot")).otherwise(F.col("_u_bot"))).drop(
+        "_h_id", "_h_bot", "_key", "_u_id", "_u_bot")
+
+
+def int_contributor_activity(act: DataFrame, users: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """``activity_rows`` with the author's bot flag and day / week / month / year
+    truncations (timestamp_ntz)."""
+    a = with_bot_flag(act, users, heavy_rows)
     return a.select(*ACTIVITY_COLUMNS, "is_bot",
                     trunc_ntz("day", "activity_at").alias("activity_date"),
                     trunc_ntz("week", "activity_at").alias("activity_week"),

@@ -4,26 +4,26 @@ Plan shapes chosen for scale (SURVEY 4):
 * pr_cycle_time / release_velocity aggregate both period grains in ONE pass:
   each input row is exploded into its two period keys (x2 rows, one
   shuffle), instead of scanning the inlined fact chain twice;
-* contributor_engagement is a two-level aggregation: (repo, user, month)
-  first (map-side combine), then (repo, month) sums of per-user flags - no
-  ``count(distinct)`` Expand (x8 rows), and the first-activity month is a
-  window over the already aggregated rows;
+* contributor metrics start from one table, ``user_months``: activity by (repo,
+  user, month), aggregated before it meets the users; (repo, month) sums of
+  per-user flags need no ``count(distinct)`` Expand (x8 rows), and the
+  first-activity month is a window over the already aggregated rows;
 * release gaps: ``lag`` per repository is computed over DISTINCT timestamps,
-  bucketed by day with a small per-(repo, day) carry table, so a hot
-  repository is never sorted in one task, and tied releases are weighted
+  in blocks of minutes whose first rows carry the link to the block before,
+  so a hot repository or day is never sorted in one task, and tied releases are weighted
   rows (exact percentile with a frequency) instead of repeated rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from forgestat.functions.time import day_boundaries, trunc_ntz
 
-# Fixed value: quantiles of the reference's cycle-time report.
-CYCLE_QUANTILES = (0.25, 0.75, 0.90)
-# approx_percentile accuracy (relative rank error 1/accuracy).
-PERCENTILE_ACCURACY = 10000
+# Fixed value: percentiles of the reference's cycle-time report.
+CYCLE_PERCENTILES = (25, 75, 90)
+# Release instants of a repository within these minutes are sorted together.
+BLOCK_MINUTES = 10
 ACTIVITY_TYPES = {"commit": "commit_created", "pr": "pr_created", "issue": "issue_created",
                   "comment": "comment_created"}
 
@@ -31,7 +31,11 @@ ACTIVITY_TYPES = {"commit": "commit_created", "pr": "pr_created", "issue": "issu
 def pr_cycle_time(fct_prs: DataFrame, dim_repos: DataFrame,
                   grains: tuple[str, ...] = ("weekly", "monthly"),
                   monday_week_start: bool = False, iso_year: bool = False) -> DataFrame:
-    """Merge-time statistics per repository and week / month.
+    """Merge-time statistics per repository and week / month, all exact.
+
+    Rows are counted by (group, hour) first; medians and quantiles are ranks in
+    the running counts, so that a window holds at most a group's distinct hours
+    (a calendar's worth), however many rows the group has.
 
     Defaults follow the reference SQL: the weekly key is (calendar year, ISO
     week) and the period start is the first PR date in the group (SURVEY D8,
@@ -54,15 +58,26 @@ def pr_cycle_time(fct_prs: DataFrame, dim_repos: DataFrame,
                  F.explode(periods).alias("p"))
     x = x.withColumn("year", F.when(F.col("p.period_type") == "weekly", week_year.cast("int"))
                      .otherwise(F.year("date")))
-    g = x.groupBy(F.col("p.period_type").alias("period_type"), "repository_name", "repository_full_name",
-                  "year", F.col("p.period_number").alias("period_number")).agg(
-        F.min("date").alias("period_start_date"),
-        F.count(F.lit(1)).alias("merged_pr_count"),
-        F.avg("h").alias("avg_hours_to_merge"),
-        F.median("h").alias("median_hours_to_merge"),
+    group = ["period_type", "repository_name", "repository_full_name", "year", "period_number"]
+    hist = x.groupBy(F.col("p.period_type").alias("period_type"), "repository_name", "repository_full_name",
+                     "year", F.col("p.period_number").alias("period_number"), "h").agg(
+        F.count(F.lit(1)).alias("n"), F.min("date").alias("first"))
+    whole = Window.partitionBy(*group)
+    upto = F.sum("n").over(whole.orderBy("h").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    hist = hist.withColumn("upto", upto).withColumn("total", F.sum("n").over(whole))
+
+    def at(rank: Column) -> Column:
+        """The value of this rank (from 1): in the first row that reaches it."""
+        return F.max(F.when((F.col("upto") >= rank) & (F.col("upto") - F.col("n") < rank), F.col("h")))
+    total = F.col("total")
+    g = hist.groupBy(*group).agg(
+        F.min("first").alias("period_start_date"),
+        F.sum("n").alias("merged_pr_count"),
+        (F.sum(F.col("n") * F.col("h")).cast("double") / F.sum("n")).alias("avg_hours_to_merge"),
+        ((at(F.expr("(total + 1) div 2")) + at(F.expr("total div 2 + 1"))) / F.lit(2.0)).alias("median_hours_to_merge"),
         F.min("h").alias("min_hours_to_merge"),
         F.max("h").alias("max_hours_to_merge"),
-        F.percentile_approx("h", list(CYCLE_QUANTILES), PERCENTILE_ACCURACY).alias("q"))
+        F.array(*[at(F.ceil(total * q / 100).cast("long")) for q in CYCLE_PERCENTILES]).alias("q"))
     if monday_week_start:
         g = g.withColumn("period_start_date", F.when(
             F.col("period_type") == "weekly", F.date_trunc("week", "period_start_date").cast("date"))
@@ -78,21 +93,36 @@ def pr_cycle_time(fct_prs: DataFrame, dim_repos: DataFrame,
         (F.col("q")[2] / 24).alias("p90_days_to_merge"))
 
 
-def user_month_activity(activity: DataFrame) -> DataFrame:
-    """Non-bot activity aggregated to (repo, user, month) with per-type counts
-    and the user's first month in the repository (new vs returning)."""
-    a = activity.filter(F.col("is_bot") == False)  # noqa: E712  (NULL dropped, as in SQL)
+def user_months(activity: DataFrame) -> DataFrame:
+    """Activity of all users by (repository, user, login, month): counts in all and
+    by type, first and last instant. A user with a third of all activities is as
+    many rows as it has repositories and months."""
     t = F.col("activity_type")
-    um = a.groupBy("repository_full_name", "user_id", "activity_month").agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.count_if(t == v).alias(f"n_{k}") for k, v in ACTIVITY_TYPES.items()])
+    return activity.groupBy("repository_full_name", "user_id", "user_login",
+                            trunc_ntz("month", "activity_at").alias("activity_month")).agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(t == v).alias(f"n_{k}") for k, v in ACTIVITY_TYPES.items()],
+        F.min("activity_at").alias("first_at"), F.max("activity_at").alias("last_at"))
+
+
+def human_months(months: DataFrame, users: DataFrame) -> DataFrame:
+    """The months of users that are no bots (NULL dropped, as in SQL)."""
+    u = users.filter(F.col("is_bot") == False).select("user_id")  # noqa: E712
+    return months.join(u, "user_id")
+
+
+def user_month_activity(months: DataFrame) -> DataFrame:
+    """(repo, user, month) with per-type counts and the user's first month in the
+    repository (new vs returning)."""
+    um = months.groupBy("repository_full_name", "user_id", "activity_month").agg(
+        *[F.sum(c).alias(c) for c in ("n", *[f"n_{k}" for k in ACTIVITY_TYPES])])
     first = F.min("activity_month").over(Window.partitionBy("repository_full_name", "user_id"))
     return um.withColumn("first_month", first).withColumn(
         "is_new", F.coalesce(F.col("activity_month") == F.col("first_month"), F.lit(False)))
 
 
-def contributor_engagement(activity: DataFrame) -> DataFrame:
-    um = user_month_activity(activity)
+def contributor_engagement(months: DataFrame) -> DataFrame:
+    """``months``: :func:`human_months`."""
+    um = user_month_activity(months)
     g = um.groupBy("repository_full_name", "activity_month").agg(
         F.count(F.lit(1)).alias("unique_contributors"),
         F.sum("n").alias("total_activities"),
@@ -119,22 +149,23 @@ def contributor_engagement(activity: DataFrame) -> DataFrame:
         (F.col("returning_contributors").cast("double") * 100.0 / F.nullif(uc, F.lit(0))).alias("returning_contributor_pct"))
 
 
-def top_contributors(activity: DataFrame, k: int = 10) -> DataFrame:
+def kinds_of_activity() -> Column:
+    """Number of activity types with a count above 0."""
+    return sum((F.when(F.col(f"n_{k}") > 0, 1).otherwise(0) for k in ACTIVITY_TYPES), F.lit(0)).cast("bigint")
+
+
+def top_contributors(months: DataFrame, k: int = 10) -> DataFrame:
     """Top ``k`` users per repository-month by activity (M-25, dead CTE in the
     reference). Ties broken by user id. Catalyst inserts a per-partition
     window group limit before the shuffle, so a hot repo-month sends at most
-    ``k`` rows per map task."""
-    a = activity.filter(F.col("is_bot") == False)  # noqa: E712
-    g = a.groupBy("repository_full_name", "activity_year", "activity_month", "user_login", "user_id").agg(
-        F.count(F.lit(1)).alias("activity_count"),
-        F.countDistinct("activity_type").alias("activity_type_count"))
-    w = Window.partitionBy("repository_full_name", "activity_year", "activity_month").orderBy(
-        F.col("activity_count").desc(), F.col("user_id").asc(), F.col("user_login").asc_nulls_last())
-    return (g.withColumn("contributor_rank", F.row_number().over(w).cast("bigint"))
-             .filter(F.col("contributor_rank") <= k)
-             .select("repository_full_name", F.col("activity_year").alias("year"),
-                     F.month("activity_month").alias("month"), "user_login", "user_id",
-                     "activity_count", "activity_type_count", "contributor_rank"))
+    ``k`` rows per map task. ``months``: :func:`human_months`."""
+    w = Window.partitionBy("repository_full_name", "activity_month").orderBy(
+        F.col("n").desc(), F.col("user_id").asc(), F.col("user_login").asc_nulls_last())
+    return (months.withColumn("contributor_rank", F.row_number().over(w).cast("bigint"))
+            .filter(F.col("contributor_rank") <= k)
+            .select("repository_full_name", trunc_ntz("year", "activity_month").alias("year"),
+                    F.month("activity_month").alias("month"), "user_login", "user_id",
+                    F.col("n").alias("activity_count"), kinds_of_activity().alias("activity_type_count"), "contributor_rank"))
 
 
 def release_gaps(stg_releases: DataFrame, dim_repos: DataFrame) -> DataFrame:
@@ -151,16 +182,17 @@ def release_gaps(stg_releases: DataFrame, dim_repos: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.count_if(pre == False).alias("n_stable"),  # noqa: E712
         F.count_if(pre == True).alias("n_pre"))  # noqa: E712
-    inst = inst.withColumn("day", F.col("published_at").cast("date"))
-    in_day = F.lag("published_at").over(Window.partitionBy("repository_full_name", "day").orderBy("published_at"))
-    inst = inst.withColumn("prev_in_day", in_day)
-    days = inst.groupBy(F.col("repository_full_name").alias("_df"), F.col("day").alias("_dd")).agg(
-        F.max("published_at").alias("_last"))
-    days = days.withColumn("prev_day_last", F.lag("_last").over(Window.partitionBy("_df").orderBy("_dd")))
-    x = inst.join(days.drop("_last"), (inst.repository_full_name == days._df) & (inst.day == days._dd))
-    prev = F.coalesce(F.col("prev_in_day"), F.col("prev_day_last"))
+    # blocks of BLOCK_MINUTES: lag within a block; a block's first instant follows the
+    # last one of the block before, found among the blocks' first rows
+    inst = inst.withColumn("block", F.expr(f"unix_micros(cast(published_at as timestamp)) div {BLOCK_MINUTES * 60_000_000}"))
+    block = Window.partitionBy("repository_full_name", "block")
+    inst = (inst.withColumn("prev", F.lag("published_at").over(block.orderBy("published_at")))
+            .withColumn("last", F.max("published_at").over(block)))
+    firsts = inst.filter("prev is null").withColumn(
+        "prev", F.lag("last").over(Window.partitionBy("repository_full_name").orderBy("block")))
+    x = inst.filter("prev is not null").unionByName(firsts)
     return x.select("repository_full_name", "repository_name", "published_at", "n", "n_stable", "n_pre",
-                    prev.alias("prev_at"), day_boundaries(prev, F.col("published_at")).alias("gap_first"))
+                    F.col("prev").alias("prev_at"), day_boundaries("prev", "published_at").alias("gap_first"))
 
 
 def release_intervals(stg_releases: DataFrame, dim_repos: DataFrame) -> DataFrame:

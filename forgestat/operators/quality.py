@@ -1,16 +1,15 @@
 """Data-quality checks (T-01 ... T-08, SNK-03).
 
 Every check returns its FAILING rows (empty = pass), so the rows can be
-stored and inspected. ``profile`` runs all column checks of one model in a
-single aggregation pass; ``run_mart_tests`` reproduces the declared mart
-tests as one summary DataFrame (model, test, column, failures).
+stored and inspected. ``failing_keys`` runs all declared tests of all models in
+one pass over each model and one shuffle; ``run_mart_tests`` counts it to one
+summary (model, test, column, failures), ``store_declared_failures`` stores it.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -88,30 +87,107 @@ class ModelTests:
     relationships: list[tuple[str, str, str]] = field(default_factory=list)
 
 
-def profile(df: DataFrame, spec: ModelTests) -> DataFrame:
-    """not_null / expression / accepted-values checks of one model in ONE
-    aggregation pass, and one grouping per ``unique`` column. A ``unique``
+@dataclass(frozen=True)
+class DeclaredTest:
+    number: int
+    model: str
+    test: str
+    column: str
+    parent: tuple[str, str] | None = None        # relationships: model and field
+
+    @property
+    def name(self) -> str:
+        return f"{self.test}_{self.model}_{self.column}"
+
+
+def declared(specs: list[ModelTests]) -> list[DeclaredTest]:
+    """The tests of all specs, numbered; a column's expressions count one each."""
+    listed = [(s.model, kind, c, parent) for s in specs for kind, c, parent in [
+        *[("unique", c, None) for c in s.unique], *[("not_null", c, None) for c in s.not_null],
+        *[("expression_is_true", c, None) for c, _, _ in s.expressions], *[("accepted_values", c, None) for c, _ in s.accepted],
+        *[("relationships", c, (p, f)) for c, p, f in s.relationships]]]
+    return [DeclaredTest(k, *x) for k, x in enumerate(listed)]
+
+
+# Kinds of entries: a row that fails by itself, a value to be counted, a child's
+# key and a parent's key.
+_FAILED, _VALUE, _CHILD, _PARENT = "failed", "value", "child", "parent"
+
+
+def _entries(df: DataFrame, spec: ModelTests | None, tests: list[DeclaredTest], parents: set[tuple[str, str]],
+             model: str, with_rows: bool) -> DataFrame:
+    """One pass over a model: ``(kind, scope, key, number)`` of every value that must be
+    unique, every key that must have a parent, every key that is one, and every
+    row that fails by itself (its key: the row as JSON, or NULL)."""
+    def entry(when: Column, kind: str, scope: str, key: Column, number: int) -> Column:
+        return F.when(when, F.struct(F.lit(kind).alias("kind"), F.lit(scope).alias("scope"), key.alias("key"), F.lit(number).alias("number")))
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])) if with_rows else F.lit(None).cast("string")
+    checks = {}
+    if spec is not None:
+        checks = {("not_null", c): [F.col(c).isNull()] for c in spec.not_null}
+        for c, e, w in spec.expressions:
+            cond = ~F.expr(e) if w is None else (F.expr(w) & ~F.expr(e))
+            checks.setdefault(("expression_is_true", c), []).append(F.coalesce(cond, F.lit(False)))
+        for c, vals in spec.accepted:
+            checks.setdefault(("accepted_values", c), []).append(F.coalesce(~F.col(c).isin(*vals), F.lit(False)))
+    out = []
+    for t in tests:
+        value = F.col(t.column).cast("string")
+        if t.test == "unique":
+            out.append(entry(value.isNotNull(), _VALUE, f"{t.model}.{t.column}", value, t.number))
+        elif t.test == "relationships":
+            out.append(entry(value.isNotNull(), _CHILD, ".".join(t.parent), value, t.number))
+        else:
+            out.append(entry(checks[t.test, t.column].pop(0), _FAILED, "", row, t.number))
+    out += [entry(F.col(f).isNotNull(), _PARENT, f"{m}.{f}", F.col(f).cast("string"), -1) for m, f in sorted(parents) if m == model]
+    return df.select(F.explode(F.filter(F.array(*out), lambda e: e.isNotNull())).alias("e")).select("e.*")
+
+
+def failing_keys(models: dict[str, DataFrame], specs: list[ModelTests], with_rows: bool = False) -> DataFrame:
+    """``(number, key, n_records)`` of everything that fails: a value that occurs more
+    than once, a child's key without a parent (how many rows have it), a row that
+    fails by itself. Every model is scanned once and there is one shuffle: all
+    entries are counted by (scope, key), partially before it, so a key that a
+    third of the rows share is one row per task."""
+    tests = declared(specs)
+    parents = {t.parent for t in tests if t.parent}
+    of = {s.model: s for s in specs}
+    rows = None
+    for model in dict.fromkeys([s.model for s in specs] + sorted(m for m, _ in parents)):
+        own = [t for t in tests if t.model == model]
+        part = _entries(models[model], of.get(model), own, parents, model, with_rows)
+        rows = part if rows is None else rows.unionByName(part)
+    links = [t.number for t in tests if t.parent]
+    n = F.count_if
+    grouped = rows.groupBy(F.when(F.col("kind") == _PARENT, _CHILD).otherwise(F.col("kind")).alias("kind"), "scope", "key",
+                           F.when(F.col("kind").isin(_FAILED, _VALUE), F.col("number")).alias("number")).agg(
+        F.count(F.lit(1)).alias("n"), n(F.col("kind") == _PARENT).alias("found"),
+        *[n(F.col("number") == k).alias(f"c{k}") for k in links])
+    linked = [F.when((F.col("kind") == _CHILD) & (F.col("found") == 0) & (F.col(f"c{k}") > 0),
+                     F.struct(F.lit(k).alias("number"), F.col(f"c{k}").alias("n_records"))) for k in links]
+    itself = F.when((F.col("kind") == _FAILED) | ((F.col("kind") == _VALUE) & (F.col("n") > 1)),
+                    F.struct(F.col("number").alias("number"), F.col("n").alias("n_records")))
+    return (grouped.select("key", F.explode(F.filter(F.array(itself, *linked), lambda x: x.isNotNull())).alias("x"))
+            .select("x.number", "key", "x.n_records"))
+
+
+def summary_of(failing: DataFrame, specs: list[ModelTests]) -> DataFrame:
+    """``(model, test, column_name, failures)`` of every declared test. A ``unique``
     failure is a value that occurs more than once, as the failing rows of
-    :func:`unique_failures` are; surplus copies do not count again."""
-    parts = [unique_failures(df, c).agg(F.count(F.lit(1)).alias("failures")).select(
-        F.lit(spec.model).alias("model"), F.lit("unique").alias("test"), F.lit(c).alias("column_name"), "failures")
-        for c in spec.unique]
-    checks: list[tuple[str, str, Column]] = []
-    for c in spec.not_null:
-        checks.append(("not_null", c, F.count_if(F.col(c).isNull())))
-    for c, e, w in spec.expressions:
-        cond = ~F.expr(e) if w is None else (F.expr(w) & ~F.expr(e))
-        checks.append(("expression_is_true", c, F.count_if(F.coalesce(cond, F.lit(False)))))
-    for c, vals in spec.accepted:
-        checks.append(("accepted_values", c, F.count_if(F.coalesce(~F.col(c).isin(*vals), F.lit(False)))))
-    if not checks:
-        return reduce(DataFrame.unionByName, parts)
-    row = df.agg(*[agg.alias(f"_c{i}") for i, (_, _, agg) in enumerate(checks)])
-    stack = F.explode(F.array(*[
-        F.struct(F.lit(spec.model).alias("model"), F.lit(t).alias("test"), F.lit(c).alias("column_name"),
-                 F.col(f"_c{i}").cast("bigint").alias("failures"))
-        for i, (t, c, _) in enumerate(checks)]))
-    return reduce(DataFrame.unionByName, parts, row.select(stack.alias("r")).select("r.*"))
+    :func:`unique_failures` are; the other failures are rows."""
+    tests = declared(specs)
+    unique = [t.number for t in tests if t.test == "unique"]
+    counted = failing.groupBy("number").agg(
+        F.sum(F.when(F.col("number").isin(unique), 1).otherwise(F.col("n_records"))).alias("failures"))
+    named = failing.sparkSession.createDataFrame([(t.number, t.model, t.test, t.column) for t in tests],
+                                                 "number int, model string, test string, column_name string")
+    return (named.join(counted, "number", "left")
+            .select("model", "test", "column_name", F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures")))
+
+
+def profile(df: DataFrame, spec: ModelTests) -> DataFrame:
+    """The checks of one model by itself."""
+    return run_mart_tests({spec.model: df}, [spec])
 
 
 # The reference's declared mart tests (fixed list).
@@ -175,19 +251,24 @@ REVIEW_TESTS = [ModelTests("stg_pr_reviews", unique=["review_id"],
 
 
 def run_mart_tests(models: dict[str, DataFrame], specs: list[ModelTests] = MART_TESTS) -> DataFrame:
-    """Summary of every declared mart test: one profile pass per model plus
-    one left-anti join per relationship."""
-    out = None
-    for spec in specs:
-        parts = [profile(models[spec.model], spec)]
-        for c, parent, pf in spec.relationships:
-            fails = relationship_failures(models[spec.model], c, models[parent], pf)
-            parts.append(fails.agg(F.count(F.lit(1)).alias("failures")).select(
-                F.lit(spec.model).alias("model"), F.lit("relationships").alias("test"),
-                F.lit(c).alias("column_name"), "failures"))
-        for p in parts:
-            out = p if out is None else out.unionByName(p)
-    return out
+    """Summary of every declared test, from one pass over each model."""
+    return summary_of(failing_keys(models, specs), specs)
+
+
+def store_declared_failures(models: dict[str, DataFrame], specs: list[ModelTests], root: str) -> tuple[str, DataFrame]:
+    """Failing records of all declared tests (SNK-03) in one write below
+    ``<root>/test_results/declared``, a folder per failing test: the key (or the row as
+    JSON) and how many records have it. Returns the folder and the summary, which
+    is counted from what was written."""
+    tests = declared(specs)
+    path = f"{root.rstrip('/')}/test_results/declared"
+    failing = failing_keys(models, specs, with_rows=True)
+    spark = failing.sparkSession
+    named = spark.createDataFrame([(t.number, t.name) for t in tests], "number int, test_name string")
+    (failing.join(F.broadcast(named), "number").hint("rebalance", "test_name")
+     .write.mode("overwrite").partitionBy("test_name").parquet(path))
+    written = spark.read.schema("number int, key string, n_records bigint, test_name string").parquet(path)
+    return path, summary_of(written, specs)
 
 
 def store_failures(failing: DataFrame, root: str, test_name: str) -> str:

@@ -235,19 +235,22 @@ def stg_pr_reviews(pr_reviews: DataFrame) -> DataFrame:
     )
 
 
+def user_pairs(df: DataFrame, id_col: str, login_col: str) -> DataFrame:
+    return df.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("user_id"), F.col(login_col).alias("user_login"))
+
+
+def users_of(pairs: DataFrame) -> DataFrame:
+    """(id, login) pairs -> one row per id with its smallest login and bot flag.
+    Duplicates go first, by hash aggregation, so that the minimum over strings (a
+    sort aggregation) sees only the distinct pairs."""
+    dedup = pairs.distinct().groupBy("user_id").agg(F.min("user_login").alias("user_login"))
+    return dedup.select("user_id", "user_login", is_bot_login("user_login").alias("is_bot"))
+
+
 def stg_users(stg_issues_df: DataFrame, stg_prs: DataFrame, stg_comments: DataFrame,
               stg_commits_df: DataFrame, stg_stars: DataFrame) -> DataFrame:
-    """Users of five sources: distinct (id, login) union, ``min(login)`` per id,
-    bot flag. Duplicates go first, by hash aggregation, so that the minimum over
-    strings (a sort aggregation) sees only the distinct pairs."""
-    def src(df: DataFrame, id_col: str, login_col: str) -> DataFrame:
-        return df.filter(F.col(id_col).isNotNull()).select(
-            F.col(id_col).alias("user_id"), F.col(login_col).alias("user_login"))
-
-    allu = (src(stg_issues_df, "author_id", "author_login")
-            .unionByName(src(stg_prs, "author_id", "author_login"))
-            .unionByName(src(stg_comments, "author_id", "author_login"))
-            .unionByName(src(stg_commits_df, "author_id", "author_login"))
-            .unionByName(src(stg_stars, "user_id", "user_login")))
-    dedup = allu.distinct().groupBy("user_id").agg(F.min("user_login").alias("user_login"))
-    return dedup.select("user_id", "user_login", is_bot_login("user_login").alias("is_bot"))
+    """Users of five sources: distinct (id, login) union, ``min(login)`` per id, bot flag."""
+    pairs = user_pairs(stg_stars, "user_id", "user_login")
+    for df in (stg_issues_df, stg_prs, stg_comments, stg_commits_df):
+        pairs = pairs.unionByName(user_pairs(df, "author_id", "author_login"))
+    return users_of(pairs)

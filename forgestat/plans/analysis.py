@@ -93,37 +93,30 @@ def q06_bug_vs_enhancement(wh: Warehouse) -> DataFrame:
         round_scaled(enh.cast("double") * 100.0 / n, 2).alias("enhancement_pct"))
 
 
-def _non_bot_users(wh: Warehouse) -> DataFrame:
-    return wh.dim_users.filter(F.col("is_bot") == False).select(  # noqa: E712
-        F.col("user_id").alias("_u_id"), "user_login", "is_bot")
+def _named_months(wh: Warehouse) -> DataFrame:
+    """Activity months of humans under the login of their dimension row."""
+    u = wh.active_users.filter(F.col("is_bot") == False).select("user_id", "user_login", "is_bot")  # noqa: E712
+    return wh.user_months.drop("user_login").join(u, "user_id")
 
 
 def q07_top_contributors(wh: Warehouse, k: int = 20) -> DataFrame:
-    a = wh.int_contributor_activity
-    pre = a.groupBy("user_id", "activity_type", "repository_full_name").agg(
-        F.count(F.lit(1)).alias("n"), F.min("activity_at").alias("mn"), F.max("activity_at").alias("mx"))
-    u = _non_bot_users(wh)
-    x = pre.join(u, pre.user_id == u._u_id)
-    g = x.groupBy("user_login", "is_bot").agg(
-        F.sum("n").alias("total_activities"),
-        F.countDistinct("activity_type").alias("activity_types"),
-        F.countDistinct("repository_full_name").alias("repos_contributed_to"),
-        F.min("mn").alias("first_activity"), F.max("mx").alias("last_activity"))
-    return g.orderBy(F.col("total_activities").desc_nulls_last(), F.col("user_login").asc_nulls_last()).limit(k)
+    # per repository first, so that repositories are counted without a distinct
+    kinds = list(metrics.ACTIVITY_TYPES)
+    per_repo = _named_months(wh).groupBy("user_login", "is_bot", "repository_full_name").agg(
+        F.sum("n").alias("n"), *[F.sum(f"n_{t}").alias(f"n_{t}") for t in kinds],
+        F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"))
+    g = per_repo.groupBy("user_login", "is_bot").agg(
+        F.sum("n").alias("total_activities"), *[F.sum(f"n_{t}").alias(f"n_{t}") for t in kinds],
+        F.count("repository_full_name").alias("repos_contributed_to"),
+        F.min("first_at").alias("first_activity"), F.max("last_at").alias("last_activity"))
+    return (g.select("user_login", "is_bot", "total_activities", metrics.kinds_of_activity().alias("activity_types"),
+                     "repos_contributed_to", "first_activity", "last_activity")
+            .orderBy(F.col("total_activities").desc_nulls_last(), F.col("user_login").asc_nulls_last()).limit(k))
 
 
 def q08_contributor_breakdown(wh: Warehouse, k: int = 20) -> DataFrame:
-    a = wh.int_contributor_activity
-    t = F.col("activity_type")
-    pre = a.groupBy("user_id").agg(
-        *[F.count_if(t == v).alias(name) for name, v in
-          (("commits", "commit_created"), ("prs", "pr_created"), ("issues", "issue_created"),
-           ("comments", "comment_created"))],
-        F.count(F.lit(1)).alias("total_activities"))
-    u = _non_bot_users(wh)
-    x = pre.join(u, pre.user_id == u._u_id)
-    g = x.groupBy("user_login").agg(*[F.sum(c).alias(c) for c in ("commits", "prs", "issues", "comments",
-                                                                   "total_activities")])
+    g = _named_months(wh).groupBy("user_login").agg(
+        *[F.sum(f"n_{t}").alias(f"{t}s") for t in ("commit", "pr", "issue", "comment")], F.sum("n").alias("total_activities"))
     return g.orderBy(F.col("total_activities").desc_nulls_last(), F.col("user_login").asc_nulls_last()).limit(k)
 
 
@@ -174,7 +167,7 @@ def q13_release_velocity(wh: Warehouse) -> DataFrame:
 
 
 def q14_contributor_retention(wh: Warehouse) -> DataFrame:
-    um = metrics.user_month_activity(wh.int_contributor_activity)
+    um = metrics.user_month_activity(wh.human_months)
     g = um.groupBy("repository_full_name", "activity_month").agg(
         F.count(F.lit(1)).alias("active_contributors"),
         F.count_if(F.col("first_month") == F.col("activity_month")).alias("new_contributors"),

@@ -31,6 +31,7 @@ class Warehouse:
         self.date_join = date_join
         self.users_join = users_join
         self._tables: dict[str, DataFrame] = {}
+        self._written: set[str] = set()           # models served from written files
 
     # ---- staging ----------------------------------------------------------------
     @cached_property
@@ -66,9 +67,24 @@ class Warehouse:
     @cached_property
     def comment_stats(self): return intermediate.comment_stats(self.stg_issue_comments)
     @cached_property
+    def activity_rows(self):
+        return intermediate.activity_rows(self.stg_issues, self.stg_pull_requests, self.stg_issue_comments, self.stg_commits)
+    @cached_property
     def int_contributor_activity(self):
-        return intermediate.int_contributor_activity(self.stg_issues, self.stg_pull_requests,
-                                                     self.stg_issue_comments, self.stg_commits, self.stg_users)
+        return intermediate.int_contributor_activity(
+            self.activity_rows, self.dim_users if "dim_users" in self._written else self.stg_users)
+    @cached_property
+    def user_months(self): return metrics.user_months(self.activity_rows)
+    @property
+    def active_users(self):
+        """Users for what starts from ``user_months``: the written dimension, else the
+        same rows from the logins in ``user_months`` (every author is in it) and the stars."""
+        if "dim_users" in self._written:
+            return self.dim_users
+        stars = staging.user_pairs(self.stg_stargazers, "user_id", "user_login")
+        return staging.users_of(self.user_months.select("user_id", "user_login").unionByName(stars))
+    @property
+    def human_months(self): return metrics.human_months(self.user_months, self.active_users)
     @cached_property
     def int_issue_lifecycle(self):
         return intermediate.int_issue_lifecycle(self.stg_issues, self.stg_issue_labels, self.comment_stats)
@@ -121,9 +137,9 @@ class Warehouse:
         return self._t("pr_cycle_time", lambda: metrics.pr_cycle_time(self.fct_pull_requests, self.dim_repositories))
     @property
     def contributor_engagement(self):
-        return self._t("contributor_engagement", lambda: metrics.contributor_engagement(self.int_contributor_activity))
+        return self._t("contributor_engagement", lambda: metrics.contributor_engagement(self.human_months))
     @property
-    def top_contributors(self): return metrics.top_contributors(self.int_contributor_activity)
+    def top_contributors(self): return metrics.top_contributors(self.human_months)
     @property
     def release_velocity(self):
         return self._t("release_velocity", lambda: metrics.release_velocity(self.stg_releases, self.dim_repositories))
@@ -133,18 +149,6 @@ class Warehouse:
     def release_intervals(self): return metrics.release_intervals(self.stg_releases, self.dim_repositories)
 
     # ---- materialisation ------------------------------------------------------------
-    def snapshot(self, models=TABLE_MODELS) -> "Warehouse":
-        """A copy whose table models are written once as parquet below the
-        shared ``spark.checkpoint.dir`` (lineage cut, survives executor loss)
-        and read back, so later models and checks scan the written rows
-        instead of re-running the chain for every use."""
-        import uuid
-        from forgestat.session import checkpoint_dir
-        root = f"{checkpoint_dir(self.spark).rstrip('/')}/snapshots/{uuid.uuid4().hex}"
-        w = Warehouse(self.spark, self.bronze, self.params, self.date_join, self.users_join)
-        w.materialize(root, models, with_audit=False)
-        return w
-
     def materialize(self, root: str, models=TABLE_MODELS, with_audit: bool = True,
                     parallel: int = 4) -> dict[str, str]:
         """Write the table models (full refresh) under ``root`` - a folder every
@@ -174,6 +178,7 @@ class Warehouse:
                 write(name)
         for name in models:
             self._tables[name] = self.spark.read.parquet(paths[name]).drop("_loaded_at")
+        self._written |= set(models)
         return paths
 
     def publish(self, database: str, models=TABLE_MODELS + ("int_contributor_activity", "pr_cycle_time",
@@ -251,7 +256,7 @@ def run_pipeline(wh: Warehouse, root: str) -> dict:
     for name in METRIC_MODELS:
         out["metrics"][name] = wh._tables[name].count()
     models = {n: wh._tables[n] for n in TABLE_MODELS + METRIC_MODELS}
-    summary = quality.run_mart_tests(models)
+    _, summary = quality.store_declared_failures(models, quality.MART_TESTS, root)
     for r in summary.collect():
         out["tests"][f"{r['model']}.{r['test']}.{r['column_name']}"] = r["failures"]
     quality.store_failures(quality.negative_cycle_time(models["fct_pull_requests"]), root, "assert_positive_cycle_time")

@@ -53,3 +53,29 @@ def test_fact_user_keys_match_dim_users(wh):
     a = wh.fct_pull_requests.select("pr_key", "author_key", "created_date_key", "merged_date_key", "closed_date_key")
     b = joined.fct_pull_requests.select("pr_key", "author_key", "created_date_key", "merged_date_key", "closed_date_key")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_bot_flags_do_not_gather_a_heavy_user(spark):
+    """One user with a third of the activities (and one with none known): flags as
+    in a plain join, and no shuffle partition far above the median."""
+    from pyspark.sql import functions as F
+
+    from forgestat.operators import intermediate
+    n = 30_000
+    act = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500 + 100).cast("long").alias("user_id"), F.lit("l").alias("user_login"),
+        F.lit("o/r").alias("repository_full_name"), F.lit("commit_created").alias("activity_type"),
+        F.lit("2026-01-05 01:00:00").cast("timestamp_ntz").alias("activity_at"), F.col("id").cast("string").alias("activity_id"))
+    users = spark.createDataFrame([(7, True)] + [(k, k % 2 == 0) for k in range(100, 590)], "user_id long, is_bot boolean")
+    got = intermediate.with_bot_flag(act, users, heavy_rows=2_000)
+    expected = act.join(users, "user_id", "left").groupBy("user_id", "is_bot").count()
+    assert sorted(map(str, got.groupBy("user_id", "is_bot").count().collect())) == sorted(map(str, expected.collect()))
+    for setting, value in (("spark.sql.autoBroadcastJoinThreshold", "-1"), ("spark.sql.adaptive.enabled", "false")):
+        spark.conf.set(setting, value)
+    try:
+        sizes = [r["count"] for r in intermediate.with_bot_flag(act, users, heavy_rows=2_000)
+                 .groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) == 8 and max(sizes) < 3 * sorted(sizes)[len(sizes) // 2]

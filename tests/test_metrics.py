@@ -129,8 +129,9 @@ def test_engagement_first_touch_and_invariants(spark):
             (3, "bot", "o/a", "commit_created", D("2026-03-09 10:00:00"), True)]
     a = spark.createDataFrame(acts, "user_id bigint, user_login string, repository_full_name string, "
                                     "activity_type string, activity_at timestamp_ntz, is_bot boolean")
-    a = a.withColumn("activity_month", F.date_trunc("month", "activity_at").cast("timestamp_ntz"))
-    e = {(r["repository_full_name"], r["month"]): r for r in rows(metrics.contributor_engagement(a))}
+    users = a.select("user_id", "is_bot").distinct()
+    e = {(r["repository_full_name"], r["month"]): r
+         for r in rows(metrics.contributor_engagement(metrics.human_months(metrics.user_months(a), users)))}
     assert e[("o/a", 1)]["new_contributors"] == 1 and e[("o/a", 1)]["total_activities"] == 2
     assert e[("o/a", 3)]["returning_contributors"] == 1 and e[("o/a", 3)]["new_contributors"] == 1
     assert e[("o/b", 3)]["new_contributors"] == 1
@@ -181,3 +182,33 @@ def test_release_velocity_hot_repository_and_instant(spark):
     data += [(600 + i, "o/a", False, False, hot + dt.timedelta(days=i % 40, hours=i % 5)) for i in range(900)]
     data += [(2000 + i, "o/b", False, True, hot - dt.timedelta(days=i)) for i in range(300)]
     _velocity_both(spark, data)
+
+
+def test_cycle_time_is_exact_on_a_large_group(spark):
+    """60,000 rows in one group, beyond what a sketch keeps exactly."""
+    rnd = random.Random(11)
+    hours = [int(rnd.expovariate(1 / 900)) for _ in range(60_000)]
+    data = pd.DataFrame({"time_to_merge_hours": hours})
+    f = (spark.createDataFrame(data).withColumn("repo_key", F.lit("k1")).withColumn("is_merged", F.lit(True))
+         .withColumn("created_at", F.lit("2026-01-07 10:00:00").cast("timestamp_ntz")).withColumn("created_date_key", F.lit(20260107)))
+    r = rows(metrics.pr_cycle_time(f, spark.createDataFrame([("k1", "o/a", "a")], REPO_SCHEMA), grains=("monthly",)))[0]
+    con = duckdb.connect()
+    con.register("d", data)
+    exp = con.execute("select median(x), quantile_disc(x, 0.25), quantile_disc(x, 0.75), quantile_disc(x, 0.90), avg(x), count(*) "
+                      "from (select time_to_merge_hours as x from d)").fetchone()
+    assert (r["median_hours_to_merge"], r["p25_hours_to_merge"], r["p75_hours_to_merge"], r["p90_hours_to_merge"]) == exp[:4]
+    assert abs(r["avg_hours_to_merge"] - exp[4]) < 1e-9 and r["merged_pr_count"] == exp[5]
+
+
+def test_release_gaps_of_a_busy_day_spread(spark):
+    """Instants of one day fall into many blocks; gaps equal a plain lag."""
+    base = dt.datetime(2026, 3, 1)
+    data = [(i, "o/a", False, False, base + dt.timedelta(seconds=7 * i)) for i in range(12_000)]
+    data += [(50_000, "o/a", False, False, base - dt.timedelta(days=3)), (50_001, "o/a", False, False, base + dt.timedelta(days=9))]
+    rel = spark.createDataFrame(data, REL_SCHEMA)
+    dim = spark.createDataFrame([("k1", "o/a", "a")], REPO_SCHEMA)
+    got = {r["published_at"]: r["prev_at"] for r in rows(metrics.release_gaps(rel, dim))}
+    order = sorted(got)
+    assert len(order) == 12_002 and all(got[b] == a for a, b in zip([None, *order], order))
+    blocks = rel.groupBy(F.expr(f"unix_micros(cast(published_at as timestamp)) div {metrics.BLOCK_MINUTES * 60_000_000}")).count()
+    assert blocks.agg(F.max("count")).first()[0] < 100

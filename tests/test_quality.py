@@ -22,6 +22,29 @@ def test_checks_return_failing_rows(spark):
                     ("expression_is_true", "h"): 1, ("accepted_values", "v"): 1}
 
 
+def test_declared_tests_in_one_pass(spark, tmp_path):
+    """All kinds over several models: the summary, and a folder per failing test only."""
+    parent = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "d")], "k bigint, v string")
+    child = spark.createDataFrame([(10, 1, 5), (11, 3, -1), (12, 3, None), (13, None, 2), (13, 2, 2)], "c bigint, k bigint, h bigint")
+    specs = [quality.ModelTests("child", unique=["c"], not_null=["c", "k"], expressions=[("h", "h >= 0", "h is not null"), ("h", "h < 5", None)],
+                                relationships=[("k", "parent", "k"), ("c", "parent", "k")]),
+             quality.ModelTests("parent", unique=["k"], not_null=["v"], accepted=[("v", ["a", "b", "c"])])]
+    models = {"child": child, "parent": parent}
+    expected = [("child", "unique", "c", 1), ("child", "not_null", "c", 0), ("child", "not_null", "k", 1),
+                ("child", "expression_is_true", "h", 1), ("child", "expression_is_true", "h", 1),
+                ("child", "relationships", "k", 2), ("child", "relationships", "c", 5),
+                ("parent", "unique", "k", 1), ("parent", "not_null", "v", 0), ("parent", "accepted_values", "v", 1)]
+    assert sorted(tuple(r) for r in quality.run_mart_tests(models, specs).collect()) == sorted(expected)
+    path, summary = quality.store_declared_failures(models, specs, str(tmp_path))
+    assert sorted(tuple(r) for r in summary.collect()) == sorted(expected)
+    folders = {p.name for p in (tmp_path / "test_results" / "declared").iterdir() if p.is_dir()}
+    assert folders == {f"test_name={t}_{m}_{c}" for m, t, c, n in expected if n}
+    stored = spark.read.parquet(path).filter("test_name = 'relationships_child_k'").collect()
+    assert [(r["key"], r["n_records"]) for r in stored] == [("3", 2)]
+    none, summary = quality.store_declared_failures({"parent": parent}, [quality.ModelTests("parent", not_null=["v"])], str(tmp_path / "ok"))
+    assert [r["failures"] for r in summary.collect()] == [0]
+
+
 def test_singular_tests(spark):
     f = spark.createDataFrame([("p1", 1, "r", True, -3), ("p2", 2, None, True, 4), ("p3", 3, "r", False, None)],
                               "pr_key string, pull_request_id bigint, repo_key string, is_merged boolean, "
