@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from forgestat.functions.time import day_boundaries, trunc_ntz
+from forgestat.functions.users import is_bot_login
 
 # Fixed value: percentiles of the reference's cycle-time report.
 CYCLE_PERCENTILES = (25, 75, 90)
@@ -93,21 +94,30 @@ def pr_cycle_time(fct_prs: DataFrame, dim_repos: DataFrame,
         (F.col("q")[2] / 24).alias("p90_days_to_merge"))
 
 
-def user_months(activity: DataFrame) -> DataFrame:
+def user_months(activity: DataFrame, more_logins: DataFrame | None = None) -> DataFrame:
     """Activity of all users by (repository, user, login, month): counts in all and
-    by type, first and last instant. A user with a third of all activities is as
-    many rows as it has repositories and months."""
+    by type, first and last instant; with each user's smallest login (``name``) and
+    bot flag, as the user dimension has them.
+
+    The logins of ``more_logins`` (users of sources that are no activity) travel as
+    rows without activity, so that one aggregation and one window by user give
+    the flags without building the dimension or joining it. A user with a third
+    of all activities is as many rows as it has repositories and months."""
     t = F.col("activity_type")
-    return activity.groupBy("repository_full_name", "user_id", "user_login",
-                            trunc_ntz("month", "activity_at").alias("activity_month")).agg(
-        F.count(F.lit(1)).alias("n"), *[F.count_if(t == v).alias(f"n_{k}") for k, v in ACTIVITY_TYPES.items()],
+    rows = activity.select("repository_full_name", "user_id", "user_login", trunc_ntz("month", "activity_at").alias("activity_month"),
+                           "activity_type", "activity_at")
+    if more_logins is not None:
+        rows = rows.unionByName(more_logins, allowMissingColumns=True)
+    months = rows.groupBy("repository_full_name", "user_id", "user_login", "activity_month").agg(
+        F.count("activity_type").alias("n"), *[F.count_if(t == v).alias(f"n_{k}") for k, v in ACTIVITY_TYPES.items()],
         F.min("activity_at").alias("first_at"), F.max("activity_at").alias("last_at"))
+    months = months.withColumn("name", F.min("user_login").over(Window.partitionBy("user_id")))
+    return months.withColumn("is_bot", is_bot_login("name")).filter(F.col("n") > 0)
 
 
-def human_months(months: DataFrame, users: DataFrame) -> DataFrame:
+def human_months(months: DataFrame) -> DataFrame:
     """The months of users that are no bots (NULL dropped, as in SQL)."""
-    u = users.filter(F.col("is_bot") == False).select("user_id")  # noqa: E712
-    return months.join(u, "user_id")
+    return months.filter(F.col("is_bot") == False)  # noqa: E712
 
 
 def user_month_activity(months: DataFrame) -> DataFrame:
@@ -188,9 +198,9 @@ def release_gaps(stg_releases: DataFrame, dim_repos: DataFrame) -> DataFrame:
     block = Window.partitionBy("repository_full_name", "block")
     inst = (inst.withColumn("prev", F.lag("published_at").over(block.orderBy("published_at")))
             .withColumn("last", F.max("published_at").over(block)))
-    firsts = inst.filter("prev is null").withColumn(
-        "prev", F.lag("last").over(Window.partitionBy("repository_full_name").orderBy("block")))
-    x = inst.filter("prev is not null").unionByName(firsts)
+    # the blocks' first rows are one chain per repository, all others stay in their blocks
+    chain = Window.partitionBy("repository_full_name", F.col("prev").isNull(), F.when(F.col("prev").isNotNull(), F.col("block")))
+    x = inst.withColumn("prev", F.coalesce("prev", F.lag("last").over(chain.orderBy("published_at"))))
     return x.select("repository_full_name", "repository_name", "published_at", "n", "n_stable", "n_pre",
                     F.col("prev").alias("prev_at"), day_boundaries("prev", "published_at").alias("gap_first"))
 

@@ -95,8 +95,7 @@ def q06_bug_vs_enhancement(wh: Warehouse) -> DataFrame:
 
 def _named_months(wh: Warehouse) -> DataFrame:
     """Activity months of humans under the login of their dimension row."""
-    u = wh.active_users.filter(F.col("is_bot") == False).select("user_id", "user_login", "is_bot")  # noqa: E712
-    return wh.user_months.drop("user_login").join(u, "user_id")
+    return wh.human_months.drop("user_login").withColumnRenamed("name", "user_login")
 
 
 def q07_top_contributors(wh: Warehouse, k: int = 20) -> DataFrame:

@@ -74,17 +74,10 @@ class Warehouse:
         return intermediate.int_contributor_activity(
             self.activity_rows, self.dim_users if "dim_users" in self._written else self.stg_users)
     @cached_property
-    def user_months(self): return metrics.user_months(self.activity_rows)
+    def user_months(self):
+        return metrics.user_months(self.activity_rows, staging.user_pairs(self.stg_stargazers, "user_id", "user_login"))
     @property
-    def active_users(self):
-        """Users for what starts from ``user_months``: the written dimension, else the
-        same rows from the logins in ``user_months`` (every author is in it) and the stars."""
-        if "dim_users" in self._written:
-            return self.dim_users
-        stars = staging.user_pairs(self.stg_stargazers, "user_id", "user_login")
-        return staging.users_of(self.user_months.select("user_id", "user_login").unionByName(stars))
-    @property
-    def human_months(self): return metrics.human_months(self.user_months, self.active_users)
+    def human_months(self): return metrics.human_months(self.user_months)
     @cached_property
     def int_issue_lifecycle(self):
         return intermediate.int_issue_lifecycle(self.stg_issues, self.stg_issue_labels, self.comment_stats)
