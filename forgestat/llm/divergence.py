@@ -34,8 +34,8 @@ from forgestat.llm.transducer import Streamer, Transducer, build
 
 SHARD_TERMS = 20_000      # terms of a transducer
 SLAB_BYTES = 48 << 20     # transducers that tasks hold at a time
-HELD = 400_000            # counts that a task holds before it sends them on
-BLOCK_TERMS = 2048        # terms of a block
+HELD = 300_000            # counts that a task holds before it sends them on
+BLOCK_TERMS = 512         # terms of a block
 TILE = 64                 # sources of a tile
 UNIT = 10 ** 9            # shares are integers of this unit
 SMOOTH = 2                # added to every count

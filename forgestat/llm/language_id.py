@@ -29,7 +29,6 @@ from forgestat.llm.common import documents_of, held_out
 
 SAMPLE_DOCS = 250        # labelled documents per language, expected
 SAMPLE_WORDS = 96        # words taken of each
-MAX_LANGUAGES = 128      # the most frequent languages that are learned
 BUCKETS = 1 << 16        # hashed features
 RUN = 12                 # words of one document in a row of a training sequence
 RUNS = 4                 # such runs in a sequence
@@ -183,16 +182,16 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     lang = F.col(lang_col).cast("string")
     marked = documents_of(docs, id_col, text_col, lang.alias("lang"),
                           held_out(F.col(id_col)).alias("held")).filter("lang is not null and text is not null and not held")
-    counts = {r["lang"]: r["n"] for r in marked.groupBy("lang").agg(F.count("*").alias("n"))
-              .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
+    # every label is learned, so the model and this list grow with the number of labels
+    counts = {r["lang"]: r["n"] for r in marked.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return None
     languages = sorted(counts)
     # a hash of the id decides: about SAMPLE_DOCS rows of each language, at any size
     place = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), "text"), F.lit(1 << 30))
-    limit = F.element_at(F.create_map(*[F.lit(x) for k, n in counts.items()
-                                        for x in (k, int((1 << 30) * min(1.0, SAMPLE_DOCS / n)))]), F.col("lang"))
-    sample = marked.filter(F.col("lang").isin(languages)).withColumn("place", place).filter(F.col("place") < limit)
+    limits = docs.sparkSession.createDataFrame([(k, int((1 << 30) * min(1.0, SAMPLE_DOCS / n))) for k, n in counts.items()],
+                                               "lang string, most long")
+    sample = marked.withColumn("place", place).join(F.broadcast(limits), "lang").filter(F.col("place") < F.col("most"))
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -373,3 +373,19 @@ def test_words_hash_alike_anywhere():
     piece = next(textnp.pieces(pa.array(["ab  CD ab", None, "", "cd", "ab" * 9]), textnp.SPACE))
     h = piece.word_hash().tolist()
     assert piece.first.tolist() == [0, 3, 3, 3, 4, 5] and h[0] == h[2] and h[1] == h[3] and len(set(h)) == 3
+
+
+def test_op6_learns_every_label(spark):
+    """130 labels, each with words of its own: none is left out."""
+    rng = random.Random(12)
+    rows = []
+    for k in range(130):
+        own = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(5)]
+        rows += [(1000 * k + j, " ".join(rng.choice(own) for _ in range(12)), f"l{k:03d}", "s", None) for j in range(6)]
+    docs = frame(spark, rows)
+    model = fit_languages(docs)
+    assert len(model.languages) == 130
+    got = identify(docs, model).collect()
+    right = sum(r.lang_pred == f"l{r.doc_id // 1000:03d}" for r in got if not r.held_out)
+    assert right >= 0.85 * sum(not r.held_out for r in got)
+    assert {"l128", "l129"} <= {r.lang_pred for r in got}

@@ -1,5 +1,7 @@
 """The pipeline over sf0.001, stage by stage against the operators' own results."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from forgestat.llm import registry
 from forgestat.llm.common import table
@@ -43,3 +45,20 @@ def test_ngram_stage_judges_rows(spark):
     assert sorted(out, key=str) == sorted(want, key=str)
     assert sorted(map(str, corpus_pipeline.ngram_stage(spark, docs.repartition(3), SF).collect())) == \
         sorted(map(str, corpus_pipeline.ngram_stage(spark, docs, SF).collect()))
+
+
+def test_ngram_stage_keeps_clashing_columns(spark):
+    """A column named like the stage's own numbers comes back as it was, where ids repeat."""
+    text = lambda tag: " ".join(f"{tag}{k}" for k in range(60))
+    rows = [(1, text("a"), 100, 1), (1, text("b"), 200, 2), (2, text("a"), 300, 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row long, part int")
+    got = sorted((r.doc_id, r._row, r.part) for r in corpus_pipeline.ngram_stage(spark, docs, SF).collect())
+    assert got == [(1, 100, 1), (1, 200, 2)]
+
+
+def test_stages_of_an_empty_table(spark):
+    docs = table(spark, SF, "documents").limit(0).withColumn("score", F.lit(1.0))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and out.collect() == []
+    assert corpus_pipeline.bpe_stage(spark, docs, SF).collect() == []
