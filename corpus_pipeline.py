@@ -43,7 +43,8 @@ def ngram_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         # what goes: every row that is not the first of its group
         gone = ngram_components(docs).filter("doc_id is not null and component_id <> doc_id").select("doc_id")
     else:
-        node = "_row"        # ids do not tell the rows apart; numbers written once do
+        # ids do not tell the rows apart; numbers written once do, under a name that docs do not use
+        node = "_row" + "_" * max(map(len, docs.columns))
         rows = saved(docs.withColumn(node, F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())), "rows")
         groups = saved(ngram_components(rows, id_col=node).filter("doc_id is not null").select(
             F.col("doc_id").alias(node), (F.col("n_shingles") == 0).alias("empty"), F.col("component_id").alias("part")), "groups")
