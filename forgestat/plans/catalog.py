@@ -97,9 +97,29 @@ def _kinds(*pairs: tuple[str, str]) -> str:
     return ", ".join(f"count(*) FILTER (WHERE activity_type = '{kind}_created') AS {name}" for kind, name in pairs)
 
 
+# The columns of the four reports that only list a model, in the
+# reports' order; a number is the decimals shown, a second name what it is shown as.
+REPORTS = {
+    "q01": ["repository_name", "repository_full_name", "primary_language", "stargazers_count", "forks_count",
+            "open_issues_count", "created_at", "pushed_at"],
+    "q11": ["repository_name", "period_type", "year", "period_number", "merged_pr_count", "median_days_to_merge",
+            "p90_days_to_merge"],
+    "q12": ["repository_full_name", "year", "month", "unique_contributors", "new_contributors", "returning_contributors",
+            ("returning_contributor_pct", 2, "returning_pct"), "total_activities",
+            ("activities_per_contributor", 2, "activities_per_contributor")],
+    "q13": ["repository_name", "period_type", "year", "period_number", "release_count", "stable_release_count",
+            ("avg_days_between_releases", 1, "avg_days_between_releases"),
+            ("median_days_between_releases", 1, "median_days_between_releases")],
+}
+
+
+def _plain(model: str, report: str, where: str = "true") -> str:
+    columns = [c if isinstance(c, str) else f"round({c[0]}, {c[1]}) AS {c[2]}" for c in REPORTS[report]]
+    return f"SELECT {', '.join(columns)} FROM {model} WHERE {where}"
+
+
 Q_SQL = {
-    "q01_repository_stats": ("""SELECT * FROM (SELECT repository_full_name, repository_name, created_at, pushed_at,
-      primary_language, open_issues_count, forks_count, stargazers_count FROM dim_repositories)""", ["dim_repositories"]),
+    "q01_repository_stats": (_plain("dim_repositories", "q01"), ["dim_repositories"]),
     "q02_pr_cycle_time_by_repo": (_spans("fct_pull_requests", "is_merged", "time_to_merge_hours", "total_merged_prs", "merge"),
                                   ["fct_pull_requests", "dim_repositories"]),
     "q03_pr_merge_rate": (f"""WITH s AS (SELECT repository_name, count(*) AS total_prs,
@@ -142,15 +162,9 @@ Q_SQL = {
         GROUP BY 1, 2, 3)
       SELECT year, month, repository_name, prs_created, prs_merged, round(mean_h / 24, 2) AS avg_days_to_merge FROM s""",
                                 ["fct_pull_requests", "dim_dates", "dim_repositories"]),
-    "q11_cycle_time_trend": ("""SELECT year, period_number, repository_name, 'monthly' AS period_type, merged_pr_count,
-      p90_days_to_merge, median_days_to_merge FROM pr_cycle_time WHERE period_type IN ('monthly')""", ["pr_cycle_time"]),
-    "q12_engagement_trend": ("""SELECT year, month, repository_full_name, total_activities, unique_contributors,
-      returning_contributors, new_contributors, round(activities_per_contributor, 2) AS activities_per_contributor,
-      round(returning_contributor_pct, 2) AS returning_pct FROM contributor_engagement""", ["contributor_engagement"]),
-    "q13_release_velocity": ("""SELECT year, period_number, repository_name, 'monthly' AS period_type, stable_release_count,
-      release_count, round(median_days_between_releases, 1) AS median_days_between_releases,
-      round(avg_days_between_releases, 1) AS avg_days_between_releases
-      FROM release_velocity WHERE period_type IN ('monthly')""", ["release_velocity"]),
+    "q11_cycle_time_trend": (_plain("pr_cycle_time", "q11", "period_type = 'monthly'"), ["pr_cycle_time"]),
+    "q12_engagement_trend": (_plain("contributor_engagement", "q12"), ["contributor_engagement"]),
+    "q13_release_velocity": (_plain("release_velocity", "q13", "period_type = 'monthly'"), ["release_velocity"]),
     "q14_contributor_retention": ("""WITH seen AS (SELECT DISTINCT repository_full_name, user_id,
         date_trunc('month', activity_at) AS activity_month FROM int_contributor_activity WHERE NOT is_bot), ranked AS (
         SELECT *, row_number() OVER (PARTITION BY repository_full_name, user_id ORDER BY activity_month) AS nth FROM seen

@@ -1,11 +1,11 @@
 """DuckDB oracle SQL for every registered query.
 
-Each query is the reference's model SQL (plain joins to the date and user
-dimensions, ``lag`` over rows, ``count(distinct)``) over the same adapter
-projection of the driver tables, written as CTEs. Result types are cast to
-the Spark types (SURVEY 1.4: BIGINT extracts -> INTEGER, HUGEINT sums ->
-BIGINT, DECIMAL ratios -> DOUBLE); ``approx_quantile`` is stated as
-``quantile_disc`` (exact while groups are small, SURVEY P7).
+Each query states a model plainly (joins to the date and user dimensions,
+``lag`` over rows, ``count(distinct)``) over the same adapter projection of the
+driver tables, as CTEs; the Spark side takes none of these routes. Result types
+are cast to the Spark types (SURVEY 1.4: BIGINT extracts -> INTEGER, HUGEINT
+sums -> BIGINT, DECIMAL ratios -> DOUBLE); quantiles are ``quantile_disc``, which
+both sides give exactly.
 """
 
 from __future__ import annotations
@@ -422,111 +422,64 @@ cte("fct_stargazers", f"""SELECT {_skey('s.user_id', 's.repository_full_name')}
     ["stg_stargazers", "dim_repositories", "dim_users", "dim_dates"])
 
 # ----------------------------------------------------------------- metrics ----
-_CYCLE_MEASURES = """count(*) AS merged_pr_count, avg(time_to_merge_hours) AS avg_hours_to_merge,
-  median(time_to_merge_hours) AS median_hours_to_merge, min(time_to_merge_hours) AS min_hours_to_merge,
-  max(time_to_merge_hours) AS max_hours_to_merge,
-  quantile_disc(time_to_merge_hours, 0.25) AS p25_hours_to_merge,
-  quantile_disc(time_to_merge_hours, 0.75) AS p75_hours_to_merge,
-  quantile_disc(time_to_merge_hours, 0.90) AS p90_hours_to_merge,
-  avg(time_to_merge_hours) / 24 AS avg_days_to_merge, median(time_to_merge_hours) / 24 AS median_days_to_merge,
-  quantile_disc(time_to_merge_hours, 0.90) / 24 AS p90_days_to_merge"""
-_CYCLE_OUT = """merged_pr_count, avg_hours_to_merge, median_hours_to_merge, min_hours_to_merge, max_hours_to_merge,
-  p25_hours_to_merge, p75_hours_to_merge, p90_hours_to_merge, avg_days_to_merge, median_days_to_merge,
-  p90_days_to_merge"""
-cte("pr_facts", """SELECT f.repo_key, r.repository_name, r.repository_full_name, d.date, d.year, d.month,
-  d.week_of_year, f.time_to_merge_hours, f.is_merged
-  FROM fct_pull_requests f JOIN dim_repositories r ON f.repo_key = r.repo_key
-  JOIN dim_dates d ON f.created_date_key = d.date_key
-  WHERE f.is_merged = true AND f.time_to_merge_hours IS NOT NULL AND f.time_to_merge_hours >= 0""",
-    ["fct_pull_requests", "dim_repositories", "dim_dates"])
-cte("pr_cycle_time", f"""SELECT 'weekly' AS period_type, repository_name, repository_full_name, year,
-  week_of_year AS period_number, week_start_date AS period_start_date, {_CYCLE_OUT}
-  FROM (SELECT repository_name, repository_full_name, year, week_of_year, min(date) AS week_start_date,
-        {_CYCLE_MEASURES} FROM pr_facts GROUP BY repository_name, repository_full_name, year, week_of_year) w
-  UNION ALL
-  SELECT 'monthly', repository_name, repository_full_name, year, month, month_start_date, {_CYCLE_OUT}
-  FROM (SELECT repository_name, repository_full_name, year, month, min(date) AS month_start_date,
-        {_CYCLE_MEASURES} FROM pr_facts GROUP BY repository_name, repository_full_name, year, month) m""",
-    ["pr_facts"])
-cte("enriched_activity", """SELECT a.*, f.first_activity_at,
-  CASE WHEN date_trunc('month', a.activity_at) = date_trunc('month', f.first_activity_at) THEN 'new'
-       ELSE 'returning' END AS contributor_type
-  FROM (SELECT * FROM int_contributor_activity WHERE is_bot = false) a
-  JOIN (SELECT user_id, repository_full_name, min(activity_at) AS first_activity_at
-        FROM int_contributor_activity WHERE is_bot = false GROUP BY user_id, repository_full_name) f
-    ON a.user_id = f.user_id AND a.repository_full_name = f.repository_full_name""",
-    ["int_contributor_activity"])
-cte("contributor_engagement", """SELECT repository_full_name, activity_year AS year,
-  CAST(extract(month FROM activity_month) AS INTEGER) AS month, activity_month AS month_start_date,
-  count(DISTINCT user_id) AS unique_contributors, count(*) AS total_activities,
-  count(DISTINCT CASE WHEN contributor_type = 'new' THEN user_id END) AS new_contributors,
-  count(DISTINCT CASE WHEN contributor_type = 'returning' THEN user_id END) AS returning_contributors,
-  count(DISTINCT CASE WHEN activity_type = 'commit_created' THEN user_id END) AS committers,
-  count(DISTINCT CASE WHEN activity_type = 'pr_created' THEN user_id END) AS pr_creators,
-  count(DISTINCT CASE WHEN activity_type = 'issue_created' THEN user_id END) AS issue_creators,
-  count(DISTINCT CASE WHEN activity_type = 'comment_created' THEN user_id END) AS commenters,
-  CAST(sum(CASE WHEN activity_type = 'commit_created' THEN 1 ELSE 0 END) AS BIGINT) AS commit_count,
-  CAST(sum(CASE WHEN activity_type = 'pr_created' THEN 1 ELSE 0 END) AS BIGINT) AS pr_count,
-  CAST(sum(CASE WHEN activity_type = 'issue_created' THEN 1 ELSE 0 END) AS BIGINT) AS issue_count,
-  CAST(sum(CASE WHEN activity_type = 'comment_created' THEN 1 ELSE 0 END) AS BIGINT) AS comment_count,
-  CAST(count(*) AS DOUBLE) / count(DISTINCT user_id) AS activities_per_contributor,
-  CAST(count(DISTINCT CASE WHEN contributor_type = 'returning' THEN user_id END) AS DOUBLE) * 100.0
-    / nullif(count(DISTINCT user_id), 0) AS returning_contributor_pct
-  FROM enriched_activity
-  GROUP BY repository_full_name, activity_year, extract(month FROM activity_month), activity_month""",
-    ["enriched_activity"])
-cte("top_contributors", """SELECT repository_full_name, activity_year AS year,
-  CAST(extract(month FROM activity_month) AS INTEGER) AS month, user_login, user_id,
-  count(*) AS activity_count, count(DISTINCT activity_type) AS activity_type_count,
-  row_number() OVER (PARTITION BY repository_full_name, activity_year, extract(month FROM activity_month)
-                     ORDER BY count(*) DESC, user_id ASC, user_login ASC NULLS LAST) AS contributor_rank
-  FROM enriched_activity
-  GROUP BY repository_full_name, activity_year, extract(month FROM activity_month), user_login, user_id
-  QUALIFY contributor_rank <= 10""", ["enriched_activity"])
-cte("release_intervals", """SELECT r.repository_full_name, r.repository_name, rel.tag_name, rel.release_name,
-  rel.is_prerelease, rel.is_draft, rel.published_at, rel.created_at,
-  lag(rel.published_at) OVER (PARTITION BY r.repository_full_name ORDER BY rel.published_at) AS previous_release_at,
-  datediff('day', lag(rel.published_at) OVER (PARTITION BY r.repository_full_name ORDER BY rel.published_at),
-           rel.published_at) AS days_since_last_release
-  FROM stg_releases rel JOIN dim_repositories r ON rel.repository_full_name = r.repository_full_name
-  WHERE rel.is_draft = false AND rel.published_at IS NOT NULL""", ["stg_releases", "dim_repositories"])
-cte("release_velocity", """SELECT 'monthly' AS period_type, repository_name, repository_full_name,
-  CAST(extract(year FROM published_at) AS INTEGER) AS year,
-  CAST(extract(month FROM published_at) AS INTEGER) AS period_number, CAST(NULL AS INTEGER) AS quarter,
-  date_trunc('month', published_at) AS period_start_date, count(*) AS release_count,
-  count(CASE WHEN is_prerelease = false THEN 1 END) AS stable_release_count,
-  count(CASE WHEN is_prerelease = true THEN 1 END) AS prerelease_count,
-  avg(days_since_last_release) AS avg_days_between_releases,
-  median(days_since_last_release) AS median_days_between_releases,
-  min(days_since_last_release) AS min_days_between_releases,
-  max(days_since_last_release) AS max_days_between_releases,
-  CAST(count(*) AS DOUBLE) AS releases_per_period
-  FROM release_intervals
-  GROUP BY repository_name, repository_full_name, date_trunc('month', published_at),
-           extract(year FROM published_at), extract(month FROM published_at)
-  UNION ALL
-  SELECT 'quarterly', repository_name, repository_full_name, CAST(y AS INTEGER), CAST(NULL AS INTEGER),
-  CAST(q AS INTEGER), CAST(CAST(y || '-' || (q * 3 - 2) || '-01' AS DATE) AS TIMESTAMP),
-  release_count, stable_release_count, CAST(NULL AS BIGINT), avg_days, median_days,
-  CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(release_count AS DOUBLE) / 3
-  FROM (SELECT repository_name, repository_full_name, extract(year FROM published_at) AS y,
-               extract(quarter FROM published_at) AS q, count(*) AS release_count,
-               count(CASE WHEN is_prerelease = false THEN 1 END) AS stable_release_count,
-               avg(days_since_last_release) AS avg_days, median(days_since_last_release) AS median_days
-        FROM release_intervals
-        GROUP BY repository_name, repository_full_name, extract(year FROM published_at),
-                 extract(quarter FROM published_at)) qm""", ["release_intervals"])
-cte("release_intervals_rows", """SELECT r.repository_full_name, r.repository_name, rel.release_id, rel.tag_name,
-  rel.release_name, rel.is_prerelease, rel.is_draft, rel.published_at, rel.created_at,
-  lag(rel.published_at) OVER (PARTITION BY r.repository_full_name ORDER BY rel.published_at, rel.release_id)
-    AS previous_release_at,
-  datediff('day', lag(rel.published_at) OVER (PARTITION BY r.repository_full_name
-                                              ORDER BY rel.published_at, rel.release_id), rel.published_at)
-    AS days_since_last_release
-  FROM stg_releases rel JOIN dim_repositories r ON rel.repository_full_name = r.repository_full_name
-  WHERE rel.is_draft = false AND rel.published_at IS NOT NULL""", ["stg_releases", "dim_repositories"])
-cte("commits_per_release", """SELECT repository_full_name, date_trunc('month', commit_date) AS commit_month,
-  count(*) AS commit_count FROM stg_commits GROUP BY repository_full_name, date_trunc('month', commit_date)""",
+# Periods are rows of a small table, so that each metric is stated once for both grains.
+cte("merged_hours", """SELECT g.period_type, f.repo_key, d.year, d.date, f.time_to_merge_hours AS h,
+    CASE WHEN g.period_type = 'weekly' THEN d.week_of_year ELSE d.month END AS period_number
+  FROM dim_dates AS d INNER JOIN fct_pull_requests AS f ON d.date_key = f.created_date_key,
+    (VALUES ('weekly'), ('monthly')) AS g(period_type) WHERE f.is_merged AND f.time_to_merge_hours >= 0""",
+    ["dim_dates", "fct_pull_requests"])
+cte("pr_cycle_time", """SELECT x.period_type, repository_name, repository_full_name, x.year, x.period_number,
+    x.first_day AS period_start_date, x.n AS merged_pr_count, x.mean AS avg_hours_to_merge, x.mid AS median_hours_to_merge,
+    x.low AS min_hours_to_merge, x.high AS max_hours_to_merge, x.q[1] AS p25_hours_to_merge, x.q[2] AS p75_hours_to_merge,
+    x.q[3] AS p90_hours_to_merge, x.mean / 24 AS avg_days_to_merge, x.mid / 24 AS median_days_to_merge,
+    x.q[3] / 24 AS p90_days_to_merge
+  FROM dim_repositories INNER JOIN (
+    SELECT period_type, repo_key, year, period_number, count(h) AS n, min(date) AS first_day, avg(h) AS mean, median(h) AS mid,
+      min(h) AS low, max(h) AS high, quantile_disc(h, [0.25, 0.75, 0.90]) AS q
+    FROM merged_hours GROUP BY ALL) AS x USING (repo_key)""", ["merged_hours", "dim_repositories"])
+_KINDS = (("commit", "committers"), ("pr", "pr_creators"), ("issue", "issue_creators"), ("comment", "commenters"))
+cte("user_months", f"""SELECT repository_full_name AS repo, user_id, date_trunc('month', activity_at) AS m, count(*) AS n,
+    {", ".join(f"count(*) FILTER (WHERE activity_type = '{k}_created') AS n_{k}" for k, _ in _KINDS)},
+    m IS NOT NULL AND row_number() OVER (PARTITION BY repo, user_id ORDER BY m) = 1 AS fresh
+  FROM int_contributor_activity WHERE NOT is_bot GROUP BY repo, user_id, m""", ["int_contributor_activity"])
+cte("contributor_engagement", f"""SELECT *, CAST(total_activities AS DOUBLE) / unique_contributors AS activities_per_contributor,
+    100.0 * CAST(returning_contributors AS DOUBLE) / unique_contributors AS returning_contributor_pct
+  FROM (SELECT repo AS repository_full_name, date_trunc('year', m) AS year, CAST(month(m) AS INTEGER) AS month,
+      m AS month_start_date, count(*) AS unique_contributors, CAST(sum(n) AS BIGINT) AS total_activities,
+      count(*) FILTER (WHERE fresh) AS new_contributors, count(*) FILTER (WHERE NOT fresh) AS returning_contributors,
+      {", ".join(f"count(*) FILTER (WHERE n_{k} > 0) AS {who}, CAST(sum(n_{k}) AS BIGINT) AS {k}_count" for k, who in _KINDS)}
+    FROM user_months GROUP BY repo, m)""", ["user_months"])
+cte("top_contributors", """SELECT repo AS repository_full_name, date_trunc('year', m) AS year, CAST(month(m) AS INTEGER) AS month,
+    user_login, user_id, activity_count, activity_type_count, place AS contributor_rank
+  FROM (SELECT *, row_number() OVER (PARTITION BY repo, m ORDER BY activity_count DESC, user_id, user_login NULLS LAST) AS place
+    FROM (SELECT repository_full_name AS repo, date_trunc('month', activity_at) AS m, user_id, user_login,
+        count(*) AS activity_count, count(DISTINCT activity_type) AS activity_type_count
+      FROM int_contributor_activity WHERE NOT is_bot GROUP BY ALL)) WHERE place <= 10""", ["int_contributor_activity"])
+cte("release_chain", """SELECT n.*, d.repository_name,
+    row_number() OVER (PARTITION BY n.repository_full_name ORDER BY n.published_at, n.release_id) AS place
+  FROM stg_releases AS n INNER JOIN dim_repositories AS d USING (repository_full_name)
+  WHERE NOT n.is_draft AND n.published_at IS NOT NULL""", ["stg_releases", "dim_repositories"])
+cte("release_intervals_rows", """SELECT a.repository_full_name, a.repository_name, a.release_id, a.tag_name, a.release_name,
+    a.is_prerelease, a.is_draft, a.published_at, a.created_at, b.published_at AS previous_release_at,
+    CAST(a.published_at AS DATE) - CAST(b.published_at AS DATE) AS days_since_last_release
+  FROM release_chain AS a LEFT JOIN release_chain AS b
+    ON b.repository_full_name = a.repository_full_name AND b.place = a.place - 1""", ["release_chain"])
+cte("release_velocity", """SELECT p AS period_type, repository_name, repository_full_name, CAST(year(start) AS INTEGER) AS year,
+    CASE WHEN p = 'monthly' THEN CAST(month(start) AS INTEGER) END AS period_number,
+    CASE WHEN p = 'quarterly' THEN CAST(quarter(start) AS INTEGER) END AS quarter, start AS period_start_date,
+    n AS release_count, stable AS stable_release_count, CASE WHEN p = 'monthly' THEN pre END AS prerelease_count,
+    mean AS avg_days_between_releases, mid AS median_days_between_releases,
+    CASE WHEN p = 'monthly' THEN low END AS min_days_between_releases, CASE WHEN p = 'monthly' THEN high END AS max_days_between_releases,
+    CAST(n AS DOUBLE) / months AS releases_per_period
+  FROM (SELECT p, months, repository_name, repository_full_name,
+      CASE WHEN p = 'monthly' THEN date_trunc('month', published_at) ELSE date_trunc('quarter', published_at) END AS start,
+      count(*) AS n, count(*) FILTER (WHERE NOT is_prerelease) AS stable, count(*) FILTER (WHERE is_prerelease) AS pre,
+      avg(days_since_last_release) AS mean, median(days_since_last_release) AS mid, min(days_since_last_release) AS low,
+      max(days_since_last_release) AS high
+    FROM release_intervals_rows, (VALUES ('monthly', 1), ('quarterly', 3)) AS periods(p, months) GROUP BY ALL)""",
+    ["release_intervals_rows"])
+cte("commits_per_release", """SELECT c.repository_full_name, c.commit_month, count(*) AS commit_count
+  FROM (SELECT repository_full_name, date_trunc('month', commit_date) AS commit_month FROM stg_commits) AS c GROUP BY ALL""",
     ["stg_commits"])
 
 
