@@ -4,9 +4,10 @@ For an item of L words every window of L words of a document is a candidate.
 Windows without any shingle of an item of that length have similarity 0 to all
 of them, so fingerprints are taken of the windows around such shingles only.
 A window's 64-bit SimHash over its shingles is looked up in a multi-index of
-eight 8-bit blocks: the entries of a block hold the items within BLOCK_RADIUS
-bits there, so every item within RADIUS bits in all shares at least one block
-entry (eight blocks with more than BLOCK_RADIUS bits each would exceed RADIUS).
+eight tables, one per 8-bit block, from a block's value to the items that have
+it. Looked up are all values within BLOCK_RADIUS bits of the window's block, so
+every item within RADIUS bits in all is met in at least one table (eight blocks
+with more than BLOCK_RADIUS bits each would exceed RADIUS).
 Candidates within RADIUS bits are verified: a shingle weighs as often as it
 occurs, similarity = sum of smaller weights / sum of larger weights.
 
@@ -30,6 +31,7 @@ RADIUS = 23              # bits; at similarity 0.75 the expected distance is 11,
 BLOCK_RADIUS = 2         # floor(RADIUS / 8)
 BLOCK_BYTES = 1 << 22    # benchmark text handled at a time
 STARTS = 1 << 14         # window starts fingerprinted at a time
+MET = 1 << 20            # table entries met at a time
 
 _BITS = 22
 _HITS = "doc_id long, item_id long, start_word long, n_words long, distance int, similarity double"
@@ -45,8 +47,38 @@ def _signs(grams: np.ndarray) -> np.ndarray:
     return bits.astype(np.int32) * 2 - 1
 
 
-_NEAR = np.array([[bin(a ^ b).count("1") <= BLOCK_RADIUS for b in range(256)] for a in range(256)])
 _COUNT = np.array([bin(a).count("1") for a in range(256)], dtype=np.uint8)
+#: For each block value the values within BLOCK_RADIUS bits of it.
+_BALL = np.arange(256)[:, None] ^ np.flatnonzero(_COUNT <= BLOCK_RADIUS)[None, :]
+
+
+class BlockTables:
+    """Multi-index over the fingerprints of items of one length."""
+
+    def __init__(self, prints: np.ndarray):
+        self.prints = prints
+        self.items = [np.argsort(prints[:, k], kind="stable") for k in range(8)]
+        self.at = [np.concatenate([[0], np.cumsum(np.bincount(prints[:, k], minlength=256))]) for k in range(8)]
+        self.load = np.stack([np.diff(at)[_BALL].sum(axis=1) for at in self.at])    # entries met, by block and value
+
+    def within(self, got: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(row of ``got``, item, distance) of all items within RADIUS bits, for
+        as many rows at a time as meet about MET entries."""
+        if not len(got):
+            return
+        load = np.cumsum(self.load[np.arange(8), got].sum(axis=1))
+        ends = np.flatnonzero(np.diff(load // MET)) + 1
+        for lo, hi in zip([0, *ends.tolist()], [*ends.tolist(), len(got)], strict=True):
+            met = []
+            for k in range(8):
+                values = _BALL[got[lo:hi, k]].ravel()
+                start, size = self.at[k][values], self.at[k][values + 1] - self.at[k][values]
+                place = np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
+                row = np.repeat(np.arange(lo, hi), size.reshape(hi - lo, -1).sum(axis=1))
+                met.append(row * len(self.prints) + self.items[k][place])
+            row, item = np.divmod(np.unique(np.concatenate(met)), len(self.prints))
+            far = _COUNT[got[row] ^ self.prints[item]].sum(axis=1, dtype=np.int64)
+            yield row[far <= RADIUS], item[far <= RADIUS], far[far <= RADIUS]
 
 
 class BenchmarkIndex:
@@ -62,7 +94,7 @@ class BenchmarkIndex:
                     self.items.append((ids[piece.lo + k], b - a, width, np.sort(textnp.gram_hashes(words[a:b], width))))
         self.widths = sorted({i[2] for i in self.items})
         self.anchors = {}                                 # width -> sorted shingles, item lengths that have each
-        self.by_length = {}                               # words -> item numbers, fingerprints, block tables
+        self.by_length = {}                               # words -> item numbers, block tables
         for width in self.widths:
             pairs = np.unique(np.array([(g, i[1]) for i in self.items if i[2] == width for g in i[3].tolist()],
                                        dtype=np.uint64), axis=0)
@@ -72,7 +104,7 @@ class BenchmarkIndex:
         for length in sorted({i[1] for i in self.items}):
             numbers = [n for n, i in enumerate(self.items) if i[1] == length]
             prints = np.stack([_fingerprints(_signs(self.items[n][3]).sum(axis=0)) for n in numbers])
-            self.by_length[length] = (numbers, prints)
+            self.by_length[length] = (numbers, BlockTables(prints))
 
     def scan(self, piece: textnp.Piece) -> Iterator[tuple[int, int, int, int, int, float]]:
         """(document, item, start word, words, distance, similarity): the best
@@ -100,7 +132,7 @@ class BenchmarkIndex:
                                               b - a, size, width)
 
     def _document(self, d, grams, places, n, size, width):
-        numbers, prints = self.by_length[size]
+        numbers, tables = self.by_length[size]
         window = min(size, n)
         last, run = n - window, window - width + 1        # last start; shingles in a window
         cover = np.zeros(last + 2, dtype=np.int64)
@@ -116,13 +148,9 @@ class BenchmarkIndex:
                 sums = np.zeros((hi - lo + 1, 64), dtype=np.int32)
                 np.cumsum(_signs(grams[lo:hi]), axis=0, out=sums[1:])
                 got = _fingerprints(sums[block - lo + run] - sums[block - lo])
-                near = np.zeros((len(block), len(numbers)), dtype=bool)
-                for part in range(8):
-                    near |= _NEAR[got[:, part]][:, prints[:, part]]
-                w, j = np.nonzero(near)
-                far = _COUNT[got[w] ^ prints[j]].sum(axis=1, dtype=np.int64)
-                for w, j, distance in zip(*(c[far <= RADIUS].tolist() for c in (w, j, far)), strict=True):
-                    best.setdefault(j, []).append((int(block[w]), distance))
+                for found in tables.within(got):
+                    for w, j, distance in zip(*(c.tolist() for c in found), strict=True):
+                        best.setdefault(j, []).append((int(block[w]), distance))
         for j, windows in best.items():
             hit = self._verify(grams, self.items[numbers[j]], windows, run)
             if hit:

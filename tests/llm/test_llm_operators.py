@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from forgestat.llm import bpe, chat_format, license_scan, lm_score, textnp
+from forgestat.llm import bpe, chat_format, decontaminate, license_scan, lm_score, textnp
 from forgestat.llm.cap_filters import near_vectors
 from forgestat.llm.decontaminate import contaminations, decontaminated
 from forgestat.llm.language_id import fit_languages, forward_backward, identified, identify
@@ -330,17 +330,71 @@ def test_op9_is_the_tokenizer(spark, corpus, chunk_words):
     assert bpe.bpe_encode(frame(spark, [])).collect() == []
 
 
+def _agrees(coder, texts):
+    piece = next(textnp.pieces(pa.array(texts), coder.cut_at, lower=False))
+    for text, got in zip(texts, coder.encode(piece).to_pylist(), strict=True):
+        ids = coder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert got["ids"] == np.asarray(ids, "<u4").tobytes() and got["n_tokens"] == len(ids), text
+        assert got["decoded"] == coder.tokenizer.decode(ids, skip_special_tokens=False), text
+
+
 def test_op9_takes_back_a_cut_that_does_not_agree():
     """A tokenizer that looks across white space: the chunks grow until they agree."""
     from tokenizers import Tokenizer, decoders, models, pre_tokenizers
-    coder = bpe.ChunkCoder(bpe.public_tokenizer())
     vocabulary = {c: k for k, c in enumerate(["a", "b", " ", "a b", "a "])}
-    coder.tokenizer = Tokenizer(models.BPE(vocab=vocabulary, merges=[("a", " "), ("a ", "b")]))
-    coder.tokenizer.pre_tokenizer, coder.tokenizer.decoder = pre_tokenizers.Split("zzz", "isolated"), decoders.Fuse()
-    text = "a b a a b b"
-    piece = next(textnp.pieces(pa.array([text]), coder.cut_at, lower=False))
-    got = coder.encode(piece).to_pylist()[0]
-    assert got["ids"] == np.asarray(coder.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    tokenizer = Tokenizer(models.BPE(vocab=vocabulary, merges=[("a", " "), ("a ", "b")]))
+    tokenizer.pre_tokenizer, tokenizer.decoder = pre_tokenizers.Split("zzz", "isolated"), decoders.Fuse()
+    _agrees(bpe.ChunkCoder(tokenizer, 1), ["a b a a b b", "", "b", "a  a\nb"])
+
+
+@pytest.mark.parametrize("chunk_words", [1, 3, None])
+def test_op9_tests_every_distinct_join(chunk_words):
+    """A normalizer that joins two words of many with the same first and last letters."""
+    from tokenizers import Tokenizer, normalizers
+    tokenizer = Tokenizer.from_file(bpe.public_tokenizer())
+    assert bpe.apart(tokenizer)
+    tokenizer.normalizer = normalizers.Sequence([normalizers.Replace("foo bar", "foobar"), tokenizer.normalizer])
+    assert not bpe.apart(tokenizer)
+    rng = random.Random(5)
+    texts = ["xo bz foo bar", "foo bar foo bar", "xo bz", "foo bar", "foo  bar"]
+    texts += [" ".join(rng.choice(["foo", "bar", "xo", "bz", "zoo"]) for _ in range(rng.randrange(1, 60))) for _ in range(30)]
+    coder = bpe.ChunkCoder(tokenizer, chunk_words)
+    _agrees(coder, texts)
+    _agrees(coder, texts[::-1])                              # from what it keeps
+
+
+def test_op9_other_public_tokenizers():
+    """Tokenizers with other steps, among them such that decode bytes or mark white space."""
+    import os
+
+    import public_tokenizers
+    folder = os.path.dirname(public_tokenizers.path("word_bpe_49k.json"))
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice(["the", "Cats", "don't", "12", "e\u0301t", "\u0301x", "\tq", "\u3000", "<s>"])
+                      for _ in range(rng.randrange(1, 40))) for _ in range(20)] + ["", " lead", "trail \n", "a\n\nb"]
+    names = [n for n in sorted(os.listdir(folder)) if n.endswith(".json")]
+    for name in names:
+        try:
+            coder = bpe.ChunkCoder(os.path.join(folder, name))
+        except Exception:                                    # a JSON file that is no tokenizer
+            assert name != "word_bpe_49k.json"
+            continue
+        _agrees(coder, texts)
+
+
+def test_op1_tables_hold_all_within_the_radius():
+    rng = np.random.default_rng(4)
+    prints = rng.integers(0, 256, (300, 8), dtype=np.uint8)
+    got = prints[rng.integers(0, 300, 500)].copy()
+    for row, flips in enumerate(rng.integers(0, 40, len(got))):
+        bits = rng.choice(64, flips, replace=False)
+        np.bitwise_xor.at(got[row], bits // 8, (1 << (bits % 8)).astype(np.uint8))
+    far = np.unpackbits(got[:, None, :] ^ prints[None, :, :], axis=2).sum(axis=2)
+    want = {(w, j, int(far[w, j])) for w, j in zip(*(x.tolist() for x in np.nonzero(far <= decontaminate.RADIUS)), strict=True)}
+    tables = decontaminate.BlockTables(prints)
+    found = [x for part in tables.within(got) for x in zip(*(c.tolist() for c in part), strict=True)]
+    assert len(found) == len(set(found)) and set(found) == want
+    assert list(tables.within(got[:0])) == []
 
 
 def test_op10_scores(spark):
