@@ -35,6 +35,9 @@ def main(argv: list[str] | None = None) -> None:
     d.add_argument("--initial-date", default=DEFAULT_INITIAL_CURSOR, help="where entities without a cursor start")
     d.add_argument("--modes", choices=["effective", "declared"], default="effective")
     d.add_argument("--exclude-pull-requests", action="store_true")
+    d.add_argument("--lenient-comment-numbers", action="store_true", help="a comment URL without a number gives NULL")
+    d.add_argument("--iso-year", action="store_true", help="weeks by their ISO year")
+    d.add_argument("--monday-week-start", action="store_true", help="weeks reported from their Monday")
     d.add_argument("--repositories", help="JSON list of {owner, repo, initial_date, enabled}")
     p = sub.add_parser("publish", help="build over the driver tables, save as catalog tables")
     p.add_argument("--sf-dir", required=True)
@@ -49,7 +52,9 @@ def main(argv: list[str] | None = None) -> None:
         listed = json.loads(Path(a.repositories).read_text()) if a.repositories else []
         params = WarehouseParams(date_spine_start=dt.date.fromisoformat(a.spine_start),
                                  date_spine_end=dt.date.fromisoformat(a.spine_end),
-                                 exclude_pull_requests=a.exclude_pull_requests, load_id=a.load_id)
+                                 exclude_pull_requests=a.exclude_pull_requests, load_id=a.load_id,
+                                 strict_comment_numbers=not a.lenient_comment_numbers, iso_year=a.iso_year,
+                                 monday_week_start=a.monday_week_start)
         out = daily_run(spark, a.landing, a.bronze, a.out, a.load_id, params, a.modes, a.initial_date,
                         tuple(Repository(**r) for r in listed))
         print(json.dumps(out, default=str))

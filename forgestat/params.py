@@ -14,6 +14,11 @@ class WarehouseParams:
     # Documented intent that the SQL does not implement:
     # D1 - drop issues that are pull requests from stg_issues.
     exclude_pull_requests: bool = False
+    # P12 - fail on a comment URL without a number (False: its number is NULL).
+    strict_comment_numbers: bool = True
+    # D9 - weeks by ISO year, and reported from their Monday.
+    iso_year: bool = False
+    monday_week_start: bool = False
     # Loader metadata written on bronze rows produced by this run.
     load_id: str = "0"
 

@@ -52,8 +52,11 @@ def _landed(spark: SparkSession, path: str) -> bool:
 
 def load_entity(spark: SparkSession, landing_root: str, bronze_root: str, entity: str, load_id: str,
                 modes: str = "effective", initial: str = ingest.DEFAULT_INITIAL_CURSOR,
-                repositories: tuple[Repository, ...] = ()) -> tuple[dict[str, int], DataFrame]:
-    """Take one entity's new files into its bronze table; what was read, and the table."""
+                repositories: tuple[Repository, ...] = (),
+                new_fields: dict[str, int] | None = None) -> tuple[dict[str, int], DataFrame]:
+    """Take one entity's new files into its bronze table; what was read, and the
+    table. ``new_fields`` takes the undeclared fields met, with their rows."""
+    fields = new_fields if new_fields is not None else {}
     dated = [(entity, r.owner, r.repo, r.initial_date) for r in repositories if r.initial_date]
     seeds = (spark.createDataFrame(dated, "entity string, _owner string, _repo string, last_value string")
              .withColumn("last_value", F.col("last_value").cast("timestamp_ntz"))) if dated else None
@@ -66,7 +69,8 @@ def load_entity(spark: SparkSession, landing_root: str, bronze_root: str, entity
             checkpoint = f"{bronze_root.rstrip('/')}/_landing_log/{log}/{source}"
             start_ingest(spark, landing_root, bronze_root, checkpoint, absorber).awaitTermination()
             stats = {k: stats.get(k, 0) + v for k, v in absorber.stats.items()}
-    table = BronzeTable(spark, f"{bronze_root}/{entity}").read()
+            fields.update({f"{source}.{path}": n for path, n in absorber.new_fields.items()})
+    table = BronzeTable(spark, f"{bronze_root}/{entity}", {"_extra": landing.EXTRA}).read()
     if table is None:      # never landed: an empty table of the bronze shape
         table = landing.to_bronze(spark.createDataFrame([], landing.landed_schema(entity)), entity, load_id)
     return stats, table
@@ -81,8 +85,9 @@ def daily_run(spark: SparkSession, landing_root: str, bronze_root: str, out_root
     instant at which freshness is judged."""
     bronze: dict[str, DataFrame] = {}
     landed: dict[str, dict[str, int]] = {}
+    fields: dict[str, int] = {}
     for entity in ENTITIES:
-        stats, table = load_entity(spark, landing_root, bronze_root, entity, load_id, modes, initial, repositories)
+        stats, table = load_entity(spark, landing_root, bronze_root, entity, load_id, modes, initial, repositories, fields)
         bronze[entity] = table
         if stats:
             landed[entity] = stats
@@ -92,6 +97,7 @@ def daily_run(spark: SparkSession, landing_root: str, bronze_root: str, out_root
     result = run_pipeline(wh, out_root)
     result["bronze_rows"] = summary
     result["landed"] = landed
+    result["new_fields"] = fields
     result["quarantined_rows"] = {k: v["quarantined"] for k, v in landed.items()}
     as_of = as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     result["freshness"] = {e: quality.freshness(bronze[e], e, landing.CURSORS[e], as_of).first()["status"]

@@ -41,7 +41,8 @@ class Warehouse:
     @cached_property
     def stg_pull_requests(self): return staging.stg_pull_requests(self.bronze["pull_requests"])
     @cached_property
-    def stg_issue_comments(self): return staging.stg_issue_comments(self.bronze["issue_comments"])
+    def stg_issue_comments(self): return staging.stg_issue_comments(self.bronze["issue_comments"],
+                                                                      self.params.strict_comment_numbers)
     @cached_property
     def stg_commits(self): return staging.stg_commits(self.bronze["commits"])
     @cached_property
@@ -127,7 +128,9 @@ class Warehouse:
     # ---- metrics ------------------------------------------------------------------------
     @property
     def pr_cycle_time(self):
-        return self._t("pr_cycle_time", lambda: metrics.pr_cycle_time(self.fct_pull_requests, self.dim_repositories))
+        return self._t("pr_cycle_time", lambda: metrics.pr_cycle_time(
+            self.fct_pull_requests, self.dim_repositories, monday_week_start=self.params.monday_week_start,
+            iso_year=self.params.iso_year))
     @property
     def contributor_engagement(self):
         return self._t("contributor_engagement", lambda: metrics.contributor_engagement(self.human_months))

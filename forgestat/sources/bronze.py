@@ -18,6 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 from forgestat.session import checkpoint_dir
 from forgestat.sources import ingest
@@ -58,12 +59,21 @@ def _met(existing: DataFrame, batch: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 class BronzeTable:
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, later: dict[str, DataType] | None = None):
+        """``later``: columns that files of an earlier schema may lack; they are
+        null there (the schema of a folder is read from one file)."""
         self.spark = spark
         self.path = path.rstrip("/")
+        self.later = later or {}
 
-    def read(self) -> DataFrame | None:
+    def _stored(self) -> DataFrame | None:
         df = read_or_none(self.spark, self.path)
+        new = [StructField(c, t) for c, t in self.later.items()] if df is not None else []
+        new = [f for f in new if f.name not in df.columns]
+        return self.spark.read.schema(StructType([*df.schema.fields, *new])).parquet(self.path) if new else df
+
+    def read(self) -> DataFrame | None:
+        df = self._stored()
         return None if df is None else df.drop("_event_date")
 
     def _overwrite(self, df: DataFrame) -> None:
@@ -88,7 +98,7 @@ class BronzeTable:
         A key has one event time, so only that date's partitions are read."""
         date = F.coalesce(F.date_format(F.col(event_time), "yyyy-MM-dd"), F.lit(NO_DATE))
         batch = batch.withColumn("_event_date", date).withColumn("_load_id", F.lit(load_id))
-        existing = read_or_none(self.spark, self.path)
+        existing = self._stored()
         if existing is not None:
             existing = _met(existing, batch, ["_event_date"])
         fresh = staged(ingest.append_new(existing, batch, pk), "append")

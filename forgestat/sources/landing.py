@@ -4,7 +4,9 @@ The landing zone holds one directory per entity, partitioned by repository
 (``<root>/<entity>/_owner=<o>/_repo=<r>/*.json``): provenance columns come from
 the partition path, so one read covers every configured repository (no
 driver loop over repositories, SRC-17). Schemas are declared, never inferred;
-unknown fields are ignored and malformed rows kept in ``_corrupt_record``.
+malformed rows are kept in ``_corrupt_record``, and fields that the schema does
+not declare in ``_extra``: as (path, JSON text) beside the row, from where
+:func:`with_fields` makes typed columns of them, for rows of any age.
 """
 
 from __future__ import annotations
@@ -121,6 +123,50 @@ def read_landed(spark: SparkSession, root: str, entity: str) -> DataFrame:
             .json(f"{root.rstrip('/')}/{entity}"))
 
 
+EXTRA = T.ArrayType(_st(("path", S), ("value", S)))
+
+
+def open_lines(text: DataFrame) -> DataFrame:
+    """Lines of landed files (``value`` and other columns), one object each:
+    a line that is a list gives its elements, a blank line nothing."""
+    listed = F.when(F.ltrim("value").startswith("["), F.from_json("value", "array<string>"))
+    return (text.filter(F.trim("value") != "")
+            .withColumn("value", F.explode(F.coalesce(listed, F.array("value")))))
+
+
+def extra_fields(text: Column, entity: str) -> Column:
+    """Fields of a landed object that the entity's schema does not declare, at the
+    top and inside declared objects (not inside the elements of lists), as
+    (dotted path, value): strings as they are, other values as JSON text. Empty
+    for a line that is no object."""
+    def undeclared(text: Column, prefix: str, declared: T.StructType) -> Column:
+        # of a name that an object holds twice the last value counts
+        held = F.from_json(text, T.MapType(S, S))
+        names = [f.name for f in declared.fields]
+        own = F.transform(F.map_entries(F.map_filter(held, lambda k, v: ~k.isin(names))),
+                          lambda e: F.struct(F.concat(F.lit(prefix), e["key"]).alias("path"), e["value"].alias("value")))
+        inner = [undeclared(F.try_element_at(held, F.lit(f.name)), f"{prefix}{f.name}.", f.dataType)
+                 for f in declared.fields if isinstance(f.dataType, T.StructType)]
+        return F.concat(F.coalesce(own, F.array().cast(EXTRA)), *inner)
+    return undeclared(text, "", SCHEMAS[entity])
+
+
+def new_fields(rows: DataFrame) -> DataFrame:
+    """``(path, n_rows)`` of the fields held in ``_extra``."""
+    return (rows.select(F.explode("_extra.path").alias("path")).groupBy("path").agg(F.count("*").alias("n_rows")))
+
+
+def with_fields(table: DataFrame, fields: dict[str, str]) -> DataFrame:
+    """The bronze table with typed columns from ``_extra``: dotted path -> type.
+    ``user.site_admin`` becomes ``user__site_admin``. Null where the field is
+    missing or its value is not of that type."""
+    def value(path: str, kind: str) -> Column:
+        text = F.get(F.filter("_extra", lambda e: e["path"] == path), F.lit(0))["value"]
+        nested = kind.lower().startswith(("array<", "struct<", "map<"))
+        return F.from_json(text, kind) if nested else text.try_cast(kind)
+    return table.select("*", *[value(p, k).alias(p.replace(".", "__")) for p, k in fields.items()])
+
+
 # Landed name -> bronze name where the loader's projection renames a field.
 _RENAMED = {"stargazers": {"user__id": "user_id", "user__login": "user_login", "user__type": "user_type"},
             "contributors": {"id": "user_id", "login": "user_login", "type": "user_type"}}
@@ -150,7 +196,8 @@ def parse_landed(lines: DataFrame, entity: str) -> DataFrame:
     :func:`read_landed` gives for files."""
     schema = T.StructType(list(SCHEMAS[entity].fields)).add("_corrupt_record", S)
     record = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    return lines.select(record.alias("r"), "_owner", "_repo").select("r.*", "_owner", "_repo")
+    others = [c for c in lines.columns if c != "value"]
+    return lines.select(record.alias("r"), *others).select("r.*", *others)
 
 
 # Fixed values from the reference: answers that are skipped; any other failure ends the run.
@@ -191,15 +238,16 @@ def to_bronze(landed: DataFrame, entity: str, load_id: str) -> DataFrame:
     """Flatten, project stars / contributors to their bronze columns, stamp the
     loader metadata (SRC-14)."""
     df = landed
+    kept = ["_extra"] if "_extra" in landed.columns else []
     if entity == "stargazers":
         df = df.select("starred_at", F.col("user.id").alias("user_id"), F.col("user.login").alias("user_login"),
-                       F.col("user.type").alias("user_type"), "_owner", "_repo")
+                       F.col("user.type").alias("user_type"), "_owner", "_repo", *kept)
     elif entity == "contributors":
         df = df.select(F.col("id").alias("user_id"), F.col("login").alias("user_login"),
-                       F.col("type").alias("user_type"), "contributions", "_owner", "_repo")
+                       F.col("type").alias("user_type"), "contributions", "_owner", "_repo", *kept)
     elif entity == "pr_reviews":
         df = df.select("id", "_owner", "_repo", "_pr_number", F.col("user.id").alias("user__id"),
-                       "state", "body", "commit_id", "submitted_at")
+                       "state", "body", "commit_id", "submitted_at", *kept)
     else:
         df = flatten(df.drop("_corrupt_record"))
     # instant -> wall clock of the session zone, pinned to UTC by session.configure

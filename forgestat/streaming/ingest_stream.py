@@ -37,20 +37,23 @@ EVENT_TIMES = {"pr_reviews": "submitted_at", "commits": "commit__committer__date
 
 
 def raw_stream(spark: SparkSession, root: str, entity: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Landed lines of one entity: declared fields, ``_corrupt_record``, ``_file``."""
-    schema = StructType([*landing.landed_schema(entity).fields, StructField("_corrupt_record", StringType())])
+    """Landed lines of one entity: declared fields, ``_corrupt_record``, ``_extra``
+    (fields that are not declared), ``_file``."""
+    schema = StructType([StructField(c, StringType()) for c in ("value", "_owner", "_repo")])
     # every landed file counts, however old it is beside the newest
     reader = spark.readStream.schema(schema).option("maxFileAge", "36500d")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(f"{root.rstrip('/')}/{entity}").select("*", F.col("_metadata.file_path").alias("_file"))
+    text = reader.text(f"{root.rstrip('/')}/{entity}").select("*", F.col("_metadata.file_path").alias("_file"))
+    lines = landing.open_lines(text)
+    return landing.parse_landed(lines.withColumn("_extra", landing.extra_fields(F.col("value"), entity)), entity)
 
 
 def landing_stream(spark: SparkSession, root: str, entity: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Well-formed landed rows of one entity as a stream, in bronze shape;
     ``start_ingest`` also keeps the malformed ones."""
     raw = raw_stream(spark, root, entity, max_files_per_trigger)
-    raw = raw.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record", "_file")
+    raw = raw.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record", "_file", "_extra")
     return landing.to_bronze(raw, entity, load_id="stream").withColumn("_ingested_at", F.current_timestamp())
 
 
@@ -71,6 +74,7 @@ class Absorber:
         self.mode = "merge" if modes == "effective" else DECLARED_MODES[self.entity]
         self.initial, self.seeds, self.skipped = initial, seeds, list(skipped)
         self.stats = {"files": 0, "lines": 0, "quarantined": 0, "rows": 0, "null_cursors": 0}
+        self.new_fields: dict[str, int] = {}      # undeclared fields met, with their rows
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         lines = staged(batch, "landed")
@@ -88,6 +92,9 @@ class Absorber:
             (landing.review_access(opened).withColumn("load_id", F.lit(self.load_id)).write.mode("overwrite")
              .parquet(f"{self.root}/_review_access/load_id={self.load_id}/batch={batch_id}"))
             good = landing.readable_reviews(opened)
+        fields = {r["path"]: r["n_rows"] for r in landing.new_fields(good).collect()}   # one row per field name
+        for path, n_rows in fields.items():
+            self.new_fields[path] = self.new_fields.get(path, 0) + n_rows
         rows = landing.to_bronze(good, self.entity, self.load_id)
         cursor = landing.CURSORS.get(self.entity)
         if cursor:
@@ -104,7 +111,7 @@ class Absorber:
             self.stats[key] += value
 
     def _store(self, rows: DataFrame, cursor: str | None) -> None:
-        table = BronzeTable(self.spark, f"{self.root}/{self.entity}")
+        table = BronzeTable(self.spark, f"{self.root}/{self.entity}", {"_extra": landing.EXTRA})
         pk = landing.PRIMARY_KEYS[self.entity]
         if self.mode == "merge":
             table.merge(rows, pk, [cursor, "_load_id"] if cursor else ["_load_id"])

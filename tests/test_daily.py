@@ -170,3 +170,51 @@ def test_configured_repositories(spark, tmp_path):
     listed = (Repository("o", "a", "2026-02-01 00:00:00"), Repository("o", "b", enabled=False))
     _, table = load_entity(spark, str(land), str(bronze), "issues", "l1", repositories=listed)
     assert sorted((r["_repo"], r["id"]) for r in table.collect()) == [("a", 2), ("c", 21), ("c", 22)]
+
+
+def test_undeclared_fields_are_kept(spark, tmp_path):
+    """Fields beyond the declared schema stay beside the row and become typed
+    columns later; files of an earlier schema and list lines read on."""
+    from forgestat.sources.landing import EXTRA, with_fields
+    land, bronze = tmp_path / "land", str(tmp_path / "bronze")
+
+    def issue(k, **more):
+        return {"id": k, "number": k, "title": f"t{k}", "user": {"login": "u", "id": 1, "type": "User"},
+                "created_at": "2026-01-01T00:00:00Z", "updated_at": "2026-01-02T00:00:00Z", **more}
+    _land(land, "issues", "acme", "app", "a.json", [issue(1)])
+    load_entity(spark, str(land), bronze, "issues", "1")
+    # what an earlier schema has left: files without the column
+    old = spark.read.parquet(f"{bronze}/issues").drop("_extra").collect()
+    columns = [f for f in spark.read.parquet(f"{bronze}/issues").schema if f.name != "_extra"]
+    from pyspark.sql.types import StructType
+    (spark.createDataFrame(old, StructType(columns)).write.mode("overwrite").partitionBy("_owner", "_repo").parquet(f"{bronze}/issues"))
+    assert [r["_extra"] for r in BronzeTable(spark, f"{bronze}/issues", {"_extra": EXTRA}).read().collect()] == [None]
+    user = {"login": "v", "id": 2, "type": "User", "site_admin": True}
+    _land(land, "issues", "acme", "app", "b.json", [
+        issue(2, user=user, milestone={"title": "m", "due": None}, score=3, locked_reason="it's \"hot\""),
+        issue(3, score="high"), [issue(4, score=5), issue(5)]])
+    fields = {}
+    stats, table = load_entity(spark, str(land), bronze, "issues", "2", new_fields=fields)
+    assert stats["rows"] == 4 and stats["quarantined"] == 0 and stats["lines"] == 4
+    assert fields == {"issues.user.site_admin": 1, "issues.milestone": 1, "issues.score": 3, "issues.locked_reason": 1}
+    got = {r["id"]: r for r in with_fields(table, {"user.site_admin": "boolean", "score": "bigint", "locked_reason": "string",
+                                                   "milestone": "struct<title string>"}).collect()}
+    assert sorted(got) == [1, 2, 3, 4, 5] and got[2]["title"] == "t2"
+    assert [got[k]["score"] for k in sorted(got)] == [None, 3, None, 5, None]
+    assert got[2]["user__site_admin"] is True and got[2]["locked_reason"] == "it's \"hot\"" and got[2]["milestone"]["title"] == "m"
+
+
+def test_options_reach_the_models(spark):
+    """A comment URL without a number, and weeks by ISO year from their Monday."""
+    import dataclasses
+
+    from forgestat.plans.warehouse import Warehouse
+    urls = [(1, "https://x/repos/a/b/issues/7"), (2, "https://x/none")]
+    comments = spark.createDataFrame([(k, "n", "a", "b", u, "x", "l", 1, dt.datetime(2026, 1, 1), dt.datetime(2026, 1, 1)) for k, u in urls],
+                                     "id long, node_id string, _owner string, _repo string, issue_url string, body string, user__login string,"
+                                     "user__id long, created_at timestamp_ntz, updated_at timestamp_ntz")
+    base = WarehouseParams()
+    numbers = Warehouse(spark, {"issue_comments": comments}, dataclasses.replace(base, strict_comment_numbers=False)).stg_issue_comments
+    assert {r["comment_id"]: r["issue_number"] for r in numbers.collect()} == {1: 7, 2: None}
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        Warehouse(spark, {"issue_comments": comments}, base).stg_issue_comments.collect()
