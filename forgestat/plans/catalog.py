@@ -462,6 +462,21 @@ def _torn(wh: Warehouse) -> DataFrame:
 
 register("src_quarantine_counts", _torn, f"""SELECT _owner, _repo, count(*) FILTER (WHERE id % {TORN_EVERY} <> 0) AS parsed_lines,
     count(*) FILTER (WHERE id % {TORN_EVERY} = 0) AS quarantined_lines FROM b_issues GROUP BY ALL""", ["b_issues"])
+
+
+def _undeclared(wh: Warehouse) -> DataFrame:
+    """Landed pull requests read by the schema of issues, which lacks some of their
+    fields: those are kept beside the row and made typed columns afterwards."""
+    lines = landing.as_landed(wh.bronze["pull_requests"], "pull_requests")
+    parsed = landing.parse_landed(lines.withColumn("_extra", landing.extra_fields(F.col("value"), "issues")), "issues")
+    typed = landing.with_fields(landing.to_bronze(parsed, "issues", wh.params.load_id), {
+        "draft": "boolean", "merged_at": "timestamp", "merge_commit_sha": "string", "head": "struct<ref string, sha string>"})
+    return typed.select("_owner", "_repo", "id", "title", "user__login", "draft", F.col("merged_at").cast("timestamp_ntz").alias("merged_at"),
+                        "merge_commit_sha", F.col("head.ref").alias("head_ref"), F.col("head.sha").alias("head_sha"))
+
+
+register("src_undeclared_fields", _undeclared, """SELECT _owner, _repo, id, title, user__login, draft, CAST(merged_at AS TIMESTAMP) AS merged_at,
+    merge_commit_sha, head__ref AS head_ref, head__sha AS head_sha FROM b_pull_requests""", ["b_pull_requests"])
 _LABEL_SQL = ", ".join(f'_elem."{c}" AS "{c}"' for c in ("id", "name", "color", "description", "default"))
 for _name, _entity, _array, _cte, _spread in [
     ("src16_issue_labels_json", "issues", "labels", "c_issue_labels", _LABEL_SQL),
