@@ -5,6 +5,8 @@ import collections
 import hashlib
 import math
 import random
+import re
+import string
 
 import numpy as np
 import pyarrow as pa
@@ -229,6 +231,45 @@ def test_op5_places(spark):
     assert license_scan.license_scan(docs.limit(0)).collect() == []
 
 
+def _licenses(text):
+    """(template, start) by the definition: every key phrase at every place."""
+    w = [x for x in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(str.maketrans(
+        string.ascii_uppercase, string.ascii_lowercase))) if x]
+
+    def stands(phrase, q):
+        return q >= 0 and w[q:q + len(phrase.split())] == phrase.split()
+    return [(k, at) for k, (template, _) in enumerate(license_scan.TEMPLATES) for at in range(len(w))
+            if stands(template[0][0], at) and all(
+                any(stands(phrase, at + o + d) for d in range(-license_scan.SLACK, license_scan.SLACK + 1))
+                for phrase, o in template[1:])]
+
+
+def test_op5_passages_against_every_place(spark):
+    rng = random.Random(8)
+    plain = [p.replace("[", "").replace("]", "") for p, _ in license_scan.PASSAGES]
+    plain += [phrase for phrase, _ in license_scan.BASE + license_scan.ADDED]
+    vocabulary = sorted({w for p in plain for w in p.split()}) + ["Zeile", "\u212Aopie", "\u0130x"]
+    texts = ["SPDX-License-Identifier: Apache-2.0", "spdx license identifier: MIT", "\u212A " + plain[0], None, ""]
+    for _ in range(160):
+        t = []
+        for _ in range(rng.randrange(1, 4)):
+            p = rng.choice(plain).split()
+            if rng.random() < 0.5:                       # words put in or left out, within the slack and beyond it
+                at, n = rng.randrange(len(p)), rng.randrange(1, 12)
+                p = p[:at] + rng.choices(vocabulary, k=n) + p[at:] if rng.random() < 0.6 else p[:at] + p[at + n:]
+            t += rng.choices(vocabulary, k=rng.randrange(6)) + p
+        texts.append(rng.choice([" ", "\n * ", ", "]).join(w.upper() if rng.random() < 0.1 else w for w in t))
+    # a very long text: rare words of all templates everywhere
+    texts.append(" ".join(rng.choices(vocabulary, k=20000) + [plain[4]] + rng.choices(plain, k=200)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [tuple(x) for x in r.places] for r in license_scan.license_scan(docs).collect()}
+    want = {i: sorted(_licenses(t or "")) for i, t in enumerate(texts)}
+    assert got == want
+    assert {k for found in want.values() for k, _ in found} == set(range(len(license_scan.TEMPLATES)))
+    moved = [len(t) for t, _ in license_scan.TEMPLATES]
+    assert sum(moved[k] > 1 for found in want.values() for k, _ in found) > 50
+
+
 def test_op6_marginals_by_enumeration():
     rng = np.random.default_rng(4)
     emission, move, begin = rng.normal(size=(5, 3)), rng.normal(size=(3, 3)), rng.normal(size=3)
