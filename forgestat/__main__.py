@@ -39,6 +39,8 @@ def main(argv: list[str] | None = None) -> None:
     d.add_argument("--iso-year", action="store_true", help="weeks by their ISO year")
     d.add_argument("--monday-week-start", action="store_true", help="weeks reported from their Monday")
     d.add_argument("--repositories", help="JSON list of {owner, repo, initial_date, enabled}")
+    d.add_argument("--publish-db", help="database whose views move to this run's tables if its tests pass")
+    d.add_argument("--warn", nargs="*", default=[], help="patterns of tests that do not hold the views back")
     p = sub.add_parser("publish", help="build over the driver tables, save as catalog tables")
     p.add_argument("--sf-dir", required=True)
     p.add_argument("--marts-db", default="marts")
@@ -56,7 +58,7 @@ def main(argv: list[str] | None = None) -> None:
                                  strict_comment_numbers=not a.lenient_comment_numbers, iso_year=a.iso_year,
                                  monday_week_start=a.monday_week_start)
         out = daily_run(spark, a.landing, a.bronze, a.out, a.load_id, params, a.modes, a.initial_date,
-                        tuple(Repository(**r) for r in listed))
+                        tuple(Repository(**r) for r in listed), publish_db=a.publish_db, warn=tuple(a.warn))
         print(json.dumps(out, default=str))
     else:
         from forgestat.plans.warehouse import driver_warehouse

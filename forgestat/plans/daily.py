@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from forgestat.operators import quality
 from forgestat.params import WarehouseParams
-from forgestat.plans.warehouse import Warehouse, run_pipeline
+from forgestat.plans.warehouse import Warehouse, audited_run, run_pipeline
 from forgestat.sources import ingest, landing
 from forgestat.sources.adapters import LazyTables
 from forgestat.sources.bronze import BronzeTable
@@ -79,10 +79,13 @@ def load_entity(spark: SparkSession, landing_root: str, bronze_root: str, entity
 def daily_run(spark: SparkSession, landing_root: str, bronze_root: str, out_root: str, load_id: str,
               params: WarehouseParams, modes: str = "effective",
               initial: str = ingest.DEFAULT_INITIAL_CURSOR, repositories: tuple[Repository, ...] = (),
-              as_of: dt.datetime | None = None) -> dict:
+              as_of: dt.datetime | None = None, publish_db: str | None = None, warn: tuple[str, ...] = ()) -> dict:
     """The daily job. ``initial`` is where an entity without a stored cursor
     starts, unless its repository has an ``initial_date``; ``as_of`` (now) is the
-    instant at which freshness is judged."""
+    instant at which freshness is judged. With ``publish_db`` the models go into a
+    folder of this run and its views move to them only if the tests pass, but for
+    those that only ``warn`` (see :func:`audited_run`); else ``out_root`` is written
+    in place."""
     bronze: dict[str, DataFrame] = {}
     landed: dict[str, dict[str, int]] = {}
     fields: dict[str, int] = {}
@@ -94,7 +97,7 @@ def daily_run(spark: SparkSession, landing_root: str, bronze_root: str, out_root
     summary = {r["table_name"]: r["row_count"] for r in ingest.load_summary(bronze).collect()}
     reviews = summary["pr_reviews"] > 0
     wh = Warehouse(spark, LazyTables({k: (lambda v=v: v) for k, v in bronze.items() if reviews or k != "pr_reviews"}), params)
-    result = run_pipeline(wh, out_root)
+    result = audited_run(wh, out_root, publish_db, warn) if publish_db else run_pipeline(wh, out_root)
     result["bronze_rows"] = summary
     result["landed"] = landed
     result["new_fields"] = fields

@@ -8,7 +8,9 @@ re-reads them, which cuts the lineage before the metric views.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
+from fnmatch import fnmatchcase
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -255,6 +257,35 @@ def run_pipeline(wh: Warehouse, root: str) -> dict:
     _, summary = quality.store_declared_failures(models, quality.MART_TESTS, root)
     for r in summary.collect():
         out["tests"][f"{r['model']}.{r['test']}.{r['column_name']}"] = r["failures"]
-    quality.store_failures(quality.negative_cycle_time(models["fct_pull_requests"]), root, "assert_positive_cycle_time")
-    quality.store_failures(quality.orphan_prs(models["fct_pull_requests"]), root, "assert_no_orphan_prs")
+    for test, failing in (("assert_positive_cycle_time", quality.negative_cycle_time), ("assert_no_orphan_prs", quality.orphan_prs)):
+        path = quality.store_failures(failing(models["fct_pull_requests"]), root, test)
+        out["tests"][test] = wh.spark.read.parquet(path).count()
+    return out
+
+
+def audited_run(wh: Warehouse, root: str, database: str, warn: tuple[str, ...] = ()) -> dict:
+    """Write, audit, publish: :func:`run_pipeline` into a new folder ``<root>/run=<id>``,
+    then views of ``database`` (created if missing) over that folder, but only if no
+    declared or singular test has failing rows. Tests whose name matches a pattern of
+    ``warn`` (``fct_issues.*``) are reported and stored, and do not hold a run back.
+
+    Tables that were published are never written again: a run that fails, dies or is
+    held back leaves the views on the folder of the run before, and readers that have
+    begun keep their files. The views are switched one after another once all tables
+    are there. Returns the result of ``run_pipeline`` with ``run`` (the folder),
+    ``blocked_by`` and ``warnings`` (test: failing rows) and ``published`` (view names).
+    Folders of earlier runs, with their failing rows, stay for the operator to remove."""
+    run = f"{root.rstrip('/')}/run={uuid.uuid4().hex}"
+    out = run_pipeline(wh, run)
+    failing = {test: n for test, n in out["tests"].items() if n}
+    out["run"] = run
+    out["warnings"] = {test: n for test, n in failing.items() if any(fnmatchcase(test, p) for p in warn)}
+    out["blocked_by"] = {test: n for test, n in failing.items() if test not in out["warnings"]}
+    out["published"] = []
+    if not out["blocked_by"]:
+        wh.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        for name in TABLE_MODELS + METRIC_MODELS:
+            path = f"{run}/{name}".replace("`", "``")
+            wh.spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{name}` AS SELECT * FROM parquet.`{path}`")
+            out["published"].append(f"{database}.{name}")
     return out
