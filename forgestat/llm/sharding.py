@@ -19,7 +19,7 @@ from pyspark.sql.window import Window
 from forgestat.llm.common import documents_of, saved
 
 ITEMS_PER_SHARD = 256    # bundles per shard; a group above a bundle's mean size is an item of its own
-SLOT_ROWS = 20_000       # rows that one task numbers
+SLOT_ROWS = 20_000       # rows that one task numbers, copies of a row that one task writes out
 
 
 def items_bound(shards: int) -> int:
@@ -63,7 +63,7 @@ def karmarkar_karp(sizes: list[int], shards: int) -> list[int]:
 def shard_by_bytes(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, size, text_crc32, law, shard, slot, grown_shard)``, one row per
     input row; ``size`` is the text's UTF-8 bytes plus 16, ``slot`` numbers the
-    rows of a shard from 0 without gaps, by (hash bucket of the id, id).
+    rows of a shard from 0 without gaps, by (hash bucket of id and text, id, text).
 
     Null texts have no bytes and are one group with the empty text. Rows with
     equal text share a shard. Null ids are numbered like others; repeated rows
@@ -99,8 +99,22 @@ def shard_by_bytes(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", te
     before = counts.withColumn("before", F.sum("n").over(
         Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)))
     before = saved(before.select("shard", "part", F.coalesce("before", F.lit(0)).alias("before")), "before")
+    # rows that agree in all columns are numbered as one row with a number of copies
     order = Window.partitionBy("shard", "part").orderBy("doc_id", "text_crc32", "size")
-    return (put.withColumn("rank", F.row_number().over(order)).join(before, ["shard", "part"])
-            .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
-                    (F.col("before") + F.col("rank") - 1).cast("long").alias("slot"),
+    numbered = saved(put.groupBy("shard", "part", "doc_id", "text_crc32", "size").agg(F.count("*").alias("copies"))
+                     .withColumn("upto", F.sum("copies").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+                     .join(before, ["shard", "part"])
+                     .select("doc_id", "size", "text_crc32", "shard", "copies",
+                             (F.col("before") + F.col("upto") - F.col("copies")).alias("first")), "numbered")
+
+    def rows_of(part: DataFrame) -> DataFrame:
+        return part.withColumn("slot", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("copies") - 1)))
+    # many copies leave their task in blocks
+    blocks = (numbered.filter(F.col("copies") > SLOT_ROWS)
+              .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / SLOT_ROWS))))
+              .withColumn("first", F.col("first") + F.col("block") * SLOT_ROWS)
+              .withColumn("copies", F.least(F.lit(SLOT_ROWS), F.col("copies") - F.col("block") * SLOT_ROWS))
+              .drop("block").repartition("first"))
+    return (rows_of(numbered.filter(F.col("copies") <= SLOT_ROWS)).unionByName(rows_of(blocks))
+            .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                     F.lit(None).cast("int").alias("grown_shard")))

@@ -7,12 +7,15 @@ import math
 import random
 import re
 import string
+import struct
+import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 
-from forgestat.llm import bpe, chat_format, decontaminate, license_scan, lm_score, textnp
+from forgestat.llm import bpe, chat_format, decontaminate, license_scan, lm_score, quality, sharding, textnp
 from forgestat.llm.cap_filters import near_vectors
 from forgestat.llm.decontaminate import contaminations, decontaminated
 from forgestat.llm.language_id import fit_languages, forward_backward, identified, identify
@@ -321,6 +324,55 @@ def test_op7_shards(spark, corpus):
     assert shard_by_bytes(frame(spark, []), 5).collect() == []
 
 
+def _differencing(sizes, shards):
+    """Karmarkar-Karp differencing with plain lists, by its definition."""
+    parts = [(k, [(size, j, [k] if j == 0 else []) for j, size in enumerate([size] + [0] * (shards - 1))])
+             for k, size in enumerate(sizes)]
+    serial = len(parts)
+    while len(parts) > 1:
+        parts.sort(key=lambda p: (p[1][-1][0] - p[1][0][0], p[0]))
+        (_, a), (_, b) = parts.pop(0), parts.pop(0)
+        bins = sorted(((x[0] + y[0], i, x[2] + y[2]) for i, (x, y) in enumerate(zip(a, b[::-1], strict=True))),
+                      key=lambda x: (-x[0], x[1]))
+        parts.append((serial, bins))
+        serial += 1
+    return {k: shard for shard, x in enumerate(parts[0][1]) for k in x[2]}
+
+
+def test_op7_against_brute_force(spark, corpus, monkeypatch):
+    """Shards and slots of every row, one row with a third of all rows as copies among them."""
+    monkeypatch.setattr(sharding, "SLOT_ROWS", 7)
+    monkeypatch.setattr(sharding, "ITEMS_PER_SHARD", 4)
+    rows = corpus + [(7, "many of one id", None, None, None)] * 60 + [(None, "no id", None, None, None)] * 15
+    rows += [(7, "other text of the id", None, None, None), (901, "", None, None, None), (902, "long " * 9000, None, None, None)]
+    shards, bundles = 6, 24
+    size = {t or "": len((t or "").encode()) + 16 for _, t, *_ in rows}
+    total, copies = collections.Counter(), collections.Counter(t or "" for _, t, *_ in rows)
+    digest = {t: hashlib.md5(t.encode()).digest() for t in copies}
+    bundle = {t: xxhash.xxh64_intdigest(digest[t], seed=42) for t in copies}
+    bundle = {t: (h - (1 << 64) if h >> 63 else h) % bundles for t, h in bundle.items()}
+    everything = sum(size[t] * n for t, n in copies.items())
+    name = {t: (digest[t], -1) if size[t] * copies[t] * bundles > everything else (b"", bundle[t]) for t in copies}
+    for t, n in copies.items():
+        total[name[t]] += size[t] * n
+    items = sorted(total, key=lambda x: (-total[x], *x))
+    shard = {items[k]: s for k, s in _differencing([total[x] for x in items], shards).items()}
+    parts = -(-len(rows) // 7)
+
+    def place(i, t):
+        h = 42 if i is None else xxhash.xxh64_intdigest(struct.pack("<q", i), seed=42)
+        h = xxhash.xxh64_intdigest(struct.pack("<q", zlib.crc32(t.encode())), seed=h)
+        return (h - (1 << 64) if h >> 63 else h) % parts
+    want, used = [], collections.Counter()
+    for i, t in sorted(((i, t or "") for i, t, *_ in rows),
+                       key=lambda x: (place(*x), x[0] is not None, x[0] or 0, zlib.crc32(x[1].encode()), size[x[1]])):
+        s = shard[name[t]]
+        want.append((i, size[t], zlib.crc32(t.encode()), s, used[s]))
+        used[s] += 1
+    got = [(r.doc_id, r.size, r.text_crc32, r.shard, r.slot) for r in shard_by_bytes(frame(spark, rows), shards).collect()]
+    assert collections.Counter(got) == collections.Counter(want)
+
+
 def test_op7_differencing_is_tight():
     rng = random.Random(6)
     sizes = [rng.randrange(1, 10_000) for _ in range(2000)]
@@ -459,6 +511,46 @@ def test_op10_scores(spark):
     assert quality_scores(frame(spark, []), labels).collect() == []
 
 
+def test_op10_normal_equations_and_kernel(spark):
+    """Weights against a ridge fit of all training rows at once, features against the
+    Gaussian kernel; repeated rows, a very long text and ties at the threshold."""
+    rng = random.Random(4)
+    rows = [(k, " ".join(words(rng, rng.randrange(1, 80))) + rng.choice(["", "!!!", " $$ $$", "\n\n"]), None, None, None) for k in range(300)]
+    rows += rows[:40] + [(400, "long Words, here. " * 40000, None, None, None)]
+    marks = [(k, int("$" not in t)) for k, t, *_ in rows[:300]] + [(3, 0), (3, 1), (400, 1)]
+    stats = quality.statistics(frame(spark, rows).repartition(7)).toPandas()
+    x = np.stack(stats["stats"].to_numpy())
+    model = quality.fit_quality(quality.statistics(frame(spark, rows).repartition(7)),
+                                spark.createDataFrame(marks, "doc_id long, quality int"))
+    assert np.allclose(model.mean, x.mean(axis=0)) and np.allclose(model.scale, np.where(x.std(axis=0) > 1e-12, x.std(axis=0), 1))
+    z, y = [], []
+    for i, held, s in zip(stats["doc_id"], stats["held_out"], x, strict=True):
+        assert held == (zlib.crc32(str(int(i)).encode()) % 5 == 0)
+        for k, label in marks:
+            if k == i and not held:
+                z.append(model.expand(s[None, :])[0])
+                y.append(label)
+    z, y = np.array(z), np.array(y, dtype=float)
+    ridge = np.eye(z.shape[1]) * quality.RIDGE * len(y)
+    ridge[-1, -1] = 0
+    want = np.linalg.solve(z.T @ z + ridge + 1e-9 * np.eye(z.shape[1]), z.T @ y)
+    assert np.allclose(z @ model.weights, z @ want, atol=1e-6)
+    # random features: inner products near exp(-|a - b| ** 2 / 2) of the scaled statistics
+    a = np.clip((x[:60] - model.mean) / model.scale, -6, 6) / math.sqrt(quality.N_STATS)
+    kernel = np.exp(-((a[:, None, :] - a[None, :, :]) ** 2).sum(axis=2) / 2)
+    near = model.expand(x[:60])[:, :-1]
+    assert np.abs(near @ near.T - kernel).max() < 5 / math.sqrt(quality.FEATURES)
+    # a score equal to the threshold is predicted 1
+    docs, labels = frame(spark, rows), spark.createDataFrame(marks, "doc_id long, quality int")
+    scores = collections.defaultdict(set)
+    for r in quality_scores(docs, labels).collect():
+        scores[r.doc_id].add((r.score, r.predicted))
+    assert all(len(v) == 1 for v in scores.values())
+    tie = sorted(s for v in scores.values() for s, _ in v)[150]
+    got = {r.doc_id: r for r in quality_scores(docs, labels, threshold=tie).collect()}
+    assert any(r.score == tie for r in got.values()) and all(r.predicted == int(r.score >= tie) for r in got.values())
+
+
 def test_op10_isotonic():
     x, y = isotonic(np.arange(5.0), np.array([0.1, 0.5, 0.3, 0.2, 0.9]), np.ones(5))
     assert np.allclose(y, [0.1, 1 / 3, 0.9]) and np.allclose(x, [0, 2, 4])
