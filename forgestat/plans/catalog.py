@@ -477,6 +477,25 @@ def _undeclared(wh: Warehouse) -> DataFrame:
 
 register("src_undeclared_fields", _undeclared, """SELECT _owner, _repo, id, title, user__login, draft, CAST(merged_at AS TIMESTAMP) AS merged_at,
     merge_commit_sha, head__ref AS head_ref, head__sha AS head_sha FROM b_pull_requests""", ["b_pull_requests"])
+
+
+def _undeclared_of_labels(wh: Warehouse) -> DataFrame:
+    """Landed issues whose labels have fields that the schema lacks, some labels
+    without them: kept beside the issue by position, typed columns of the labels' table."""
+    value = F.struct("id", F.transform("labels", lambda x: F.struct(
+        x["id"].alias("id"), x["name"].alias("name"), F.when(x["id"] % 3 != 0, F.upper(x["name"])).alias("slug"),
+        F.struct(x["color"].alias("hex"), x["id"].alias("weight")).alias("style"))).alias("labels"))
+    lines = wh.bronze["issues"].select(F.to_json(value).alias("value"), "_owner", "_repo")
+    parsed = landing.parse_landed(lines.withColumn("_extra", landing.extra_fields(F.col("value"), "issues")), "issues")
+    children = landing.child_table(landing.to_bronze(parsed, "issues", wh.params.load_id), "labels",
+                                   fields={"slug": "string", "style": "struct<hex string, weight bigint>"})
+    return children.select("_parent_row_id", "_list_idx", "id", "name", "slug", F.col("style.hex").alias("hex"),
+                           F.col("style.weight").alias("weight"))
+
+
+register("src_undeclared_list_fields", _undeclared_of_labels, """SELECT _parent_row_id, _list_idx, _elem.id AS id, _elem.name AS name,
+    CASE WHEN _elem.id % 3 <> 0 THEN upper(_elem.name) END AS slug, _elem.color AS hex, _elem.id AS weight FROM c_issue_labels""",
+         ["c_issue_labels"])
 _LABEL_SQL = ", ".join(f'_elem."{c}" AS "{c}"' for c in ("id", "name", "color", "description", "default"))
 for _name, _entity, _array, _cte, _spread in [
     ("src16_issue_labels_json", "issues", "labels", "c_issue_labels", _LABEL_SQL),

@@ -95,18 +95,25 @@ def flatten(df: DataFrame, sep: str = "__", keep_arrays: bool = True) -> DataFra
     return df.select(*cols)
 
 
-def child_table(parent: DataFrame, array_col: str, parent_id: str = "_row_id") -> DataFrame:
+def child_table(parent: DataFrame, array_col: str, parent_id: str = "_row_id", fields: dict[str, str] | None = None) -> DataFrame:
     """Array -> child rows with the parent's row id and the 0-based position
     (SRC-16). Struct elements are spread to columns; scalars land in ``value``.
-    Parents with an empty or NULL array contribute no rows."""
+    Parents with an empty or NULL array contribute no rows. ``fields`` adds typed
+    columns of elements' fields that the schema does not declare, from the parent's
+    ``_extra``: dotted path inside the element -> type, as :func:`with_fields`."""
+    path = array_col.replace("__", ".")
+    more = {f"_f{k}": (f"{path}[].{name}", name, kind) for k, (name, kind) in enumerate((fields or {}).items())}
     exploded = parent.select(F.col(parent_id).alias("_parent_row_id"),
+                             *[F.from_json(_extra_value(p), "array<string>").alias(c) for c, (p, _, _) in more.items()],
                              F.posexplode(F.col(array_col)).alias("_list_idx", "_elem"))
+    added = [_typed(F.get(c, F.col("_list_idx").cast("int")), kind).alias(name.replace(".", "__"))
+             for c, (_, name, kind) in more.items()]
     exploded = exploded.withColumn("_list_idx", F.col("_list_idx").cast("bigint"))
     etype = parent.schema[array_col].dataType.elementType
     if isinstance(etype, T.StructType):
         return exploded.select("_parent_row_id", "_list_idx",
-                               *[F.col("_elem").getField(f.name).alias(f.name) for f in etype.fields])
-    return exploded.select("_parent_row_id", "_list_idx", F.col("_elem").alias("value"))
+                               *[F.col("_elem").getField(f.name).alias(f.name) for f in etype.fields], *added)
+    return exploded.select("_parent_row_id", "_list_idx", F.col("_elem").alias("value"), *added)
 
 
 def landed_schema(entity: str) -> T.StructType:
@@ -136,16 +143,37 @@ def open_lines(text: DataFrame) -> DataFrame:
 
 def extra_fields(text: Column, entity: str) -> Column:
     """Fields of a landed object that the entity's schema does not declare, at the
-    top and inside declared objects (not inside the elements of lists), as
-    (dotted path, value): strings as they are, other values as JSON text. Empty
-    for a line that is no object."""
+    top, inside declared objects and inside the elements of declared lists, as
+    (dotted path, value): strings as they are, other values as JSON text. A field
+    of elements (``labels[].slug``) has one value, the JSON list of the elements'
+    values in their order, null where an element lacks it. Empty for a line that
+    is no object."""
+    fields = T.MapType(S, S)
+
     def undeclared(text: Column, prefix: str, declared: T.StructType) -> Column:
         # of a name that an object holds twice the last value counts
-        held = F.from_json(text, T.MapType(S, S))
+        held = F.from_json(text, fields)
         names = [f.name for f in declared.fields]
         own = F.transform(F.map_entries(F.map_filter(held, lambda k, v: ~k.isin(names))),
                           lambda e: F.struct(F.concat(F.lit(prefix), e["key"]).alias("path"), e["value"].alias("value")))
-        inner = [undeclared(F.try_element_at(held, F.lit(f.name)), f"{prefix}{f.name}.", f.dataType)
+        inner = []
+        for f in declared.fields:
+            value = F.try_element_at(held, F.lit(f.name))
+            if isinstance(f.dataType, T.StructType):
+                inner.append(undeclared(value, f"{prefix}{f.name}.", f.dataType))
+            elif isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType):
+                inner.append(in_elements(F.from_json(value, T.ArrayType(fields)), f"{prefix}{f.name}[].", f.dataType.elementType))
+        return F.concat(F.coalesce(own, F.array().cast(EXTRA)), *inner)
+
+    def objects(held: Column, name: str) -> Column:
+        return F.transform(held, lambda m: F.from_json(F.try_element_at(m, F.lit(name)), fields))
+
+    def in_elements(held: Column, prefix: str, declared: T.StructType) -> Column:
+        names = [f.name for f in declared.fields]
+        keys = F.array_distinct(F.flatten(F.transform(held, lambda m: F.coalesce(F.map_keys(m), F.array().cast("array<string>")))))
+        own = F.transform(F.filter(keys, lambda k: ~k.isin(names)), lambda k: F.struct(
+            F.concat(F.lit(prefix), k).alias("path"), F.to_json(F.transform(held, lambda m: F.try_element_at(m, k))).alias("value")))
+        inner = [in_elements(objects(held, f.name), f"{prefix}{f.name}.", f.dataType)
                  for f in declared.fields if isinstance(f.dataType, T.StructType)]
         return F.concat(F.coalesce(own, F.array().cast(EXTRA)), *inner)
     return undeclared(text, "", SCHEMAS[entity])
@@ -156,15 +184,21 @@ def new_fields(rows: DataFrame) -> DataFrame:
     return (rows.select(F.explode("_extra.path").alias("path")).groupBy("path").agg(F.count("*").alias("n_rows")))
 
 
+def _extra_value(path: str) -> Column:
+    return F.get(F.filter("_extra", lambda e: e["path"] == path), F.lit(0))["value"]
+
+
+def _typed(text: Column, kind: str) -> Column:
+    nested = kind.lower().startswith(("array<", "struct<", "map<"))
+    return F.from_json(text, kind) if nested else text.try_cast(kind)
+
+
 def with_fields(table: DataFrame, fields: dict[str, str]) -> DataFrame:
     """The bronze table with typed columns from ``_extra``: dotted path -> type.
     ``user.site_admin`` becomes ``user__site_admin``. Null where the field is
-    missing or its value is not of that type."""
-    def value(path: str, kind: str) -> Column:
-        text = F.get(F.filter("_extra", lambda e: e["path"] == path), F.lit(0))["value"]
-        nested = kind.lower().startswith(("array<", "struct<", "map<"))
-        return F.from_json(text, kind) if nested else text.try_cast(kind)
-    return table.select("*", *[value(p, k).alias(p.replace(".", "__")) for p, k in fields.items()])
+    missing or its value is not of that type. For fields of list elements see
+    :func:`child_table`."""
+    return table.select("*", *[_typed(_extra_value(p), k).alias(p.replace(".", "__")) for p, k in fields.items()])
 
 
 # Landed name -> bronze name where the loader's projection renames a field.

@@ -204,6 +204,31 @@ def test_undeclared_fields_are_kept(spark, tmp_path):
     assert got[2]["user__site_admin"] is True and got[2]["locked_reason"] == "it's \"hot\"" and got[2]["milestone"]["title"] == "m"
 
 
+def test_undeclared_fields_of_list_elements(spark, tmp_path):
+    """By position in their list, through the daily load; objects inside elements too."""
+    from forgestat.sources import landing
+    land, bronze = tmp_path / "land", str(tmp_path / "bronze")
+    base = {"user": {"login": "u", "id": 1, "type": "User"}, "updated_at": "2026-01-02T00:00:00Z"}
+    _land(land, "issues", "acme", "app", "a.json", [
+        {"id": 1, "labels": [{"id": 5, "name": "a", "slug": "it's \"a\"", "n": 7}, {"id": 6, "name": "b"}, None,
+                             {"id": 7, "name": "c", "n": "x", "owner": {"id": 3}}], **base},
+        {"id": 2, "labels": [], **base}, {"id": 3, **base}, {"id": 4, "labels": [{"id": 8, "name": "d"}], **base},
+        {"id": 5, "labels": "none", **base}])
+    fields = {}
+    _, table = load_entity(spark, str(land), bronze, "issues", "1", new_fields=fields)
+    assert fields == {"issues.labels[].slug": 1, "issues.labels[].n": 1, "issues.labels[].owner": 1}
+    child = landing.child_table(table, "labels", "id", {"slug": "string", "n": "bigint", "owner": "struct<id bigint>", "gone": "string"})
+    got = sorted((r["_parent_row_id"], r["_list_idx"], r["name"], r["slug"], r["n"], r["owner"] and r["owner"]["id"], r["gone"])
+                 for r in child.collect())
+    assert got == [(1, 0, "a", "it's \"a\"", 7, None, None), (1, 1, "b", None, None, None, None), (1, 2, None, None, None, None, None),
+                   (1, 3, "c", None, None, 3, None), (4, 0, "d", None, None, None, None)]
+    # objects inside the elements of a list
+    reviews = [{"id": 1, "user": {"id": 2, "site_admin": True}}, {"id": 2}, {"id": 3, "user": {"id": 4, "site_admin": False}}]
+    line = spark.createDataFrame([(json.dumps({"_pr_number": 1, "reviews": reviews}),), ("[]",), ("3",)], "value string")
+    extra = line.select(landing.extra_fields(line["value"], "pr_review_responses").alias("_extra")).collect()
+    assert [[tuple(x) for x in r["_extra"]] for r in extra] == [[("reviews[].user.site_admin", '["true",null,"false"]')], [], []]
+
+
 def test_options_reach_the_models(spark):
     """A comment URL without a number, and weeks by ISO year from their Monday."""
     import dataclasses
