@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from forgestat.llm.common import saved, ship_package
 from forgestat.llm.components import components
@@ -121,8 +122,9 @@ def _labels(linked: np.ndarray) -> np.ndarray:
 
 
 def _compare(batch: pa.Table, cosine: float):
-    """Links of one cap's block or pair of blocks, counted in their first common cap."""
-    dim, cap = batch["dim"][0].as_py(), batch["cap"][0].as_py()
+    """Links of one cap's block or pair of blocks, counted in their first common cap;
+    ``caps`` holds each vector's caps before this one."""
+    dim = batch["dim"][0].as_py()
     ids, side = batch["id"].to_numpy(), batch["side"].to_numpy()
     x = _unit(batch["v"], dim)
     linked = x @ x.T >= cosine
@@ -135,12 +137,10 @@ def _compare(batch: pa.Table, cosine: float):
     linked, ids = linked[np.ix_(some, some)], ids[some]
     lists = batch["caps"].combine_chunks().take(pa.array(some))
     flat, sizes = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
-    row = np.repeat(np.arange(len(some)), sizes)
-    before = flat < cap
-    if before.any():
-        names, col = np.unique(flat[before], return_inverse=True)
+    if len(flat):
+        names, col = np.unique(flat, return_inverse=True)
         member = np.zeros((len(some), len(names)), dtype=np.float32)
-        member[row[before], col] = 1
+        member[np.repeat(np.arange(len(some)), sizes), col] = 1
         linked &= member @ member.T == 0
     if not linked.any():
         return None
@@ -195,18 +195,21 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     id. An empty table gives no rows.
     """
     ship_package(df.sparkSession)
-    v = F.col(vector_col).cast("array<double>")
+    # single precision stays as it is until a task reads it as double: half of what is moved
+    single = df.schema[vector_col].dataType == T.ArrayType(T.FloatType())
+    kind = "float" if single else "double"
+    v = F.col(vector_col).cast(f"array<{kind}>")
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     usable = v.isNotNull() & ~bad & F.exists(v, lambda x: x != 0.0)
     # adding 0.0 turns -0.0 into 0.0, so equal vectors group alike
     rows = df.select(F.col(id_col).cast("long").alias("vec_id"),
-                     F.when(usable, F.transform(v, lambda x: x + F.lit(0.0))).alias("v"))
+                     F.when(usable, F.transform(v, lambda x: x + F.lit(0.0).cast(kind))).alias("v"))
     classes = saved(rows.filter("v is not null").groupBy("v").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
                     .withColumn("dim", F.size("v")), "vectors")
     counts = {r["dim"]: r["n"] for r in classes.groupBy("dim").agg(F.count("*").alias("n")).collect()}
     plans = {dim: cap_parameters(n, cosine) for dim, n in counts.items()}
     lists = saved(classes.filter("id is not null").select("id", "dim", "copies", "v")
-                  .mapInArrow(_decoder(plans), "id long, dim int, copies long, v array<double>, caps array<int>"), "caps")
+                  .mapInArrow(_decoder(plans), f"id long, dim int, copies long, v array<{kind}>, caps array<int>"), "caps")
     cell = lists.select("dim", F.explode("caps").alias("cap"))
     large = saved(cell.groupBy("dim", "cap").count().filter(F.col("count") > BLOCK)
                   .select("dim", "cap", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")), "largecaps")
@@ -216,11 +219,18 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
               .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
               .withColumn("bi", F.least("own", "with")).withColumn("bj", F.greatest("own", "with"))
               .withColumn("side", (F.col("own") != F.col("bi")).cast("int"))
-              .select("dim", "cap", "bi", "bj", "side", "id", "copies", "v", "caps"))
+              # only the caps before this one tell where a pair has been counted
+              .select("dim", "cap", "bi", "bj", "side", "id", "copies", "v",
+                      F.filter("caps", lambda c: c < F.col("cap")).alias("caps")))
     found = saved(spread.repartition("dim", "cap", "bi", "bj").sortWithinPartitions("dim", "cap", "bi", "bj")
                   .mapInArrow(_comparer(cosine), "id long, links long, other long"), "found")
     links = saved(found.groupBy("id").agg(F.sum("links").alias("links")), "vlinks")
-    parts = components(found.select(F.col("id").alias("a"), F.col("other").alias("b")))
+    edges = found.select(F.col("id").alias("a"), F.col("other").alias("b"))
+    again = rows.filter("vec_id is not null and v is not null").groupBy("vec_id").count().filter("count > 1").select("vec_id")
+    if not again.isEmpty():                       # an id on several vectors ties their classes together
+        tied = rows.join(again, "vec_id").join(classes.select("v", "id"), "v").select(F.col("vec_id").alias("a"), F.col("id").alias("b"))
+        edges = edges.unionByName(tied)
+    parts = components(edges)
     of = saved(classes.select("v", "id", "copies").join(links, "id", "left")
                .join(parts, F.col("id") == F.col("node"), "left")
                .select("v", F.col("id").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n"),

@@ -407,6 +407,43 @@ def test_op8_links(spark):
     assert near_vectors(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_op8_recall_and_ids(spark, kind):
+    """All links of a table with many against brute force: at least 0.99 of them, none
+    below the threshold; a third of the rows around one vector, ids null and repeated."""
+    rng = np.random.default_rng(21)
+    x = rng.normal(size=(900, 24))
+    x[:300] = x[0] + 0.3 * rng.normal(size=(300, 24))
+    for k in range(300, 600, 4):                                  # small groups near the threshold
+        x[k:k + 4] = x[k] + 0.28 * rng.normal(size=(4, 24))
+    x = x.astype(np.float32 if kind == "float" else np.float64)
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], f"vec_id long, embedding array<{kind}>")
+    more = spark.createDataFrame([(None, x[700].tolist()), (None, x[5].tolist()), (701, x[700].tolist()), (-1, [-0.0, 0.0]), (-2, [0.0, -1.0]),
+                                  (-3, [-0.0, -1.0])], f"vec_id long, embedding array<{kind}>")
+    got = near_vectors(df.unionByName(more)).collect()
+    assert len(got) == 906
+    u = x.astype(np.float64)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    linked = (u @ u.T >= 0.9) & ~np.eye(900, dtype=bool)
+    want = linked.sum(axis=1) + linked[:, 5]                      # the copy of 5 without an id is linked as well
+    want[5] += 1
+    want[700] += 2
+    by = collections.defaultdict(list)
+    for r in got:
+        by[r.vec_id].append(r)
+    have = np.array([by[k][0].n_links for k in range(900) if k != 701])
+    want = np.delete(want, 701)
+    assert (have <= want).all() and have.sum() >= 0.99 * want.sum() and want.sum() > 20_000
+    label = np.arange(900)
+    label[701] = 700                                              # one id on two vectors is one node
+    for _ in range(60):
+        label = np.minimum(label, np.where(linked, label[None, :], 900).min(axis=1))
+    assert np.mean([by[k][0].component_id == label[k] for k in range(900)]) >= 0.99
+    assert sorted((r.n_links, r.component_id) for r in by[None]) == sorted([(by[5][0].n_links, by[5][0].component_id), (2, 700)])
+    assert sorted(r.n_links for r in by[701]) == [0, 2] and {r.component_id for r in by[701]} == {700}
+    assert [(by[k][0].n_links, by[k][0].component_id) for k in (-1, -2, -3)] == [(0, -1), (1, -3), (1, -3)]
+
+
 ODD_TEXTS = ["", "  ", "\n\n a", "<|endoftext|> b<|startoftext|>", "İstanbul ΑΣ ΑΣΑ", "á ́b    x", "don't'll  it's 's",
              "日本 語 ١٢3", "é e ́\ń", "a\x00b \x85 c​", "x" * 5000, None, "tab\tsep\r\nq", "﻿   ok"]
 
