@@ -6,18 +6,18 @@ cut alike in every document. Each distinct chunk that a task meets is encoded
 and decoded by the tokenizers library once; a document's ids are its chunks' ids
 in order.
 
-A cut is only right if the tokenizer does not look across it. For a tokenizer
-whose steps provably treat the two sides of white space apart (``apart``) the
-chunks' ids and decoded texts are joined as they are. For any other one every
-distinct join of two neighbouring chunks is repaired by re-encoding: left and
-right chunk, with the white space, are encoded together, and where that differs
-from the two parts, the cut is taken back, the longer chunk has new neighbours,
-and so on until every join agrees; the ids are then decoded text by text. (A token
-that depends on three chunks, though each two neighbours agree, is not seen.)
-
-Chunk sizes: on these data 8 % of one-word chunks are distinct within a task, 63 %
-of two-word chunks and 90 % of four-word chunks, hence PROVEN_WORDS = 1; a join
-that has to be tested costs two chunks, hence TESTED_WORDS = 8.
+A cut is only right if the tokenizer does not look across it, so every distinct
+join of two neighbouring chunks is tested by re-encoding: both sides together, with
+the white space, against the two sides alone. Where they differ, the cut is taken
+back, the longer chunk has new neighbours, and so on until every join agrees. The
+sides are the whole chunks; for a tokenizer whose steps treat words apart
+(``apart``) they are the words beside the cut, which decide its join alone, and
+chunks' decoded texts are joined as their ids are (else the ids are decoded text by
+text). (A token that depends on three chunks, though each two neighbours agree, is
+not seen.)
+
+Chunk sizes: 63 % of two-word chunks and 90 % of four-word chunks are distinct
+within a task, so what repeats are passages; the fewer cuts, the fewer joins to test.
 """
 
 from __future__ import annotations
@@ -35,10 +35,11 @@ from pyspark.sql import functions as F
 from forgestat.llm import textnp
 from forgestat.llm.common import documents_of
 
-PROVEN_WORDS = 1         # words in a chunk, on average, where joins need no test
-TESTED_WORDS = 8         # the same where they do
+EDGE_WORDS = 64          # words in a chunk, on average, where a join is tested by its two words
+TESTED_WORDS = 8         # the same where it is tested by its two chunks
 WINDOW = 4               # bytes under the rolling hash
-KEPT = 1 << 19           # distinct chunks that a task keeps
+KEPT = 1 << 19           # distinct chunks, and distinct joins, that a task keeps
+KEPT_BYTES = 1 << 25     # bytes of ids and decoded texts of the chunks that it keeps
 PIECE = 1 << 20          # bytes of text handled at a time
 BATCH = 4096             # chunks given to the tokenizer at a time
 
@@ -95,7 +96,7 @@ class ChunkCoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.apart = apart(self.tokenizer)
-        self.chunk_words = chunk_words or (PROVEN_WORDS if self.apart else TESTED_WORDS)
+        self.chunk_words = chunk_words or (EDGE_WORDS if self.apart else TESTED_WORDS)
         self.cut_at = np.zeros(256, dtype=bool)
         self.cut_at[[0x20, 0x0A]] = True
         self.agrees: dict[int, bool] = {}                # joins that were tested
@@ -113,8 +114,9 @@ class ChunkCoder:
         return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
 
     def _differing(self, piece: textnp.Piece, left, middle, right) -> np.ndarray:
-        """Which joins of two chunks, given by the bytes at which the left one
-        starts, the right one starts and the right one ends, change the ids."""
+        """Which joins of two chunks (or of their words beside the cut), given by the
+        bytes at which the left one starts, the right one starts and the right one
+        ends, change the ids."""
         hashes = piece.span_hash(left, middle, middle, right)
         joins = textnp.mix(hashes[0] + textnp.mix(hashes[1]))
         names, where, which = np.unique(joins, return_index=True, return_inverse=True)
@@ -124,30 +126,34 @@ class ChunkCoder:
         new = [k for k, name in enumerate(names.tolist()) if name not in self.agrees]
         for some in (new[k:k + BATCH] for k in range(0, len(new), BATCH)):
             at = [tuple(int(c[where[k]]) for c in (left, middle, right)) for k in some]
-            one, two, both = (self._encode([raw[x[a]:x[b]].decode() for x in at]) for a, b in ((0, 1), (1, 2), (0, 2)))
-            for k, a, b, c in zip(some, one, two, both, strict=True):
-                self.agrees[int(names[k])] = a + b == c
+            sides = [(raw[a:b].decode(), raw[b:c].decode()) for a, b, c in at]
+            texts = list(dict.fromkeys(t for a, b in sides for t in (a, b, a + b)))
+            ids = dict(zip(texts, self._encode(texts), strict=True))
+            for k, (a, b) in zip(some, sides, strict=True):
+                self.agrees[int(names[k])] = ids[a] + ids[b] == ids[a + b]
         return ~np.array([self.agrees[name] for name in names.tolist()], dtype=bool)[which]
 
     def _chunks(self, piece: textnp.Piece):
         """Starts and ends (bytes) of the chunks, their hashes, and each text's first chunk.
 
-        Where joins need no test the white space around chunks is left out;
-        otherwise it belongs to the chunk after it (or the text's last one)."""
+        Where words are apart the white space around chunks is left out; otherwise
+        it belongs to the chunk after it (or the text's last one)."""
         first_word = np.zeros(len(piece.start) + 1, dtype=bool)
         first_word[piece.first] = True
         inner = np.flatnonzero(~first_word[:-1])          # words that follow another of their text
         before = piece.end[inner - 1]
-        window, word = piece.span_hash(np.maximum(before - WINDOW, piece.start[inner - 1]), before,
-                                       piece.start, piece.end)
+        window = piece.span_hash(np.maximum(before - WINDOW, piece.start[inner - 1]), before)
         cut = window % np.uint64(self.chunk_words) == 0
         if self.apart:
+            words = inner[cut]                            # words after a cut
+            if len(words):
+                words = words[~self._differing(piece, piece.start[words - 1], piece.start[words], piece.end[words])]
             starts = first_word[:-1].copy()
-            starts[inner[cut]] = True
+            starts[words] = True
             begin = np.flatnonzero(starts)
             last = np.append(begin[1:], len(piece.start)) - 1
-            hashes = word if len(begin) == len(piece.start) else piece.span_hash(piece.start[begin], piece.end[last])
-            return piece.start[begin], piece.end[last], hashes, np.searchsorted(begin, piece.first)
+            return (piece.start[begin], piece.end[last], piece.span_hash(piece.start[begin], piece.end[last]),
+                    np.searchsorted(begin, piece.first))
         texts = piece.doc_at[:-1][np.diff(piece.doc_at) > 0]
         begin = np.union1d(texts, before[cut])
         while True:
@@ -162,7 +168,7 @@ class ChunkCoder:
         """Columns n_tokens, ids (little-endian unsigned 32-bit), decoded of the piece's texts."""
         start, end, hashes, first = self._chunks(piece)
         names, where, which = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.hashes) + len(names) > KEPT:
+        if len(self.hashes) + len(names) > KEPT or sum(x.nbytes for x in (*self.ids, *self.texts)) > KEPT_BYTES:
             self._forget()
         at = np.searchsorted(self.hashes, names)
         known = np.zeros(len(names), dtype=bool)

@@ -493,6 +493,29 @@ def test_op9_tests_every_distinct_join(chunk_words):
     _agrees(coder, texts[::-1])                              # from what it keeps
 
 
+def test_op9_cuts_by_content_and_tests_the_joins_of_the_default_tokenizer():
+    """The rolling hash decides the cuts, and every distinct join is re-encoded."""
+    coder = bpe.ChunkCoder(bpe.public_tokenizer())
+    rng = random.Random(7)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(900)]
+    text = " ".join(rng.choice(words) for _ in range(6000))
+    piece = next(textnp.pieces(pa.array([text, "x " + text]), coder.cut_at, lower=False))
+    start, end, hashes, first = coder._chunks(piece)
+    assert 40 < first[1] - first[0] < 300 and set(hashes[1:first[1]].tolist()) <= set(hashes[first[1]:].tolist())
+    raw = piece.raw.tobytes()
+    joins = {(raw[:a].rsplit(None, 1)[-1], raw[b:].split(None, 1)[0]) for a, b in zip(end[:first[1] - 1], start[1:first[1]], strict=True)}
+    assert len(coder.agrees) == len(joins) and all(coder.agrees.values())
+
+
+def test_op9_takes_back_a_cut_between_words_that_seem_apart():
+    from tokenizers import Tokenizer, normalizers
+    tokenizer = Tokenizer.from_file(bpe.public_tokenizer())
+    tokenizer.normalizer = normalizers.Sequence([normalizers.Replace("foo bar", "foobar"), tokenizer.normalizer])
+    coder = bpe.ChunkCoder(tokenizer, 1)
+    coder.apart = True
+    _agrees(coder, ["xo bz foo bar", "foo bar foo bar", "bar foo"])
+
+
 def test_op9_other_public_tokenizers():
     """Tokenizers with other steps, among them such that decode bytes or mark white space."""
     import os
