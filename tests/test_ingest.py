@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -81,3 +82,39 @@ def test_load_summary(spark):
     a = spark.range(3)
     s = {r["table_name"]: r["row_count"] for r in rows(ingest.load_summary({"a": a, "missing": None, "b": a.limit(1)}))}
     assert s == {"a": 3, "b": 1}
+
+
+@pytest.fixture()
+def landed(spark, tmp_path):
+    """Driver tables with repeated customers and keys, null numbers and parts."""
+    from forgestat.params import DRIVER_PARAMS
+    from forgestat.sources.adapters import DriverBronze
+    day = dt.datetime(1998, 1, 1)
+    tables = {
+        "region": ([(0, "ASIA"), (1, "EUROPE")], "r_regionkey int, r_name string"),
+        "nation": ([(0, "INDIA", 0), (1, "FRANCE", 1)], "n_nationkey int, n_name string, n_regionkey int"),
+        "customer": ([(1, "c1", 0), (1, "c1", 1), (2, "c2", 1)], "c_custkey bigint, c_name string, c_nationkey int"),
+        "supplier": ([(3, "s3", 0), (4, "s4", 1), (4, "s4b", 1)], "s_suppkey bigint, s_name string, s_nationkey int"),
+        "orders": ([(7, 1), (8, 2), (9, 99)], "o_orderkey bigint, o_custkey bigint"),
+        "lineitem": ([(o, p, s, n, f, None if n == 3 else day + dt.timedelta(days=d))
+                      for o in (7, 8, 9) for n in (1, 3, None) for d, (p, s, f) in enumerate([(5, 3, "A"), (6, 4, "R"), (None, 4, "N"), (6, 10, None)])],
+                     "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_returnflag string, l_shipdate timestamp_ntz")}
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    return DriverBronze(spark, str(tmp_path), DRIVER_PARAMS)
+
+
+def test_merges_move_no_columns_that_follow_from_the_key(landed, capsys):
+    """Equal to merging the landed rows, but the aggregated rows hold no md5 text."""
+    wide = ingest.upsert(landed.pr_reviews_landed, ["id"], ["submitted_at", "body", "user__id"])
+    assert landed.pr_reviews.dtypes == wide.dtypes == landed.pr_reviews_landed.dtypes
+    assert sorted(map(str, landed.pr_reviews.collect())) == sorted(map(str, wide.collect())) and landed.pr_reviews.count() > 4
+    order = ["updated_at", "body"]
+    named = landed.issue_comments_named(ingest.upsert(landed.issue_comments_facts, ["id"], order))
+    wide_comments = ingest.upsert(landed.issue_comments_landed, ["id"], order)
+    assert named.dtypes == wide_comments.dtypes == landed.issue_comments_landed.dtypes
+    assert sorted(map(str, named.collect())) == sorted(map(str, wide_comments.collect()))
+    capsys.readouterr()
+    for df, moved in ((landed.pr_reviews, False), (named, False), (wide, True)):
+        df.explain()
+        assert any("SortAggregate" in line and "_row_id" in line for line in capsys.readouterr().out.splitlines()) == moved
