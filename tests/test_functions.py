@@ -103,3 +103,22 @@ def test_round_scaled_matches_reference_engine(spark):
     con = duckdb.connect()
     exp = [con.execute(f"select round({v!r}::double, 2)").fetchone()[0] for v in vals]
     assert got == exp
+
+
+def test_tasks_grow_in_number_not_in_size(spark, tmp_path):
+    from forgestat.functions.sizing import INPUT_BYTES, TASK_BYTES, deal_by_size, input_bytes
+    spark.range(1000).write.parquet(f"{tmp_path}/a.parquet")
+    size = input_bytes(spark, [f"{tmp_path}/a.parquet"])
+    assert size == sum(f.stat().st_size for f in (tmp_path / "a.parquet").glob("*.parquet"))
+    least, first = int(spark.conf.get("spark.sql.shuffle.partitions")), "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert deal_by_size(spark, 1000 * INPUT_BYTES) == 1000 and spark.conf.get(first) == "1000"
+    assert deal_by_size(spark, size) == least and spark.conf.get(first, None) is None
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(TASK_BYTES)
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == str(TASK_BYTES)
+
+
+def test_the_warehouse_deals_by_the_size_of_its_tables(spark):
+    from forgestat.plans.catalog import warehouse_for
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+    assert warehouse_for(spark, "/root/testdata/sf0.001").input_bytes > 0
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(16 << 20)
