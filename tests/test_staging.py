@@ -72,3 +72,20 @@ def test_exclude_pull_requests_option(spark):
     df = spark.createDataFrame([(1,) + base + (None, "o", "r"), (2,) + base + ("https://x/pull/1", "o", "r")], cols)
     assert staging.stg_issues(df).count() == 2          # the reference SQL keeps PRs (D1)
     assert staging.stg_issues(df, exclude_pull_requests=True).count() == 1
+
+
+def test_users_meet_the_string_minimum_as_distinct_pairs(spark):
+    from forgestat.operators.staging import users_of
+    pairs = spark.createDataFrame([(1, "b"), (1, "a"), (1, "a"), (2, None), (2, "x[bot]"), (3, None)], "user_id long, user_login string")
+    got = users_of(pairs)
+    assert sorted(map(tuple, got.collect())) == [(1, "a", False), (2, "x[bot]", True), (3, None, False)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate(keys=[user_id" in plan      # the duplicates go before anything is sorted
+
+
+def test_the_comment_merge_does_not_sort_in_the_scan(spark):
+    from forgestat.plans.catalog import warehouse_for
+    plan = warehouse_for(spark, "/root/testdata/sf0.001").adapters.issue_comments.select("id", "body")
+    plan = plan._jdf.queryExecution().executedPlan().toString()
+    above_scan = plan[:plan.index("l_linenumber", plan.index("FileScan parquet [l_orderkey"))].rsplit("SortAggregate", 1)[1]
+    assert "Exchange hashpartitioning(l_orderkey" in above_scan
