@@ -4,7 +4,9 @@ A text is cut at white space (space or line feed) where the rolling hash of the
 bytes before it is 0 modulo the mean chunk size in words, so equal passages are
 cut alike in every document. Each distinct chunk that a task meets is encoded
 and decoded by the tokenizers library once; a document's ids are its chunks' ids
-in order.
+in order. Where the tokenizer's steps treat words apart (``apart``) a new chunk is
+encoded by its words, each distinct one once per task, as long as no tested join
+differs; else as a whole.
 
 A cut is only right if the tokenizer does not look across it, so every distinct
 join of two neighbouring chunks is tested by re-encoding: both sides together, with
@@ -25,6 +27,7 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +41,8 @@ from forgestat.llm.common import documents_of
 EDGE_WORDS = 64          # words in a chunk, on average, where a join is tested by its two words
 TESTED_WORDS = 8         # the same where it is tested by its two chunks
 WINDOW = 4               # bytes under the rolling hash
-KEPT = 1 << 19           # distinct chunks, and distinct joins, that a task keeps
-KEPT_BYTES = 1 << 25     # bytes of ids and decoded texts of the chunks that it keeps
+KEPT = 1 << 19           # distinct chunks, distinct words and distinct joins that a task keeps
+KEPT_BYTES = 1 << 25     # bytes of ids and decoded texts of the chunks, and of the words, that it keeps
 PIECE = 1 << 20          # bytes of text handled at a time
 BATCH = 4096             # chunks given to the tokenizer at a time
 
@@ -85,6 +88,51 @@ def apart(tokenizer) -> bool:
             and not spec["model"].get("dropout") and spec["decoder"] is None)
 
 
+class _Kept:
+    """Ids and decoded texts of spans (chunks or words), looked up by the spans' hashes."""
+
+    def __init__(self):
+        self.forget()
+
+    def forget(self):
+        self.hashes = np.zeros(0, dtype=np.uint64)       # sorted
+        self.row = np.zeros(0, dtype=np.int64)           # row of each hash in the tables
+        self.ids, self.texts = pa.array([], pa.large_binary()), pa.array([], pa.large_string())
+        self.sizes = np.zeros(0, dtype=np.int64)
+
+    def missing(self, names: np.ndarray) -> np.ndarray:
+        """Which of the (sorted) hashes are to be added; all, if they no longer fit."""
+        if len(self.hashes) + len(names) > KEPT or self.ids.nbytes + self.texts.nbytes > KEPT_BYTES:
+            self.forget()
+        at = np.searchsorted(self.hashes, names)
+        known = np.zeros(len(names), dtype=bool)
+        known[at < len(self.hashes)] = self.hashes[at[at < len(self.hashes)]] == names[at < len(self.hashes)]
+        return np.flatnonzero(~known)
+
+    def add(self, names: np.ndarray, ids: pa.Array, texts: pa.Array, sizes: np.ndarray):
+        at = np.searchsorted(self.hashes, names)
+        self.row = np.insert(self.row, at, len(self.sizes) + np.arange(len(names)))
+        self.hashes = np.insert(self.hashes, at, names)
+        self.ids, self.texts = pa.concat_arrays([self.ids, ids]), pa.concat_arrays([self.texts, texts])
+        self.sizes = np.concatenate([self.sizes, sizes]).astype(np.int64)
+
+    def joined(self, names: np.ndarray, first: np.ndarray) -> tuple[pa.Array, pa.Array, np.ndarray]:
+        """Ids, decoded texts and numbers of ids of runs of spans, given by their hashes
+        and by each run's first span (and the end)."""
+        code = self.row[np.searchsorted(self.hashes, names)]
+        size = self.sizes[code]
+        some = size > 0                                    # spans without tokens leave no trace
+        offsets = pa.array(np.concatenate([[0], np.cumsum(some)])[first], pa.int64())
+        take = pa.array(code[some])
+
+        def join(values, between):
+            if not len(take):
+                return pa.array([b""] * (len(first) - 1), pa.large_binary()).cast(values.type)
+            return pc.binary_join(pa.LargeListArray.from_arrays(offsets, values.take(take)), pa.scalar(between, values.type))
+        return (join(self.ids, b""), join(self.texts, " "),
+                np.diff(np.concatenate([[0], np.cumsum(size)])[first]))
+
+
 class ChunkCoder:
     """Encodes texts by chunks that are kept between calls."""
 
@@ -100,12 +148,8 @@ class ChunkCoder:
         self.cut_at = np.zeros(256, dtype=bool)
         self.cut_at[[0x20, 0x0A]] = True
         self.agrees: dict[int, bool] = {}                # joins that were tested
-        self._forget()
-
-    def _forget(self):
-        self.hashes = np.zeros(0, dtype=np.uint64)       # sorted
-        self.row = np.zeros(0, dtype=np.int64)           # row of each hash in the tables
-        self.ids, self.texts, self.sizes = [], [], np.zeros(0, dtype=np.int64)
+        self.chunks, self.words = _Kept(), _Kept()
+        self.by_words = True                             # until a join of two words differs
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -147,7 +191,11 @@ class ChunkCoder:
         if self.apart:
             words = inner[cut]                            # words after a cut
             if len(words):
-                words = words[~self._differing(piece, piece.start[words - 1], piece.start[words], piece.end[words])]
+                differ = self._differing(piece, piece.start[words - 1], piece.start[words], piece.end[words])
+                if self.by_words and differ.any():
+                    self.by_words = False
+                    self.chunks.forget()
+                words = words[~differ]
             starts = first_word[:-1].copy()
             starts[words] = True
             begin = np.flatnonzero(starts)
@@ -164,46 +212,50 @@ class ChunkCoder:
                 return begin, end, piece.span_hash(begin, end), np.searchsorted(begin, piece.doc_at)
             begin = np.delete(begin, joins[differ])
 
+    def _add(self, kept: _Kept, piece: textnp.Piece, names: np.ndarray, start: np.ndarray, end: np.ndarray):
+        """Encode spans (bytes) as wholes."""
+        raw = piece.raw.tobytes()
+        texts = [raw[a:b].decode() for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+        for k in range(0, len(texts), BATCH):
+            ids = self._encode(texts[k:k + BATCH])
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            flat = np.fromiter(chain.from_iterable(ids), "<u4", ends[-1])
+            kept.add(names[k:k + BATCH],
+                     pa.Array.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(4 * ends), pa.py_buffer(flat)]),
+                     pa.array(self._decode(ids) if self.apart else [""] * len(ids), pa.large_string()), sizes)
+
+    def _add_by_words(self, piece: textnp.Piece, names: np.ndarray, start: np.ndarray, end: np.ndarray):
+        """Encode chunks by their words: the tokenizer sees those that are new."""
+        low, high = np.searchsorted(piece.start, start), np.searchsorted(piece.start, end)
+        first = np.concatenate([[0], np.cumsum(high - low)])
+        word = np.arange(first[-1]) + np.repeat(low - first[:-1], high - low)
+        hashes = piece.span_hash(piece.start[word], piece.end[word])
+        distinct, where = np.unique(hashes, return_index=True)
+        new = self.words.missing(distinct)
+        if len(new):
+            at = word[where[new]]
+            self._add(self.words, piece, distinct[new], piece.start[at], piece.end[at])
+        self.chunks.add(names, *self.words.joined(hashes, first))
+
     def encode(self, piece: textnp.Piece) -> pa.RecordBatch:
         """Columns n_tokens, ids (little-endian unsigned 32-bit), decoded of the piece's texts."""
         start, end, hashes, first = self._chunks(piece)
-        names, where, which = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.hashes) + len(names) > KEPT or sum(x.nbytes for x in (*self.ids, *self.texts)) > KEPT_BYTES:
-            self._forget()
-        at = np.searchsorted(self.hashes, names)
-        known = np.zeros(len(names), dtype=bool)
-        known[at < len(self.hashes)] = self.hashes[at[at < len(self.hashes)]] == names[at < len(self.hashes)]
-        new = np.flatnonzero(~known)
+        names, where = np.unique(hashes, return_index=True)
+        new = self.chunks.missing(names)
         if len(new):
-            raw = piece.raw.tobytes()
-            texts = [raw[a:b].decode() for a, b in zip(start[where[new]].tolist(), end[where[new]].tolist(), strict=True)]
-            self.row = np.insert(self.row, at[new], len(self.sizes) + np.arange(len(new)))
-            self.hashes = np.insert(self.hashes, at[new], names[new])
-            for k in range(0, len(texts), BATCH):
-                ids = self._encode(texts[k:k + BATCH])
-                self.texts.append(pa.array(self._decode(ids) if self.apart else [""] * len(ids), pa.large_string()))
-                self.ids.append(pa.array([np.asarray(i, dtype="<u4").tobytes() for i in ids], pa.large_binary()))
-                self.sizes = np.concatenate([self.sizes, [len(i) for i in ids]]).astype(np.int64)
-            self.texts, self.ids = [pa.concat_arrays(self.texts)], [pa.concat_arrays(self.ids)]
-        code = self.row[np.searchsorted(self.hashes, names)][which]
-        size = self.sizes[code]
-        some = size > 0                                    # chunks without tokens leave no trace
-        count = np.concatenate([[0], np.cumsum(some)])
-        offsets = pa.array(count[first], pa.int64())
-        take = pa.array(code[some])
-        total = np.concatenate([[0], np.cumsum(size)])
-
-        def joined(values, between):
-            if not values or not len(take):
-                return pa.array([b""] * (len(first) - 1)).cast(pa.large_binary())
-            return pc.binary_join(pa.LargeListArray.from_arrays(offsets, values[0].take(take)),
-                                  pa.scalar(between, values[0].type))
-        ids = joined(self.ids, b"").cast(pa.binary())
+            at = where[new]
+            if self.apart and self.by_words:
+                self._add_by_words(piece, names[new], start[at], end[at])
+            else:
+                self._add(self.chunks, piece, names[new], start[at], end[at])
+        ids, decoded, sizes = self.chunks.joined(hashes, first)
+        ids = ids.cast(pa.binary())
         if self.apart:
-            decoded = joined(self.texts, " ").cast(pa.string())
+            decoded = decoded.cast(pa.string())
         else:
             decoded = pa.array(self._decode([np.frombuffer(x, "<u4").tolist() for x in ids.to_pylist()]), pa.string())
-        return pa.RecordBatch.from_arrays([pa.array(np.diff(total[first]), pa.int64()), ids, decoded],
+        return pa.RecordBatch.from_arrays([pa.array(sizes, pa.int64()), ids, decoded],
                                           names=["n_tokens", "ids", "decoded"])
 
 

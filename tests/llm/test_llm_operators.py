@@ -636,3 +636,17 @@ def test_op6_learns_every_label(spark):
     right = sum(r.lang_pred == f"l{r.doc_id // 1000:03d}" for r in got if not r.held_out)
     assert right >= 0.85 * sum(not r.held_out for r in got)
     assert {"l128", "l129"} <= {r.lang_pred for r in got}
+
+
+def test_op9_gives_the_tokenizer_each_new_word_once():
+    coder, seen = bpe.ChunkCoder(bpe.public_tokenizer()), []
+    encode = coder._encode
+    coder._encode = lambda texts: seen.extend(texts) or encode(texts)
+    words = ["Alpha", "beta-2", "don't", "été", "<|endoftext|>", "\t", "x\ty", "́a"]
+    texts = [" ".join(words * 40), "\n".join(reversed(words * 40)) + " ", "", "  ", "​", "beta-2"]
+    _agrees(coder, texts)
+    coder.chunks.forget()                             # chunks are gone, words are kept
+    before = len(seen)
+    _agrees(coder, texts[:1])
+    assert not set(seen[before:]) & set(words)
+    assert max(seen.count(w) for w in words) <= 2     # as a word, and beside a cut
