@@ -89,3 +89,27 @@ def test_the_comment_merge_does_not_sort_in_the_scan(spark):
     plan = plan._jdf.queryExecution().executedPlan().toString()
     above_scan = plan[:plan.index("l_linenumber", plan.index("FileScan parquet [l_orderkey"))].rsplit("SortAggregate", 1)[1]
     assert "Exchange hashpartitioning(l_orderkey" in above_scan
+
+
+def test_a_scan_of_a_large_row_group_only_sends_its_rows_on(spark):
+    """Nothing on a scan sorts or aggregates, or is dealt over so many partitions that the
+    shuffle's writer holds all rows of its task."""
+    import re
+
+    from forgestat.plans.catalog import warehouse_for
+    wh = warehouse_for(spark, "/root/testdata/sf0.001")
+    first = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    spark.conf.set(first, "700")
+    try:
+        from forgestat.sources.adapters import DriverBronze
+        bronze = DriverBronze(spark, "/root/testdata/sf0.001", wh.params)
+        for name in (*DriverBronze.ENTITIES[1:], "pr_reviews"):
+            plan = getattr(bronze, name)._jdf.queryExecution().executedPlan().toString().splitlines()
+            scans = [k for k, line in enumerate(plan) if re.search(r"FileScan parquet \[(l_|o_|c_|event_|ts)", line)]
+            assert scans, name
+            for k in scans:
+                above = next(j for j in range(k, -1, -1) if "Exchange" in plan[j])
+                assert "REPARTITION_BY_NUM" in plan[above] and int(re.search(r", (\d+)\), REPA", plan[above])[1]) <= 200, (name, plan[above])
+                assert not any("Sort" in line or "Aggregate" in line for line in plan[above:k]), name
+    finally:
+        spark.conf.unset(first)
