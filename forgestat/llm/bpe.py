@@ -41,10 +41,12 @@ from forgestat.llm.common import documents_of
 EDGE_WORDS = 64          # words in a chunk, on average, where a join is tested by its two words
 TESTED_WORDS = 8         # the same where it is tested by its two chunks
 WINDOW = 4               # bytes under the rolling hash
-KEPT = 1 << 19           # distinct chunks, distinct words and distinct joins that a task keeps
+KEPT = 1 << 19           # distinct chunks and distinct joins that a task keeps
+KEPT_WORDS = 1 << 20     # distinct words that it keeps
 KEPT_BYTES = 1 << 25     # bytes of ids and decoded texts of the chunks, and of the words, that it keeps
 PIECE = 1 << 20          # bytes of text handled at a time
 BATCH = 4096             # chunks given to the tokenizer at a time
+TOGETHER = 64            # texts given to it as one, set apart by an added token
 
 _OUT = "doc_id long, n_tokens long, ids binary, decoded string"
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
@@ -88,10 +90,27 @@ def apart(tokenizer) -> bool:
             and not spec["model"].get("dropout") and spec["decoder"] is None)
 
 
+def separator(tokenizer) -> tuple[str, int] | None:
+    """An added token (and its id) that sets texts apart within one: it is found before
+    all other steps, no other added token can take a part of it, and for a tokenizer
+    whose steps treat words apart nothing looks across it. None, if there is none."""
+    added = json.loads(tokenizer.to_str())["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added):
+        return None
+    for t in added:
+        text = t["content"]
+        others = [x["content"] for x in added if x is not t]
+        ends = {x[k:] for x in others for k in range(len(x))} | {text[k:] for k in range(1, len(text))}
+        if text and t["special"] and not t["normalized"] and not any(text in x for x in others) and not any(text.startswith(e) for e in ends):
+            return text, t["id"]
+    return None
+
+
 class _Kept:
     """Ids and decoded texts of spans (chunks or words), looked up by the spans' hashes."""
 
-    def __init__(self):
+    def __init__(self, most: int):
+        self.most = most
         self.forget()
 
     def forget(self):
@@ -102,12 +121,14 @@ class _Kept:
 
     def missing(self, names: np.ndarray) -> np.ndarray:
         """Which of the (sorted) hashes are to be added; all, if they no longer fit."""
-        if len(self.hashes) + len(names) > KEPT or self.ids.nbytes + self.texts.nbytes > KEPT_BYTES:
-            self.forget()
         at = np.searchsorted(self.hashes, names)
         known = np.zeros(len(names), dtype=bool)
         known[at < len(self.hashes)] = self.hashes[at[at < len(self.hashes)]] == names[at < len(self.hashes)]
-        return np.flatnonzero(~known)
+        new = np.flatnonzero(~known)
+        if len(new) and (len(self.hashes) + len(new) > self.most or self.ids.nbytes + self.texts.nbytes > KEPT_BYTES):
+            self.forget()
+            return np.arange(len(names))
+        return new
 
     def add(self, names: np.ndarray, ids: pa.Array, texts: pa.Array, sizes: np.ndarray):
         at = np.searchsorted(self.hashes, names)
@@ -116,10 +137,10 @@ class _Kept:
         self.ids, self.texts = pa.concat_arrays([self.ids, ids]), pa.concat_arrays([self.texts, texts])
         self.sizes = np.concatenate([self.sizes, sizes]).astype(np.int64)
 
-    def joined(self, names: np.ndarray, first: np.ndarray) -> tuple[pa.Array, pa.Array, np.ndarray]:
-        """Ids, decoded texts and numbers of ids of runs of spans, given by their hashes
-        and by each run's first span (and the end)."""
-        code = self.row[np.searchsorted(self.hashes, names)]
+    def joined(self, names: np.ndarray, which: np.ndarray, first: np.ndarray) -> tuple[pa.Array, pa.Array, np.ndarray]:
+        """Ids, decoded texts and numbers of ids of runs of spans, given by the distinct
+        hashes, by which of them each span has, and by each run's first span (and the end)."""
+        code = self.row[np.searchsorted(self.hashes, names)][which]
         size = self.sizes[code]
         some = size > 0                                    # spans without tokens leave no trace
         offsets = pa.array(np.concatenate([[0], np.cumsum(some)])[first], pa.int64())
@@ -148,12 +169,34 @@ class ChunkCoder:
         self.cut_at = np.zeros(256, dtype=bool)
         self.cut_at[[0x20, 0x0A]] = True
         self.agrees: dict[int, bool] = {}                # joins that were tested
-        self.chunks, self.words = _Kept(), _Kept()
+        self.separator = separator(self.tokenizer) if self.apart else None
+        self.chunks, self.words = _Kept(KEPT), _Kept(KEPT_WORDS)
         self.by_words = True                             # until a join of two words differs
 
-    def _encode(self, texts: list[str]) -> list[list[int]]:
+    def _alone(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text. The tokenizer takes some time for every text that it is given,
+        so where words are apart it gets many as one, with an added token between
+        them; texts in which that token itself occurs are found by its count."""
+        if self.separator is None:
+            return self._alone(texts)
+        between, mark = self.separator
+        groups = [texts[k:k + TOGETHER] for k in range(0, len(texts), TOGETHER)]
+        out = []
+        for group, ids in zip(groups, self._alone([between.join(g) for g in groups]), strict=True):
+            if ids.count(mark) != len(group) - 1:
+                out += self._alone(group)
+                continue
+            start = 0
+            for _ in group[1:]:
+                end = ids.index(mark, start)
+                out.append(ids[start:end])
+                start = end + 1
+            out.append(ids[start:])
+        return out
+
     def _decode(self, ids: list[list[int]]) -> list[str]:
         return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
 
@@ -216,14 +259,16 @@ class ChunkCoder:
         """Encode spans (bytes) as wholes."""
         raw = piece.raw.tobytes()
         texts = [raw[a:b].decode() for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+        flat, size, decoded = [], [], []
         for k in range(0, len(texts), BATCH):
             ids = self._encode(texts[k:k + BATCH])
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            ends = np.concatenate([[0], np.cumsum(sizes)])
-            flat = np.fromiter(chain.from_iterable(ids), "<u4", ends[-1])
-            kept.add(names[k:k + BATCH],
-                     pa.Array.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(4 * ends), pa.py_buffer(flat)]),
-                     pa.array(self._decode(ids) if self.apart else [""] * len(ids), pa.large_string()), sizes)
+            size.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+            flat.append(np.fromiter(chain.from_iterable(ids), "<u4", size[-1].sum()))
+            decoded.append(pa.array(self._decode(ids) if self.apart else [""] * len(ids), pa.large_string()))
+        sizes = np.concatenate(size)
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        kept.add(names, pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(4 * ends), pa.py_buffer(np.concatenate(flat))]),
+                 pa.concat_arrays(decoded), sizes)
 
     def _add_by_words(self, piece: textnp.Piece, names: np.ndarray, start: np.ndarray, end: np.ndarray):
         """Encode chunks by their words: the tokenizer sees those that are new."""
@@ -231,17 +276,17 @@ class ChunkCoder:
         first = np.concatenate([[0], np.cumsum(high - low)])
         word = np.arange(first[-1]) + np.repeat(low - first[:-1], high - low)
         hashes = piece.span_hash(piece.start[word], piece.end[word])
-        distinct, where = np.unique(hashes, return_index=True)
+        distinct, where, which = np.unique(hashes, return_index=True, return_inverse=True)
         new = self.words.missing(distinct)
         if len(new):
             at = word[where[new]]
             self._add(self.words, piece, distinct[new], piece.start[at], piece.end[at])
-        self.chunks.add(names, *self.words.joined(hashes, first))
+        self.chunks.add(names, *self.words.joined(distinct, which, first))
 
     def encode(self, piece: textnp.Piece) -> pa.RecordBatch:
         """Columns n_tokens, ids (little-endian unsigned 32-bit), decoded of the piece's texts."""
         start, end, hashes, first = self._chunks(piece)
-        names, where = np.unique(hashes, return_index=True)
+        names, where, which = np.unique(hashes, return_index=True, return_inverse=True)
         new = self.chunks.missing(names)
         if len(new):
             at = where[new]
@@ -249,7 +294,7 @@ class ChunkCoder:
                 self._add_by_words(piece, names[new], start[at], end[at])
             else:
                 self._add(self.chunks, piece, names[new], start[at], end[at])
-        ids, decoded, sizes = self.chunks.joined(hashes, first)
+        ids, decoded, sizes = self.chunks.joined(names, which, first)
         ids = ids.cast(pa.binary())
         if self.apart:
             decoded = decoded.cast(pa.string())

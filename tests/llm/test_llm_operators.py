@@ -650,3 +650,32 @@ def test_op9_gives_the_tokenizer_each_new_word_once():
     _agrees(coder, texts[:1])
     assert not set(seen[before:]) & set(words)
     assert max(seen.count(w) for w in words) <= 2     # as a word, and beside a cut
+
+
+def test_op9_gives_words_many_at_once_and_tells_them_apart():
+    """The tokenizer gets few texts, also where a word holds the token between them."""
+    coder, given = bpe.ChunkCoder(bpe.public_tokenizer()), []
+
+    class Counted:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def __getattr__(self, name):
+            return getattr(self.inner, name)
+
+        def encode_batch_fast(self, texts, **kw):
+            given.extend(texts)
+            return self.inner.encode_batch_fast(texts, **kw)
+
+    coder.tokenizer = Counted(coder.tokenizer)
+    texts = [" ".join(f"Wörd{k}{'.' * (k % 3)}" for k in range(3000)), "|> <| <|endoftext a<|endoftext|>b x́", "<|endoftext|>"]
+    _agrees(coder, texts)
+    assert len(given) < 600
+
+
+def test_op9_knows_what_it_keeps_when_few_are_new():
+    kept = bpe._Kept(8)
+    names = np.arange(6, dtype=np.uint64)
+    kept.add(names, pa.array([b""] * 6, pa.large_binary()), pa.array([""] * 6, pa.large_string()), np.zeros(6, np.int64))
+    assert kept.missing(np.arange(7, dtype=np.uint64)).tolist() == [6]
+    assert kept.missing(np.arange(9, dtype=np.uint64)).tolist() == list(range(9))
