@@ -42,12 +42,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forgestat.llm import textnp
-from forgestat.llm.common import documents_of, saved
+from forgestat.llm.common import documents_of, in_few, saved
 from forgestat.llm.components import components
 
 CLASS_BITS = 1 << 23      # size of the bit map of frequent tokens (1 MiB)
 FREQUENT = 8              # counted repeats from which a token is frequent
 COUNTED = 1 << 20         # tokens a task counts at a time
+VERIFIED = 1 << 13        # pairs that a task verifies at least, each with two token sets
 BROADCAST_IDS = 2_000_000  # ids that may be broadcast (8 or 16 bytes each)
 
 _SETS = "doc_id long, n long, fa long, fb long, token long, c long"
@@ -239,8 +240,8 @@ def _pair(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _verified(texts: DataFrame, pairs: DataFrame, num: int, den: int, short: bool = False) -> DataFrame:
-    """The pairs ``(a, b)`` whose exact Jaccard similarity of the token sets
+def _verified(texts: DataFrame, pairs: DataFrame, num: int, den: int, name: str, short: bool = False) -> DataFrame:
+    """Of written pairs, as a written table, the pairs ``(a, b)`` whose exact Jaccard similarity of the token sets
     reaches num / den. Sets are made anew from the texts; that of ``a`` travels
     once for each of its pairs, that of ``b`` once.
 
@@ -249,9 +250,10 @@ def _verified(texts: DataFrame, pairs: DataFrame, num: int, den: int, short: boo
     have an end in common, so no pair that reaches num / den is lost; the result
     then holds further pairs.
     """
+    rows = pairs.count()
     partners = saved(pairs.groupBy("a").agg(F.collect_list("b").alias("partners"))
-                     .withColumnRenamed("a", "doc_id"), "partners")
-    ends = saved(pairs.select(F.col("b").alias("doc_id")).distinct(), "ends")
+                     .withColumnRenamed("a", "doc_id"), "partners", rows)
+    ends = saved(pairs.select(F.col("b").alias("doc_id")).distinct(), "ends", rows)
 
     def sets(ids: DataFrame) -> DataFrame:
         return (texts.join(_maybe_broadcast(ids), "doc_id", "left_semi")
@@ -261,8 +263,9 @@ def _verified(texts: DataFrame, pairs: DataFrame, num: int, den: int, short: boo
          .select(F.col("doc_id").alias("a"), F.col("n").alias("na"), "extra", F.col("tokens").alias("ta"),
                  F.explode("partners").alias("b")))
     b = sets(ends).select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
-    return (a.join(b, "b").withColumn("both", F.size(F.array_intersect("ta", "tb")) + F.col("extra"))
-            .filter(F.col("both") * den >= (F.col("na") + F.col("nb") - F.col("both")) * num).select("a", "b"))
+    found = (a.join(b, "b").withColumn("both", F.size(F.array_intersect("ta", "tb")) + F.col("extra"))
+             .filter(F.col("both") * den >= (F.col("na") + F.col("nb") - F.col("both")) * num).select("a", "b"))
+    return saved(found.distinct() if short else found, name, rows, VERIFIED)
 
 
 def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -279,29 +282,31 @@ def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts = documents_of(docs, id_col, text_col)
     described = saved(texts.mapInArrow(_describe, _SETS), "sets")
     per_doc = described.filter("n is not null").select("doc_id", "n", "fa", "fb")
+    rows, tokens = per_doc.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     classes = saved(per_doc.filter("n > 0").groupBy("fa", "fb", "n").agg(F.min("doc_id").alias("class_id")),
-                    "classes")
+                    "classes", rows)
     members = saved(
         per_doc.join(classes, ["fa", "fb", "n"], "left")
         .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id")),
-        "members")
+        "members", rows)
 
     frequent = np.packbits(_class_map(described), bitorder="little").tobytes()
     # copies are not indexed: ids without a row that names its class
     copies = saved(members.filter("n_shingles > 0 and doc_id is not null").groupBy("doc_id")
                    .agg(F.max((F.col("class_id") == F.col("doc_id")).cast("int")).alias("own"))
-                   .filter("own = 0").select("doc_id"), "copies")
+                   .filter("own = 0").select("doc_id"), "copies", rows)
     named = texts.join(_maybe_broadcast(copies), "doc_id", "left_anti")
     led = saved(named.mapInArrow(_indexer(frequent, t), _INDEX)
                 .repartition("key").sortWithinPartitions("key", "pos", "node")
-                .mapInArrow(_led, _LED), "led")
+                .mapInArrow(_led, _LED), "led", tokens)         # a set has no more keys than tokens
+    led_rows = led.count()
 
     proposed = saved(led.filter((F.col("node") != F.col("l_node")) & _bounds("", "l_", num, den))
-                     .select(F.col("node").alias("a"), F.col("l_node").alias("b")).distinct(), "proposed")
-    links = saved(_verified(texts, proposed, num, den), "links")
+                     .select(F.col("node").alias("a"), F.col("l_node").alias("b")).distinct(), "proposed", led_rows)
+    links = _verified(texts, proposed, num, den, "links")
 
     # rows that are not in their leader's component: their pairs between components
-    parts = components(links)
+    parts = components(links, links.count())
     own = parts.select(F.col("node").alias("own_node"), F.col("component").alias("own_part"))
     lead = parts.select(F.col("node").alias("lead_node"), F.col("component").alias("lead_part"))
     labelled = (led.join(_maybe_broadcast(own), F.col("node") == F.col("own_node"), "left")
@@ -314,11 +319,11 @@ def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # a pair between components has at least one end outside the leader's component
     more = saved(labelled.join(ends, "key")
                  .filter((F.col("part") != F.col("x_part")) & _bounds("", "x_", num, den))
-                 .select(*_pair("node", "x_node")).distinct().join(proposed.select(*_pair("a", "b")).distinct(), ["a", "b"], "left_anti"), "more")
+                 .select(*_pair("node", "x_node")).distinct().join(proposed.select(*_pair("a", "b")).distinct(), ["a", "b"], "left_anti"), "more", led_rows)
     # few of them reach the similarity, so short tokens go first
-    likely = saved(_verified(texts, more, num, den, short=True).distinct(), "likely")
+    likely = _verified(texts, more, num, den, "likely", short=True)
     if not likely.isEmpty():
-        links = links.unionByName(saved(_verified(texts, likely, num, den), "links"))
+        links = links.unionByName(_verified(texts, likely, num, den, "links"))
     return members, links
 
 
@@ -339,6 +344,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     an id has that set. An empty table gives no rows.
     """
     members, links = ngram_links(docs, id_col, text_col, num, den)
-    parts = saved(components(links).withColumnRenamed("node", "class_id"), "parts")
+    rows = members.count()
+    parts = saved(components(links, links.count()).withColumnRenamed("node", "class_id"), "parts", rows)
     own = members.join(parts, "class_id", "left")
-    return own.select("doc_id", "n_shingles", F.coalesce("component", "class_id").alias("component_id"), "class_id")
+    return in_few(own.select("doc_id", "n_shingles", F.coalesce("component", "class_id").alias("component_id"), "class_id"), rows)

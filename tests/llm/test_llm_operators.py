@@ -679,3 +679,24 @@ def test_op9_knows_what_it_keeps_when_few_are_new():
     kept.add(names, pa.array([b""] * 6, pa.large_binary()), pa.array([""] * 6, pa.large_string()), np.zeros(6, np.int64))
     assert kept.missing(np.arange(7, dtype=np.uint64)).tolist() == [6]
     assert kept.missing(np.arange(9, dtype=np.uint64)).tolist() == list(range(9))
+
+
+def test_op2_writes_few_files_however_many_partitions(spark, corpus):
+    import os
+
+    from forgestat.session import checkpoint_dir
+    root = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    names = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        got = ngram_components(frame(spark, corpus))
+        assert got.rdd.getNumPartitions() <= 4
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == components_by_brute_force(corpus)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    made = {f: sum(x.endswith(".parquet") for x in os.listdir(os.path.join(root, f))) for f in set(os.listdir(root)) - before}
+    assert len(made) > 10 and max(made.values()) <= 8, made
