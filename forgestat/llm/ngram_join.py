@@ -29,6 +29,12 @@ no link between components is lost. A pair is proposed at all only within the
 bounds that the two sizes set: on the lengths, on the places of a single key
 (it may be the first common token), and on the ranks of a combination (it may
 be the first common one, see above, with u and v for this pair).
+
+Where many rows of one key stay outside their leader's component, most of their
+pairs are of texts that have much in common and yet too little. There each row
+brings a sketch of its set, SKETCH parity bits: two sets differ in at least as many
+tokens as their sketches in bits, and a pair whose sketches differ in more
+than its sizes allow is never made. No pair that reaches the similarity is lost.
 """
 
 from __future__ import annotations
@@ -50,10 +56,15 @@ FREQUENT = 8              # counted repeats from which a token is frequent
 COUNTED = 1 << 20         # tokens a task counts at a time
 VERIFIED = 1 << 13        # pairs that a task verifies at least, each with two token sets
 BROADCAST_IDS = 2_000_000  # ids that may be broadcast (8 or 16 bytes each)
+CROWD = 16                # rows of a key outside their leader's component from which pairs are sketched first
+SKETCH = 1024             # bits of a set's sketch: tells sets of up to some 1000 tokens apart
+BROADCAST_SKETCHES = 1 << 17  # sketches that may be broadcast (144 bytes each)
 
 _SETS = "doc_id long, n long, fa long, fb long, token long, c long"
 _INDEX = "key long, node long, n int, pos int, rank int"
 _LED = _INDEX + ", l_node long, l_n int, l_pos int, l_rank int"
+_BITS = [f"s{i}" for i in range(SKETCH // 64)]
+_SKETCHES = "s_node long, s_n int, " + ", ".join(f"{c} long" for c in _BITS)
 
 
 def _arrow(schema: str) -> pa.Schema:
@@ -223,6 +234,31 @@ def _sets_of(short: bool):
     return run
 
 
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """Parity of the distinct tokens that end in each of SKETCH values, as 64-bit words.
+    A token that only one of two sets has flips one bit, so the sketches of two sets
+    differ in no more bits than the sets in tokens."""
+    odd = np.bincount((tokens & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = _arrow(_SKETCHES)
+    for ids, sets in _token_sets(batches):
+        bits = np.array([sketch(s) for s in sets], dtype=np.int64).reshape(len(sets), len(_BITS))
+        yield pa.RecordBatch.from_arrays(
+            [ids, pa.array([len(s) for s in sets], pa.int32()),
+             *[pa.array(np.ascontiguousarray(c)) for c in bits.T]], schema=schema)
+
+
+def _alike(a: str, b: str, num: int, den: int):
+    """Whether the sketches of a pair differ in no more bits than its sizes allow tokens
+    that only one of the two has; the columns of either end start with ``a`` and ``b``."""
+    na, nb = (F.col(f"{x}n").cast("long") for x in (a, b))
+    apart = sum((F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}"))) for c in _BITS), F.lit(0))
+    return apart <= na + nb - 2 * F.ceil((na + nb) * num / (num + den) - 1e-9)
+
+
 def _bounds(a: str, b: str, num: int, den: int):
     """Bounds of a pair, in whole numbers (t = num / den); the columns of either
     end start with ``a`` and ``b``."""
@@ -268,6 +304,19 @@ def _verified(texts: DataFrame, pairs: DataFrame, num: int, den: int, name: str,
     return saved(found.distinct() if short else found, name, rows, VERIFIED)
 
 
+def _sketched(texts: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows of keys with the sketch of their set, as a written table. A node of several
+    texts has a row for each, told apart by the set's size (or kept with either sketch)."""
+    rows = saved(rows, "crowd")
+    nodes = saved(rows.select(F.col("node").alias("doc_id")).distinct(), "nodes", rows.count())
+    sketches = saved(texts.join(_maybe_broadcast(nodes), "doc_id", "left_semi")
+                     .mapInArrow(_sketches, _SKETCHES).distinct(), "sketches", nodes.count())
+    if sketches.count() <= BROADCAST_SKETCHES:
+        sketches = F.broadcast(sketches)
+    return saved(rows.join(sketches, (F.col("node") == F.col("s_node")) & (F.col("n") == F.col("s_n")))
+                 .drop("s_node", "s_n"), "sketched")
+
+
 def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 num: int = 75, den: int = 100) -> tuple[DataFrame, DataFrame]:
     """Documents with their class of equal sets, and the links between classes.
@@ -316,10 +365,22 @@ def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     labelled = saved(labelled, "labelled")
     ends = saved(labelled.filter("part <> lead")
                  .select("key", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "pos", "rank", "part")]), "ends")
+    crowded = saved(ends.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > CROWD).select("key"),
+                    "crowded", led_rows)
     # a pair between components has at least one end outside the leader's component
-    more = saved(labelled.join(ends, "key")
-                 .filter((F.col("part") != F.col("x_part")) & _bounds("", "x_", num, den))
-                 .select(*_pair("node", "x_node")).distinct().join(proposed.select(*_pair("a", "b")).distinct(), ["a", "b"], "left_anti"), "more", led_rows)
+    between = (F.col("part") != F.col("x_part")) & _bounds("", "x_", num, den)
+    if crowded.isEmpty():
+        pairs = labelled.join(ends, "key").filter(between).select(*_pair("node", "x_node"))
+    else:
+        few = ends.join(_maybe_broadcast(crowded), "key", "left_anti")
+        many = _sketched(texts, labelled.join(_maybe_broadcast(crowded), "key", "left_semi"))
+        theirs = many.filter("part <> lead").select(
+            "key", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "pos", "rank", "part", *_BITS)])
+        pairs = (labelled.join(few, "key").filter(between).select(*_pair("node", "x_node"))
+                 .unionByName(many.join(theirs, "key").filter(between & _alike("", "x_", num, den))
+                              .select(*_pair("node", "x_node"))))
+    more = saved(pairs.distinct().join(proposed.select(*_pair("a", "b")).distinct(), ["a", "b"], "left_anti"),
+                 "more", led_rows)
     # few of them reach the similarity, so short tokens go first
     likely = _verified(texts, more, num, den, "likely", short=True)
     if not likely.isEmpty():

@@ -700,3 +700,41 @@ def test_op2_writes_few_files_however_many_partitions(spark, corpus):
             spark.conf.set(k, v)
     made = {f: sum(x.endswith(".parquet") for x in os.listdir(os.path.join(root, f))) for f in set(os.listdir(root)) - before}
     assert len(made) > 10 and max(made.values()) <= 8, made
+
+
+def test_op2_sketches_lose_no_pair():
+    """Sketches differ in no more bits than the sets do in tokens."""
+    from forgestat.llm.ngram_join import SKETCH, sketch
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 40, 3000):
+        a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        for m in (0, 5, 900):
+            b = np.union1d(a[m:], rng.integers(0, 1 << 63, m // 2, dtype=np.uint64))
+            apart = int(np.bitwise_count((sketch(a) ^ sketch(b)).view(np.uint64)).sum())
+            differ = len(np.setxor1d(a, b))
+            assert apart <= differ and (apart - differ) % 2 == 0 and len(sketch(a)) * 64 == SKETCH
+
+
+def test_op2_pairs_of_a_large_group_of_near_copies(spark, monkeypatch):
+    """Texts of one base that are too far from each other share keys, and are not paired all the same."""
+    from forgestat.llm import ngram_join
+    rng = random.Random(11)
+    few, base = words(rng, 12), words(rng, 60)
+    rows = []
+    for k in range(600):
+        text = list(base)
+        for _ in range(rng.randint(1, 5)):
+            text[rng.randrange(len(text))] = rng.choice(few)
+        rows.append((k, " ".join(text), None, None, None))
+    rows += [(k, " ".join(words(rng, 50)), None, None, None) for k in range(5, 9)]   # ids of two texts
+    made, plain = {}, ngram_join.saved
+
+    def counting(df, name, *args, **kw):
+        out = plain(df, name, *args, **kw)
+        made[name] = made.get(name, 0) + out.count()
+        return out
+    monkeypatch.setattr(ngram_join, "saved", counting)
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in ngram_components(frame(spark, rows)).collect()}
+    want = components_by_brute_force(rows[:600])
+    assert got == {(k, n, c) for k, (n, c) in want.items()} | {(k, 46, want[k][1]) for k in range(5, 9)}
+    assert made["more"] < 2 * len(rows), made
