@@ -122,3 +122,16 @@ def test_the_warehouse_deals_by_the_size_of_its_tables(spark):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
     assert warehouse_for(spark, "/root/testdata/sf0.001").input_bytes > 0
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(16 << 20)
+
+
+def test_shuffle_tasks_hold_little_of_a_large_shuffle(spark):
+    """A task that sorts several shuffles holds a part of each."""
+    from forgestat.functions.sizing import INPUT_BYTES, deal_by_size
+    try:
+        deal_by_size(spark, 200 * INPUT_BYTES)
+        rows = spark.range(900_000).select(F.sha2(F.col("id").cast("string"), 256).alias("h"), "id")
+        tasks = rows.groupBy("h").agg(F.max("id")).rdd.getNumPartitions()      # some 40 MB are written
+        assert 8 <= tasks < 200
+    finally:
+        deal_by_size(spark, 0)
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.minPartitionNum", None) is None
