@@ -1,6 +1,7 @@
 """What a query leaves on disk while it runs: few shuffles, and steps that end."""
 
 import re
+import time
 
 import pytest
 
@@ -68,3 +69,30 @@ def test_small_tables_are_broadcast_behind_their_count(large):
     many = bronze(large)
     many.known_rows = {"repo_map": 25, "supplier": 3_000_000}
     assert broadcast(many) == {"s_nationkey"}
+
+
+def read_by(df) -> set[str]:
+    """The tables and saved steps that a query's plan reads."""
+    names = re.findall(r"/(?:step-)?(\w+?)(?:-[0-9a-f]{32}|\.parquet)", " ".join(df.inputFiles()))
+    return set(names)
+
+
+def test_a_step_ends_with_its_shuffle_files(spark):
+    from forgestat.functions.steps import CLEANUP, saved
+    rows = spark.range(5000).selectExpr("id % 700 AS k", "id AS v")
+    count, before = rows.groupBy("k").agg({"v": "max"}), shuffle_files(spark)
+    setting = spark.conf.get(CLEANUP, None)
+    got = saved(count, "counted")
+    for _ in range(50):
+        if shuffle_files(spark) <= before:
+            break
+        time.sleep(0.1)
+    assert shuffle_files(spark) <= before and spark.conf.get(CLEANUP, None) == setting
+    assert got.schema == count.schema and sorted(got.collect()) == sorted(count.collect())
+
+
+def test_months_of_activity_keep_no_shuffles_of_comments_and_stars(spark):
+    from forgestat.plans import catalog
+    for name in ("q07_top_contributors", "m24_contributor_engagement"):
+        read = read_by(catalog.queries()[name](spark, SF))
+        assert {"comment_authors", "star_logins"} <= read and not read & {"lineitem", "supplier"}, (name, read)
