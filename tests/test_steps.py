@@ -96,3 +96,9 @@ def test_months_of_activity_keep_no_shuffles_of_comments_and_stars(spark):
     for name in ("q07_top_contributors", "m24_contributor_engagement"):
         read = read_by(catalog.queries()[name](spark, SF))
         assert {"comment_authors", "star_logins"} <= read and not read & {"lineitem", "supplier"}, (name, read)
+
+
+def test_activity_reads_users_and_comments_that_are_written(spark):
+    from forgestat.plans import catalog
+    read = read_by(catalog.queries()["m13_int_contributor_activity"](spark, SF))
+    assert {"comment_authors", "stg_users"} <= read and not read & {"lineitem", "supplier"}, read
