@@ -102,3 +102,10 @@ def test_activity_reads_users_and_comments_that_are_written(spark):
     from forgestat.plans import catalog
     read = read_by(catalog.queries()["m13_int_contributor_activity"](spark, SF))
     assert {"comment_authors", "stg_users"} <= read and not read & {"lineitem", "supplier"}, read
+
+
+@pytest.mark.parametrize("name", ["m20j_fct_issues_joined", "m19j_fct_pull_requests_joined"])
+def test_joined_facts_read_users_and_comment_stats_that_are_written(spark, name):
+    from forgestat.plans import catalog
+    read = read_by(catalog.queries()[name](spark, SF))
+    assert {"comment_stats", "stg_users"} <= read and not read & {"supplier", "events"}, read
