@@ -109,3 +109,9 @@ def test_joined_facts_read_users_and_comment_stats_that_are_written(spark, name)
     from forgestat.plans import catalog
     read = read_by(catalog.queries()[name](spark, SF))
     assert {"comment_stats", "stg_users"} <= read and not read & {"supplier", "events"}, read
+
+
+def test_pull_requests_with_reviews_join_steps_that_are_written(spark):
+    from forgestat.plans import catalog
+    read = read_by(catalog.queries()["m15r_int_pr_with_reviews_enabled"](spark, SF))
+    assert read == {"comment_stats", "review_stats", "labelled_prs"}, read
